@@ -83,3 +83,65 @@ def years_to_close(gap: DataFrame, entity_dim, metric_dim, params: P.PanelParams
     return t.select(*entity_cols(entity_dim), *metric_cols(metric_dim),
                     "n_points", "slope", "intercept", "status", "closure_status",
                     "gap_ref", "years_to_close")
+
+
+def loo_slope(df: DataFrame, start: int, end: int, y: str = "gap", x: str = "period",
+              by=("entity", "metric")) -> DataFrame:
+    """Leave-one-period-out slope: for every observed point, the OLS slope
+    of the series without it.  Closed form from the series sums (window
+    over the series, bounded by the period count) with x centred on
+    ``start`` for numerical stability; fewer than 2 remaining points or no
+    spread in x gives NULL."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(*by)
+    has = F.col(y).isNotNull()
+    xc = F.when(has, (F.col(x) - start).cast("double"))
+    yv = F.when(has, F.col(y).cast("double"))
+    d = (df.filter(F.col(x).between(start, end))
+         .withColumn("_x", xc).withColumn("_y", yv)
+         .withColumn("_n", F.count("_y").over(w))
+         .withColumn("_sx", F.sum("_x").over(w)).withColumn("_sy", F.sum("_y").over(w))
+         .withColumn("_sxx", F.sum(F.col("_x") * F.col("_x")).over(w))
+         .withColumn("_sxy", F.sum(F.col("_x") * F.col("_y")).over(w))
+         .filter(has))
+    n = F.col("_n") - 1
+    sx, sy = F.col("_sx") - F.col("_x"), F.col("_sy") - F.col("_y")
+    sxx = F.col("_sxx") - F.col("_x") * F.col("_x")
+    sxy = F.col("_sxy") - F.col("_x") * F.col("_y")
+    den = n * sxx - sx * sx
+    slope = F.when((n >= 2) & (den != 0), (n * sxy - sx * sy) / den)
+    return d.select(*by, F.col(x).alias("left_out"), F.col(y),
+                    slope.alias("loo_slope"), n.alias("n_remaining"))
+
+
+def endpoint_vs_trend(stuck: DataFrame, start: int, end: int) -> DataFrame:
+    """Endpoint change against the change the trend implies over the same
+    span: ratio and percent difference (NULL on a zero trend)."""
+    from tidemark.functions.exprs import dec_round
+    implied = F.col("slope") * (end - start)
+    ratio = F.try_divide(F.col("gap_change"), implied)
+    # The percent difference is taken from the 6-decimal ratio: slopes of
+    # 2-decimal data over integer periods are short rationals, so the raw
+    # value can sit exactly on a rounding tie.
+    return (stuck.select("entity", "metric", "gap_change", "slope")
+            .withColumn("trend_change", implied)
+            .withColumn("ratio", ratio)
+            .withColumn("pct_diff", (dec_round("ratio", 6) - 1) * 100))
+
+
+def abs_slope_stats(stuck: DataFrame, buckets=(P.CONVERGENCE, P.CONTEXT_INVERTED)) -> DataFrame:
+    """Mean and minimum absolute slope per bucket."""
+    return (stuck.filter(F.col("bucket").isin(list(buckets)) & F.col("slope").isNotNull())
+            .groupBy("bucket")
+            .agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs("slope")).alias("mean_abs_slope"),
+                 F.min(F.abs("slope")).alias("min_abs_slope")))
+
+
+def band_margin(stuck: DataFrame, bands: P.Bands = P.Bands()) -> DataFrame:
+    """Distance of each directed slope to its dead band (negative = inside
+    the band)."""
+    band = (F.when(F.col("bucket") == P.CONVERGENCE, F.lit(bands.convergence))
+            .when(F.col("bucket") == P.CONTEXT_INVERTED, F.lit(bands.context_inverted)))
+    return (stuck.filter(band.isNotNull() & F.col("slope").isNotNull())
+            .select("entity", "metric", "bucket", "slope", "status",
+                    band.alias("band"), (F.abs("slope") - band).alias("margin")))

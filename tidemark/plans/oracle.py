@@ -231,3 +231,526 @@ FROM panel p
 JOIN entity_dim d ON p.entity = d.entity
 JOIN metric_dim m ON p.metric = m.metric
 WHERE p.period BETWEEN 1995 AND 2000 AND d.role IN ('subject', 'entrant', 'success')""")
+
+
+def nsql(body: str, *extra: str) -> str:
+    """Nation-panel CTEs, extra CTE blocks (each starting with ',\\n'), body."""
+    return "WITH " + NATION_CTE.strip() + "".join(extra) + "\n" + body
+
+
+STUCK_CTE = f""",
+stuck AS (
+  SELECT t.entity, {ENTITY_COLS}, t.metric, {METRIC_COLS},
+         t.gap_start, t.gap_end, t.gap_end - t.gap_start AS gap_change, t.slope,
+         {stuck_case('t.slope', 'm.bucket')} AS status
+  FROM trend t
+  LEFT JOIN entity_dim d ON t.entity = d.entity
+  LEFT JOIN metric_dim m ON t.metric = m.metric
+)"""
+
+RAW_CTE = """WITH raw AS (
+  SELECT 'ORD' AS source, o.o_orderpriority AS metric, n.n_name AS entity,
+         CAST(year(o.o_orderdate) AS INTEGER) AS period, avg(o.o_totalprice) AS value,
+         CASE o.o_orderstatus WHEN 'F' THEN 'b1' WHEN 'O' THEN 'b2' WHEN 'P' THEN 'b3' END
+           AS batch_id
+  FROM orders o
+  JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  GROUP BY ALL
+)"""
+
+EVENTS_CTE = """WITH ev_cells AS (
+  SELECT CAST(user_id AS VARCHAR) AS entity, event_type AS metric,
+         CAST(dayofyear(ts) AS INTEGER) AS period, sum(value) AS value
+  FROM events GROUP BY ALL
+),
+ev_users AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS entity FROM events),
+ev_metrics AS (
+  SELECT * FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) AS t(metric)
+),
+ev_periods AS (SELECT CAST(range AS INTEGER) AS period FROM range(1, 31)),
+ev_grid AS (
+  SELECT u.entity, m.metric, p.period
+  FROM ev_users u CROSS JOIN ev_metrics m CROSS JOIN ev_periods p
+),
+ev_complete AS (
+  SELECT g.entity, g.metric, g.period, c.value
+  FROM ev_grid g LEFT JOIN ev_cells c
+    ON g.entity = c.entity AND g.metric = c.metric AND g.period = c.period
+)"""
+
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+NATION_METRIC_CODES = ("AOV", "URGENT_SHARE", "LOW_AOV", "ORDERS")
+
+
+def span_text(first: str, last: str, n: str) -> str:
+    return (f"CAST({first} AS VARCHAR) || '–' || CAST({last} AS VARCHAR) || ' (' || "
+            f"CAST({n} AS VARCHAR) || ')'")
+
+
+# --- display tables ------------------------------------------------------------
+ORACLE["years_bucket"] = "WITH " + NATION_CTE.strip() + CLOSING_CTE + f"""
+SELECT entity, metric, status, {r('years_to_close')} AS years_to_close,
+  CASE WHEN status IN ('no_data', 'diverging', 'stalled') THEN replace(status, '_', ' ')
+       WHEN years_to_close IS NULL THEN 'unknown'
+       WHEN years_to_close = 0 THEN 'already closed'
+       WHEN years_to_close < 20 THEN 'under 20 yrs'
+       WHEN years_to_close <= 50 THEN '20-50 yrs'
+       WHEN years_to_close <= 100 THEN '50-100 yrs'
+       ELSE '100+ yrs' END AS years_bucket
+FROM closing"""
+
+ORACLE["status_grid"] = nsql("""
+SELECT entity,
+  CAST(max(CASE WHEN metric = 'AOV' THEN code END) AS INTEGER) AS AOV,
+  CAST(max(CASE WHEN metric = 'URGENT_SHARE' THEN code END) AS INTEGER) AS URGENT_SHARE,
+  CAST(max(CASE WHEN metric = 'LOW_AOV' THEN code END) AS INTEGER) AS LOW_AOV
+FROM coded GROUP BY entity""", STUCK_CTE, """,
+coded AS (
+  SELECT entity, metric,
+         CASE status WHEN 'catching_up' THEN 0 WHEN 'stuck' THEN 1
+              WHEN 'falling_behind' THEN 2 WHEN 'no_data' THEN 3 END AS code
+  FROM stuck
+)""")
+
+ORACLE["dispersion_shape"] = "WITH " + NATION_CTE.strip() + DISPERSION_CTE + f""",
+dd AS (
+  SELECT metric, period, cv_gap,
+         cv_gap - lag(cv_gap) OVER (PARTITION BY metric ORDER BY period) AS d
+  FROM disp_cv WHERE period BETWEEN 1995 AND 2000
+),
+agg AS (
+  SELECT metric, max(CASE WHEN period = 1995 THEN cv_gap END) AS cv_start,
+         max(CASE WHEN period = 2000 THEN cv_gap END) AS cv_end,
+         max(cv_gap) AS cv_peak, min(cv_gap) AS cv_trough,
+         coalesce(bool_and(d <= 0), true) AS monotone_down
+  FROM dd GROUP BY metric
+)
+SELECT a.metric, {r('cv_start')} AS cv_start, {r('cv_end')} AS cv_end,
+  {r('cv_peak')} AS cv_peak, {r('cv_trough')} AS cv_trough,
+  (SELECT min(period) FROM dd WHERE dd.metric = a.metric AND dd.cv_gap = a.cv_peak) AS peak_period,
+  (SELECT min(period) FROM dd WHERE dd.metric = a.metric AND dd.cv_gap = a.cv_trough)
+    AS trough_period,
+  monotone_down,
+  {r('CASE WHEN cv_start IS NULL OR cv_start = 0 THEN NULL ELSE (cv_end - cv_start) / cv_start * 100 END')}
+    AS change_pct
+FROM agg a"""
+
+ORACLE["balanced_panel"] = "WITH " + NATION_CTE.strip() + DISPERSION_CTE + """
+SELECT metric, min(n) AS min_n, max(n) AS max_n, count(*) AS n_periods,
+       min(n) = max(n) AS balanced
+FROM disp_cv GROUP BY metric"""
+
+# --- raw batches -------------------------------------------------------------------
+ORACLE["latest_batch"] = RAW_CTE + f"""
+SELECT metric, entity, period, {r('value')} AS value
+FROM raw WHERE batch_id = (SELECT max(batch_id) FROM raw)"""
+
+ORACLE["latest_per_key"] = RAW_CTE + f"""
+SELECT metric, entity, period, {r('value')} AS value, batch_id
+FROM (SELECT *, row_number() OVER (PARTITION BY metric, entity, period
+                                   ORDER BY batch_id DESC) AS rn FROM raw)
+WHERE rn = 1"""
+
+ORACLE["batch_conflicts"] = RAW_CTE + f"""
+SELECT metric, entity, period, count(*) AS n_rows, count(value) AS n_values,
+       {r('min(value)')} AS min_value, {r('max(value)')} AS max_value
+FROM raw GROUP BY metric, entity, period
+HAVING min(value) < max(value) OR (count(value) > 0 AND count(value) < count(*))"""
+
+ORACLE["landing_report"] = RAW_CTE + """,
+basket AS (
+  SELECT * FROM (VALUES ('ORD', '1-URGENT'), ('ORD', '2-HIGH'), ('ORD', '3-MEDIUM'),
+                        ('ORD', '4-NOT SPECIFIED'), ('ORD', '5-LOW')) AS t(source, metric)
+),
+batches AS (SELECT DISTINCT source, batch_id FROM raw),
+counts AS (SELECT source, metric, batch_id, count(*) AS n FROM raw GROUP BY ALL)
+SELECT b.source, b.metric, bt.batch_id, coalesce(c.n, 0) AS "rows",
+       coalesce(c.n, 0) = 0 AS warn_empty
+FROM basket b
+JOIN batches bt ON b.source = bt.source
+LEFT JOIN counts c ON c.source = b.source AND c.metric = b.metric AND c.batch_id = bt.batch_id"""
+
+# --- events coverage ---------------------------------------------------------------
+ORACLE["complete_grid"] = EVENTS_CTE + f"""
+SELECT entity, metric, period, {r('value')} AS value FROM ev_complete"""
+
+ORACLE["missing_cells"] = EVENTS_CTE + """
+SELECT g.entity, g.metric, g.period FROM ev_grid g
+WHERE NOT EXISTS (SELECT 1 FROM ev_cells c
+                  WHERE c.entity = g.entity AND c.metric = g.metric AND c.period = g.period)"""
+
+for _by in ("metric", "entity"):
+    ORACLE[f"coverage_by_{_by}"] = EVENTS_CTE + f"""
+SELECT {_by}, count(*) AS total_rows, count(value) AS non_null,
+       count(*) - count(value) AS nulls
+FROM ev_complete GROUP BY {_by}"""
+
+ORACLE["coverage_span"] = EVENTS_CTE + """,
+sp AS (
+  SELECT entity, metric,
+         min(CASE WHEN value IS NOT NULL THEN period END) AS first_period,
+         max(CASE WHEN value IS NOT NULL THEN period END) AS last_period,
+         count(value) AS n
+  FROM ev_complete GROUP BY entity, metric
+)
+SELECT entity, metric, first_period, last_period, n,
+       CASE WHEN n = 0 THEN 'NONE' ELSE """ + span_text("first_period", "last_period", "n") + """ END
+         AS span
+FROM sp"""
+
+ORACLE["coverage_matrix"] = EVENTS_CTE + "\nSELECT entity, " + ", ".join(
+    f"count(CASE WHEN metric = '{m}' THEN value END) AS {m}" for m in EVENT_TYPES
+) + "\nFROM ev_complete GROUP BY entity"
+
+ORACLE["wide_mean"] = EVENTS_CTE + "\nSELECT entity, period, " + ", ".join(
+    f"{r(f'avg(CASE WHEN metric = {chr(39)}{m}{chr(39)} THEN value END)')} AS {m}"
+    for m in EVENT_TYPES) + "\nFROM ev_cells GROUP BY entity, period"
+
+ORACLE["candidate_screen"] = EVENTS_CTE + """,
+per AS (SELECT metric, entity, count(value) AS nn FROM ev_complete GROUP BY metric, entity)
+SELECT metric, count(*) AS n_entities,
+       CAST(sum(CASE WHEN nn = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_empty,
+       min(nn) AS min_non_null,
+       sum(CASE WHEN nn = 0 THEN 1 ELSE 0 END) = 0 AS keep
+FROM per GROUP BY metric"""
+
+# --- profiles --------------------------------------------------------------------------
+ORACLE["profile"] = nsql(f"""
+SELECT metric, {dround('min(gap)', 1)} AS "min", {dround('max(gap)', 1)} AS "max",
+       {dround('avg(gap)', 1)} AS mean, count(gap) AS "count"
+FROM gap GROUP BY metric""")
+
+ORACLE["nulls_by_metric"] = nsql("""
+SELECT metric, CAST(sum(CASE WHEN gap IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS nulls
+FROM gap GROUP BY metric HAVING sum(CASE WHEN gap IS NULL THEN 1 ELSE 0 END) > 0""")
+
+ORACLE["rows_per_entity"] = nsql("""
+SELECT entity, count(*) AS "rows" FROM gap GROUP BY entity""")
+
+ORACLE["distinct_keys"] = nsql("SELECT DISTINCT entity FROM gap")
+
+ORACLE["axis_range"] = nsql(f"""
+SELECT {r('min(gap)')} AS axis_min, {r('max(gap)')} AS axis_max FROM gap""")
+
+# --- cohorts and tiers --------------------------------------------------------------
+ORACLE["cohort_means"] = nsql(f"""
+SELECT western, {r('avg(gap_change)')} AS mean, count(gap_change) AS "count"
+FROM stuck
+WHERE role IN ('subject', 'entrant', 'success') AND metric = 'AOV'
+GROUP BY western""", STUCK_CTE)
+
+_ta = "avg(CASE WHEN d.role = 'subject' THEN g.gap END)"
+_tb = "avg(CASE WHEN d.role = 'entrant' THEN g.gap END)"
+ORACLE["tier_gap"] = nsql(f"""
+SELECT g.metric, g.period, {r(_ta)} AS mean_a, {r(_tb)} AS mean_b,
+       {r(f'{_tb} - {_ta}')} AS tier_gap
+FROM gap g JOIN entity_dim d ON g.entity = d.entity
+WHERE g.metric = 'AOV' AND g.period BETWEEN 1995 AND 2000
+GROUP BY g.metric, g.period""")
+
+ORACLE["mean_gain"] = nsql(f"""
+SELECT metric, {r('avg(gap_change)')} AS mean_gain, count(gap_change) AS n
+FROM stuck WHERE role IN ('subject') AND metric IN ('AOV', 'LOW_AOV')
+GROUP BY metric""", STUCK_CTE)
+
+# --- ordered operators --------------------------------------------------------------
+ORACLE["delta"] = nsql(f"""
+SELECT entity, metric, period, {r('gap1')} AS gap,
+       {r('gap1 - lag(gap1) OVER (PARTITION BY entity, metric ORDER BY period)')} AS delta
+FROM g1""", f""",
+g1 AS (SELECT entity, metric, period, {dround('gap', 1)} AS gap1 FROM gap)""")
+
+ORACLE["spikes"] = nsql(f"""
+SELECT entity, metric, period, {r('gap')} AS gap, {r('delta_in')} AS delta_in,
+       {r('delta_out')} AS delta_out
+FROM sp
+WHERE sign(delta_in) * sign(delta_out) < 0 AND abs(delta_in) > 5.0 AND abs(delta_out) > 5.0""",
+                        """,
+sp AS (
+  SELECT entity, metric, period, gap,
+         gap - lag(gap) OVER (PARTITION BY entity, metric ORDER BY period) AS delta_in,
+         lead(gap) OVER (PARTITION BY entity, metric ORDER BY period) - gap AS delta_out
+  FROM gap_mart
+)""")
+
+SHAPE_CTE = """,
+ss AS (
+  SELECT entity, metric, period, gap,
+         gap - lag(gap) OVER (PARTITION BY entity, metric ORDER BY period) AS d
+  FROM gap WHERE period BETWEEN 1995 AND 2000
+),
+sa AS (
+  SELECT entity, metric, max(gap) AS peak, min(gap) AS trough,
+         coalesce(bool_and(d >= 0), true) AS never_falls,
+         coalesce(bool_and(d <= 0), true) AS never_rises
+  FROM ss GROUP BY entity, metric
+)"""
+
+ORACLE["series_shape"] = nsql(f"""
+SELECT sa.entity, sa.metric, {r('peak')} AS peak,
+  (SELECT min(period) FROM ss WHERE ss.entity = sa.entity AND ss.metric = sa.metric
+     AND ss.gap = sa.peak) AS peak_period,
+  {r('trough')} AS trough,
+  (SELECT min(period) FROM ss WHERE ss.entity = sa.entity AND ss.metric = sa.metric
+     AND ss.gap = sa.trough) AS trough_period,
+  never_falls, never_rises
+FROM sa""", SHAPE_CTE)
+
+ORACLE["last_value"] = nsql(f"""
+SELECT lv.entity, lv.metric, lv.last_period, {r('g.gap')} AS last_value
+FROM (SELECT entity, metric, max(period) AS last_period FROM gap GROUP BY entity, metric) lv
+JOIN gap g ON g.entity = lv.entity AND g.metric = lv.metric AND g.period = lv.last_period""")
+
+
+def _txt(x: str) -> str:
+    return (f"coalesce(CAST(CAST(round(CAST({x} AS DECIMAL(28,10)), 1) AS DECIMAL(28,1)) "
+            f"AS VARCHAR), 'NA')")
+
+
+_va = "max(CASE WHEN period = 1995 THEN gap END)"
+_vb = "max(CASE WHEN period = 2000 THEN gap END)"
+ORACLE["endpoints"] = nsql(f"""
+SELECT entity, metric, {r(_va)} AS value_a, {r(_vb)} AS value_b,
+       {_txt(_va)} AS text_a, {_txt(_vb)} AS text_b
+FROM gap GROUP BY entity, metric""")
+
+_after_y = "CASE WHEN s.period >= p.peak_period THEN s.gap END"
+_after_x = "CASE WHEN s.period >= p.peak_period THEN s.period END"
+ORACLE["slope_since_peak"] = nsql(f"""
+SELECT p.entity, p.metric, p.peak_period, {r('p.peak')} AS peak,
+       {r(nonan(f'regr_slope({_after_y}, {_after_x})'))} AS slope_since_peak,
+       count({_after_y}) AS n_since_peak
+FROM pkp p JOIN sp0 s ON s.entity = p.entity AND s.metric = p.metric
+GROUP BY p.entity, p.metric, p.peak_period, p.peak""", """,
+sp0 AS (SELECT entity, metric, period, gap FROM gap WHERE period BETWEEN 1995 AND 2000),
+pk AS (SELECT entity, metric, max(gap) AS peak FROM sp0 GROUP BY entity, metric),
+pkp AS (
+  SELECT pk.entity, pk.metric, pk.peak,
+         (SELECT min(period) FROM sp0 WHERE sp0.entity = pk.entity AND sp0.metric = pk.metric
+            AND sp0.gap = pk.peak) AS peak_period
+  FROM pk
+)""")
+
+ORACLE["to_wide"] = nsql("SELECT entity, period, " + ", ".join(
+    f"{r(f'max(CASE WHEN metric = {chr(39)}{m}{chr(39)} THEN gap END)')} AS {m}"
+    for m in NATION_METRIC_CODES) + " FROM gap GROUP BY entity, period")
+
+_next = ("(SELECT min(s2.value) FROM snap s2 WHERE s2.metric = s.metric "
+         "AND s2.value > s.value)")
+ORACLE["snapshot_rank"] = nsql(f"""
+SELECT entity, metric, period, {r('value')} AS value,
+       CAST(rank() OVER (PARTITION BY metric ORDER BY value) AS INTEGER) AS rank,
+       {r('percent_rank() OVER (PARTITION BY metric ORDER BY value)')} AS percent_rank,
+       {r(_next)} AS next_value, {r(f'{_next} - s.value')} AS margin_to_next
+FROM snap s""", """,
+snap AS (
+  SELECT entity, metric, period, value FROM panel
+  WHERE period = 2000 AND value IS NOT NULL AND entity <> 'ALL'
+)""")
+
+ORACLE["top_extremes"] = nsql(f"""
+SELECT entity, metric, period, {r('gap')} AS gap, rnk AS rank
+FROM (SELECT entity, metric, period, gap,
+             CAST(rank() OVER (PARTITION BY metric ORDER BY gap DESC) AS INTEGER) AS rnk
+      FROM gap WHERE gap IS NOT NULL)
+WHERE rnk <= 3""")
+
+ORACLE["last_n_periods"] = nsql(f"""
+SELECT p.entity, p.metric, p.period, {r('p.value')} AS value
+FROM panel p JOIN (SELECT metric, max(period) AS mx FROM panel GROUP BY metric) m
+  ON p.metric = m.metric
+WHERE p.period > m.mx - 3""")
+
+# --- trend analyses --------------------------------------------------------------------
+ORACLE["loo_slope"] = nsql(f"""
+SELECT a.entity, a.metric, a.period AS left_out, {r('a.gap')} AS gap,
+       {r(nonan('regr_slope(b.gap, b.period)'))} AS loo_slope,
+       count(b.gap) AS n_remaining
+FROM pts a LEFT JOIN pts b
+  ON a.entity = b.entity AND a.metric = b.metric AND b.period <> a.period
+GROUP BY a.entity, a.metric, a.period, a.gap""", """,
+pts AS (SELECT entity, metric, period, gap FROM gap
+        WHERE period BETWEEN 1995 AND 2000 AND gap IS NOT NULL)""")
+
+_ratio = "CASE WHEN slope * 5 = 0 THEN NULL ELSE gap_change / (slope * 5) END"
+ORACLE["endpoint_vs_trend"] = nsql(f"""
+SELECT entity, metric, {r('gap_change')} AS gap_change, {r('slope')} AS slope,
+       {r('slope * 5')} AS trend_change, {r(_ratio)} AS ratio,
+       {r(f'({dround(_ratio, 6)} - 1) * 100')} AS pct_diff
+FROM stuck""", STUCK_CTE)
+
+ORACLE["abs_slope_stats"] = nsql(f"""
+SELECT bucket, count(*) AS n, {r('avg(abs(slope))')} AS mean_abs_slope,
+       {r('min(abs(slope))')} AS min_abs_slope
+FROM stuck WHERE bucket IN ('convergence', 'context_inverted') AND slope IS NOT NULL
+GROUP BY bucket""", STUCK_CTE)
+
+_band = ("CASE bucket WHEN 'convergence' THEN CAST(0.2 AS DOUBLE) "
+         "WHEN 'context_inverted' THEN CAST(2.0 AS DOUBLE) END")
+ORACLE["band_margin"] = nsql(f"""
+SELECT entity, metric, bucket, {r('slope')} AS slope, status, {r(_band)} AS band,
+       {r(f'abs(slope) - {_band}')} AS margin
+FROM stuck WHERE bucket IN ('convergence', 'context_inverted') AND slope IS NOT NULL""",
+                             STUCK_CTE)
+
+PAIR_CTE = """,
+mp AS (
+  SELECT entity,
+         max(CASE WHEN metric = 'AOV' THEN gap_ref END) AS gap_ref_a,
+         max(CASE WHEN metric = 'AOV' THEN years_to_close END) AS years_a,
+         max(CASE WHEN metric = 'LOW_AOV' THEN gap_ref END) AS gap_ref_b,
+         max(CASE WHEN metric = 'LOW_AOV' THEN years_to_close END) AS years_b
+  FROM closing WHERE metric IN ('AOV', 'LOW_AOV') GROUP BY entity
+)"""
+_pair_cols = (f"entity, {r('gap_ref_a')} AS gap_ref_a, {r('years_a')} AS years_a, "
+              f"{r('gap_ref_b')} AS gap_ref_b, {r('years_b')} AS years_b")
+_scen = ("CASE WHEN (100 - gap_ref_a) = 0 THEN NULL "
+         "ELSE (100 - gap_ref_b) * years_a / (100 - gap_ref_a) END")
+ORACLE["scenario_years"] = "WITH " + NATION_CTE.strip() + CLOSING_CTE + PAIR_CTE + f"""
+SELECT {_pair_cols}, {r(dround(_scen, 1))} AS scenario_years
+FROM mp WHERE years_b IS NOT NULL"""
+
+ORACLE["metric_ratio"] = "WITH " + NATION_CTE.strip() + CLOSING_CTE + PAIR_CTE + f"""
+SELECT {_pair_cols},
+       {r('CASE WHEN years_a = 0 THEN NULL ELSE years_b / years_a END')} AS ratio
+FROM mp"""
+
+ORACLE["classifier_agreement"] = ("WITH " + NATION_CTE.strip() + STUCK_CTE + CLOSING_CTE + """
+SELECT s.entity, s.metric, s.status AS status_stuck, c.status AS status_trajectory,
+       (CASE s.status WHEN 'falling_behind' THEN 'diverging' WHEN 'stuck' THEN 'stalled'
+             ELSE s.status END) = c.status AS agree
+FROM stuck s JOIN closing c ON s.entity = c.entity AND s.metric = c.metric""")
+
+# --- comparisons -------------------------------------------------------------------------
+ORACLE["dominance"] = nsql("""
+SELECT metric, bool_and(above) AS always_above,
+       min(CASE WHEN above AND NOT prev THEN period END) AS first_overtake,
+       count(*) AS n_periods
+FROM pl GROUP BY metric""", """,
+pa AS (SELECT metric, period, gap AS y_a FROM gap WHERE entity = 'NATION_8'),
+pb AS (SELECT metric, period, gap AS y_b FROM gap WHERE entity = 'NATION_2'),
+pj AS (SELECT pa.metric, pa.period, y_a > y_b AS above
+       FROM pa JOIN pb ON pa.metric = pb.metric AND pa.period = pb.period),
+pl AS (SELECT *, lag(above) OVER (PARTITION BY metric ORDER BY period) AS prev FROM pj)""")
+
+ORACLE["rank_reversal"] = nsql("""
+SELECT a.entity, a.rk AS rank_a, b.rk AS rank_b, b.rk - a.rk AS rank_shift
+FROM rk a JOIN rk b ON a.entity = b.entity
+WHERE a.metric = 'AOV' AND b.metric = 'URGENT_SHARE'""", """,
+snap AS (
+  SELECT entity, metric, value FROM panel
+  WHERE period = 2000 AND value IS NOT NULL AND metric IN ('AOV', 'URGENT_SHARE')
+    AND entity <> 'ALL'
+),
+rk AS (SELECT entity, metric,
+              CAST(rank() OVER (PARTITION BY metric ORDER BY value) AS INTEGER) AS rk
+       FROM snap)""")
+
+_below = ("(SELECT count(*) FROM tp r WHERE r.role = 'core' AND r.metric = s.metric "
+          "AND r.period = s.period AND r.value < s.value)")
+_refn = ("(SELECT count(*) FROM tp r WHERE r.role = 'core' AND r.metric = s.metric "
+         "AND r.period = s.period)")
+ORACLE["tier_position"] = nsql(f"""
+SELECT s.entity, s.role, s.metric, s.period, {r('s.value')} AS value,
+       {_below} AS ref_below, {_refn} AS ref_n,
+       {r(f'CASE WHEN {_refn} > 0 THEN {_below} / {_refn} END')} AS ref_share_below
+FROM tp s WHERE s.role IN ('subject', 'entrant', 'success')""", """,
+tp AS (
+  SELECT p.entity, d.role, p.metric, p.period, p.value
+  FROM panel p JOIN entity_dim d ON p.entity = d.entity
+  WHERE p.value IS NOT NULL AND d.role IN ('core', 'subject', 'entrant', 'success')
+)""")
+
+ORACLE["benchmark_breaks"] = nsql(f"""
+SELECT metric, period, {r('value')} AS value, {r('prv')} AS prev, {r('nxt')} AS "next"
+FROM bb WHERE value - prv < 0 AND nxt >= prv""", """,
+bb AS (
+  SELECT metric, period, value,
+         lag(value) OVER (PARTITION BY metric ORDER BY period) AS prv,
+         lead(value) OVER (PARTITION BY metric ORDER BY period) AS nxt
+  FROM panel WHERE entity = 'ALL'
+)""")
+
+# --- landing / functions ----------------------------------------------------------------
+ORACLE["parse_period"] = f"""
+SELECT 'AOV' AS metric, n.n_name AS entity, CAST(year(o.o_orderdate) AS INTEGER) AS period,
+       {r('avg(o.o_totalprice)')} AS value, true AS period_ok
+FROM orders o
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY n.n_name, year(o.o_orderdate)"""
+
+ORACLE["flatten_props"] = """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"""
+
+ORACLE["label_search"] = """
+SELECT n.n_name, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+WHERE lower(r.r_name) LIKE '%europ%' OR n.n_name IN ('NATION_0', 'NATION_1')"""
+
+# --- data quality ---------------------------------------------------------------------------
+_GAP_MART_COLS = ("entity, entity_name, role, western, region, metric, friendly_name, bucket, "
+                  f"period, {r('value')} AS value, {r('bench_value')} AS bench_value, "
+                  f"{r('gap')} AS gap")
+_STUCK_COLS = ("entity, entity_name, role, western, region, metric, friendly_name, bucket, "
+               f"{r('gap_start')} AS gap_start, {r('gap_end')} AS gap_end, "
+               f"{r('gap_change')} AS gap_change, {r('slope')} AS slope, status")
+_CLOSING_COLS = ("entity, entity_name, role, western, region, metric, friendly_name, bucket, "
+                 f"n_points, {r('slope')} AS slope, {r('intercept', 4)} AS intercept, status, "
+                 f"closure_status, {r('gap_ref')} AS gap_ref, "
+                 f"{r('years_to_close')} AS years_to_close")
+_NAT_ALL = "WITH " + NATION_CTE.strip() + STUCK_CTE + CLOSING_CTE
+
+DQ_SQL = {
+    "dq_not_null": (_NAT_ALL, f"SELECT {_GAP_MART_COLS} FROM gap_mart WHERE gap IS NULL"),
+    "dq_accepted_values": (_NAT_ALL, """SELECT status, count(*) AS n_rows FROM closing
+WHERE status IS NOT NULL AND status NOT IN
+  ('catching_up', 'falling_behind', 'stuck', 'no_data', 'not_classified')
+GROUP BY status"""),
+    "dq_unique": (_NAT_ALL, """SELECT role, count(*) AS n_rows FROM entity_dim
+WHERE role IS NOT NULL GROUP BY role HAVING count(*) > 1"""),
+    "dq_grain_unique": (RAW_CTE, """SELECT metric, entity, period, count(*) AS n_rows FROM raw
+GROUP BY metric, entity, period HAVING count(*) > 1"""),
+    "dq_row_count": (RAW_CTE, """SELECT count(*) AS n_rows FROM raw
+WHERE batch_id = (SELECT max(batch_id) FROM raw) HAVING count(*) <> 875"""),
+    "dq_only_known_nulls": (_NAT_ALL, f"""SELECT entity, metric, period, {r('value')} AS value
+FROM panel WHERE period BETWEEN 1995 AND 2000 AND value IS NULL
+  AND NOT (entity = 'NATION_3' AND metric = 'LOW_AOV')"""),
+    "dq_status_scoping": (_NAT_ALL, f"""SELECT {_STUCK_COLS} FROM stuck WHERE
+  (bucket = 'context' AND status <> 'not_classified')
+  OR (bucket IN ('convergence', 'context_inverted')
+      AND status NOT IN ('catching_up', 'falling_behind', 'stuck', 'no_data'))
+  OR (status = 'no_data' AND slope IS NOT NULL)
+  OR (status <> 'no_data' AND bucket <> 'context' AND slope IS NULL)"""),
+    "dq_closing_time_valid": (_NAT_ALL, f"""SELECT {_CLOSING_COLS} FROM closing WHERE
+  years_to_close < 0
+  OR (closure_status = 'already_closed' AND years_to_close IS DISTINCT FROM 0)"""),
+    "dq_closing_time_null_scoping": (_NAT_ALL, f"""SELECT {_CLOSING_COLS} FROM closing WHERE
+  (years_to_close = 0 AND closure_status <> 'already_closed')
+  OR (closure_status <> 'already_closed' AND status IN ('stalled', 'diverging', 'no_data')
+      AND years_to_close IS NOT NULL)
+  OR (closure_status <> 'already_closed' AND status = 'catching_up'
+      AND years_to_close IS NULL)"""),
+}
+for _k, (_with, _body) in DQ_SQL.items():
+    ORACLE[_k] = _with + "\n" + _body
+
+_GM_COLS = ("entity", "entity_name", "role", "western", "region", "metric", "friendly_name",
+            "bucket", "period", "value", "bench_value", "gap")
+ORACLE["dq_null_counts"] = nsql("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS nulls FROM gap_mart"
+    for c in _GM_COLS))
+
+_DQ_TABLES = {"dq_not_null": ("not_null", "gap"), "dq_accepted_values": ("accepted_values", "closing"),
+              "dq_unique": ("unique", "entity_dim"), "dq_grain_unique": ("grain_unique", "raw"),
+              "dq_row_count": ("row_count", "latest_batch"),
+              "dq_only_known_nulls": ("only_known_nulls", "panel"),
+              "dq_status_scoping": ("status_scoping", "stuck"),
+              "dq_closing_time_valid": ("closing_time_valid", "closing"),
+              "dq_closing_time_null_scoping": ("closing_time_null_scoping", "closing")}
+_RAW_BODY = RAW_CTE[len("WITH "):]
+ORACLE["dq_report"] = ("WITH " + NATION_CTE.strip() + STUCK_CTE + CLOSING_CTE + ",\n"
+                       + _RAW_BODY + "\n" + "\nUNION ALL\n".join(
+                           f"SELECT '{chk}' AS \"check\", '{tab}' AS \"table\", "
+                           f"count(*) AS n_violations FROM ({DQ_SQL[k][1]})"
+                           for k, (chk, tab) in _DQ_TABLES.items()))

@@ -10,8 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import params as P
+
 from tidemark.functions.exprs import edge_round
 from tidemark.plans import marts
 from tidemark.session import prepare
@@ -99,3 +102,486 @@ def dispersion(spark, sf_dir):
 def descriptive_panel(spark, sf_dir):
     """Window + role scope, inner enrichment."""
     return marts.descriptive_of(nation(spark, sf_dir))
+
+
+# --- shared pieces -------------------------------------------------------------
+
+def nation_gap(spark, sf_dir):
+    p = nation(spark, sf_dir)
+    return p, marts.gap_of(p)
+
+
+def events_grid(spark, sf_dir):
+    """Events panel on its full expected grid (users x event types x days),
+    NULL where a user had no event of a type on a day."""
+    from tidemark.operators.coverage import complete_grid
+    p = tables.events_panel(spark, sf_dir, with_benchmark=False)
+    users = tables.read_table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("entity")).distinct()
+    return p, complete_grid(p.df, users, p.metrics, p.params.fit_start, p.params.fit_end)
+
+
+# Fixed parameters of the analyses on the nation panel.
+SPIKE_THRESHOLD = 5.0
+TOP_K = 3
+LAST_N = 3
+PAIR = ("NATION_8", "NATION_2")          # dominance: subject vs entrant
+METRIC_A, METRIC_B = "AOV", "LOW_AOV"    # income-like vs productivity-like
+RANK_METRICS = ("AOV", "URGENT_SHARE")
+REFERENCE_ROLES = ("core",)
+LABEL_NEEDLE = "europ"
+LABEL_EXTRA = ("NATION_0", "NATION_1")
+RAW_EXPECTED_ROWS = 25 * 5 * 7           # nations x priorities x years
+
+
+# --- display tables ----------------------------------------------------------------
+
+@query("years_bucket")
+def years_bucket(spark, sf_dir):
+    """Closing-time display bucket."""
+    from tidemark.operators.reshape import years_bucket as op
+    c = op(marts.closing_of(nation(spark, sf_dir)))
+    return c.select("entity", "metric", "status", "years_to_close", "years_bucket")
+
+
+@query("status_grid")
+def status_grid(spark, sf_dir):
+    """Entity x metric grid of status codes."""
+    from tidemark.operators.reshape import status_grid as op
+    return op(marts.stuck_of(nation(spark, sf_dir)), ("AOV", "URGENT_SHARE", "LOW_AOV"))
+
+
+@query("dispersion_shape")
+def dispersion_shape(spark, sf_dir):
+    """start/end/peak/trough of the CV path and its change."""
+    from tidemark.operators.dispersion import dispersion_shape as op
+    p = nation(spark, sf_dir)
+    return op(marts.dispersion_of(p), p.params.fit_start, p.params.fit_end)
+
+
+@query("balanced_panel")
+def balanced_panel(spark, sf_dir):
+    """Is the contributor count constant over the window."""
+    from tidemark.operators.dispersion import balanced_panel as op
+    return op(marts.dispersion_of(nation(spark, sf_dir)))
+
+
+# --- raw batches -------------------------------------------------------------------
+
+@query("latest_batch")
+def latest_batch(spark, sf_dir):
+    """Rows of the newest batch."""
+    from tidemark.sources.raw import latest_batch as op
+    return op(tables.raw_batches(spark, sf_dir))
+
+
+@query("latest_per_key")
+def latest_per_key(spark, sf_dir):
+    """Newest row per key across batches."""
+    from tidemark.sources.raw import latest_per_key as op
+    return op(tables.raw_batches(spark, sf_dir))
+
+
+@query("batch_conflicts")
+def batch_conflicts(spark, sf_dir):
+    """Keys whose value differs between batches."""
+    from tidemark.operators.coverage import batch_conflicts as op
+    return op(tables.raw_batches(spark, sf_dir))
+
+
+@query("landing_report")
+def landing_report(spark, sf_dir):
+    """Rows per basket metric and batch, zero rows shown."""
+    from tidemark.operators.coverage import landing_report as op
+    raw = tables.raw_batches(spark, sf_dir)
+    basket = spark.createDataFrame(
+        [(tables.RAW_SOURCE, m) for m in RAW_PRIORITIES], "source string, metric string")
+    return op(raw, basket)
+
+
+# Fixed basket of the raw table: the five order priorities.
+RAW_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+# --- coverage on the sparse events grid --------------------------------------------
+
+@query("complete_grid")
+def complete_grid(spark, sf_dir):
+    """Every expected cell, explicit NULLs."""
+    return events_grid(spark, sf_dir)[1]
+
+
+@query("missing_cells")
+def missing_cells(spark, sf_dir):
+    """Expected cells without a row."""
+    from tidemark.operators.coverage import missing_cells as op
+    p = tables.events_panel(spark, sf_dir, with_benchmark=False)
+    users = tables.read_table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("entity")).distinct()
+    return op(p.df, users, p.metrics, p.params.fit_start, p.params.fit_end)
+
+
+@query("coverage_by_metric")
+def coverage_by_metric(spark, sf_dir):
+    """Rows / non-null / nulls per metric."""
+    from tidemark.operators.coverage import coverage
+    return coverage(events_grid(spark, sf_dir)[1], ["metric"])
+
+
+@query("coverage_by_entity")
+def coverage_by_entity(spark, sf_dir):
+    """A2: rows / non-null / nulls per entity."""
+    from tidemark.operators.coverage import coverage
+    return coverage(events_grid(spark, sf_dir)[1], ["entity"])
+
+
+@query("coverage_span")
+def coverage_span(spark, sf_dir):
+    """A16: 'first–last (n)' or NONE per entity x metric."""
+    from tidemark.operators.coverage import coverage_span as op
+    return op(events_grid(spark, sf_dir)[1])
+
+
+@query("coverage_matrix")
+def coverage_matrix(spark, sf_dir):
+    """Non-null count per entity and metric, wide."""
+    from tidemark.operators.coverage import coverage_matrix as op
+    p, g = events_grid(spark, sf_dir)
+    return op(g, p.metrics)
+
+
+@query("wide_mean")
+def wide_mean(spark, sf_dir):
+    """Wide table with the mean as cell aggregate."""
+    from tidemark.operators.coverage import wide_mean as op
+    p = tables.events_panel(spark, sf_dir, with_benchmark=False)
+    return op(p.df, p.metrics)
+
+
+@query("candidate_screen")
+def candidate_screen(spark, sf_dir):
+    """Keep metrics with a value for every entity."""
+    from tidemark.operators.coverage import candidate_screen as op
+    return op(events_grid(spark, sf_dir)[1])
+
+
+# --- profiles on the nation gap mart ------------------------------------------------
+
+@query("profile")
+def profile(spark, sf_dir):
+    """Min / max / mean / count of the gap per metric."""
+    from tidemark.operators.coverage import profile as op
+    return op(nation_gap(spark, sf_dir)[1])
+
+
+@query("nulls_by_metric")
+def nulls_by_metric(spark, sf_dir):
+    """NULL gaps per metric (groups with NULLs only)."""
+    from tidemark.operators.coverage import nulls_by
+    return nulls_by(nation_gap(spark, sf_dir)[1])
+
+
+@query("rows_per_entity")
+def rows_per_entity(spark, sf_dir):
+    """A13."""
+    from tidemark.operators.coverage import rows_per
+    return rows_per(nation_gap(spark, sf_dir)[1])
+
+
+@query("distinct_keys")
+def distinct_keys(spark, sf_dir):
+    """A17."""
+    from tidemark.operators.coverage import distinct_keys as op
+    return op(nation_gap(spark, sf_dir)[1], "entity")
+
+
+@query("axis_range")
+def axis_range(spark, sf_dir):
+    """Common axis of the gap."""
+    from tidemark.operators.reshape import axis_range as op
+    return op(nation_gap(spark, sf_dir)[1])
+
+
+# --- cohorts and tiers --------------------------------------------------------------
+
+@query("cohort_means")
+def cohort_means(spark, sf_dir):
+    """Mean gap change by the cohort flag."""
+    from tidemark.operators.compare import cohort_means as op
+    s = marts.stuck_of(nation(spark, sf_dir)).filter(
+        F.col("role").isin(*tables.SUBJECT_ROLES))
+    return op(s, "western", METRIC_A)
+
+
+@query("tier_gap")
+def tier_gap(spark, sf_dir):
+    """Tier means per period and their difference."""
+    from tidemark.operators.compare import tier_gap as op
+    p, g = nation_gap(spark, sf_dir)
+    return op(g, p.entity_dim, METRIC_A, "subject", "entrant", p.params.fit_start,
+              p.params.fit_end, p.entity_bound)
+
+
+@query("mean_gain")
+def mean_gain(spark, sf_dir):
+    """Mean gap change per metric over the subject tier."""
+    from tidemark.operators.compare import mean_gain as op
+    return op(marts.stuck_of(nation(spark, sf_dir)), roles=("subject",),
+              metrics=(METRIC_A, METRIC_B))
+
+
+# --- ordered operators ------------------------------------------------------------------
+
+@query("delta")
+def delta(spark, sf_dir):
+    """Period-on-period change of the 1-decimal gap."""
+    from tidemark.operators.reshape import delta as op
+    g = nation_gap(spark, sf_dir)[1].select("entity", "metric", "period", "gap")
+    return op(g, digits=1)
+
+
+@query("spikes")
+def spikes(spark, sf_dir):
+    """Spike-and-reversal points."""
+    from tidemark.operators.reshape import spikes as op
+    return op(nation_gap(spark, sf_dir)[1], SPIKE_THRESHOLD)
+
+
+@query("series_shape")
+def series_shape(spark, sf_dir):
+    """X2 per series: peak, trough, monotonicity."""
+    from tidemark.operators.reshape import series_shape as op
+    p, g = nation_gap(spark, sf_dir)
+    return op(g, p.params.fit_start, p.params.fit_end)
+
+
+@query("last_value")
+def last_value(spark, sf_dir):
+    """Last observation of each series."""
+    from tidemark.operators.reshape import last_value as op
+    return op(nation_gap(spark, sf_dir)[1])
+
+
+@query("endpoints")
+def endpoints(spark, sf_dir):
+    """Values at two periods with an 'NA' display fallback."""
+    from tidemark.operators.reshape import endpoints as op
+    p, g = nation_gap(spark, sf_dir)
+    return op(g, p.params.fit_start, p.params.fit_end)
+
+
+@query("slope_since_peak")
+def slope_since_peak(spark, sf_dir):
+    """Slope from the peak period to the window end."""
+    from tidemark.operators.reshape import slope_since_peak as op
+    p, g = nation_gap(spark, sf_dir)
+    return op(g, p.params.fit_start, p.params.fit_end)
+
+
+@query("to_wide")
+def to_wide(spark, sf_dir):
+    """Long -> wide over listed metrics."""
+    from tidemark.operators.reshape import to_wide as op
+    p, g = nation_gap(spark, sf_dir)
+    return op(g, ["entity", "period"], "metric", "gap", p.metrics)
+
+
+@query("snapshot_rank")
+def snapshot_rank(spark, sf_dir):
+    """Rank per metric at the reference period, margin to the next."""
+    from tidemark.operators.compare import snapshot_rank as op
+    p = nation(spark, sf_dir)
+    df = p.df.filter(F.col("entity") != p.params.benchmark)
+    return op(df, p.params.ref_period, group_bound=len(p.metrics))
+
+
+@query("top_extremes")
+def top_extremes(spark, sf_dir):
+    """K largest gaps per metric."""
+    from tidemark.operators.reshape import top_extremes as op
+    g = nation_gap(spark, sf_dir)[1].select("entity", "metric", "period", "gap")
+    return op(g, TOP_K)
+
+
+@query("last_n_periods")
+def last_n_periods(spark, sf_dir):
+    """Rows of the last n periods per metric."""
+    from tidemark.operators.reshape import last_n_periods as op
+    return op(nation(spark, sf_dir).df, LAST_N)
+
+
+# --- trend analyses ------------------------------------------------------------------
+
+@query("loo_slope")
+def loo_slope(spark, sf_dir):
+    """Leave-one-period-out slope."""
+    from tidemark.operators.trend import loo_slope as op
+    p, g = nation_gap(spark, sf_dir)
+    return op(g, p.params.fit_start, p.params.fit_end)
+
+
+@query("endpoint_vs_trend")
+def endpoint_vs_trend(spark, sf_dir):
+    """Endpoint change against the trend-implied change."""
+    from tidemark.operators.trend import endpoint_vs_trend as op
+    p = nation(spark, sf_dir)
+    return op(marts.stuck_of(p), p.params.fit_start, p.params.fit_end)
+
+
+@query("abs_slope_stats")
+def abs_slope_stats(spark, sf_dir):
+    """Mean / min absolute slope per bucket."""
+    from tidemark.operators.trend import abs_slope_stats as op
+    return op(marts.stuck_of(nation(spark, sf_dir)))
+
+
+@query("band_margin")
+def band_margin(spark, sf_dir):
+    """Distance of each slope to its dead band."""
+    from tidemark.operators.trend import band_margin as op
+    return op(marts.stuck_of(nation(spark, sf_dir)))
+
+
+@query("scenario_years")
+def scenario_years(spark, sf_dir):
+    """What-if closing time at the other metric's pace."""
+    from tidemark.operators.compare import scenario_years as op
+    return op(marts.closing_of(nation(spark, sf_dir)), METRIC_A, METRIC_B)
+
+
+@query("metric_ratio")
+def metric_ratio(spark, sf_dir):
+    """Closing-time ratio of two metrics in one entity."""
+    from tidemark.operators.compare import metric_ratio as op
+    return op(marts.closing_of(nation(spark, sf_dir)), METRIC_A, METRIC_B)
+
+
+@query("classifier_agreement")
+def classifier_agreement(spark, sf_dir):
+    """Stuck labels vs trajectory labels."""
+    from tidemark.operators.compare import classifier_agreement as op
+    p = nation(spark, sf_dir)
+    return op(marts.stuck_of(p), marts.closing_of(p))
+
+
+# --- comparisons -------------------------------------------------------------------
+
+@query("dominance")
+def dominance(spark, sf_dir):
+    """Is A above B in every period; first overtaking period."""
+    from tidemark.operators.compare import dominance as op
+    p, g = nation_gap(spark, sf_dir)
+    return op(g, PAIR[0], PAIR[1], bench_bound=p.bench_bound)
+
+
+@query("rank_reversal")
+def rank_reversal(spark, sf_dir):
+    """Ranks on two metrics and the shift."""
+    from tidemark.operators.compare import rank_reversal as op
+    p = nation(spark, sf_dir)
+    df = p.df.filter(F.col("entity") != p.params.benchmark)
+    return op(df, p.params.ref_period, *RANK_METRICS, group_bound=len(p.metrics))
+
+
+@query("tier_position")
+def tier_position(spark, sf_dir):
+    """Reference-tier entities below each subject entity."""
+    from tidemark.operators.compare import tier_position as op
+    p = nation(spark, sf_dir)
+    n_periods = p.params.fit_end - p.params.fit_start + 1
+    return op(p.df, p.entity_dim, REFERENCE_ROLES, tables.SUBJECT_ROLES,
+              group_bound=len(p.metrics) * n_periods, entity_bound=p.entity_bound)
+
+
+@query("benchmark_breaks")
+def benchmark_breaks(spark, sf_dir):
+    """Benchmark dips that recover within one period."""
+    from tidemark.operators.reshape import benchmark_breaks as op
+    p = nation(spark, sf_dir)
+    return op(p.df, p.params.benchmark)
+
+
+# --- landing -------------------------------------------------------------------------
+
+@query("parse_period")
+def parse_period_q(spark, sf_dir):
+    """S3 F16: record rows with 'YR<year>' periods flattened."""
+    from tidemark.sources.landing import flatten_records
+    orders = tables.read_table(spark, sf_dir, "orders")
+    customer = tables.read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nat = tables.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    rec = (orders.join(customer, orders.o_custkey == customer.c_custkey)
+           .join(F.broadcast(nat), F.col("c_nationkey") == F.col("n_nationkey"))
+           .groupBy(F.col("n_name").alias("economy"),
+                    F.concat(F.lit("YR"), F.year("o_orderdate").cast("string")).alias("time"))
+           .agg(F.avg("o_totalprice").alias("value")))
+    return flatten_records(rec, "AOV")
+
+
+@query("flatten_props")
+def flatten_props(spark, sf_dir):
+    """JSON element access on events.props."""
+    ev = tables.read_table(spark, sf_dir, "events")
+    return ev.select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+
+
+@query("label_search")
+def label_search(spark, sf_dir):
+    """P10: lower-cased substring search OR list membership."""
+    nat = tables.read_table(spark, sf_dir, "nation")
+    reg = tables.read_table(spark, sf_dir, "region")
+    j = nat.join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
+    hit = F.lower("r_name").contains(LABEL_NEEDLE) | F.col("n_name").isin(*LABEL_EXTRA)
+    return j.filter(hit).select("n_name", "r_name")
+
+
+# --- data quality ---------------------------------------------------------------------
+
+def _dq_checks(spark, sf_dir):
+    from tidemark.operators import quality as Q
+    from tidemark.sources.raw import latest_batch as latest
+    p, g = nation_gap(spark, sf_dir)
+    stuck = marts.stuck_of(p, g)
+    closing = marts.closing_of(p, g)
+    raw = tables.raw_batches(spark, sf_dir)
+    allow = spark.createDataFrame([(tables.NATION_NO_LOW, METRIC_B)], "entity string, metric string")
+    return [
+        ("not_null", "gap", Q.not_null(g, "gap")),
+        ("accepted_values", "closing", Q.accepted_values(
+            closing, "status", list(P.STUCK_LABELS.values()))),
+        ("unique", "entity_dim", Q.unique(p.entity_dim, "role")),
+        ("grain_unique", "raw", Q.grain_unique(raw, ["metric", "entity", "period"])),
+        ("row_count", "latest_batch", Q.row_count_is(latest(raw), RAW_EXPECTED_ROWS)),
+        ("only_known_nulls", "panel", Q.only_known_nulls(
+            p.df, p.params.fit_start, p.params.fit_end, allow)),
+        ("status_scoping", "stuck", Q.status_scoping(stuck)),
+        ("closing_time_valid", "closing", Q.closing_time_valid(closing)),
+        ("closing_time_null_scoping", "closing", Q.closing_time_null_scoping(closing)),
+    ]
+
+
+def _dq(idx):
+    def fn(spark, sf_dir):
+        return _dq_checks(spark, sf_dir)[idx][2]
+    return fn
+
+
+for _i, _name in enumerate(["dq_not_null", "dq_accepted_values", "dq_unique",
+                            "dq_grain_unique", "dq_row_count", "dq_only_known_nulls",
+                            "dq_status_scoping", "dq_closing_time_valid",
+                            "dq_closing_time_null_scoping"]):
+    query(_name)(_dq(_i))
+
+
+@query("dq_null_counts")
+def dq_null_counts(spark, sf_dir):
+    """DQ1 in one pass: NULLs per column of the gap mart."""
+    from tidemark.operators.quality import null_counts
+    return null_counts(nation_gap(spark, sf_dir)[1])
+
+
+@query("dq_report")
+def dq_report(spark, sf_dir):
+    """DQ10: one row per check."""
+    from tidemark.operators.quality import run_checks
+    return run_checks(_dq_checks(spark, sf_dir))
