@@ -585,3 +585,47 @@ def dq_report(spark, sf_dir):
     """DQ10: one row per check."""
     from tidemark.operators.quality import run_checks
     return run_checks(_dq_checks(spark, sf_dir))
+
+
+# --- landing round trips (rows-only checks) ---------------------------------------
+
+def _scratch(spark, name):
+    import uuid
+    from tidemark.session import shared_dir
+    return shared_dir(spark, "tidemark-landing", f"{name}-{uuid.uuid4().hex}")
+
+
+@query("land_envelope")
+def land_envelope(spark, sf_dir):
+    """Raw series -> envelope JSON files -> flattened, stamped rows
+    appended to a raw table partitioned by batch -> newest batch."""
+    from tidemark.sources.landing import envelope_documents, land_envelopes
+    from tidemark.sources.raw import append_batch, latest_batch, read_raw
+    base = _scratch(spark, "envelope")
+    raw = tables.raw_batches(spark, sf_dir)
+    envelope_documents(raw).write.partitionBy("batch_id").text(f"{base}/docs")
+    for b in sorted(tables.STATUS_BATCH.values()):
+        landed, _ = land_envelopes(spark, f"{base}/docs/batch_id={b}", "ENV", f"env_{b}")
+        append_batch(landed, f"{base}/raw")
+    return latest_batch(read_raw(spark, f"{base}/raw"))
+
+
+@query("land_stream")
+def land_stream(spark, sf_dir):
+    """ST1: record files landed incrementally, one micro-batch per file
+    group; the newest row per key afterwards."""
+    from tidemark.sources.raw import latest_per_key, read_raw
+    from tidemark.streaming.landing_stream import land_stream as run
+    base = _scratch(spark, "stream")
+    raw = tables.raw_batches(spark, sf_dir)
+    rec = raw.select("metric", F.col("entity").alias("economy"),
+                     F.concat(F.lit("YR"), F.col("period").cast("string")).alias("time"),
+                     "value", "batch_id")
+    rec.write.partitionBy("batch_id").json(f"{base}/in_parts")
+    for b in sorted(tables.STATUS_BATCH.values()):
+        spark.read.json(f"{base}/in_parts/batch_id={b}", schema="metric string, economy string, "
+                        "time string, value double") \
+            .write.mode("overwrite").json(f"{base}/in/{b}")
+    run(spark, f"{base}/in/*", f"{base}/raw", f"{base}/ckpt", source="REC",
+        max_files_per_trigger=None)
+    return latest_per_key(read_raw(spark, f"{base}/raw"))

@@ -92,3 +92,28 @@ def metric_basket(spark, blocks) -> DataFrame:
             for cat, items in blocks.items() for i in items]
     return spark.createDataFrame(rows, "code string, name string, coverage string, "
                                        "category string")
+
+
+def envelope_documents(raw: DataFrame, pages: int = 1) -> DataFrame:
+    """Serialise raw rows as envelope documents, one per (batch, metric,
+    entity) series, as one JSON text per row.  A series holds at most one
+    row per period, so no document grows with the data."""
+    row = F.struct(F.struct(F.col("metric").alias("id")).alias("indicator"),
+                   F.col("entity").alias("countryiso3code"),
+                   F.col("period").cast("string").alias("date"),
+                   F.col("value").alias("value"))
+    meta = F.struct(F.lit(1).alias("page"), F.lit(pages).alias("pages"),
+                    F.count(F.lit(1)).alias("total"))
+    return (raw.groupBy("batch_id", "metric", "entity")
+            .agg(meta.alias("meta"), F.collect_list(row).alias("rows"))
+            .select("batch_id", F.concat(F.lit("["), F.to_json("meta"), F.lit(","),
+                                         F.to_json("rows"), F.lit("]")).alias("value")))
+
+
+def land_envelopes(spark, text_dir: str, source: str, batch_id: str) -> tuple[DataFrame, DataFrame]:
+    """Read envelope text files, flatten, stamp.  Returns (raw rows,
+    rejected documents)."""
+    from tidemark.sources.raw import stamp_batch
+    rows, rejected = flatten_envelope(spark.read.text(text_dir))
+    good = rows.filter(F.col("period").isNotNull() & F.col("entity").isNotNull())
+    return stamp_batch(good.drop("pages_warn"), source, batch_id), rejected
