@@ -7,34 +7,44 @@ and the consumers read it back instead of recomputing the panel.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.dispersion import scoped_dispersion
-from tidemark.operators.gap import descriptive_panel, gap_mart
+from tidemark.operators.gap import descriptive_panel, gap_mart, gap_to_benchmark
 from tidemark.operators.trend import stuck_matrix, years_to_close
 from tidemark.session import shared_dir
 from tidemark.sources.tables import Panel
 
 
 def gap_of(panel: Panel) -> DataFrame:
+    """The gap mart: gap fact with both dimensions."""
     return gap_mart(panel.df, panel.params.benchmark, panel.entity_dim, panel.metric_dim,
                     panel.bench_bound, panel.entity_bound)
 
 
+def gap_fact(panel: Panel) -> DataFrame:
+    """(entity, metric, period, value, bench_value, gap) without
+    dimensions: what the aggregating marts consume, so dimension columns
+    are joined after their aggregate, never onto every panel row."""
+    return gap_to_benchmark(panel.df, panel.params.benchmark, panel.bench_bound)
+
+
 def stuck_of(panel: Panel, gap: DataFrame | None = None) -> DataFrame:
-    gap = gap if gap is not None else gap_of(panel)
+    gap = gap if gap is not None else gap_fact(panel)
     return stuck_matrix(gap, panel.entity_dim, panel.metric_dim, panel.params,
                         panel.entity_bound)
 
 
 def closing_of(panel: Panel, gap: DataFrame | None = None) -> DataFrame:
-    gap = gap if gap is not None else gap_of(panel)
+    gap = gap if gap is not None else gap_fact(panel)
     return years_to_close(gap, panel.entity_dim, panel.metric_dim, panel.params,
                           panel.entity_bound)
 
 
 def dispersion_of(panel: Panel, gap: DataFrame | None = None) -> DataFrame:
-    gap = gap if gap is not None else gap_of(panel)
+    gap = gap if gap is not None else gap_fact(panel)
     return scoped_dispersion(gap, panel.entity_dim, panel.params, panel.entity_bound)
 
 
@@ -57,6 +67,8 @@ def materialize(df: DataFrame, path: str, partition_by=None) -> DataFrame:
 def build_marts(spark: SparkSession, panel: Panel, out_dir: str | None = None) -> dict:
     """Write all five marts under ``out_dir`` (default: the shared folder)."""
     out_dir = out_dir or shared_dir(spark, "marts")
+    panel = replace(panel, df=materialize(
+        panel.df.sortWithinPartitions("metric", "entity", "period"), f"{out_dir}/panel"))
     gap = materialize(gap_of(panel), f"{out_dir}/gap")
     marts = {"gap": gap}
     for name, df in (("stuck", stuck_of(panel, gap)), ("closing", closing_of(panel, gap)),

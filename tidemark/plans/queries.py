@@ -52,7 +52,8 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 def nation(spark, sf_dir) -> tables.Panel:
-    return tables.nation_panel(spark, sf_dir)
+    """The nation panel, written once and read back (see persist_panel)."""
+    return tables.persist_panel(tables.nation_panel(spark, sf_dir), "nation")
 
 
 # --- core marts -------------------------------------------------------------
@@ -76,8 +77,7 @@ def trend_slope(spark, sf_dir):
     """Slope, intercept, n, endpoints, change."""
     from tidemark.operators.trend import trend
     p = nation(spark, sf_dir)
-    g = marts.gap_of(p)
-    return trend(g, p.params.fit_start, p.params.fit_end)
+    return trend(marts.gap_fact(p), p.params.fit_start, p.params.fit_end)
 
 
 @query("stuck_matrix")
@@ -108,7 +108,7 @@ def descriptive_panel(spark, sf_dir):
 
 def nation_gap(spark, sf_dir):
     p = nation(spark, sf_dir)
-    return p, marts.gap_of(p)
+    return p, marts.gap_fact(p)
 
 
 def events_grid(spark, sf_dir):
@@ -540,9 +540,10 @@ def label_search(spark, sf_dir):
 def _dq_checks(spark, sf_dir):
     from tidemark.operators import quality as Q
     from tidemark.sources.raw import latest_batch as latest
-    p, g = nation_gap(spark, sf_dir)
-    stuck = marts.stuck_of(p, g)
-    closing = marts.closing_of(p, g)
+    p = nation(spark, sf_dir)
+    g = marts.gap_of(p)
+    stuck = marts.stuck_of(p)
+    closing = marts.closing_of(p)
     raw = tables.raw_batches(spark, sf_dir)
     allow = spark.createDataFrame([(tables.NATION_NO_LOW, METRIC_B)], "entity string, metric string")
     return [
@@ -577,7 +578,7 @@ for _i, _name in enumerate(["dq_not_null", "dq_accepted_values", "dq_unique",
 def dq_null_counts(spark, sf_dir):
     """DQ1 in one pass: NULLs per column of the gap mart."""
     from tidemark.operators.quality import null_counts
-    return null_counts(nation_gap(spark, sf_dir)[1])
+    return null_counts(marts.gap_of(nation(spark, sf_dir)))
 
 
 @query("dq_report")

@@ -7,7 +7,7 @@ aggregation with partial (map-side) combine, then an unpivot to the long
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -248,3 +248,24 @@ def part_panel(spark: SparkSession, sf_dir: str) -> Panel:
                  metric_dim=metric_dim(spark, PART_METRICS), params=PART_PARAMS,
                  metrics=metrics, entity_bound=None,
                  bench_bound=len(metrics) * (PART_END - PART_START + 1))
+
+
+def persist_panel(panel: Panel, name: str = "panel") -> Panel:
+    """Write the long panel once to the shared folder and continue from
+    the written table.
+
+    The panel is an aggregate of the fact tables; the gap needs it twice
+    (all rows, and the benchmark slice), so without this the fact scan,
+    join and aggregation would run twice.  The files are sorted by
+    (metric, entity, period) inside each task so a benchmark or metric
+    filter skips row groups, and the written table cuts the lineage: a lost
+    executor does not send the job back to the fact tables.
+    """
+    import uuid
+
+    from tidemark.session import shared_dir
+    spark = panel.df.sparkSession
+    path = shared_dir(spark, "tidemark-panels", f"{name}-{uuid.uuid4().hex}")
+    (panel.df.sortWithinPartitions("metric", "entity", "period")
+     .write.mode("overwrite").parquet(path))
+    return replace(panel, df=spark.read.schema(panel.df.schema).parquet(path))
