@@ -13,10 +13,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidemark.plans import marts  # noqa: E402
-from tidemark.plans.queries import QUERIES, finish  # noqa: E402
+from tidemark.plans.queries import QUERIES  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
-from tidemark.sources import tables  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -24,40 +22,15 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 # Registered queries timed as they are.
 HEADLINE = ["gap_enriched", "stuck_matrix", "years_to_close", "dispersion",
             "descriptive_panel", "latest_per_key", "batch_conflicts", "complete_grid",
-            "coverage_span", "snapshot_rank", "tier_position", "loo_slope", "dq_report"]
-
-
-def panel_marts(loader):
-    """All five marts of a many-entity panel, as one timed unit each."""
-    def build(kind):
-        def run(spark, sf_dir):
-            p = tables.persist_panel(loader(spark, sf_dir))
-            if kind == "gap":
-                return marts.gap_of(p)
-            g = marts.gap_fact(p)
-            if kind == "stuck":
-                return marts.stuck_of(p, g)
-            if kind == "closing":
-                return marts.closing_of(p, g)
-            return marts.dispersion_of(p, g)
-        return run
-    return build
+            "coverage_span", "snapshot_rank", "tier_position", "loo_slope", "dq_report",
+            "part_gap", "part_stuck_matrix", "part_years_to_close", "part_dispersion",
+            "events_gap"]
 
 
 def main() -> None:
     spark = build_session(f"local[{CPUS}]", shuffle_partitions=int(CPUS) * 2,
                           extra={"spark.driver.memory": "16g"})
-    part = panel_marts(tables.part_panel)
-    events = panel_marts(tables.events_panel)
     jobs = {name: QUERIES[name] for name in HEADLINE}
-    jobs.update({
-        "part_gap": lambda s, d: finish(part("gap")(s, d)),
-        "part_stuck_matrix": lambda s, d: finish(part("stuck")(s, d)),
-        "part_years_to_close": lambda s, d: finish(part("closing")(s, d)),
-        "part_dispersion": lambda s, d: finish(part("dispersion")(s, d)),
-        "events_gap": lambda s, d: finish(events("gap")(s, d)),
-        "events_stuck_matrix": lambda s, d: finish(events("stuck")(s, d)),
-    })
     # warm-up: JVM, file listing, codegen caches
     QUERIES["gap_to_benchmark"](spark, SF_DIR).write.format("noop").mode("overwrite").save()
     timings = {}

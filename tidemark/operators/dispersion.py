@@ -31,7 +31,10 @@ def dispersion(gap: DataFrame, start: int, end: int, y: str = "gap",
 
 def scoped_dispersion(gap: DataFrame, entity_dim, params: P.PanelParams,
                       entity_bound=None) -> DataFrame:
-    g = gap.select("entity", "metric", "period", "gap")
+    # The benchmark's own gap is 100 by construction; it is no member of
+    # the cross-section.
+    g = gap.select("entity", "metric", "period", "gap").filter(
+        F.col("entity") != params.benchmark)
     if params.dispersion_entities:
         g = g.filter(F.col("entity").isin(list(params.dispersion_entities)))
     if params.dispersion_roles:

@@ -754,3 +754,110 @@ ORACLE["dq_report"] = ("WITH " + NATION_CTE.strip() + STUCK_CTE + CLOSING_CTE +
                            f"SELECT '{chk}' AS \"check\", '{tab}' AS \"table\", "
                            f"count(*) AS n_violations FROM ({DQ_SQL[k][1]})"
                            for k, (chk, tab) in _DQ_TABLES.items()))
+
+
+# --- many-entity panels --------------------------------------------------------------
+PART_CTE = """WITH li AS (
+  SELECT l_partkey, CAST(year(l_shipdate) AS INTEGER) AS period, l_extendedprice,
+         l_discount, l_returnflag
+  FROM lineitem
+  WHERE l_shipdate >= TIMESTAMP '1995-01-01 00:00:00'
+    AND l_shipdate < TIMESTAMP '2002-01-01 00:00:00'
+),
+pcells AS (
+  SELECT CASE WHEN GROUPING(l_partkey) = 1 THEN 'ALL' ELSE CAST(l_partkey AS VARCHAR) END
+           AS entity, period,
+         avg(l_extendedprice) AS avg_price,
+         avg(CASE WHEN l_returnflag = 'R' THEN CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)
+           AS return_share,
+         avg(l_discount * 100) AS discount
+  FROM li GROUP BY GROUPING SETS ((l_partkey, period), (period))
+),
+panel AS (
+  SELECT entity, 'AVG_PRICE' AS metric, period, avg_price AS value FROM pcells
+  UNION ALL SELECT entity, 'RETURN_SHARE', period, return_share FROM pcells
+  UNION ALL SELECT entity, 'DISCOUNT', period, discount FROM pcells
+),
+metric_dim AS (
+  SELECT * FROM (VALUES
+    ('AVG_PRICE', 'Average line price', 'convergence'),
+    ('RETURN_SHARE', 'Returned line share (%)', 'context_inverted'),
+    ('DISCOUNT', 'Average discount (%)', 'context')) AS t(metric, friendly_name, bucket)
+),""" + NATION_CTE[NATION_CTE.index("bench AS ("):NATION_CTE.index("gap_mart AS (")] + """
+trend AS (
+  SELECT entity, metric,
+         """ + nonan("regr_slope(gap, period)") + """ AS slope,
+         """ + nonan("regr_intercept(gap, period)") + """ AS intercept,
+         count(gap) AS n_points,
+         max(CASE WHEN period = 1995 THEN gap END) AS gap_start,
+         max(CASE WHEN period = 2001 THEN gap END) AS gap_end,
+         max(CASE WHEN period = 2001 THEN gap END) AS gap_ref
+  FROM gap WHERE period BETWEEN 1995 AND 2001
+  GROUP BY entity, metric
+)"""
+
+ORACLE["part_gap"] = PART_CTE + f"""
+SELECT entity, metric, period, {r('value')} AS value, {r('bench_value')} AS bench_value,
+       {r('gap')} AS gap
+FROM gap"""
+
+ORACLE["part_stuck_matrix"] = PART_CTE + f"""
+SELECT t.entity, t.metric, m.friendly_name, m.bucket,
+       {r('t.gap_start')} AS gap_start, {r('t.gap_end')} AS gap_end,
+       {r('t.gap_end - t.gap_start')} AS gap_change, {r('t.slope')} AS slope,
+       {stuck_case('t.slope', 'm.bucket')} AS status
+FROM trend t LEFT JOIN metric_dim m ON t.metric = m.metric"""
+
+_pyc = "(100 - t.gap_ref)"
+ORACLE["part_years_to_close"] = PART_CTE + f""",
+pc AS (
+  SELECT t.entity, t.metric, m.friendly_name, m.bucket, t.n_points, t.slope, t.intercept,
+         t.gap_ref, {trajectory_case('t.slope', 'm.bucket')} AS status
+  FROM trend t JOIN metric_dim m ON t.metric = m.metric
+  WHERE m.bucket IN ('convergence', 'context_inverted')
+)
+SELECT entity, metric, friendly_name, bucket, n_points, {r('slope')} AS slope,
+  {r('intercept', 4)} AS intercept, status,
+  CASE WHEN bucket = 'convergence' AND gap_ref >= 100 THEN 'already_closed'
+       WHEN bucket = 'context_inverted' AND gap_ref <= 100 THEN 'already_closed'
+       ELSE status END AS closure_status,
+  {r('gap_ref')} AS gap_ref,
+  {r(f'''CASE WHEN status = 'no_data' THEN NULL
+       WHEN gap_ref IS NULL THEN NULL
+       WHEN bucket = 'convergence' AND gap_ref >= 100 THEN 0
+       WHEN bucket = 'context_inverted' AND gap_ref <= 100 THEN 0
+       WHEN status <> 'catching_up' THEN NULL
+       WHEN bucket = 'convergence' THEN {dround('(100 - gap_ref) / slope', 1)}
+       WHEN bucket = 'context_inverted' THEN {dround('(gap_ref - 100) / abs(slope)', 1)}
+  END''')} AS years_to_close
+FROM pc"""
+
+ORACLE["part_dispersion"] = PART_CTE + f"""
+SELECT metric, period, count(gap) AS n, {r('avg(gap)')} AS mean_gap,
+       {r('stddev_samp(gap)')} AS sd_gap,
+       {r('CASE WHEN avg(gap) IS NULL OR avg(gap) = 0 THEN NULL ELSE stddev_samp(gap) / avg(gap) END')}
+         AS cv_gap
+FROM gap
+WHERE entity <> 'ALL' AND metric IN ('AVG_PRICE', 'RETURN_SHARE') AND period BETWEEN 1995 AND 2001
+GROUP BY metric, period"""
+
+ORACLE["events_gap"] = f"""WITH ev_cells AS (
+  SELECT CAST(user_id AS VARCHAR) AS entity, event_type AS metric,
+         CAST(dayofyear(ts) AS INTEGER) AS period, sum(value) AS value
+  FROM events GROUP BY ALL
+),
+panel AS (
+  SELECT * FROM ev_cells
+  UNION ALL
+  SELECT 'ALL', metric, period, avg(value) FROM ev_cells GROUP BY metric, period
+),
+bench AS (SELECT metric, period, value AS bench_value FROM panel WHERE entity = 'ALL'),
+gap AS (
+  SELECT p.entity, p.metric, p.period, p.value, b.bench_value,
+         CASE WHEN b.bench_value IS NULL OR b.bench_value = 0 THEN NULL
+              ELSE {dround('p.value / b.bench_value * 100', 2)} END AS gap
+  FROM panel p LEFT JOIN bench b ON p.metric = b.metric AND p.period = b.period
+)
+SELECT entity, metric, period, {r('value')} AS value, {r('bench_value')} AS bench_value,
+       {r('gap')} AS gap
+FROM gap"""

@@ -630,3 +630,43 @@ def land_stream(spark, sf_dir):
     run(spark, f"{base}/in/*", f"{base}/raw", f"{base}/ckpt", source="REC",
         max_files_per_trigger=None)
     return latest_per_key(read_raw(spark, f"{base}/raw"))
+
+
+# --- many-entity panels -------------------------------------------------------------
+
+def part(spark, sf_dir) -> tables.Panel:
+    return tables.persist_panel(tables.part_panel(spark, sf_dir), "part")
+
+
+def events(spark, sf_dir) -> tables.Panel:
+    return tables.persist_panel(tables.events_panel(spark, sf_dir), "events")
+
+
+@query("part_gap")
+def part_gap(spark, sf_dir):
+    """J1 F1 on the part panel (one entity per part)."""
+    return marts.gap_fact(part(spark, sf_dir))
+
+
+@query("part_stuck_matrix")
+def part_stuck_matrix(spark, sf_dir):
+    """F3 F4 on the part panel."""
+    return marts.stuck_of(part(spark, sf_dir))
+
+
+@query("part_years_to_close")
+def part_years_to_close(spark, sf_dir):
+    """F5-F7 on the part panel (no role scope)."""
+    return marts.closing_of(part(spark, sf_dir))
+
+
+@query("part_dispersion")
+def part_dispersion(spark, sf_dir):
+    """F2 across all parts per metric and year."""
+    return marts.dispersion_of(part(spark, sf_dir))
+
+
+@query("events_gap")
+def events_gap(spark, sf_dir):
+    """J1 F1 on the sparse events panel; benchmark = mean over users."""
+    return marts.gap_fact(events(spark, sf_dir))
