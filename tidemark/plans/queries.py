@@ -115,12 +115,30 @@ def events_grid(spark, sf_dir):
     """Events panel on its full expected grid (users x event types x days),
     NULL where a user had no event of a type on a day."""
     from tidemark.operators.coverage import complete_grid
-    p = tables.events_panel(spark, sf_dir, with_benchmark=False)
-    users = tables.read_table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("entity")).distinct()
+    p = events_cells(spark, sf_dir)
+    users = p.df.select("entity").distinct()
     return p, complete_grid(p.df, users, p.metrics, p.params.fit_start, p.params.fit_end)
 
 
+def events_cells(spark, sf_dir) -> tables.Panel:
+    """Events panel without benchmark rows, written once (the grid needs
+    the cells and the user list; both come from this one table)."""
+    return tables.persist_panel(tables.events_panel(spark, sf_dir, with_benchmark=False),
+                                "events-cells")
+
+
+def raw_table(spark, sf_dir):
+    """The batches derived from orders, landed once as an append-only
+    Parquet table partitioned by batch_id in the shared folder, then read
+    back with the fixed raw schema (so batch filters prune partitions)."""
+    import uuid
+    from tidemark.session import shared_dir
+    from tidemark.sources.raw import append_batch, read_raw
+    path = shared_dir(spark, "tidemark-raw", f"raw-{uuid.uuid4().hex}")
+    append_batch(tables.raw_batches(spark, sf_dir), path)
+    return read_raw(spark, path)
+
+
 # Fixed parameters of the analyses on the nation panel.
 SPIKE_THRESHOLD = 5.0
 TOP_K = 3
@@ -172,28 +190,28 @@ def balanced_panel(spark, sf_dir):
 def latest_batch(spark, sf_dir):
     """Rows of the newest batch."""
     from tidemark.sources.raw import latest_batch as op
-    return op(tables.raw_batches(spark, sf_dir))
+    return op(raw_table(spark, sf_dir))
 
 
 @query("latest_per_key")
 def latest_per_key(spark, sf_dir):
     """Newest row per key across batches."""
     from tidemark.sources.raw import latest_per_key as op
-    return op(tables.raw_batches(spark, sf_dir))
+    return op(raw_table(spark, sf_dir))
 
 
 @query("batch_conflicts")
 def batch_conflicts(spark, sf_dir):
     """Keys whose value differs between batches."""
     from tidemark.operators.coverage import batch_conflicts as op
-    return op(tables.raw_batches(spark, sf_dir))
+    return op(raw_table(spark, sf_dir))
 
 
 @query("landing_report")
 def landing_report(spark, sf_dir):
     """Rows per basket metric and batch, zero rows shown."""
     from tidemark.operators.coverage import landing_report as op
-    raw = tables.raw_batches(spark, sf_dir)
+    raw = raw_table(spark, sf_dir)
     basket = spark.createDataFrame(
         [(tables.RAW_SOURCE, m) for m in RAW_PRIORITIES], "source string, metric string")
     return op(raw, basket)
@@ -215,9 +233,8 @@ def complete_grid(spark, sf_dir):
 def missing_cells(spark, sf_dir):
     """Expected cells without a row."""
     from tidemark.operators.coverage import missing_cells as op
-    p = tables.events_panel(spark, sf_dir, with_benchmark=False)
-    users = tables.read_table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("entity")).distinct()
+    p = events_cells(spark, sf_dir)
+    users = p.df.select("entity").distinct()
     return op(p.df, users, p.metrics, p.params.fit_start, p.params.fit_end)
 
 
@@ -254,7 +271,7 @@ def coverage_matrix(spark, sf_dir):
 def wide_mean(spark, sf_dir):
     """Wide table with the mean as cell aggregate."""
     from tidemark.operators.coverage import wide_mean as op
-    p = tables.events_panel(spark, sf_dir, with_benchmark=False)
+    p = events_cells(spark, sf_dir)
     return op(p.df, p.metrics)
 
 
@@ -544,7 +561,7 @@ def _dq_checks(spark, sf_dir):
     g = marts.gap_of(p)
     stuck = marts.stuck_of(p)
     closing = marts.closing_of(p)
-    raw = tables.raw_batches(spark, sf_dir)
+    raw = raw_table(spark, sf_dir)
     allow = spark.createDataFrame([(tables.NATION_NO_LOW, METRIC_B)], "entity string, metric string")
     return [
         ("not_null", "gap", Q.not_null(g, "gap")),

@@ -2,10 +2,10 @@
 A1, J5, latest-per-key).
 
 Raw lives as Parquet partitioned by ``batch_id`` (a string that sorts by
-time).  The newest batch is picked with a semi join against the one-row
-``max(batch_id)`` aggregate: on a partitioned table the aggregate reads no
-data column and the semi join on the partition column becomes dynamic
-partition pruning, so only the newest partition is scanned.
+time).  The newest batch is picked with an uncorrelated scalar subquery
+``batch_id = (max(batch_id))``: the subquery reads no data column, and on
+the partition column the comparison becomes a partition filter, so only the
+newest partition's files are scanned.
 """
 
 from __future__ import annotations
@@ -57,8 +57,8 @@ def append_batch(df: DataFrame, path: str) -> None:
 
 def latest_batch(raw: DataFrame) -> DataFrame:
     """Rows of the newest batch (max batch_id), staging columns only."""
-    newest = raw.agg(F.max("batch_id").alias("batch_id"))
-    return (raw.join(F.broadcast(newest), "batch_id", "left_semi")
+    newest = raw.agg(F.max("batch_id")).scalar()
+    return (raw.filter(F.col("batch_id") == newest)
             .select("metric", "entity", "period", "value"))
 
 
@@ -75,6 +75,6 @@ def superseded_keys(raw: DataFrame, key=("metric", "entity", "period")) -> DataF
     """Keys of older batches missing from the newest one (the newest batch
     is not a superset)."""
     newest = latest_batch(raw).select(*key)
-    older = raw.join(F.broadcast(raw.agg(F.max("batch_id").alias("batch_id"))),
-                     "batch_id", "left_anti").select(*key).distinct()
+    older = (raw.filter(F.col("batch_id") != raw.agg(F.max("batch_id")).scalar())
+             .select(*key).distinct())
     return older.join(newest, list(key), "left_anti")
