@@ -861,3 +861,29 @@ gap AS (
 SELECT entity, metric, period, {r('value')} AS value, {r('bench_value')} AS bench_value,
        {r('gap')} AS gap
 FROM gap"""
+
+
+ORACLE["snapshot_top"] = nsql("SELECT entity, " + ", ".join(
+    f"{r(f'max(CASE WHEN metric = {chr(39)}{m}{chr(39)} THEN gap END)')} AS {m}"
+    for m in NATION_METRIC_CODES) + """
+FROM gap WHERE period = 2000 GROUP BY entity
+ORDER BY max(CASE WHEN metric = 'AOV' THEN gap END) DESC NULLS LAST, entity
+LIMIT 5""")
+
+ORACLE["superseded_keys"] = RAW_CTE + """,
+newest AS (SELECT metric, entity, period FROM raw WHERE batch_id = (SELECT max(batch_id) FROM raw)),
+older AS (SELECT DISTINCT metric, entity, period FROM raw
+          WHERE batch_id <> (SELECT max(batch_id) FROM raw))
+SELECT o.metric, o.entity, o.period FROM older o
+WHERE NOT EXISTS (SELECT 1 FROM newest n WHERE n.metric = o.metric AND n.entity = o.entity
+                  AND n.period = o.period)"""
+
+ORACLE["scope_to_basket"] = RAW_CTE + f"""
+SELECT r.metric, r.entity, r.period, {r('r.value')} AS value
+FROM raw r
+JOIN nation n ON r.entity = n.n_name
+JOIN region g ON n.n_regionkey = g.r_regionkey
+WHERE r.batch_id = (SELECT max(batch_id) FROM raw)
+  AND g.r_name IN ('EUROPE', 'ASIA')
+  AND r.metric IN ('1-URGENT', '5-LOW')
+  AND r.period BETWEEN 1996 AND 1999"""

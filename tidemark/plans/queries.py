@@ -687,3 +687,47 @@ def part_dispersion(spark, sf_dir):
 def events_gap(spark, sf_dir):
     """J1 F1 on the sparse events panel; benchmark = mean over users."""
     return marts.gap_fact(events(spark, sf_dir))
+
+
+# --- display and staging extras ---------------------------------------------------
+
+SNAPSHOT_TOP_N = 5
+
+
+@query("snapshot_top")
+def snapshot_top(spark, sf_dir):
+    """Wide snapshot at the reference period, sorted by one metric
+    (descending, ties by entity), first n rows.  The limit is the feature;
+    Spark plans it as a TakeOrdered (per-task top n, then a final top n)."""
+    from tidemark.operators.reshape import to_wide
+    p, g = nation_gap(spark, sf_dir)
+    snap = g.filter(F.col("period") == p.params.ref_period)
+    wide = to_wide(snap, ["entity"], "metric", "gap", p.metrics)
+    return wide.orderBy(F.col(METRIC_A).desc_nulls_last(), "entity").limit(SNAPSHOT_TOP_N)
+
+
+@query("superseded_keys")
+def superseded_keys_q(spark, sf_dir):
+    """Keys of older batches missing from the newest batch (the newest
+    batch is not a superset of the older ones)."""
+    from tidemark.sources.raw import superseded_keys
+    return superseded_keys(raw_table(spark, sf_dir))
+
+
+@query("scope_to_basket")
+def scope_to_basket_q(spark, sf_dir):
+    """Newest-batch rows restricted to an entity basket (the
+    subject and entrant nations, from the region table), a metric basket
+    and a period window."""
+    from tidemark.sources.landing import scope_to_basket
+    from tidemark.sources.raw import latest_batch
+    dim = tables.nation_entity_dim(spark, sf_dir)
+    ents = dim.filter(F.col("role").isin("subject", "entrant")).select("entity")
+    mets = spark.createDataFrame([(m,) for m in BASKET_PRIORITIES], "metric string")
+    return scope_to_basket(latest_batch(raw_table(spark, sf_dir)), ents, mets,
+                           BASKET_START, BASKET_END)
+
+
+# Fixed basket of the scoping query.
+BASKET_PRIORITIES = ("1-URGENT", "5-LOW")
+BASKET_START, BASKET_END = 1996, 1999
