@@ -2,7 +2,7 @@
 
 All are built-in Catalyst expressions, so they stay inside whole-stage
 codegen.  Arithmetic that the SQL marts perform on NUMERIC goes through
-``decimal(28,10)`` so rounding is half away from zero on the decimal value,
+``decimal(38,10)`` so rounding is half away from zero on the decimal value,
 then leaves as double.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark import params as P
 
-NUMERIC = "decimal(28,10)"
+NUMERIC = "decimal(38,10)"
 
 
 def col(c) -> Column:

@@ -15,7 +15,7 @@ def r(x: str, d: int = 6) -> str:
 
 def dround(x: str, d: int) -> str:
     """round(x::numeric, d) as double."""
-    return f"CAST(round(CAST({x} AS DECIMAL(28,10)), {d}) AS DOUBLE)"
+    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {d}) AS DOUBLE)"
 
 
 def nonan(x: str) -> str:
