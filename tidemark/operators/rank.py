@@ -77,8 +77,10 @@ def count_below(df: DataFrame, group_cols, key: str, weight: str | None = None,
     vc = (df.filter(F.col(key).isNotNull())
           .groupBy(*group_cols, F.col(key).alias("_k"))
           .agg(F.sum(w).cast("long").alias("_c")))
+    # Partition count left to AQE: coalescing merges adjacent ranges, so
+    # partition ids stay in key order.  The session setting bounds it.
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rp = (vc.repartitionByRange(n_parts, *group_cols, "_k")
+    rp = (vc.repartitionByRange(*group_cols, "_k")
           .sortWithinPartitions(*group_cols, "_k")
           .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(rp.schema.fields + [T.StructField("_lb", T.LongType())])
