@@ -130,3 +130,14 @@ def parse_period(c) -> Column:
 def nan_to_null(c) -> Column:
     v = col(c)
     return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+
+
+def strip_prefix(c, prefix: str) -> Column:
+    """Remove a literal code prefix ('GOV_WGI_RL.SC' -> 'RL.SC')."""
+    import re
+    return F.regexp_replace(col(c), "^" + re.escape(prefix), "")
+
+
+def joined(sep: str, *cols) -> Column:
+    """Join values with a separator, skipping NULLs."""
+    return F.concat_ws(sep, *[col(c) for c in cols])

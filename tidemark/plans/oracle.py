@@ -685,7 +685,9 @@ ORACLE["flatten_props"] = """
 SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"""
 
 ORACLE["label_search"] = """
-SELECT n.n_name, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+SELECT n.n_name, r.r_name, regexp_replace(n.n_name, '^NATION_', '') AS code,
+       concat_ws(' / ', r.r_name, n.n_name) AS label
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 WHERE lower(r.r_name) LIKE '%europ%' OR n.n_name IN ('NATION_0', 'NATION_1')"""
 
 # --- data quality ---------------------------------------------------------------------------

@@ -548,8 +548,11 @@ def label_search(spark, sf_dir):
     nat = tables.read_table(spark, sf_dir, "nation")
     reg = tables.read_table(spark, sf_dir, "region")
     j = nat.join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
+    from tidemark.functions.exprs import joined, strip_prefix
     hit = F.lower("r_name").contains(LABEL_NEEDLE) | F.col("n_name").isin(*LABEL_EXTRA)
-    return j.filter(hit).select("n_name", "r_name")
+    return j.filter(hit).select("n_name", "r_name",
+                                strip_prefix("n_name", "NATION_").alias("code"),
+                                joined(" / ", "r_name", "n_name").alias("label"))
 
 
 # --- data quality ---------------------------------------------------------------------
