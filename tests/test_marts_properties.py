@@ -90,3 +90,30 @@ def test_dq_invariants_hold_on_random_panels(spark):
         assert all(r["status"] == "catching_up" and r["gap_ref"] is None for r in bad)
         assert Q.grain_unique(stuck, ["entity", "metric"]).count() == 0
         assert closing.filter("years_to_close < 0").count() == 0
+
+
+def test_build_marts_stops_on_grain_violation(spark):
+    import pytest
+    p = tables.nation_panel(spark, SF001)
+    dup = tables.Panel(df=p.df.unionByName(p.df.limit(1)), entity_dim=p.entity_dim,
+                       metric_dim=p.metric_dim, params=p.params, metrics=p.metrics)
+    with pytest.raises(marts.GrainError):
+        marts.build_marts(spark, dup, tempfile.mkdtemp(prefix="tm-marts-"))
+
+
+def test_publish_only_complete_batches(spark):
+    from tidemark.sources.raw import publish_if_complete, read_raw, stamp_batch
+    base = tempfile.mkdtemp(prefix="tm-pub-")
+    schema = "metric string, entity string, period int, value double"
+    expected = spark.createDataFrame([("m", "A", 1), ("m", "B", 1)],
+                                     "metric string, entity string, period int")
+    partial = stamp_batch(spark.createDataFrame([("m", "A", 1, 1.0)], schema), "S", "s_2")
+    rep = publish_if_complete(partial, f"{base}/raw", f"{base}/stage_2", expected).collect()[0]
+    assert (rep["n_missing"], rep["published"]) == (1, False)
+    assert read_raw(spark, f"{base}/raw").count() == 0
+    full = stamp_batch(spark.createDataFrame([("m", "A", 1, 1.0), ("m", "B", 1, None)], schema),
+                       "S", "s_3")
+    rep = publish_if_complete(full, f"{base}/raw", f"{base}/stage_3", expected,
+                              expected_rows=2).collect()[0]
+    assert rep["published"] is True
+    assert read_raw(spark, f"{base}/raw").count() == 2

@@ -64,11 +64,27 @@ def materialize(df: DataFrame, path: str, partition_by=None) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def build_marts(spark: SparkSession, panel: Panel, out_dir: str | None = None) -> dict:
-    """Write all five marts under ``out_dir`` (default: the shared folder)."""
+class GrainError(ValueError):
+    """The panel has more than one row for some (entity, metric, period)."""
+
+
+def build_marts(spark: SparkSession, panel: Panel, out_dir: str | None = None,
+                check_grain: bool = True) -> dict:
+    """Write all five marts under ``out_dir`` (default: the shared folder).
+
+    The panel is written first and its grain is checked on the written
+    table: every series-partitioned window downstream relies on one row per
+    (entity, metric, period), and a duplicated key would also fan out the
+    benchmark join.  A violation stops the build before any mart is written.
+    """
+    from tidemark.operators.quality import grain_unique
     out_dir = out_dir or shared_dir(spark, "marts")
     panel = replace(panel, df=materialize(
         panel.df.sortWithinPartitions("metric", "entity", "period"), f"{out_dir}/panel"))
+    if check_grain:
+        dup = grain_unique(panel.df, ["entity", "metric", "period"]).limit(1).count()
+        if dup:
+            raise GrainError("panel grain violated: duplicate (entity, metric, period)")
     gap = materialize(gap_of(panel), f"{out_dir}/gap")
     marts = {"gap": gap}
     for name, df in (("stuck", stuck_of(panel, gap)), ("closing", closing_of(panel, gap)),

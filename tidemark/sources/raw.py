@@ -78,3 +78,33 @@ def superseded_keys(raw: DataFrame, key=("metric", "entity", "period")) -> DataF
     older = (raw.filter(F.col("batch_id") != raw.agg(F.max("batch_id")).scalar())
              .select(*key).distinct())
     return older.join(newest, list(key), "left_anti")
+
+
+def publish_if_complete(batch: DataFrame, raw_path: str, staging_path: str,
+                        expected_keys: DataFrame | None = None,
+                        expected_rows: int | None = None,
+                        key=("metric", "entity", "period")) -> DataFrame:
+    """Land a stamped batch in two steps: write it to a staging folder,
+    check completeness there, and only then add it to the raw table.
+
+    A run that dies half way leaves at most a staging folder; the raw
+    table never receives a partial newest batch.  Completeness is either a
+    row count or the absence of missing keys against ``expected_keys``
+    (same key columns).  Returns the report: one row with ``n_rows``,
+    ``n_missing`` and ``published``.
+    """
+    from pyspark.sql import functions as F
+    spark = batch.sparkSession
+    batch.write.mode("overwrite").parquet(staging_path)
+    staged = spark.read.parquet(staging_path)
+    n_rows = staged.count()
+    n_missing = 0
+    if expected_keys is not None:
+        n_missing = (expected_keys.select(*key)
+                     .join(staged.select(*key), list(key), "left_anti").count())
+    ok = n_missing == 0 and (expected_rows is None or n_rows == expected_rows)
+    if ok:
+        append_batch(staged, raw_path)
+    return spark.createDataFrame([(n_rows, n_missing, ok)],
+                                 "n_rows long, n_missing long, published boolean") \
+        .withColumn("checked_at", F.current_timestamp())
