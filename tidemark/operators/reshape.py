@@ -3,8 +3,10 @@ X1, X2, X12, X17, X18, S12).
 
 Windows are partitioned by series (entity, metric): under the panel grain a
 series holds at most one row per period, so a window partition is bounded
-by the period count however many entities there are.  Nothing windows by
-metric alone or over the whole table.
+by the period count however many entities there are.  A window by metric
+alone appears only over a slice bounded by metrics x periods (the benchmark
+series) or behind a rank filter that Spark turns into a per-task
+WindowGroupLimit (top k).  Nothing windows over the whole table.
 """
 
 from __future__ import annotations
@@ -151,3 +153,21 @@ def benchmark_breaks(df: DataFrame, benchmark: str, y: str = "value",
          .withColumn("next", F.lead(y).over(w)))
     flag = (F.col(y) - F.col("prev") < 0) & (F.col("next") >= F.col("prev"))
     return b.filter(flag).select("metric", order, y, "prev", "next")
+
+
+def top_abs_extremes(df: DataFrame, k: int, y: str = "gap", center: float = 0.0,
+                     by=("metric",)) -> DataFrame:
+    """k values farthest from ``center`` per group (ties kept), with the
+    same per-task WindowGroupLimit as ``top_extremes``."""
+    d = df.withColumn("_dist", F.abs(F.col(y) - F.lit(center)))
+    return top_extremes(d, k, y="_dist", by=by).drop("_dist")
+
+
+def level_shift(df: DataFrame, benchmark: str, at: int, y: str = "value") -> DataFrame:
+    """Per metric of the benchmark series: mean before and from ``at`` on,
+    and the shift between them (one aggregate over the benchmark slice)."""
+    b = df.filter(F.col("entity") == benchmark)
+    before = F.avg(F.when(F.col("period") < at, F.col(y)))
+    after = F.avg(F.when(F.col("period") >= at, F.col(y)))
+    return (b.groupBy("metric").agg(before.alias("mean_before"), after.alias("mean_after"))
+            .withColumn("shift", F.col("mean_after") - F.col("mean_before")))

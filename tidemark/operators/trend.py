@@ -145,3 +145,16 @@ def band_margin(stuck: DataFrame, bands: P.Bands = P.Bands()) -> DataFrame:
     return (stuck.filter(band.isNotNull() & F.col("slope").isNotNull())
             .select("entity", "metric", "bucket", "slope", "status",
                     band.alias("band"), (F.abs("slope") - band).alias("margin")))
+
+
+def bucket_ratio(stuck: DataFrame, y, num_bucket: str = P.CONTEXT_INVERTED,
+                 den_bucket: str = P.CONVERGENCE, name: str = "ratio") -> DataFrame:
+    """One row: mean of ``y`` in two buckets and their ratio, by
+    conditional aggregation in a single global aggregate (partial
+    aggregation per task, one row to the final step)."""
+    yy = F.col(y) if isinstance(y, str) else y
+    a = F.avg(F.when(F.col("bucket") == num_bucket, yy))
+    b = F.avg(F.when(F.col("bucket") == den_bucket, yy))
+    return (stuck.agg(a.alias("mean_num"), b.alias("mean_den"),
+                      F.min(F.when(F.col("bucket") == num_bucket, yy)).alias("min_num"))
+            .withColumn(name, F.try_divide(F.col("mean_num"), F.col("mean_den"))))

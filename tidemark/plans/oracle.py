@@ -889,3 +889,34 @@ WHERE r.batch_id = (SELECT max(batch_id) FROM raw)
   AND g.r_name IN ('EUROPE', 'ASIA')
   AND r.metric IN ('1-URGENT', '5-LOW')
   AND r.period BETWEEN 1996 AND 1999"""
+
+
+ORACLE["abs_slope_ratio"] = nsql(f"""
+SELECT {r("avg(CASE WHEN bucket = 'context_inverted' THEN abs(slope) END)")} AS mean_num,
+       {r("avg(CASE WHEN bucket = 'convergence' THEN abs(slope) END)")} AS mean_den,
+       {r("min(CASE WHEN bucket = 'context_inverted' THEN abs(slope) END)")} AS min_num,
+       {r('''CASE WHEN avg(CASE WHEN bucket = 'convergence' THEN abs(slope) END) = 0 THEN NULL
+             ELSE avg(CASE WHEN bucket = 'context_inverted' THEN abs(slope) END)
+                  / avg(CASE WHEN bucket = 'convergence' THEN abs(slope) END) END''')} AS ratio
+FROM stuck""", STUCK_CTE)
+
+_ga = "avg(CASE WHEN metric = 'AOV' THEN gap_change END)"
+_gb = "avg(CASE WHEN metric = 'LOW_AOV' THEN gap_change END)"
+ORACLE["mean_gain_ratio"] = nsql(f"""
+SELECT {r(_ga)} AS mean_a, {r(_gb)} AS mean_b,
+       {r(f'CASE WHEN {_gb} = 0 THEN NULL ELSE {_ga} / {_gb} END')} AS ratio
+FROM stuck WHERE role = 'subject'""", STUCK_CTE)
+
+ORACLE["top_abs_extremes"] = nsql(f"""
+SELECT entity, metric, period, {r('gap')} AS gap, rnk AS rank
+FROM (SELECT entity, metric, period, gap,
+             CAST(rank() OVER (PARTITION BY metric ORDER BY abs(gap - 100) DESC) AS INTEGER) AS rnk
+      FROM gap WHERE gap IS NOT NULL)
+WHERE rnk <= 6""")
+
+ORACLE["level_shift"] = nsql(f"""
+SELECT metric, {r('avg(CASE WHEN period < 1998 THEN value END)')} AS mean_before,
+       {r('avg(CASE WHEN period >= 1998 THEN value END)')} AS mean_after,
+       {r('avg(CASE WHEN period >= 1998 THEN value END) - avg(CASE WHEN period < 1998 THEN value END)')}
+         AS shift
+FROM panel WHERE entity = 'ALL' GROUP BY metric""")

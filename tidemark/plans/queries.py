@@ -734,3 +734,44 @@ def scope_to_basket_q(spark, sf_dir):
 # Fixed basket of the scoping query.
 BASKET_PRIORITIES = ("1-URGENT", "5-LOW")
 BASKET_START, BASKET_END = 1996, 1999
+
+
+# --- ratios and extremes from the published analyses ----------------------------------
+
+SHIFT_AT = 1998
+EXTREME_K = 6
+
+
+@query("abs_slope_ratio")
+def abs_slope_ratio(spark, sf_dir):
+    """Mean |slope| of the inverted bucket over the convergence bucket,
+    and the smallest inverted |slope|."""
+    from tidemark.operators.trend import bucket_ratio
+    return bucket_ratio(marts.stuck_of(nation(spark, sf_dir)), F.abs(F.col("slope")))
+
+
+@query("mean_gain_ratio")
+def mean_gain_ratio(spark, sf_dir):
+    """Mean gap change of metric A over metric B for the subject tier."""
+    s = marts.stuck_of(nation(spark, sf_dir)).filter(F.col("role") == "subject")
+    g = F.col("gap_change").cast("double")
+    a = F.avg(F.when(F.col("metric") == METRIC_A, g))
+    b = F.avg(F.when(F.col("metric") == METRIC_B, g))
+    return (s.agg(a.alias("mean_a"), b.alias("mean_b"))
+            .withColumn("ratio", F.try_divide(F.col("mean_a"), F.col("mean_b"))))
+
+
+@query("top_abs_extremes")
+def top_abs_extremes_q(spark, sf_dir):
+    """The k gaps farthest from parity per metric."""
+    from tidemark.operators.reshape import top_abs_extremes
+    g = nation_gap(spark, sf_dir)[1].select("entity", "metric", "period", "gap")
+    return top_abs_extremes(g.filter(F.col("gap").isNotNull()), EXTREME_K, center=100.0)
+
+
+@query("level_shift")
+def level_shift_q(spark, sf_dir):
+    """Benchmark mean before / after a period, per metric."""
+    from tidemark.operators.reshape import level_shift
+    p = nation(spark, sf_dir)
+    return level_shift(p.df, p.params.benchmark, SHIFT_AT)
