@@ -26,9 +26,15 @@ def dec_round(c, digits: int) -> Column:
 
 
 def edge_round(c, digits: int = 6) -> Column:
-    """Output rounding of a floating aggregate (for engine-independent
-    values); goes through a wide decimal so ties round alike."""
-    return F.round(col(c).cast("decimal(38,12)"), digits).cast("double")
+    """Output rounding of a floating aggregate, engine independent.
+
+    The value first goes to 9 decimals: for |x| < 4e6 a double is within
+    half a unit of the 9th decimal of the decimal number it stands for, so
+    an exact tie (an average of cents ending in ...5 at the 7th decimal)
+    is recovered the same way whether an engine converts through the
+    shortest decimal string or through the binary value; then it is
+    rounded half away from zero."""
+    return F.round(F.round(col(c).cast("decimal(38,12)"), 9), digits).cast("double")
 
 
 def gap_expr(value, bench) -> Column:
@@ -40,19 +46,43 @@ def gap_expr(value, bench) -> Column:
 
 
 def status_expr(slope, bucket, labels: dict, bands: P.Bands = P.Bands(),
-                context_branch: bool = True) -> Column:
+                context_branch: bool = True, num=None, den=None) -> Column:
     """Dead-band classification of a slope.
 
     NULL slope first, then (optionally) the never-classified ``context``
     bucket, then the two directed buckets with strict bands; anything else
     is ``not_classified``.
+
+    With ``num`` / ``den`` (exact decimal numerator and positive
+    denominator of the slope, see ``trend``) the band tests are exact:
+    ``slope > band`` becomes ``num > band * den``, so a slope lying exactly
+    on a band is ``flat`` whatever the floating-point rounding of the
+    regression.
     """
+    from decimal import Decimal
     s, b = col(slope), col(bucket)
-    conv = (F.when(s > bands.convergence, labels["up"])
-            .when(s < -bands.convergence, labels["down"])
+    if num is None:
+        def gt(v):
+            return s > v
+
+        def lt(v):
+            return s < v
+    else:
+        # Both sides get one explicit type: Spark coerces a comparison of
+        # decimal(38,2) with decimal(38,1) to scale 1 and drops a digit.
+        cmp_type = "decimal(38,4)"
+        n_, d_ = col(num).cast(cmp_type), col(den)
+
+        def gt(v):
+            return n_ > (F.lit(Decimal(repr(v))) * d_).cast(cmp_type)
+
+        def lt(v):
+            return n_ < (F.lit(Decimal(repr(v))) * d_).cast(cmp_type)
+    conv = (F.when(gt(bands.convergence), labels["up"])
+            .when(lt(-bands.convergence), labels["down"])
             .otherwise(labels["flat"]))
-    inv = (F.when(s < -bands.context_inverted, labels["up"])
-           .when(s > bands.context_inverted, labels["down"])
+    inv = (F.when(lt(-bands.context_inverted), labels["up"])
+           .when(gt(bands.context_inverted), labels["down"])
            .otherwise(labels["flat"]))
     e = F.when(s.isNull(), labels["no_data"])
     if context_branch:

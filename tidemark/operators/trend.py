@@ -18,9 +18,13 @@ from tidemark.functions.exprs import (closure_status_expr, status_expr,
 from tidemark.operators.common import (bounded, enrich, entity_cols, metric_cols,
                                        scope_by_dim)
 
+# The gap carries exactly 2 decimals (it is rounded when computed).
+GAP_SCALE = 2
+
 
 def trend(df: DataFrame, start: int, end: int, ref: int | None = None,
-          y: str = "gap", x: str = "period", by=("entity", "metric")) -> DataFrame:
+          y: str = "gap", x: str = "period", by=("entity", "metric"),
+          exact_scale: int | None = None) -> DataFrame:
     """Per series: OLS slope and intercept of ``y`` on ``x`` over
     [start, end], non-NULL point count, ``y`` at start and end, their
     difference, and ``y`` at the reference period ``ref``.
@@ -48,8 +52,23 @@ def trend(df: DataFrame, start: int, end: int, ref: int | None = None,
     ]
     if ref is not None:
         aggs.append(F.max(F.when(F.col(x) == ref, F.col(y))).alias("gap_ref"))
-    return (scoped.groupBy(*by).agg(*aggs)
-            .withColumn("gap_change", F.col("gap_end") - F.col("gap_start")))
+    if exact_scale is not None:
+        # y has exactly `exact_scale` decimals (the gap has 2): the slope's
+        # numerator and denominator as exact decimal sums, for band tests.
+        ok = yy.isNotNull() & xx.isNotNull()
+        yd = F.when(ok, yy.cast(f"decimal(20,{exact_scale})"))
+        xd = F.when(ok, xx.cast("decimal(12,0)"))
+        aggs += [F.count(yd).cast("decimal(20,0)").alias("_n"), F.sum(xd).alias("_sx"),
+                 F.sum(yd).alias("_sy"), F.sum(xd * xd).alias("_sxx"),
+                 F.sum(xd * yd).alias("_sxy")]
+    out = (scoped.groupBy(*by).agg(*aggs)
+           .withColumn("gap_change", F.col("gap_end") - F.col("gap_start")))
+    if exact_scale is not None:
+        n, sx = F.col("_n"), F.col("_sx")
+        out = (out.withColumn("slope_num", n * F.col("_sxy") - sx * F.col("_sy"))
+               .withColumn("slope_den", n * F.col("_sxx") - sx * sx)
+               .drop("_n", "_sx", "_sy", "_sxx", "_sxy"))
+    return out
 
 
 def stuck_matrix(gap: DataFrame, entity_dim, metric_dim, params: P.PanelParams,
@@ -57,10 +76,11 @@ def stuck_matrix(gap: DataFrame, entity_dim, metric_dim, params: P.PanelParams,
     """Per (entity, metric): start/end gap, change, slope, status with the
     stuck labels; all entities, including the benchmark."""
     t = trend(gap.select("entity", "metric", "period", "gap"),
-              params.fit_start, params.fit_end)
+              params.fit_start, params.fit_end, exact_scale=GAP_SCALE)
     t = enrich(t, entity_dim, metric_dim, "left", entity_bound)
     t = t.withColumn("status", status_expr("slope", "bucket", P.STUCK_LABELS,
-                                           params.bands, context_branch=True))
+                                           params.bands, context_branch=True,
+                                           num="slope_num", den="slope_den"))
     return t.select(*entity_cols(entity_dim), *metric_cols(metric_dim),
                     "gap_start", "gap_end", "gap_change", "slope", "status")
 
@@ -73,10 +93,11 @@ def years_to_close(gap: DataFrame, entity_dim, metric_dim, params: P.PanelParams
     g = gap.select("entity", "metric", "period", "gap")
     g = scope_by_dim(g, metric_dim, "metric", "bucket", params.closure_buckets, 10_000)
     g = scope_by_dim(g, entity_dim, "entity", "role", params.closure_roles, entity_bound)
-    t = trend(g, params.fit_start, params.fit_end, params.ref_period)
+    t = trend(g, params.fit_start, params.fit_end, params.ref_period, exact_scale=GAP_SCALE)
     t = enrich(t, entity_dim, metric_dim, "left", entity_bound)
     t = t.withColumn("status", status_expr("slope", "bucket", P.TRAJECTORY_LABELS,
-                                           params.bands, context_branch=False))
+                                           params.bands, context_branch=False,
+                                           num="slope_num", den="slope_den"))
     t = (t.withColumn("closure_status", closure_status_expr("bucket", "gap_ref", "status"))
          .withColumn("years_to_close",
                      years_to_close_expr("bucket", "gap_ref", "slope", "status")))

@@ -10,7 +10,7 @@ ORACLE: dict[str, str] = {}
 
 def r(x: str, d: int = 6) -> str:
     """Output rounding, same rule as ``finish`` on the Spark side."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38,12)), {d}) AS DOUBLE)"
+    return f"CAST(round(round(CAST({x} AS DECIMAL(38,12)), 9), {d}) AS DOUBLE)"
 
 
 def dround(x: str, d: int) -> str:
@@ -22,6 +22,16 @@ def nonan(x: str) -> str:
     return f"(CASE WHEN isnan({x}) THEN NULL ELSE {x} END)"
 
 
+def exact_slope_terms(y: str = "gap", x: str = "period") -> str:
+    """Numerator (in cents) and denominator of the OLS slope as exact
+    128-bit integers; the gap has 2 decimals, so gap * 100 is an integer."""
+    yc = f"CAST(round({y} * 100) AS HUGEINT)"
+    xi = f"CASE WHEN {y} IS NOT NULL THEN CAST({x} AS HUGEINT) END"
+    n = f"CAST(count({y}) AS HUGEINT)"
+    return (f"{n} * sum({xi} * {yc}) - sum({xi}) * sum({yc}) AS num_c,\n"
+            f"         {n} * sum({xi} * {xi}) - sum({xi}) * sum({xi}) AS den")
+
+
 # --- nation panel ------------------------------------------------------------
 NATION_CTE = """
 nation_base AS (
@@ -90,7 +100,8 @@ trend AS (
          count(gap) AS n_points,
          max(CASE WHEN period = 1995 THEN gap END) AS gap_start,
          max(CASE WHEN period = 2000 THEN gap END) AS gap_end,
-         max(CASE WHEN period = 2000 THEN gap END) AS gap_ref
+         max(CASE WHEN period = 2000 THEN gap END) AS gap_ref,
+         """ + exact_slope_terms() + """
   FROM gap WHERE period BETWEEN 1995 AND 2000
   GROUP BY entity, metric
 )
@@ -104,28 +115,32 @@ def with_nation(body: str) -> str:
     return "WITH " + NATION_CTE.strip() + "\n" + body
 
 
-def stuck_case(slope: str = "slope", bucket: str = "bucket") -> str:
+def stuck_case(slope: str = "slope", bucket: str = "bucket", t: str = "t") -> str:
+    """Stuck labels; band tests on the exact slope terms of alias ``t``
+    (slope > 0.2 <=> num_c > 20 * den, slope > 2.0 <=> num_c > 200 * den)."""
+    num, den = f"{t}.num_c", f"{t}.den"
     return f"""CASE
       WHEN {slope} IS NULL THEN 'no_data'
       WHEN {bucket} = 'context' THEN 'not_classified'
       WHEN {bucket} = 'context_inverted' THEN
-        CASE WHEN {slope} < -2.0 THEN 'catching_up'
-             WHEN {slope} > 2.0 THEN 'falling_behind' ELSE 'stuck' END
+        CASE WHEN {num} < -200 * {den} THEN 'catching_up'
+             WHEN {num} > 200 * {den} THEN 'falling_behind' ELSE 'stuck' END
       WHEN {bucket} = 'convergence' THEN
-        CASE WHEN {slope} > 0.2 THEN 'catching_up'
-             WHEN {slope} < -0.2 THEN 'falling_behind' ELSE 'stuck' END
+        CASE WHEN {num} > 20 * {den} THEN 'catching_up'
+             WHEN {num} < -20 * {den} THEN 'falling_behind' ELSE 'stuck' END
       ELSE 'not_classified' END"""
 
 
-def trajectory_case(slope: str = "slope", bucket: str = "bucket") -> str:
+def trajectory_case(slope: str = "slope", bucket: str = "bucket", t: str = "t") -> str:
+    num, den = f"{t}.num_c", f"{t}.den"
     return f"""CASE
       WHEN {slope} IS NULL THEN 'no_data'
       WHEN {bucket} = 'convergence' THEN
-        CASE WHEN {slope} > 0.2 THEN 'catching_up'
-             WHEN {slope} < -0.2 THEN 'diverging' ELSE 'stalled' END
+        CASE WHEN {num} > 20 * {den} THEN 'catching_up'
+             WHEN {num} < -20 * {den} THEN 'diverging' ELSE 'stalled' END
       WHEN {bucket} = 'context_inverted' THEN
-        CASE WHEN {slope} < -2.0 THEN 'catching_up'
-             WHEN {slope} > 2.0 THEN 'diverging' ELSE 'stalled' END
+        CASE WHEN {num} < -200 * {den} THEN 'catching_up'
+             WHEN {num} > 200 * {den} THEN 'diverging' ELSE 'stalled' END
       ELSE 'not_classified' END"""
 
 
@@ -161,7 +176,8 @@ closing_trend AS (
          {nonan('regr_slope(g.gap, g.period)')} AS slope,
          {nonan('regr_intercept(g.gap, g.period)')} AS intercept,
          count(g.gap) AS n_points,
-         max(CASE WHEN g.period = 2000 THEN g.gap END) AS gap_ref
+         max(CASE WHEN g.period = 2000 THEN g.gap END) AS gap_ref,
+         {exact_slope_terms('g.gap', 'g.period')}
   FROM gap g
   JOIN entity_dim d ON g.entity = d.entity
   JOIN metric_dim m ON g.metric = m.metric
@@ -793,7 +809,8 @@ trend AS (
          count(gap) AS n_points,
          max(CASE WHEN period = 1995 THEN gap END) AS gap_start,
          max(CASE WHEN period = 2001 THEN gap END) AS gap_end,
-         max(CASE WHEN period = 2001 THEN gap END) AS gap_ref
+         max(CASE WHEN period = 2001 THEN gap END) AS gap_ref,
+         """ + exact_slope_terms() + """
   FROM gap WHERE period BETWEEN 1995 AND 2001
   GROUP BY entity, metric
 )"""
