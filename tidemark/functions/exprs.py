@@ -46,18 +46,19 @@ def gap_expr(value, bench) -> Column:
 
 
 def status_expr(slope, bucket, labels: dict, bands: P.Bands = P.Bands(),
-                context_branch: bool = True, num=None, den=None) -> Column:
+                context_branch: bool = True, num=None, den=None,
+                num_scale: int = 1) -> Column:
     """Dead-band classification of a slope.
 
     NULL slope first, then (optionally) the never-classified ``context``
     bucket, then the two directed buckets with strict bands; anything else
     is ``not_classified``.
 
-    With ``num`` / ``den`` (exact decimal numerator and positive
-    denominator of the slope, see ``trend``) the band tests are exact:
-    ``slope > band`` becomes ``num > band * den``, so a slope lying exactly
-    on a band is ``flat`` whatever the floating-point rounding of the
-    regression.
+    With ``num`` / ``den`` (exact integer numerator, in units of
+    1/``num_scale``, and positive denominator of the slope, see ``trend``)
+    the band tests are exact: ``slope > band`` becomes
+    ``num > band * num_scale * den``, so a slope lying exactly on a band is
+    ``flat`` whatever the floating-point rounding of the regression.
     """
     from decimal import Decimal
     s, b = col(slope), col(bucket)
@@ -71,13 +72,16 @@ def status_expr(slope, bucket, labels: dict, bands: P.Bands = P.Bands(),
         # Both sides get one explicit type: Spark coerces a comparison of
         # decimal(38,2) with decimal(38,1) to scale 1 and drops a digit.
         cmp_type = "decimal(38,4)"
-        n_, d_ = col(num).cast(cmp_type), col(den)
+        n_, d_ = col(num).cast(cmp_type), col(den).cast("decimal(38,0)")
+
+        def bound(v):
+            return (F.lit(Decimal(repr(v)) * num_scale) * d_).cast(cmp_type)
 
         def gt(v):
-            return n_ > (F.lit(Decimal(repr(v))) * d_).cast(cmp_type)
+            return n_ > bound(v)
 
         def lt(v):
-            return n_ < (F.lit(Decimal(repr(v))) * d_).cast(cmp_type)
+            return n_ < bound(v)
     conv = (F.when(gt(bands.convergence), labels["up"])
             .when(lt(-bands.convergence), labels["down"])
             .otherwise(labels["flat"]))

@@ -54,13 +54,16 @@ def trend(df: DataFrame, start: int, end: int, ref: int | None = None,
         aggs.append(F.max(F.when(F.col(x) == ref, F.col(y))).alias("gap_ref"))
     if exact_scale is not None:
         # y has exactly `exact_scale` decimals (the gap has 2): the slope's
-        # numerator and denominator as exact decimal sums, for band tests.
+        # numerator (in units of 10^-scale) and denominator as exact integer
+        # sums, for band tests.  y in integer units and x centred on the
+        # window start keep every term a small long (fast, mergeable); the
+        # slope is unchanged by the shift, and ANSI mode turns an overflow
+        # into an error, never a wrong label.
         ok = yy.isNotNull() & xx.isNotNull()
-        yd = F.when(ok, yy.cast(f"decimal(20,{exact_scale})"))
-        xd = F.when(ok, xx.cast("decimal(12,0)"))
-        aggs += [F.count(yd).cast("decimal(20,0)").alias("_n"), F.sum(xd).alias("_sx"),
-                 F.sum(yd).alias("_sy"), F.sum(xd * xd).alias("_sxx"),
-                 F.sum(xd * yd).alias("_sxy")]
+        yc = F.when(ok, F.round(yy * (10 ** exact_scale)).cast("long"))
+        xc = F.when(ok, (xx - start).cast("long"))
+        aggs += [F.count(yc).alias("_n"), F.sum(xc).alias("_sx"), F.sum(yc).alias("_sy"),
+                 F.sum(xc * xc).alias("_sxx"), F.sum(xc * yc).alias("_sxy")]
     out = (scoped.groupBy(*by).agg(*aggs)
            .withColumn("gap_change", F.col("gap_end") - F.col("gap_start")))
     if exact_scale is not None:
@@ -80,7 +83,8 @@ def stuck_matrix(gap: DataFrame, entity_dim, metric_dim, params: P.PanelParams,
     t = enrich(t, entity_dim, metric_dim, "left", entity_bound)
     t = t.withColumn("status", status_expr("slope", "bucket", P.STUCK_LABELS,
                                            params.bands, context_branch=True,
-                                           num="slope_num", den="slope_den"))
+                                           num="slope_num", den="slope_den",
+                                           num_scale=10 ** GAP_SCALE))
     return t.select(*entity_cols(entity_dim), *metric_cols(metric_dim),
                     "gap_start", "gap_end", "gap_change", "slope", "status")
 
@@ -97,7 +101,8 @@ def years_to_close(gap: DataFrame, entity_dim, metric_dim, params: P.PanelParams
     t = enrich(t, entity_dim, metric_dim, "left", entity_bound)
     t = t.withColumn("status", status_expr("slope", "bucket", P.TRAJECTORY_LABELS,
                                            params.bands, context_branch=False,
-                                           num="slope_num", den="slope_den"))
+                                           num="slope_num", den="slope_den",
+                                           num_scale=10 ** GAP_SCALE))
     t = (t.withColumn("closure_status", closure_status_expr("bucket", "gap_ref", "status"))
          .withColumn("years_to_close",
                      years_to_close_expr("bucket", "gap_ref", "slope", "status")))
