@@ -39,7 +39,7 @@ def gap_mart(df: DataFrame, benchmark: str, entity_dim=None, metric_dim=None,
     rows keep NULL labels)."""
     g = gap_to_benchmark(df, benchmark, bench_bound)
     out = enrich(g, entity_dim, metric_dim, "left", entity_bound)
-    return out.select(*entity_cols(entity_dim), *[c for c in metric_cols(metric_dim)],
+    return out.select(*entity_cols(entity_dim), *metric_cols(metric_dim),
                       "period", "value", "bench_value", "gap")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark import params as P
 from tidemark.functions.exprs import (closure_status_expr, status_expr,
                                       years_to_close_expr)
-from tidemark.operators.common import (bounded, enrich, entity_cols, metric_cols,
+from tidemark.operators.common import (enrich, entity_cols, metric_cols,
                                        scope_by_dim)
 
 # The gap carries exactly 2 decimals (it is rounded when computed).
