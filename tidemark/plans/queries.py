@@ -625,8 +625,10 @@ def land_envelope(spark, sf_dir):
     base = _scratch(spark, "envelope")
     raw = tables.raw_batches(spark, sf_dir)
     envelope_documents(raw).write.partitionBy("batch_id").text(f"{base}/docs")
-    for b in sorted(tables.STATUS_BATCH.values()):
-        landed, _ = land_envelopes(spark, f"{base}/docs/batch_id={b}", "ENV", f"env_{b}")
+    docs = spark.read.text(f"{base}/docs")
+    for b in sorted(tables.STATUS_BATCH.values()):   # fixed batch list, in time order
+        landed, _ = land_envelopes(docs.filter(F.col("batch_id") == b).select("value"),
+                                   "ENV", f"env_{b}")
         append_batch(landed, f"{base}/raw")
     return latest_batch(read_raw(spark, f"{base}/raw"))
 
@@ -642,13 +644,13 @@ def land_stream(spark, sf_dir):
     rec = raw.select("metric", F.col("entity").alias("economy"),
                      F.concat(F.lit("YR"), F.col("period").cast("string")).alias("time"),
                      "value", "batch_id")
-    rec.write.partitionBy("batch_id").json(f"{base}/in_parts")
-    for b in sorted(tables.STATUS_BATCH.values()):
-        spark.read.json(f"{base}/in_parts/batch_id={b}", schema="metric string, economy string, "
-                        "time string, value double") \
+    # Batches arrive one after another in the watched folder; after each
+    # arrival the stream runs with the same checkpoint and lands only the
+    # new files, as its own micro-batch (so later batches get higher ids).
+    for b in sorted(tables.STATUS_BATCH.values()):   # fixed batch list, in time order
+        rec.filter(F.col("batch_id") == b).drop("batch_id") \
             .write.mode("overwrite").json(f"{base}/in/{b}")
-    run(spark, f"{base}/in/*", f"{base}/raw", f"{base}/ckpt", source="REC",
-        max_files_per_trigger=None)
+        run(spark, f"{base}/in/*", f"{base}/raw", f"{base}/ckpt", source="REC")
     return latest_per_key(read_raw(spark, f"{base}/raw"))
 
 

@@ -110,10 +110,10 @@ def envelope_documents(raw: DataFrame, pages: int = 1) -> DataFrame:
                                          F.to_json("rows"), F.lit("]")).alias("value")))
 
 
-def land_envelopes(spark, text_dir: str, source: str, batch_id: str) -> tuple[DataFrame, DataFrame]:
-    """Read envelope text files, flatten, stamp.  Returns (raw rows,
-    rejected documents)."""
+def land_envelopes(text: DataFrame, source: str, batch_id: str) -> tuple[DataFrame, DataFrame]:
+    """Flatten envelope text rows (column ``value``) and stamp them.
+    Returns (raw rows, rejected documents)."""
     from tidemark.sources.raw import stamp_batch
-    rows, rejected = flatten_envelope(spark.read.text(text_dir))
+    rows, rejected = flatten_envelope(text)
     good = rows.filter(F.col("period").isNotNull() & F.col("entity").isNotNull())
     return stamp_batch(good.drop("pages_warn"), source, batch_id), rejected
