@@ -82,15 +82,15 @@ def test_batch_id_format_sorts_by_time(spark):
     from pyspark.sql import functions as F
     from tidemark.sources.raw import batch_id_expr
     df = spark.createDataFrame([("2026-06-30 09:33:54",), ("2026-12-01 00:00:00",)], "t string")
-    ids = [r["b"] for r in df.select(batch_id_expr("WDI", F.to_timestamp("t")).alias("b"))
+    ids = [r["b"] for r in df.select(batch_id_expr("SRC", F.to_timestamp("t")).alias("b"))
            .collect()]
-    assert ids == ["wdi_20260630T093354Z", "wdi_20261201T000000Z"]
+    assert ids == ["src_20260630T093354Z", "src_20261201T000000Z"]
     assert ids == sorted(ids)
 
 
 def test_string_helpers(spark):
     from tidemark.functions.exprs import joined, strip_prefix
-    df = spark.createDataFrame([("GOV_WGI_RL.SC", "x", None)], "c string, a string, b string")
-    r = df.select(strip_prefix("c", "GOV_WGI_").alias("s"), joined(";", "a", "b", "c").alias("j")
+    df = spark.createDataFrame([("IDX_RL.SC", "x", None)], "c string, a string, b string")
+    r = df.select(strip_prefix("c", "IDX_").alias("s"), joined(";", "a", "b", "c").alias("j")
                   ).collect()[0]
-    assert (r["s"], r["j"]) == ("RL.SC", "x;GOV_WGI_RL.SC")
+    assert (r["s"], r["j"]) == ("RL.SC", "x;IDX_RL.SC")

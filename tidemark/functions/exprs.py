@@ -167,7 +167,7 @@ def nan_to_null(c) -> Column:
 
 
 def strip_prefix(c, prefix: str) -> Column:
-    """Remove a literal code prefix ('GOV_WGI_RL.SC' -> 'RL.SC')."""
+    """Remove a literal code prefix ('IDX_RL.SC' -> 'RL.SC')."""
     import re
     return F.regexp_replace(col(c), "^" + re.escape(prefix), "")
 

@@ -4,7 +4,7 @@ The Spark counterpart of the reference's build step, as a script for
 ``spark-submit``:
 
     spark-submit tidemark/plans/job.py --raw <raw parquet> \
-        --entities roles.csv --metrics metrics.csv --benchmark EUU \
+        --entities roles.csv --metrics metrics.csv --benchmark ALL \
         --start 2014 --end 2024 --ref 2024 --closure-roles a,b,c --out <dir>
 
 Dimension CSVs have the columns of ``ENTITY_DIM_SCHEMA`` /
