@@ -61,12 +61,16 @@ def coverage_span(df: DataFrame, by=("entity", "metric"), y: str = "value",
 
 def coverage_matrix(df: DataFrame, metrics, index=("entity",), y: str = "value") -> DataFrame:
     """Non-NULL count per index row and listed metric (wide)."""
-    return df.groupBy(*index).pivot("metric", list(metrics)).agg(F.count(y))
+    from tidemark.operators.reshape import pivot_agg
+    return pivot_agg(df, index, "metric", metrics,
+                     lambda c: F.count(F.col(y) if c is None else F.when(c, F.col(y))))
 
 
 def wide_mean(df: DataFrame, metrics, index=("entity", "period"), y: str = "value") -> DataFrame:
     """Wide table with the mean as the cell aggregate."""
-    return df.groupBy(*index).pivot("metric", list(metrics)).agg(F.avg(y))
+    from tidemark.operators.reshape import pivot_agg
+    return pivot_agg(df, index, "metric", metrics,
+                     lambda c: F.avg(F.col(y) if c is None else F.when(c, F.col(y))))
 
 
 def profile(df: DataFrame, by=("metric",), y: str = "gap", digits: int = 1) -> DataFrame:

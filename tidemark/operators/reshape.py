@@ -102,10 +102,29 @@ def slope_since_peak(df: DataFrame, start: int, end: int, y: str = "gap", by=SER
         F.count(yy).alias("n_since_peak"))
 
 
+# Up to this many listed values a pivot is written as conditional
+# aggregation: one hash aggregate, one shuffle.  Spark's ``pivot`` first
+# aggregates by (index, pivot column) and pivots in a second aggregate,
+# which costs a second shuffle; beyond this width it is the better plan.
+PIVOT_INLINE_MAX = 100
+
+
+def pivot_agg(df: DataFrame, index, column: str, values, agg) -> DataFrame:
+    """Long -> wide over a listed value set: ``agg(when(column == v, ...))``
+    per value, named after the value."""
+    values = list(values)
+    if len(values) > PIVOT_INLINE_MAX:
+        return df.groupBy(*index).pivot(column, values).agg(agg(None))
+    return df.groupBy(*index).agg(*[agg(F.col(column) == v).alias(str(v)) for v in values])
+
+
 def to_wide(df: DataFrame, index, column: str, value: str, values) -> DataFrame:
     """Long -> wide with a listed value set (no discovery job, bounded
-    width).  The grain must be unique (check with ``grain_unique``)."""
-    return df.groupBy(*index).pivot(column, list(values)).agg(F.first(value))
+    width).  The grain must be unique (check with ``grain_unique``); each
+    cell is the single value of its key."""
+    def cell(cond):
+        return F.max(F.col(value) if cond is None else F.when(cond, F.col(value)))
+    return pivot_agg(df, index, column, values, cell)
 
 
 def status_grid(stuck: DataFrame, metrics) -> DataFrame:
