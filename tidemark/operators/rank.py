@@ -70,7 +70,7 @@ def count_below(df: DataFrame, group_cols, key: str, weight: str | None = None,
                 out: str = "below", n_out: str | None = "n_group",
                 group_bound: int | None = None) -> DataFrame:
     """Add ``out`` = summed weight of same-group rows with a smaller key
-    (NULL for a NULL key) and ``n_out`` = summed weight of the group."""
+    and ``n_out`` = summed weight of the group (both NULL for a NULL key)."""
     spark = df.sparkSession
     group_cols = list(group_cols)
     w = F.col(weight) if weight else F.lit(1)
@@ -97,13 +97,8 @@ def count_below(df: DataFrame, group_cols, key: str, weight: str | None = None,
               .select(*group_cols, F.col("_k").alias(key),
                       (F.col("_lb") + F.col("_off")).alias(out), F.col("_n")))
     res = df.join(ranked, [*group_cols, key], "left")
-    if n_out:
-        n_tab = off.select(*group_cols, "_n").distinct()
-        res = res.drop("_n").join(bounded(n_tab, off_bound), group_cols, "left") \
-            .withColumnRenamed("_n", n_out)
-    else:
-        res = res.drop("_n")
-    return res
+    # the group total travels with every ranked key (NULL for a NULL key)
+    return res.withColumnRenamed("_n", n_out) if n_out else res.drop("_n")
 
 
 def value_rank(df: DataFrame, group_cols, key: str, descending: bool = False,
