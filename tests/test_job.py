@@ -26,7 +26,8 @@ def test_build_job_from_raw_and_seeds(spark):
                            metrics=f"{base}/metrics.csv", benchmark="NATION_0", start=1995,
                            end=2000, ref=2000, closure_roles="subject",
                            dispersion_roles="subject", dispersion_metrics="",
-                           descriptive_roles="subject", out=f"{base}/marts")
+                           descriptive_roles="subject", expected_rows=25 * 5 * 7,
+                           out=f"{base}/marts")
     marts = run(spark, args)
     assert set(marts) == {"gap", "stuck", "closing", "dispersion", "descriptive", "dq_report"}
     from tidemark.sources.raw import latest_batch, read_raw
@@ -35,3 +36,7 @@ def test_build_job_from_raw_and_seeds(spark):
     assert marts["stuck"].count() == series.count()
     rep = {(r["check"], r["table"]): r["n_violations"] for r in marts["dq_report"].collect()}
     assert rep[("grain_unique", "gap")] == 0 and rep[("unique", "entity_dim")] == 0
+    assert rep[("not_null", "gap.entity")] == 0
+    assert rep[("accepted_values", "closing.closure_status")] == 0
+    # the newest batch is partial (one status per batch): the completeness check fires
+    assert rep[("row_count", "staging")] == 1

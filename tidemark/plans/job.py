@@ -61,7 +61,27 @@ def run(spark: SparkSession, args) -> dict:
                            n_metrics, entity_bound=n_entities)
     out = args.out or shared_dir(spark, "tidemark-marts", uuid.uuid4().hex)
     marts = build_marts(spark, panel, out)
-    report = Q.run_checks([
+    stuck_labels = list(P.STUCK_LABELS.values())
+    closing_labels = list(P.TRAJECTORY_LABELS.values())
+    checks = [
+        ("not_null", f"{t}.{c}", Q.not_null(marts[t], c))
+        for t, cols in (("gap", ("entity", "metric", "period")),
+                        ("stuck", ("entity", "metric", "status")),
+                        ("closing", ("entity", "metric", "status", "closure_status")),
+                        ("dispersion", ("metric", "period", "n")),
+                        ("descriptive", ("entity", "metric", "period", "role")))
+        for c in cols]
+    checks += [
+        ("accepted_values", "stuck.status", Q.accepted_values(marts["stuck"], "status",
+                                                              stuck_labels)),
+        ("accepted_values", "closing.status", Q.accepted_values(marts["closing"], "status",
+                                                                closing_labels)),
+        ("accepted_values", "closing.closure_status", Q.accepted_values(
+            marts["closing"], "closure_status", closing_labels + [P.ALREADY_CLOSED])),
+    ]
+    if args.expected_rows is not None:
+        checks.append(("row_count", "staging", Q.row_count_is(panel.df, args.expected_rows)))
+    report = Q.run_checks(checks + [
         ("grain_unique", "gap", Q.grain_unique(marts["gap"], ["entity", "metric", "period"])),
         ("grain_unique", "stuck", Q.grain_unique(marts["stuck"], ["entity", "metric"])),
         ("grain_unique", "closing", Q.grain_unique(marts["closing"], ["entity", "metric"])),
@@ -90,6 +110,8 @@ def main(argv=None) -> None:
     ap.add_argument("--dispersion-roles", default="")
     ap.add_argument("--dispersion-metrics", default="")
     ap.add_argument("--descriptive-roles", default="")
+    ap.add_argument("--expected-rows", type=int, default=None,
+                    help="exact row count of the newest batch (completeness check)")
     ap.add_argument("--out", default=None)
     args = ap.parse_args(argv)
     from tidemark.session import build_session
