@@ -44,3 +44,11 @@ def test_value_rank_is_sql_rank(spark):
     assert out == {"B": (1, 0.0), "A": (2, 1 / 3), "C": (2, 1 / 3), "D": (4, 1.0)}
     desc = {r["entity"]: r["rank"] for r in value_rank(df, ["metric"], "v", True).collect()}
     assert desc == {"D": 1, "A": 2, "C": 2, "B": 4}
+
+
+def test_next_key_is_next_distinct_value(spark):
+    rows = [("m", "A", 3.0), ("m", "B", 1.0), ("m", "C", 3.0), ("m", "D", 7.0), ("n", "E", 2.0)]
+    df = spark.createDataFrame(rows, "metric string, entity string, v double")
+    out = {r["entity"]: r["nxt"] for r in
+           value_rank(df, ["metric"], "v", next_out="nxt").collect()}
+    assert out == {"B": 3.0, "A": 7.0, "C": 7.0, "D": None, "E": None}

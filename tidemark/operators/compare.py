@@ -41,16 +41,8 @@ def snapshot_rank(df: DataFrame, period: int, y: str = "value",
     next value up and the margin to it."""
     snap = df.filter((F.col("period") == period) & F.col(y).isNotNull()) \
         .select("entity", "metric", "period", y)
-    r = value_rank(snap, ["metric"], y, group_bound=group_bound)
-    # Distinct values with their rank and tie count; the next value up is
-    # the distinct value whose rank is own rank + ties.
-    dv = r.groupBy("metric", y).agg(F.min("rank").alias("_r"),
-                                    F.count(F.lit(1)).alias("_ties"))
-    nv = dv.select("metric", F.col("_r").alias("_next_rank"), F.col(y).alias("next_value"))
-    out = (r.join(dv.select("metric", y, "_ties"), ["metric", y])
-           .withColumn("_next_rank", F.col("rank") + F.col("_ties"))
-           .join(nv, ["metric", "_next_rank"], "left")
-           .withColumn("margin_to_next", F.col("next_value") - F.col(y)))
+    r = value_rank(snap, ["metric"], y, group_bound=group_bound, next_out="next_value")
+    out = r.withColumn("margin_to_next", F.col("next_value") - F.col(y))
     return out.select("entity", "metric", "period", y, "rank", "percent_rank",
                       "next_value", "margin_to_next")
 

@@ -68,9 +68,11 @@ def _running_below(group_cols):
 
 def count_below(df: DataFrame, group_cols, key: str, weight: str | None = None,
                 out: str = "below", n_out: str | None = "n_group",
-                group_bound: int | None = None) -> DataFrame:
+                group_bound: int | None = None, next_out: str | None = None) -> DataFrame:
     """Add ``out`` = summed weight of same-group rows with a smaller key
     and ``n_out`` = summed weight of the group (both NULL for a NULL key)."""
+    if next_out and weight:
+        raise ValueError("next_out needs unit weights")
     spark = df.sparkSession
     group_cols = list(group_cols)
     w = F.col(weight) if weight else F.lit(1)
@@ -95,14 +97,21 @@ def count_below(df: DataFrame, group_cols, key: str, weight: str | None = None,
     off_bound = None if group_bound is None else n_parts + group_bound
     ranked = (local.join(bounded(off, off_bound), ["_pid", *group_cols])
               .select(*group_cols, F.col("_k").alias(key),
-                      (F.col("_lb") + F.col("_off")).alias(out), F.col("_n")))
-    res = df.join(ranked, [*group_cols, key], "left")
+                      (F.col("_lb") + F.col("_off")).alias(out), F.col("_n"), F.col("_c")))
+    if next_out:
+        # With unit weights the next larger key is the distinct key whose
+        # count below equals this key's count below plus its multiplicity:
+        # one equi-join of the distinct keys with themselves.
+        nxt = ranked.select(*group_cols, F.col(out).alias("_at"), F.col(key).alias(next_out))
+        ranked = (ranked.withColumn("_at", F.col(out) + F.col("_c"))
+                  .join(nxt, [*group_cols, "_at"], "left").drop("_at"))
+    res = df.join(ranked.drop("_c"), [*group_cols, key], "left")
     # the group total travels with every ranked key (NULL for a NULL key)
     return res.withColumnRenamed("_n", n_out) if n_out else res.drop("_n")
 
 
 def value_rank(df: DataFrame, group_cols, key: str, descending: bool = False,
-               group_bound: int | None = None) -> DataFrame:
+               group_bound: int | None = None, next_out: str | None = None) -> DataFrame:
     """SQL ``rank()`` (1 + rows strictly ahead) and ``percent_rank`` of
     ``key`` within each group; NULL keys get NULL."""
     k = key
@@ -110,7 +119,7 @@ def value_rank(df: DataFrame, group_cols, key: str, descending: bool = False,
         df = df.withColumn("_neg", -F.col(key))
         k = "_neg"
     r = count_below(df, group_cols, k, out="_below", n_out="_n",
-                    group_bound=group_bound)
+                    group_bound=group_bound, next_out=next_out)
     nn = F.col("_n")
     r = (r.withColumn("rank", (F.col("_below") + 1).cast("int"))
          .withColumn("percent_rank",
