@@ -20,6 +20,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # remove checkpoint files of RDDs that are no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
