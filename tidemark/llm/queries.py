@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from tidemark.llm.lines import OP8_SQL, op8_line_dedup
+from tidemark.llm.nearcopy import op4_near_copies
 from tidemark.llm.pieces import op5_sentencepiece
 from tidemark.llm.sharding import OP7_SQL, op7_sharding
 from tidemark.llm.tokencount import op3_token_counts
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op4_near_copies": op4_near_copies,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_sharding": op7_sharding,
     "op8_line_dedup": op8_line_dedup,
