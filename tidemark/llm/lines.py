@@ -17,6 +17,8 @@ from tidemark.llm.common import fresh
 STRIP = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+SALTS = 16  # tasks that share the lines of one key
+
 
 def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(STRIP)), UPPER, LOWER)
@@ -46,21 +48,27 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     n_lines, n_dropped, h, gone = fresh(docs, "n_lines", "n_dropped", "line_row", "line_gone")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # The row key tells rows apart that repeat an id with another text.
-    src = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("row"),
-                      F.posexplode(lines_of(F.col(text_col))).alias("pos", "line"))
-    keys = (src.where(F.col("id").isNotNull())
-            .select("id", "row", "pos", line_key(F.col("line")).alias("key"))
-            .where(F.length("key") >= min_chars)
-            .select("id", "row", "pos", F.unhex(F.md5("key")).alias("h")))
+    # The keys are hashed inside the generator: a filter on its output is not
+    # pushed below it, so no key is computed twice.  The row key tells rows
+    # apart that repeat an id with another text.
+    hashes = F.transform(F.transform(lines_of(F.col(text_col)), line_key),
+                         lambda k: F.when(F.length(k) >= min_chars, F.unhex(F.md5(k))))
+    keys = (docs.where(F.col(id_col).isNotNull())
+            .select(F.col(id_col).alias("id"), F.xxhash64(text).alias("row"),
+                    F.posexplode(hashes).alias("pos", "h"))
+            .where(F.col("h").isNotNull()))
     held = (keys.groupBy("h", "id").agg(F.lit(1).alias("one"))
             .groupBy("h").agg(F.count("one").alias("n"), F.min("id").alias("keeper"))
             .where(F.col("n") > max_docs).select("h", "keeper"))
-    drop = (keys.join(held, "h").where(F.col("id") != F.col("keeper"))
+    # A line of very many documents is dealt over SALTS tasks; the other side
+    # has one row per repeated line, and a copy of it for each salt.
+    held = held.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    drop = (keys.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+            .join(held, ["h", "salt"]).where(F.col("id") != F.col("keeper"))
             .groupBy("id", "row").agg(F.collect_set("pos").alias("gone"))
             .select(F.col("id").alias(f"{gone}_id"), F.col("row").alias(f"{gone}_row"),
                     F.col("gone").alias(gone)))
-    base = docs.withColumn(h, F.unhex(F.md5(text)))
+    base = docs.withColumn(h, F.xxhash64(text))
     joined = base.join(drop, (F.col(id_col) == F.col(f"{gone}_id"))
                        & (F.col(h) == F.col(f"{gone}_row")), "left")
     lines = lines_of(F.col(text_col))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontam import op2_decontamination, op2_sql
 from tidemark.llm.lines import OP8_SQL, op8_line_dedup
 from tidemark.llm.nearcopy import op4_near_copies
 from tidemark.llm.pieces import op5_sentencepiece
@@ -9,6 +10,7 @@ from tidemark.llm.sharding import OP7_SQL, op7_sharding
 from tidemark.llm.tokencount import op3_token_counts
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
     "op4_near_copies": op4_near_copies,
     "op5_sentencepiece": op5_sentencepiece,
@@ -17,6 +19,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_decontamination": op2_sql(),
     "op7_sharding": OP7_SQL,
     "op8_line_dedup": OP8_SQL,
 }
