@@ -5,12 +5,12 @@ minimiser: a word whose K-word hash is the least of some W neighbouring ones.
 The choice depends on content alone, so a passage that two documents share
 has the same minimisers in both, and the first of them lies among its first
 W words.  Retained suffixes are sorted by their first DEPTH words; those that
-agree there are neighbours.  Neighbours are then extended to the left, up to
-the retained suffix before, and to the right, to windows of LENGTH words;
+agree there are neighbours.  Neighbours are then extended to the left and
+to the right, to the windows of LENGTH words that belong to them;
 windows found in several documents are put together to passages.
 
-Every window of LENGTH words belongs to the first minimiser in it, and two
-equal windows belong to equal suffixes, so exactly the windows that several
+Every window of LENGTH words belongs to the least of its first W places, and
+two equal windows belong to equal suffixes, so exactly the windows that several
 documents hold are found, without listing pairs.
 """
 
@@ -23,13 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import importable, read, word_hashes, written
-from tidemark.llm.nearcopy import mix
+from tidemark.llm.common import importable, read, written
+from tidemark.llm.wordhash import mix, word_hashes
 
 LENGTH = 50  # words of a passage at least
-W = 20       # a retained suffix begins in any W neighbouring places
+W = 36       # a retained suffix begins in any W neighbouring places
 K = 3        # words whose hash is compared
-SALTS = 16   # tasks that share the places of one hot suffix
 
 
 def _runs(h: np.ndarray, n: int) -> np.ndarray:
@@ -50,39 +49,40 @@ def _runs(h: np.ndarray, n: int) -> np.ndarray:
         return out
 
 
-def _least(x: np.ndarray, n: int) -> np.ndarray:
-    """Minimum of n neighbours from each place on (len(x) - n + 1 of them)."""
-    have = 1
-    while have < n:
-        step = min(have, n - have)
-        x = np.minimum(x[:-step], x[step:])
-        have += step
-    return x
-
-
-def minimisers(h: np.ndarray, w: int, k: int) -> np.ndarray:
-    """Places whose k-word hash is the least of some w neighbouring ones; all
-    of those that tie."""
+def least_places(h: np.ndarray, w: int, k: int) -> np.ndarray:
+    """For each place the least k-word hash among the w places from there on:
+    where it is, the leftmost of those that tie."""
     n = len(h) - k + 1
     if n < w:
         return np.zeros(0, dtype=np.int64)
     x = _runs(h, k)[:n]
-    low = _least(x, w)
-    padded = np.concatenate([np.zeros(w - 1, np.uint64), low, np.zeros(w - 1, np.uint64)])
-    return np.flatnonzero(~_least(~padded, w) == x)  # greatest minimum of the windows around
+    at, have = np.arange(n), 1
+    while have < w:
+        step = min(have, w - have)
+        one, two = at[:-step], at[step:]
+        at = np.where(x[one] <= x[two], one, two)
+        have += step
+    return at
 
 
-def _docs(batch: pa.RecordBatch, column: int):
-    words = batch.column(column)
-    flat = words.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    cuts = words.offsets.to_numpy() - words.offsets[0].as_py()
-    for row in range(batch.num_rows):
-        yield row, flat[cuts[row]:cuts[row + 1]]
+def minimisers(h: np.ndarray, w: int, k: int) -> np.ndarray:
+    """Places that are the least of some w neighbouring ones."""
+    at = least_places(h, w, k)  # does not decrease
+    return at[np.flatnonzero(np.diff(at, prepend=-1))]
+
+
+def _docs(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, hashes of its words)"""
+    for lo, hi, flat, sizes in word_hashes(batch.column(column).to_pylist()):
+        cuts = np.concatenate([[0], np.cumsum(sizes)])
+        for row in range(lo, hi):
+            yield row, flat[cuts[row - lo]:cuts[row - lo + 1]]
 
 
 def _emit(ids: list, columns: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
     sizes = [len(x) for x in columns[0]]
-    flat = [np.concatenate([*c, np.zeros(0, np.int64)]).astype(np.int64) for c in columns]
+    flat = [np.concatenate([*c, np.zeros(0, t)]).astype(t)
+            for c, t in zip(columns, (np.int64, np.int32), strict=True)]  # key, place
     return pa.RecordBatch.from_arrays(
         [pa.array(np.repeat(np.array(ids, dtype=np.int64), sizes)), *map(pa.array, flat)], names=names)
 
@@ -98,25 +98,26 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Overlapping windows become one passage.  Repeats within one document
     only do not count.  NULL, empty and shorter texts have no passage.  Rows
     with a NULL id take no part.  Rows that repeat an id are one document,
-    with the text whose words come first by hash.  Other columns are not
+    with the text that sorts first.  Other columns are not
     looked at.  An empty table gives no rows.
 
     A passage that a third of the corpus holds is reduced to its least and
-    greatest id before the shuffle; its places are dealt over SALTS tasks.
+    greatest id before the shuffle; its places are joined by key, where AQE
+    splits large partitions.
     """
     if length < w + k - 1:
         raise ValueError("length must hold w places of k words")
     depth = length - w + 1
     importable(docs.sparkSession)
-    texts = (docs.where(F.col(id_col).isNotNull())
-             .select(F.col(id_col).cast("long").alias("id"), word_hashes(F.col(text_col)).alias("words"))
-             .where(F.size("words") >= length))
+    # shorter texts have too few characters for the words
+    texts = (docs.where(F.col(id_col).isNotNull() & (F.length(text_col) >= 2 * length - 1))
+             .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
 
     def retain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, keys, places = b.column(0).to_pylist(), [], []
             for _, h in _docs(b, 1):
-                at = minimisers(h, w, k)
+                at = minimisers(h, w, k) if len(h) >= length else np.zeros(0, dtype=np.int64)
                 at = at[at + depth <= len(h)]
                 places.append(at)
                 keys.append(_runs(h, depth)[at].view(np.int64))
@@ -127,14 +128,10 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return written(rows.groupBy(key).agg(F.min("id").alias("first"), F.max("id").alias("last"))
                        .where("first < last").select(key, "first"), name)
 
-    def dealt(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-        salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
-        copies = keys.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-        return rows.withColumn("salt", salt).join(copies, [key, "salt"]).drop("salt")
-
     suffixes = written(texts.mapInArrow(retain, "id long, key long, place int"), "suffixes")
     neighbours = common(suffixes.select("key", "id"), "key", "neighbours")
-    kept = (dealt(suffixes, neighbours, "key").groupBy("id")
+    # a plain join of two written tables: AQE splits what a hot key fills
+    kept = (suffixes.join(neighbours, "key").groupBy("id")
             .agg(F.sort_array(F.collect_set("place")).alias("places")))  # one text's places
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,20 +139,20 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             ids, keys, starts = b.column(0).to_pylist(), [], []
             for row, h in _docs(b, 1):
                 mine = b.column(2)[row].values.to_numpy()
-                every = minimisers(h, w, k)
-                n = len(h) - length + 1
-                first = np.searchsorted(every, np.arange(n))  # the first minimiser of each window
-                at = np.flatnonzero(np.isin(every[np.minimum(first, len(every) - 1)], mine)) if len(every) else mine[:0]
+                anchor = least_places(h, w, k)[:max(0, len(h) - length + 1)]
+                known = np.zeros(len(h), dtype=bool)
+                known[mine] = True
+                at = np.flatnonzero(known[anchor])
                 starts.append(at)
                 keys.append(_runs(h, length)[at].view(np.int64))
             yield _emit(ids, [keys, starts], ["id", "key", "start"])
 
     one = texts if _unique_ids(docs, id_col) else (
-        texts.groupBy("id").agg(F.min("words").alias("words")))
-    windows = written(one.join(kept, "id").select("id", "words", "places")
+        texts.groupBy("id").agg(F.min("text").alias("text")))
+    windows = written(one.join(kept, "id").select("id", "text", "places")
                       .mapInArrow(extend, "id long, key long, start int"), "windows")
     repeated = common(windows.select("key", "id"), "key", "repeated")
-    found = dealt(windows, repeated, "key").groupBy("id", "start").agg(F.min("first").alias("first"))
+    found = windows.join(repeated, "key").groupBy("id", "start").agg(F.min("first").alias("first"))
     by = Window.partitionBy("id").orderBy("start")
     joined = (found.withColumn("new", F.coalesce((F.col("start") > F.lag("start").over(by) + length)
                                                  .cast("int"), F.lit(1)))
