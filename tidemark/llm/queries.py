@@ -9,6 +9,7 @@ from tidemark.llm.nearcopy import op4_near_copies
 from tidemark.llm.pieces import op5_sentencepiece
 from tidemark.llm.sharding import OP7_SQL, op7_sharding
 from tidemark.llm.suffixes import OP10_SQL, op10_repeated_passages
+from tidemark.llm.template import op6_html_text
 from tidemark.llm.tokencount import op3_token_counts
 from tidemark.llm.topk import OP1_SQL, op1_topk_search
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_near_copies": op4_near_copies,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_html_text": op6_html_text,
     "op7_sharding": op7_sharding,
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
