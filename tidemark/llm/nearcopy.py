@@ -30,26 +30,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import importable, read, word_hashes, written
+from tidemark.llm.common import importable, read, written
 from tidemark.llm.components import components
+from tidemark.llm.wordhash import mix, word_hashes
 
 WORDS = 5            # words in a shingle
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 5  # a pair of similarity 0.8 is missed with probability 7e-6
-STEP_WORDS = 400_000  # words sketched at once
 HASH_BITS = 52
 
 _MASK = np.uint64((1 << HASH_BITS) - 1)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit numbers (multiply and shift)."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return x ^ (x >> np.uint64(32))
-
-
 def shingles(hashes: np.ndarray, sizes: np.ndarray, k: int = WORDS):
     """Distinct shingles of documents whose word hashes lie end to end:
     (document, shingle hash, count).  A document of fewer than k words has
@@ -120,36 +112,23 @@ def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) ->
     return float((x / total).sum())
 
 
-def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes end to end, and the number of words of each row."""
-    words = batch.column(1)
-    sizes = np.diff(words.offsets.to_numpy()).astype(np.int64)
-    return words.flatten().to_numpy(zero_copy_only=False).view(np.uint64), sizes
-
-
-def _steps(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most STEP_WORDS words (or one row) and 4,000 rows."""
-    lo = total = 0
-    for i, n in enumerate(sizes.tolist()):
-        if i > lo and (total + n > STEP_WORDS or i - lo >= 4000):
-            yield lo, i
-            lo, total = i, 0
-        total += n
-    if len(sizes) > lo:
-        yield lo, len(sizes)
+def _steps(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(from row, to row, word hashes end to end, number of words of each row)
+    for runs of at most 4,000 rows."""
+    for lo, hi, flat, sizes in word_hashes(batch.column(1).to_pylist()):
+        cuts = np.concatenate([[0], np.cumsum(sizes)])
+        for a in range(0, hi - lo, 4000):
+            b = min(a + 4000, hi - lo)
+            yield lo + a, lo + b, flat[cuts[a]:cuts[b]], sizes[a:b]
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(id, digest of the words, bands) of docs (id, words)."""
+    """(id, digest of the words, bands) of docs (id, text)."""
     registers = BANDS * ROWS
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, sizes = _columns(batch)
-            ends = np.cumsum(sizes)
-            for lo, hi in _steps(sizes):
-                n = sizes[lo:hi]
-                part = flat[ends[lo] - sizes[lo]:ends[hi - 1]]
+            for lo, hi, part, n in _steps(batch):
                 doc, item, count = shingles(part, n)
                 kept = prob_minhash(doc, item, count.astype(float), hi - lo, registers)
                 bands = np.zeros((hi - lo, BANDS), dtype=np.uint64)
@@ -170,14 +149,12 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def weighted_shingles(docs: DataFrame) -> DataFrame:
-    """(id, sorted distinct shingles, their counts) of docs (id, words)."""
+    """(id, sorted distinct shingles, their counts) of docs (id, text)."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, sizes = _columns(batch)
-            ends = np.cumsum(sizes)
-            for lo, hi in _steps(sizes):
-                doc, item, count = shingles(flat[ends[lo] - sizes[lo]:ends[hi - 1]], sizes[lo:hi])
+            for lo, hi, part, n in _steps(batch):
+                doc, item, count = shingles(part, n)
                 cut = pa.array(np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo),
@@ -220,9 +197,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least counts for all.  An empty table gives no rows.
     """
     importable(docs.sparkSession)
-    words = (docs.where(F.col(id_col).isNotNull())
-             .select(F.col(id_col).cast("long").alias("id"), word_hashes(F.col(text_col)).alias("words")))
-    sketch = written(sketches(words), "sketches")
+    texts = (docs.where(F.col(id_col).isNotNull())
+             .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
+    sketch = written(sketches(texts), "sketches")
     full = sketch.where(F.col("digest") != F.lit(blake2b(b"", digest_size=16).digest()))
     one = full.groupBy("id").agg(F.min("digest").alias("digest"))
     reps = full.groupBy("digest").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands"))
@@ -233,7 +210,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .where("hub < last").drop("last"))
     buckets = written(rows.join(shared, ["band", "bucket"]), "buckets")
     sets = written(weighted_shingles(
-        words.join(buckets.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")), "shingles")
+        texts.join(buckets.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")), "shingles")
     sets = sets.dropDuplicates(["id"])
 
     # 2. the least member of each bucket
