@@ -27,8 +27,9 @@ from tidemark.llm.common import fresh, importable
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-BATCH_CHARS = 400_000    # characters indexed at once
-CACHE_CHUNKS = 200_000   # chunks whose encoding a worker remembers
+BATCH_ROWS = 100         # texts encoded at once
+BATCH_CHARS = 100_000    # characters indexed at once
+CACHE_CHUNKS = 150_000   # chunks whose encoding a worker remembers
 PAIR_SLOTS = 1 << 21     # slots of the cache of judged neighbours
 
 
@@ -86,7 +87,7 @@ class Codec:
         self.longest = max(self.by_len)
         self.slot_keys = np.full(PAIR_SLOTS, -1, dtype=np.int64)
         self.slot_ok = np.zeros(PAIR_SLOTS, dtype=bool)
-        self.chunks: dict[str, np.ndarray] = {}
+        self.chunks: dict[str, bytes] = {}  # ids as int32
 
     def _histories(self) -> None:
         """For each piece the merges that build it from its characters, in
@@ -277,7 +278,6 @@ class Codec:
 
     def encode_texts(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; NULL and empty texts have none."""
-        empty = np.zeros(0, dtype=np.int32)
         split, new, seen = [], [], self.chunks
         pending: set[str] = set()
         for text in texts:
@@ -287,23 +287,18 @@ class Codec:
                 if c not in seen and c not in pending:
                     pending.add(c)
                     new.append(c)
-        fresh_ids: dict[str, np.ndarray] = {}
+        if len(seen) + len(new) > CACHE_CHUNKS:
+            seen = self.chunks = {c: seen[c] for own in split for c in own if c in seen}
+        own_ids = dict(seen) if len(new) > CACHE_CHUNKS else seen  # a very long text is not remembered
         lo = 0
         while lo < len(new):
             hi, chars = lo, 0
             while hi < len(new) and (hi == lo or chars + len(new[hi]) <= BATCH_CHARS):
                 chars += len(new[hi])
                 hi += 1
-            fresh_ids.update(zip(new[lo:hi], self._encode(new[lo:hi]), strict=True))
+            own_ids.update(zip(new[lo:hi], (x.tobytes() for x in self._encode(new[lo:hi])), strict=True))
             lo = hi
-        out = []
-        for own in split:
-            out.append(np.concatenate([fresh_ids[c] if c in fresh_ids else seen[c] for c in own])
-                       if own else empty)
-        if len(seen) + len(fresh_ids) > CACHE_CHUNKS:
-            seen.clear()
-        seen.update((c, ids.copy()) for c, ids in fresh_ids.items() if len(c) < 64)
-        return out
+        return [np.frombuffer(b"".join(map(own_ids.__getitem__, own)), dtype=np.int32) for own in split]
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
@@ -363,8 +358,8 @@ def _coded(df: DataFrame, vocab: list[tuple[str, float, str]], text_col: str) ->
         if codec is None:
             codec = _codecs[tag] = Codec(shared.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                b = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, BATCH_ROWS):
+                b = batch.slice(lo, BATCH_ROWS)
                 texts = b.column(text_at).to_pylist()
                 ids = codec.encode_texts(texts)
                 ok = [None if t is None else codec.decode(x.tolist()) == t
