@@ -14,10 +14,12 @@ without listing the pairs of a bucket:
 2. each bucket's members are compared with its least member;
 3. only in buckets that still hold several components, shingles that no
    other such document has are counted.  They bound a document's similarity
-   to any other from above; a document that no other can reach drops out,
-   and the member with the smallest share of own shingles is compared with
-   the rest;
-4. pairs across components that the bound still allows are compared.
+   to any other from above; a document that no other can reach drops out.
+   Documents with a chain of shared buckets make a group, whose HUBS members
+   with the smallest shares of own shingles are compared with the rest;
+4. those still outside the largest component of their group meet blocks of
+   the group, whose shared weights are one matrix product; only what may be
+   similar comes out and is verified.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import importable, read, written
@@ -36,6 +38,8 @@ from tidemark.llm.wordhash import mix, word_hashes
 
 WORDS = 5            # words in a shingle
 SIMILARITY = 0.8
+HUBS = 16            # members of a group that are compared with all others at once
+BLOCK = 32_000       # shingles in a block, on average
 BANDS, ROWS = 30, 5  # a pair of similarity 0.8 is missed with probability 7e-6
 HASH_BITS = 52
 
@@ -183,6 +187,44 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
             .mapInArrow(judge, "a long, b long"))
 
 
+def allowed(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """(a, b) of all documents in the two blocks of a row, of different roots,
+    whose shared shingles allow the similarity ``least``: with weights A and B,
+    X and Y of them shared, it is at most X Y / (A Y + (B - Y) X)."""
+
+    def sets_of(block) -> tuple:
+        docs = block.values
+        items, counts = docs.field("items"), docs.field("counts")
+        cuts = items.offsets.to_numpy()
+        return (docs.field("rep").to_numpy(), docs.field("root").to_numpy(),
+                np.repeat(np.arange(len(docs)), np.diff(cuts)), items.values.to_numpy()[cuts[0]:cuts[-1]],
+                counts.values.to_numpy()[cuts[0]:cuts[-1]].astype(np.float32))
+
+    for batch in batches:
+        for row in range(batch.num_rows):
+            a, root_a, doc_a, item_a, w_a = sets_of(batch.column(0)[row])
+            b, root_b, doc_b, item_b, w_b = sets_of(batch.column(1)[row])
+            total_a = np.bincount(doc_a, w_a, len(a))[:, None]
+            total_b = np.bincount(doc_b, w_b, len(b))[None, :]
+            both = np.intersect1d(item_a, item_b)
+            x, y = np.zeros((len(a), len(b))), np.zeros((len(a), len(b)))
+            for lo in range(0, len(both), 4096):
+                part = both[lo:lo + 4096]
+                sides = []
+                for doc, item, w, n in ((doc_a, item_a, w_a, len(a)), (doc_b, item_b, w_b, len(b))):
+                    at = np.minimum(np.searchsorted(part, item), len(part) - 1)
+                    hit = part[at] == item
+                    m = np.zeros((n, len(part)), dtype=np.float32)
+                    m[doc[hit], at[hit]] = w[hit]
+                    sides.append(m)
+                x += sides[0] @ (sides[1] > 0).astype(np.float32).T
+                y += (sides[0] > 0).astype(np.float32) @ sides[1].T
+            top = x * y >= (least - 1e-6) * (total_a * y + (total_b - y) * x)
+            i, j = np.nonzero(top & (x > 0) & (root_a[:, None] != root_b[None, :]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a[i], b[j])), pa.array(np.minimum(a[i], b[j]))],
+                                             names=["a", "b"])
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 least: float = SIMILARITY) -> DataFrame:
     """(id, ``class_id``, ``copy_of``) for every distinct id: the least id of
@@ -226,6 +268,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  .where("lo < hi").select("band", "bucket"))
         return named.join(mixed, ["band", "bucket"], "left_semi")
 
+    def reaches(x: str, y: str):
+        """Whether documents with these shares of own shingles can be similar:
+        J <= (1 - x)(1 - y) / (1 - xy), from the concavity of the sum over the
+        shared shingles, with equality where the rest has equal weights."""
+        return (1 - F.col(x)) * (1 - F.col(y)) >= least * (1 - F.col(x) * F.col(y)) - 1e-9
+
     mixed = written(labelled(buckets.select("band", "bucket", "rep"), roots), "mixed")
     open_ids = mixed.select(F.col("rep").alias("id")).distinct()
     lonely = (sets.join(open_ids, "id", "left_semi")
@@ -237,31 +285,51 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bound = (open_ids.join(sizes, "id").join(lonely, "id", "left")
              .select(F.col("id").alias("rep"), "size", F.coalesce("own", F.lit(0)).alias("own"))
              .where(F.col("own") <= (1 - least) * F.col("size") + 1e-9))
-    able = written(mixed.drop("root").join(bound, "rep"), "open")
-    hubs = (able.groupBy("band", "bucket")
-            .agg(F.min(F.struct((F.col("own") / F.col("size")).alias("share"), "rep")).alias("hub"))
-            .select("band", "bucket", F.col("hub.rep").alias("hub")))
-    tried = (able.join(hubs, ["band", "bucket"]).where("rep <> hub")
+    able = written(mixed.drop("root").join(bound, "rep").withColumn("share", F.col("own") / F.col("size")),
+                   "open")
+    # documents with a chain of shared buckets make a group; its HUBS members
+    # with the smallest shares are compared with all others, once for all buckets
+    chained = written(able.groupBy("band", "bucket").agg(F.min("rep").alias("hub"))
+                      .join(able, ["band", "bucket"])
+                      .select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "chains")
+    groups = components(chained).select(F.col("node").alias("rep"), F.col("root").alias("group"))
+    member = written(able.select("rep", "share").distinct().join(groups, "rep")
+                     .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+                     .select("rep", "share", "group", F.coalesce("root", "rep").alias("root")), "members")
+    first = Window.partitionBy("group").orderBy("share", "rep")
+    hubs = (member.withColumn("place", F.row_number().over(first)).where(F.col("place") <= HUBS)
+            .select("group", F.col("rep").alias("hub"), F.col("share").alias("hub_share"),
+                    F.col("root").alias("hub_root")))
+    tried = (member.join(hubs, "group")
+             .where((F.col("root") != F.col("hub_root")) & reaches("share", "hub_share"))
              .select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct())
-    tried = tried.join(pairs, ["a", "b"], "left_anti")
+    tried = written(tried.join(pairs, ["a", "b"], "left_anti"), "tried")
     links2 = written(verified(tried, sets, least), "verified")
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links2))
 
     # 4. what the bound still allows across components
-    rest = written(labelled(able, roots), "rest")
-    parts = rest.select("band", "bucket", "root").distinct()
-    across = (parts.join(parts.withColumnRenamed("root", "other"), ["band", "bucket"])
-              .where("root < other"))
-    x, y = (rest.select("band", "bucket", F.col("root").alias(r), F.col("rep").alias(i),
-                        F.col("size").alias(f"{i}_size"), F.col("own").alias(f"{i}_own"))
-            for r, i in (("root", "a"), ("other", "b")))
-    # shared weight is at most what is not a document's own; sizes as if
-    # equal weights, else the bound of step 3 alone holds
-    common = F.least(F.col("a_size") - F.col("a_own"), F.col("b_size") - F.col("b_own"))
-    largest = F.greatest("a_size", "b_size")
-    last = (x.join(across, ["band", "bucket", "root"]).join(y, ["band", "bucket", "other"])
-            .where(common >= least * largest - 1e-9)
-            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # strays, those outside their group's largest component, meet the blocks
+    # of their group; a block pair gives only what its shared weights allow
+    rest = written(labelled(able, roots).select("rep", "share", "root").distinct().join(groups, "rep"), "rest")
+    sizes = rest.groupBy("group", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("group").agg(F.max(F.struct("n", "root")).alias("m")).select(
+        "group", F.col("m.root").alias("main"))
+    stocked = written(rest.join(main, "group").join(sets.withColumnRenamed("id", "rep"), "rep")
+                      .withColumn("stray", F.col("root") != F.col("main")).drop("main"), "stocked")
+    blocks = (stocked.groupBy("group", "stray")
+              .agg(F.ceil(F.sum(F.size("items")) / BLOCK).cast("int").alias("n_blocks")))
+    packed = written(
+        stocked.join(blocks, ["group", "stray"])
+        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
+        .groupBy("group", "stray", "block")
+        .agg(F.collect_list(F.struct("rep", "root", "items", "counts")).alias("docs")), "blocks")
+    other = blocks.select("group", F.col("stray").alias("other"),
+                          F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("place"))
+    met = (packed.where("stray").select("group", F.col("block").alias("own"), F.col("docs").alias("left"))
+           .join(other, "group").where("NOT other OR place >= own")
+           .join(packed.select("group", F.col("stray").alias("other"), F.col("block").alias("place"),
+                               F.col("docs").alias("right")), ["group", "other", "place"]))
+    last = (met.select("left", "right").mapInArrow(lambda x: allowed(x, least), "a long, b long").distinct()
             .join(pairs, ["a", "b"], "left_anti").join(tried, ["a", "b"], "left_anti"))
     links3 = written(verified(last, sets, least), "verified")
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links3))
