@@ -56,13 +56,41 @@ def test_series_shape_and_last_value_keeps_null(spark):
     assert lv["last_period"] == 4 and lv["last_value"] is None
 
 
-def test_top_extremes_ties_kept_and_group_limit(spark):
-    rows = [(e, "m", 1, v) for e, v in zip("ABCDE", [9.0, 9.0, 8.0, 7.0, 1.0])]
+def test_top_extremes_exactly_k_and_group_limit(spark):
+    rows = [(e, "m", 1, v) for e, v in zip("BACDE", [9.0, 9.0, 9.0, 7.0, 1.0])]
     df = top_extremes(gap_df(spark, rows), 2)
-    assert sorted(r["entity"] for r in df.collect()) == ["A", "B"]
+    assert sorted((r["rank"], r["entity"]) for r in df.collect()) == [(1, "A"), (2, "B")]
     assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_last_n_periods_on_an_axis_with_holes(spark):
+    from tidemark.operators.reshape import last_n_periods
+    rows = [(e, "m", p, 1.0) for e in "AB" for p in (2010, 2014, 2018)]
+    got = last_n_periods(gap_df(spark, rows), 2).collect()
+    assert sorted({r["period"] for r in got}) == [2014, 2018] and len(got) == 4
+
+
+def test_wide_pivot_counts_empty_cells_as_zero(spark):
+    from pyspark.sql import functions as F
+    from tidemark.operators.reshape import pivot_agg
+    df = gap_df(spark, [("A", "v0", 1, 1.0)])
+    for n in (3, 150):
+        w = pivot_agg(df, ["entity"], "metric", [f"v{i}" for i in range(n)], lambda c: F.count(F.when(c, F.col("gap"))))
+        r = w.collect()[0]
+        assert (r["v0"], r["v1"], r[f"v{n - 1}"]) == (1, 0, 0)
+
+
+def test_dominance_with_unknown_periods(spark):
+    from tidemark.operators.compare import dominance
+    rows = [("A", "m", 1, 5.0), ("B", "m", 1, 1.0), ("A", "m", 2, None), ("B", "m", 2, 9.0),
+            ("A", "n", 1, 1.0), ("B", "n", 1, 2.0), ("A", "n", 2, None), ("B", "n", 2, 1.0),
+            ("A", "n", 3, 3.0), ("B", "n", 3, 1.0), ("B", "n", 4, 1.0)]
+    got = {r["metric"]: r for r in dominance(gap_df(spark, rows), "A", "B").collect()}
+    assert got["m"]["always_above"] is None
+    assert got["n"]["always_above"] is False
+    assert (got["n"]["first_overtake"], got["n"]["n_periods"]) == (3, 4)
+
+
 def test_to_wide_listed_values(spark):
     rows = [("A", "x", 1, 1.0), ("A", "y", 1, 2.0)]
     w = to_wide(gap_df(spark, rows), ["entity", "period"], "metric", "gap", ["x", "y", "z"])

@@ -94,3 +94,26 @@ def test_string_helpers(spark):
     r = df.select(strip_prefix("c", "IDX_").alias("s"), joined(";", "a", "b", "c").alias("j")
                   ).collect()[0]
     assert (r["s"], r["j"]) == ("RL.SC", "x;IDX_RL.SC")
+
+
+def test_raw_paths_and_newest_batch_per_source(spark, tmp_path):
+    from tidemark.sources.raw import append_batch, latest_batch, read_raw, stamp_batch, superseded_keys
+    path = str(tmp_path / "raw")
+    assert read_raw(spark, path).count() == 0 and read_raw(spark, f"file:{path}").count() == 0
+
+    def land(source, batch, rows):
+        from tidemark import params as P
+        df = spark.createDataFrame(rows, P.PANEL_SCHEMA).select("metric", "entity", "period", "value")
+        names = [f.name for f in P.RAW_SCHEMA.fields if f.name not in ("source", "ingested_at", "batch_id")]
+        for n in set(names) - set(df.columns):
+            from pyspark.sql import functions as F
+            df = df.withColumn(n, F.lit(None).cast(P.RAW_SCHEMA[n].dataType))
+        append_batch(stamp_batch(df, source, batch), path)
+
+    land("WDI", "wdi_20250101T000000Z", [("A", "old", 1, 1.0)])
+    land("WDI", "wdi_20260101T000000Z", [("A", "x", 1, 2.0)])
+    land("WGI", "wgi_20250601T000000Z", [("A", "y", 1, 3.0)])
+    for p in (path, f"file:{path}"):
+        raw = read_raw(spark, p)
+        assert sorted(r["metric"] for r in latest_batch(raw).collect()) == ["x", "y"]
+        assert [r["metric"] for r in superseded_keys(raw).collect()] == ["old"]

@@ -20,17 +20,21 @@ from tidemark.operators.rank import count_below, value_rank
 def dominance(df: DataFrame, a: str, b: str, y: str = "gap",
               bench_bound: int | None = None) -> DataFrame:
     """Per metric: is ``a`` above ``b`` in every period, and the first
-    period where ``a`` moves from not-above to above.  Both slices have at
+    period where ``a`` moves from not-above to above, unknown periods between
+    them passed over.  A period that is NULL or missing on one side is unknown:
+    ``always_above`` is then false if some known period says so, else NULL.  Both slices have at
     most metrics x periods rows."""
     sa = df.filter(F.col("entity") == a).select("metric", "period", F.col(y).alias("y_a"))
     sb = df.filter(F.col("entity") == b).select("metric", "period", F.col(y).alias("y_b"))
     w = Window.partitionBy("metric").orderBy("period")
-    j = (sa.join(bounded(sb, bench_bound), ["metric", "period"])
+    j = (sa.join(bounded(sb, bench_bound), ["metric", "period"], "full_outer")
          .withColumn("_above", F.col("y_a") > F.col("y_b"))
-         .withColumn("_prev", F.lag("_above").over(w)))
+         .withColumn("_prev", F.last("_above", ignorenulls=True)
+                     .over(w.rowsBetween(Window.unboundedPreceding, -1))))
     cross = F.col("_above") & ~F.col("_prev")
     return j.groupBy("metric").agg(
-        F.bool_and("_above").alias("always_above"),
+        F.when(F.bool_or(~F.col("_above")), F.lit(False))
+        .when(F.count("_above") == F.count(F.lit(1)), F.lit(True)).alias("always_above"),
         F.min(F.when(cross, F.col("period"))).alias("first_overtake"),
         F.count(F.lit(1)).alias("n_periods"))
 

@@ -56,13 +56,14 @@ def series_shape(df: DataFrame, start: int, end: int, y: str = "gap", by=SERIES,
     d = (df.filter(F.col(order).between(start, end))
          .withColumn("_d", F.col(y) - F.lag(y).over(w)))
     has_d = F.col("_d").isNotNull()
+    known = lambda c: F.when(F.count(y) > 0, F.coalesce(c, F.lit(True)))  # noqa: E731  no data: unknown
     return d.groupBy(*by).agg(
         F.max(y).alias("peak"),
         F.max_by(F.col(order), _peak_struct(y, order, 1)).alias("peak_period"),
         F.min(y).alias("trough"),
         F.max_by(F.col(order), _peak_struct(y, order, -1)).alias("trough_period"),
-        F.coalesce(F.bool_and(F.when(has_d, F.col("_d") >= 0)), F.lit(True)).alias("never_falls"),
-        F.coalesce(F.bool_and(F.when(has_d, F.col("_d") <= 0)), F.lit(True)).alias("never_rises"))
+        known(F.bool_and(F.when(has_d, F.col("_d") >= 0))).alias("never_falls"),
+        known(F.bool_and(F.when(has_d, F.col("_d") <= 0))).alias("never_rises"))
 
 
 def last_value(df: DataFrame, y: str = "gap", by=SERIES, order: str = "period") -> DataFrame:
@@ -102,19 +103,9 @@ def slope_since_peak(df: DataFrame, start: int, end: int, y: str = "gap", by=SER
         F.count(yy).alias("n_since_peak"))
 
 
-# Up to this many listed values a pivot is written as conditional
-# aggregation: one hash aggregate, one shuffle.  Spark's ``pivot`` first
-# aggregates by (index, pivot column) and pivots in a second aggregate,
-# which costs a second shuffle; beyond this width it is the better plan.
-PIVOT_INLINE_MAX = 100
-
-
 def pivot_agg(df: DataFrame, index, column: str, values, agg) -> DataFrame:
     """Long -> wide over a listed value set: ``agg(when(column == v, ...))``
-    per value, named after the value."""
-    values = list(values)
-    if len(values) > PIVOT_INLINE_MAX:
-        return df.groupBy(*index).pivot(column, values).agg(agg(None))
+    per value, named after the value; one aggregate for any number of values."""
     return df.groupBy(*index).agg(*[agg(F.col(column) == v).alias(str(v)) for v in values])
 
 
@@ -122,9 +113,7 @@ def to_wide(df: DataFrame, index, column: str, value: str, values) -> DataFrame:
     """Long -> wide with a listed value set (no discovery job, bounded
     width).  The grain must be unique (check with ``grain_unique``); each
     cell is the single value of its key."""
-    def cell(cond):
-        return F.max(F.col(value) if cond is None else F.when(cond, F.col(value)))
-    return pivot_agg(df, index, column, values, cell)
+    return pivot_agg(df, index, column, values, lambda cond: F.max(F.when(cond, F.col(value))))
 
 
 def status_grid(stuck: DataFrame, metrics) -> DataFrame:
@@ -139,23 +128,26 @@ def years_bucket(closing: DataFrame) -> DataFrame:
 
 def top_extremes(df: DataFrame, k: int, y: str = "gap", by=("metric",),
                  largest: bool = True) -> DataFrame:
-    """k most extreme values per group (ties kept, as ``rank``).  The rank
-    filter becomes a WindowGroupLimit, which keeps only the local top k of
-    each group in every map task before the shuffle."""
+    """k most extreme values per group, as ``rank`` 1..k; ties go to the
+    smaller other columns, in their order.  The row_number filter becomes a
+    WindowGroupLimit, which keeps only the local top k of each group in every
+    map task before the shuffle."""
     key = F.col(y).desc() if largest else F.col(y).asc()
-    w = Window.partitionBy(*by).orderBy(key)
+    ties = [F.col(c).asc() for c in ("entity", "period") if c in df.columns and c not in by]
+    w = Window.partitionBy(*by).orderBy(key, *ties)
     return (df.filter(F.col(y).isNotNull())
-            .withColumn("rank", F.rank().over(w))
+            .withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= k))
 
 
 def last_n_periods(df: DataFrame, n: int, by=("metric",), order: str = "period") -> DataFrame:
-    """Rows in the last n periods of each group (dense over periods).  The
-    period list per group is aggregated first (partial aggregation), then
-    joined back: no window over the group."""
-    maxes = df.groupBy(*by).agg(F.max(order).alias("_max"))
-    return (df.join(F.broadcast(maxes) if by == ("metric",) else maxes, list(by))
-            .filter(F.col(order) > F.col("_max") - n).drop("_max"))
+    """Rows in the last n distinct periods of each group.  The distinct
+    periods are aggregated first (partial aggregation), cut to n per group
+    and joined back."""
+    w = Window.partitionBy(*by).orderBy(F.col(order).desc())
+    last = (df.select(*by, order).distinct().withColumn("_n", F.row_number().over(w))
+            .filter(F.col("_n") <= n).drop("_n"))
+    return df.join(last, [*by, order], "left_semi").select(*df.columns)
 
 
 def axis_range(df: DataFrame, y: str = "gap") -> DataFrame:
@@ -176,8 +168,8 @@ def benchmark_breaks(df: DataFrame, benchmark: str, y: str = "value",
 
 def top_abs_extremes(df: DataFrame, k: int, y: str = "gap", center: float = 0.0,
                      by=("metric",)) -> DataFrame:
-    """k values farthest from ``center`` per group (ties kept), with the
-    same per-task WindowGroupLimit as ``top_extremes``."""
+    """k values farthest from ``center`` per group, with the ties and the
+    per-task WindowGroupLimit of ``top_extremes``."""
     d = df.withColumn("_dist", F.abs(F.col(y) - F.lit(center)))
     return top_extremes(d, k, y="_dist", by=by).drop("_dist")
 

@@ -360,7 +360,8 @@ FROM disp_cv GROUP BY metric"""
 # --- raw batches -------------------------------------------------------------------
 ORACLE["latest_batch"] = RAW_CTE + f"""
 SELECT metric, entity, period, {r('value')} AS value
-FROM raw WHERE batch_id = (SELECT max(batch_id) FROM raw)"""
+FROM raw JOIN (SELECT source, max(batch_id) AS batch_id FROM raw GROUP BY source)
+  USING (source, batch_id)"""
 
 ORACLE["latest_per_key"] = RAW_CTE + f"""
 SELECT metric, entity, period, {r('value')} AS value, batch_id
@@ -510,7 +511,8 @@ SELECT sa.entity, sa.metric, {r('peak')} AS peak,
   {r('trough')} AS trough,
   (SELECT min(period) FROM ss WHERE ss.entity = sa.entity AND ss.metric = sa.metric
      AND ss.gap = sa.trough) AS trough_period,
-  never_falls, never_rises
+  CASE WHEN peak IS NOT NULL THEN never_falls END AS never_falls,
+  CASE WHEN peak IS NOT NULL THEN never_rises END AS never_rises
 FROM sa""", SHAPE_CTE)
 
 ORACLE["last_value"] = nsql(f"""
@@ -568,15 +570,15 @@ snap AS (
 ORACLE["top_extremes"] = nsql(f"""
 SELECT entity, metric, period, {r('gap')} AS gap, rnk AS rank
 FROM (SELECT entity, metric, period, gap,
-             CAST(rank() OVER (PARTITION BY metric ORDER BY gap DESC) AS INTEGER) AS rnk
-      FROM gap WHERE gap IS NOT NULL)
+             CAST(row_number() OVER (PARTITION BY metric ORDER BY gap DESC, entity, period)
+                  AS INTEGER) AS rnk
+      FROM gap WHERE gap IS NOT NULL AND entity <> 'ALL')
 WHERE rnk <= 3""")
 
 ORACLE["last_n_periods"] = nsql(f"""
 SELECT p.entity, p.metric, p.period, {r('p.value')} AS value
-FROM panel p JOIN (SELECT metric, max(period) AS mx FROM panel GROUP BY metric) m
-  ON p.metric = m.metric
-WHERE p.period > m.mx - 3""")
+FROM (SELECT *, dense_rank() OVER (PARTITION BY metric ORDER BY period DESC) AS n FROM panel) p
+WHERE n <= 3""")
 
 # --- trend analyses --------------------------------------------------------------------
 ORACLE["loo_slope"] = nsql(f"""
@@ -640,15 +642,21 @@ FROM stuck s JOIN closing c ON s.entity = c.entity AND s.metric = c.metric""")
 
 # --- comparisons -------------------------------------------------------------------------
 ORACLE["dominance"] = nsql("""
-SELECT metric, bool_and(above) AS always_above,
-       min(CASE WHEN above AND NOT prev THEN period END) AS first_overtake,
+SELECT metric,
+       CASE WHEN count(*) FILTER (above = 0) > 0 THEN FALSE
+            WHEN count(above) = count(*) THEN TRUE END AS always_above,
+       min(CASE WHEN above = 1 AND before = 0 THEN period END) AS first_overtake,
        count(*) AS n_periods
-FROM pl GROUP BY metric""", """,
-pa AS (SELECT metric, period, gap AS y_a FROM gap WHERE entity = 'NATION_8'),
-pb AS (SELECT metric, period, gap AS y_b FROM gap WHERE entity = 'NATION_2'),
-pj AS (SELECT pa.metric, pa.period, y_a > y_b AS above
-       FROM pa JOIN pb ON pa.metric = pb.metric AND pa.period = pb.period),
-pl AS (SELECT *, lag(above) OVER (PARTITION BY metric ORDER BY period) AS prev FROM pj)""")
+FROM (SELECT *, last_value(above IGNORE NULLS) OVER (
+               PARTITION BY metric ORDER BY period
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM both_sides)
+GROUP BY metric""", """,
+both_sides AS (
+  SELECT metric, period,
+         sign(max(CASE WHEN entity = 'NATION_8' THEN gap END)
+              - max(CASE WHEN entity = 'NATION_2' THEN gap END)) > 0 AS is_above,
+         CAST(is_above AS INTEGER) AS above
+  FROM gap WHERE entity IN ('NATION_8', 'NATION_2') GROUP BY metric, period)""")
 
 ORACLE["rank_reversal"] = nsql("""
 SELECT a.entity, a.rk AS rank_a, b.rk AS rank_b, b.rk - a.rk AS rank_shift
@@ -927,8 +935,9 @@ FROM stuck WHERE role = 'subject'""", STUCK_CTE)
 ORACLE["top_abs_extremes"] = nsql(f"""
 SELECT entity, metric, period, {r('gap')} AS gap, rnk AS rank
 FROM (SELECT entity, metric, period, gap,
-             CAST(rank() OVER (PARTITION BY metric ORDER BY abs(gap - 100) DESC) AS INTEGER) AS rnk
-      FROM gap WHERE gap IS NOT NULL)
+             CAST(row_number() OVER (PARTITION BY metric ORDER BY abs(gap - 100) DESC, entity, period)
+                  AS INTEGER) AS rnk
+      FROM gap WHERE gap IS NOT NULL AND entity <> 'ALL')
 WHERE rnk <= 6""")
 
 ORACLE["level_shift"] = nsql(f"""

@@ -417,7 +417,7 @@ def top_extremes(spark, sf_dir):
     """K largest gaps per metric."""
     from tidemark.operators.reshape import top_extremes as op
     g = nation_gap(spark, sf_dir)[1].select("entity", "metric", "period", "gap")
-    return op(g, TOP_K)
+    return op(g.filter("entity <> 'ALL'"), TOP_K)
 
 
 @query("last_n_periods")
@@ -768,7 +768,7 @@ def top_abs_extremes_q(spark, sf_dir):
     """The k gaps farthest from parity per metric."""
     from tidemark.operators.reshape import top_abs_extremes
     g = nation_gap(spark, sf_dir)[1].select("entity", "metric", "period", "gap")
-    return top_abs_extremes(g.filter(F.col("gap").isNotNull()), EXTREME_K, center=100.0)
+    return top_abs_extremes(g.filter("entity <> 'ALL'"), EXTREME_K, center=100.0)
 
 
 @query("level_shift")

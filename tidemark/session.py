@@ -68,6 +68,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
                 "to materialise tables or checkpoint on a cluster")
         base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(base)
+        base = sc.getCheckpointDir()  # the form that later calls give
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     base = str(base)

@@ -2,16 +2,15 @@
 A1, J5, latest-per-key).
 
 Raw lives as Parquet partitioned by ``batch_id`` (a string that sorts by
-time).  The newest batch is picked with an uncorrelated scalar subquery
-``batch_id = (max(batch_id))``: the subquery reads no data column, and on
-the partition column the comparison becomes a partition filter, so only the
-newest partition's files are scanned.
+time).  The newest batch of each source is picked with an uncorrelated
+scalar subquery, a map from source to its largest batch id; on the partition
+column the comparison becomes a partition filter, so only the newest
+partitions' files are scanned.
 """
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +20,14 @@ BATCH_TS_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw table with its fixed schema; an absent path is an empty table."""
-    if not os.path.exists(path) and "://" not in path:
+    """Raw table with its fixed schema; an absent path is an empty table.
+    Spark's own reader decides what is absent, on whatever file system."""
+    try:
+        return spark.read.schema(P.RAW_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], P.RAW_SCHEMA)
-    return spark.read.schema(P.RAW_SCHEMA).parquet(path)
 
 
 def read_dim(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -59,10 +62,24 @@ def append_batch(df: DataFrame, path: str) -> None:
      .partitionBy("batch_id").parquet(path))
 
 
+def _newest(raw: DataFrame):
+    """Map from source to its largest batch id, as a scalar subquery; its size
+    is the number of sources."""
+    return (raw.groupBy(_source(raw).alias("s")).agg(F.max("batch_id").alias("newest"))
+            .agg(F.map_from_entries(F.collect_list(F.struct("s", "newest")))).scalar())
+
+
+def _source(raw: DataFrame):
+    """A table without the column has one source."""
+    return F.coalesce(F.col("source"), F.lit("")) if "source" in raw.columns else F.lit("")
+
+
 def latest_batch(raw: DataFrame) -> DataFrame:
-    """Rows of the newest batch (max batch_id), staging columns only."""
-    newest = raw.agg(F.max("batch_id")).scalar()
-    return (raw.filter(F.col("batch_id") == newest)
+    """Rows of the newest batch (max batch_id) of each source, staging columns
+    only."""
+    newest = _newest(raw)
+    return (raw.filter(F.array_contains(F.map_values(newest), F.col("batch_id"))
+                       & (newest[_source(raw)] == F.col("batch_id")))
             .select("metric", "entity", "period", "value"))
 
 
@@ -76,10 +93,10 @@ def latest_per_key(raw: DataFrame, key=("metric", "entity", "period")) -> DataFr
 
 
 def superseded_keys(raw: DataFrame, key=("metric", "entity", "period")) -> DataFrame:
-    """Keys of older batches missing from the newest one (the newest batch
-    is not a superset)."""
+    """Keys of older batches missing from the newest ones (a source's newest
+    batch is not a superset)."""
     newest = latest_batch(raw).select(*key)
-    older = (raw.filter(F.col("batch_id") != raw.agg(F.max("batch_id")).scalar())
+    older = (raw.filter(_newest(raw)[_source(raw)] != F.col("batch_id"))
              .select(*key).distinct())
     return older.join(newest, list(key), "left_anti")
 
