@@ -37,6 +37,7 @@ class CoverTree:
     side by side; by node: ``lo``, ``hi`` (its range in ``order``), ``centre``
     (a row), ``radius``, ``kids`` (its children's numbers; none: a leaf)."""
 
+    @np.errstate(over="ignore", invalid="ignore")
     def __init__(self, x: np.ndarray):
         self.x = x
         self.order = np.arange(len(x))
@@ -63,7 +64,7 @@ class CoverTree:
         gap = np.sqrt(((points - points[first]) ** 2).sum(axis=1))
         self.centre.append(int(rows[first]))
         self.radius.append(float(gap.max()) * (1 + 1e-9))
-        if len(rows) <= LEAF or self.radius[at] == 0:
+        if len(rows) <= LEAF or not 0 < self.radius[at] < np.inf:
             return
         # a net at half the scale: a new centre for the farthest point, until
         # all are covered
@@ -99,6 +100,7 @@ class Search:
         self.found = [np.zeros(0, dtype=np.int64)] * n
         self.kth = np.full(n, -np.inf)  # worst kth score, -inf while fewer are known
 
+    @np.errstate(over="ignore", invalid="ignore")
     def see(self, ids: np.ndarray, x: np.ndarray) -> None:
         """Search a data tile."""
         if not len(ids) or not len(self.ids):
@@ -117,7 +119,7 @@ class Search:
         while len(a):
             bound = self._bounds(own, data, a, b)
             worst = np.array([self.kth[own.lo[i]:own.hi[i]].min() for i in a.tolist()])
-            go = bound >= worst
+            go = ~(bound < worst)  # a bound beyond the doubles prunes nothing
             left, right = [], []
             for i, j, most in zip(a[go].tolist(), b[go].tolist(), bound[go].tolist(), strict=True):
                 if not own.kids[i] and not data.kids[j]:
@@ -158,6 +160,8 @@ class Search:
                 self._keep(q, min(q + 512, hi), ids[some], exact[0][q:min(q + 512, hi)] @ exact[1][some].T)
 
     def _keep(self, lo: int, hi: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        if scores.dtype == object:
+            scores = np.minimum(np.maximum(scores, LONG_MIN), LONG_MAX)
         least = self.kth[lo:hi]
         if scores.dtype != object and scores.shape[1] > 4 * self.k:
             # the kth best but one: the query's own row may be among them
@@ -178,7 +182,7 @@ class Search:
 
     def rows(self) -> pa.RecordBatch:
         n = [len(x) for x in self.found]
-        score = [min(max(int(s), LONG_MIN), LONG_MAX) for x in self.score for s in x]
+        score = [int(s) for x in self.score for s in x]
         return pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(self.ids, n).astype(np.int64)),
              pa.array(np.concatenate([*self.found, np.zeros(0, np.int64)]).astype(np.int64)),
