@@ -117,3 +117,49 @@ def test_raw_paths_and_newest_batch_per_source(spark, tmp_path):
         raw = read_raw(spark, p)
         assert sorted(r["metric"] for r in latest_batch(raw).collect()) == ["x", "y"]
         assert [r["metric"] for r in superseded_keys(raw).collect()] == ["old"]
+
+
+def test_batch_lands_metric_by_metric(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tidemark import params as P
+    path = str(tmp_path / "raw")
+    base = spark.createDataFrame([("A", "m/1", 1, 1.0), ("A", "m3", 1, 3.0)], P.PANEL_SCHEMA)
+    for metric in ("m/1", "m3", "m3"):
+        append_batch(stamp_batch(base.filter(F.col("metric") == metric), "S", "s_1"), path)
+    append_batch(stamp_batch(base.limit(0), "S", "s_2"), path)  # nothing lands, no batch
+    raw = read_raw(spark, path)
+    assert raw.columns == P.RAW_SCHEMA.names
+    assert sorted((r["metric"], r["value"]) for r in latest_batch(raw).collect()) == [("m/1", 1.0), ("m3", 3.0)]
+
+
+def test_publish_refuses_repeated_further_and_no_rows(spark, tmp_path):
+    from tidemark import params as P
+    from tidemark.sources.raw import publish_if_complete
+    base = spark.createDataFrame([("A", "m", 1, 1.0), ("B", "m", 1, 2.0)], P.PANEL_SCHEMA)
+    def published(df, name, **kw):
+        rep = publish_if_complete(stamp_batch(df, "S", f"s_{name}"), str(tmp_path / "raw"), str(tmp_path / name), **kw)
+        return rep.collect()[0]["published"]
+    assert not published(base.union(base), "1") and not published(base.limit(0), "2")
+    assert not published(base, "3", expected_keys=base.filter("entity = 'A'"))
+    assert published(base, "4", expected_keys=base)
+    assert read_raw(spark, str(tmp_path / "raw")).count() == 2
+
+
+def test_bad_envelope_rows_are_rejected_and_pages_warned(spark):
+    from tidemark.sources.landing import land_envelopes, page_warnings
+    rows = [{"indicator": {"id": "m"}, "countryiso3code": "A", "date": "2010", "value": 1.5},
+            {"indicator": {"id": "m"}, "countryiso3code": None, "date": "2010", "value": 1.5},
+            {"indicator": {"id": "m"}, "countryiso3code": "A", "date": "20x0", "value": 1.5}]
+    text = spark.createDataFrame([(json.dumps([{"pages": 2}, rows]),), ("{}",)], "value string")
+    good, rejected = land_envelopes(text, "S", "s_1")
+    assert [(r["entity"], r["period"]) for r in good.collect()] == [("A", 2010)]
+    assert sorted(r["reject_reason"] for r in rejected.collect()) == ["no entity", "not a list", "unreadable period"]
+    assert [r["pages"] for r in page_warnings(text).collect()] == [2]
+
+
+def test_seed_by_name_keeps_other_attributes(spark, tmp_path):
+    from tidemark import params as P
+    from tidemark.sources.raw import read_dim
+    (tmp_path / "roles.csv").write_text("role,entity,member\nsubject,A,true\n")
+    d = read_dim(spark, str(tmp_path / "roles.csv"), P.ENTITY_DIM_SCHEMA).collect()[0].asDict()
+    assert d == {"entity": "A", "role": "subject", "member": "true"}

@@ -54,8 +54,7 @@ def only_known_nulls(df: DataFrame, start: int, end: int, allow: DataFrame,
     """NULL values inside the window except the allowed (entity, metric)
     pairs (a small parameter list)."""
     nulls = df.filter(F.col("period").between(start, end) & F.col(y).isNull())
-    return nulls.join(F.broadcast(allow.select("entity", "metric")),
-                      ["entity", "metric"], "left_anti")
+    return nulls.join(allow.select("entity", "metric"), ["entity", "metric"], "left_anti")
 
 
 def status_scoping(stuck: DataFrame, context_exempt_no_data: bool = False) -> DataFrame:

@@ -369,6 +369,23 @@ FROM (SELECT *, row_number() OVER (PARTITION BY metric, entity, period
                                    ORDER BY batch_id DESC) AS rn FROM raw)
 WHERE rn = 1"""
 
+# What lands through envelopes is the newest batch again; the stream numbers
+# its batches from 0.
+ORACLE["land_envelope"] = ORACLE["latest_batch"]
+
+ORACLE["land_stream"] = f"""
+SELECT metric, entity, period, value,
+       'rec_' || lpad(CAST(CAST(substr(batch_id, 2) AS INTEGER) - 1 AS VARCHAR), 12, '0') AS batch_id
+FROM ({ORACLE["latest_per_key"]})
+"""
+
+ORACLE["landing_rejects"] = RAW_CTE + """
+SELECT CASE WHEN metric = '5-LOW' THEN 'no entity' ELSE 'unreadable period' END AS reject_reason,
+       count(*) AS n_rows
+FROM raw WHERE metric = '5-LOW' OR period = 1996
+GROUP BY 1
+"""
+
 ORACLE["batch_conflicts"] = RAW_CTE + f"""
 SELECT metric, entity, period, count(*) AS n_rows, count(value) AS n_values,
        {r('min(value)')} AS min_value, {r('max(value)')} AS max_value

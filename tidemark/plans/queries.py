@@ -8,6 +8,7 @@ by Spark) and runs over whole tables.  Floating outputs leave through
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -456,7 +457,8 @@ def abs_slope_stats(spark, sf_dir):
 def band_margin(spark, sf_dir):
     """Distance of each slope to its dead band."""
     from tidemark.operators.trend import band_margin as op
-    return op(marts.stuck_of(nation(spark, sf_dir)))
+    p = nation(spark, sf_dir)
+    return op(marts.stuck_of(p), p.params.bands)
 
 
 @query("scenario_years")
@@ -558,32 +560,37 @@ def label_search(spark, sf_dir):
 # --- data quality ---------------------------------------------------------------------
 
 def _dq_checks(spark, sf_dir):
+    """(check, table, function that gives the violations).  A table is built
+    by the first check that reads it, once."""
     from tidemark.operators import quality as Q
     from tidemark.sources.raw import latest_batch as latest
-    p = nation(spark, sf_dir)
-    g = marts.gap_of(p)
-    stuck = marts.stuck_of(p)
-    closing = marts.closing_of(p)
-    raw = raw_table(spark, sf_dir)
-    allow = spark.createDataFrame([(tables.NATION_NO_LOW, METRIC_B)], "entity string, metric string")
+    panel = cache(lambda: nation(spark, sf_dir))
+    raw = cache(lambda: raw_table(spark, sf_dir))
+    stuck = cache(lambda: marts.stuck_of(panel()))
+    closing = cache(lambda: marts.closing_of(panel()))
+
+    def known_nulls():
+        p = panel()
+        allow = spark.createDataFrame([(tables.NATION_NO_LOW, METRIC_B)], "entity string, metric string")
+        return Q.only_known_nulls(p.df, p.params.fit_start, p.params.fit_end, allow)
+
     return [
-        ("not_null", "gap", Q.not_null(g, "gap")),
-        ("accepted_values", "closing", Q.accepted_values(
-            closing, "status", list(P.STUCK_LABELS.values()))),
-        ("unique", "entity_dim", Q.unique(p.entity_dim, "role")),
-        ("grain_unique", "raw", Q.grain_unique(raw, ["metric", "entity", "period"])),
-        ("row_count", "latest_batch", Q.row_count_is(latest(raw), RAW_EXPECTED_ROWS)),
-        ("only_known_nulls", "panel", Q.only_known_nulls(
-            p.df, p.params.fit_start, p.params.fit_end, allow)),
-        ("status_scoping", "stuck", Q.status_scoping(stuck)),
-        ("closing_time_valid", "closing", Q.closing_time_valid(closing)),
-        ("closing_time_null_scoping", "closing", Q.closing_time_null_scoping(closing)),
+        ("not_null", "gap", lambda: Q.not_null(marts.gap_of(panel()), "gap")),
+        ("accepted_values", "closing", lambda: Q.accepted_values(
+            closing(), "status", list(P.STUCK_LABELS.values()))),
+        ("unique", "entity_dim", lambda: Q.unique(tables.nation_entity_dim(spark, sf_dir), "role")),
+        ("grain_unique", "raw", lambda: Q.grain_unique(raw(), ["metric", "entity", "period"])),
+        ("row_count", "latest_batch", lambda: Q.row_count_is(latest(raw()), RAW_EXPECTED_ROWS)),
+        ("only_known_nulls", "panel", known_nulls),
+        ("status_scoping", "stuck", lambda: Q.status_scoping(stuck())),
+        ("closing_time_valid", "closing", lambda: Q.closing_time_valid(closing())),
+        ("closing_time_null_scoping", "closing", lambda: Q.closing_time_null_scoping(closing())),
     ]
 
 
 def _dq(idx):
     def fn(spark, sf_dir):
-        return _dq_checks(spark, sf_dir)[idx][2]
+        return _dq_checks(spark, sf_dir)[idx][2]()
     return fn
 
 
@@ -605,10 +612,10 @@ def dq_null_counts(spark, sf_dir):
 def dq_report(spark, sf_dir):
     """DQ10: one row per check."""
     from tidemark.operators.quality import run_checks
-    return run_checks(_dq_checks(spark, sf_dir))
+    return run_checks([(name, table, make()) for name, table, make in _dq_checks(spark, sf_dir)])
 
 
-# --- landing round trips (rows-only checks) ---------------------------------------
+# --- landing round trips ---------------------------------------
 
 def _scratch(spark, name):
     import uuid
@@ -633,6 +640,24 @@ def land_envelope(spark, sf_dir):
     return latest_batch(read_raw(spark, f"{base}/raw"))
 
 
+@query("landing_rejects")
+def landing_rejects(spark, sf_dir):
+    """Envelope rows without an entity or with an unreadable period,
+    counted by reason.  One metric loses its entities and one year its
+    digits before the rows go into envelopes."""
+    from tidemark.sources.landing import envelope_documents, land_envelopes
+    raw = tables.raw_batches(spark, sf_dir)
+    spoilt = (raw.withColumn("entity", F.when(F.col("metric") != SPOILT_METRIC, F.col("entity")))
+              .withColumn("period", F.when(F.col("period") == SPOILT_YEAR, F.lit("n/a"))
+                          .otherwise(F.col("period").cast("string"))))
+    _, rejected = land_envelopes(envelope_documents(spoilt), "ENV", "env_1")
+    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# What the reject query spoils.
+SPOILT_METRIC, SPOILT_YEAR = "5-LOW", 1996
+
+
 @query("land_stream")
 def land_stream(spark, sf_dir):
     """ST1: record files landed incrementally, one micro-batch per file

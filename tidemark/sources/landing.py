@@ -11,7 +11,7 @@ Two document shapes:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,7 +51,8 @@ def envelope_parts(text: DataFrame, column: str = "value") -> DataFrame:
 
 def flatten_envelope(text: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """(rows, rejected).  rows: metric, entity, period, value, pages_warn
-    (true when the envelope says more than one page exists)."""
+    (true when the envelope says more than one page exists) and ``date``,
+    the period as written."""
     parts = envelope_parts(text, column)
     ok = parts.filter(F.col("reject_reason").isNull())
     rejected = parts.filter(F.col("reject_reason").isNotNull()).select("doc", "reject_reason")
@@ -60,17 +61,31 @@ def flatten_envelope(text: DataFrame, column: str = "value") -> tuple[DataFrame,
                     F.col("r.countryiso3code").alias("entity"),
                     F.col("r.date").try_cast("int").alias("period"),
                     nan_to_null(F.col("r.value")).alias("value"),
-                    (F.coalesce(F.col("pages"), F.lit(1)) > 1).alias("pages_warn")))
+                    (F.coalesce(F.col("pages"), F.lit(1)) > 1).alias("pages_warn"),
+                    F.col("r.date").alias("date")))
     return rows, rejected
 
 
+def page_warnings(text: DataFrame, column: str = "value") -> DataFrame:
+    """(doc, pages) of envelopes that say more than one page exists: their
+    later pages are not in the document."""
+    return envelope_parts(text, column).filter(F.col("pages") > 1).select("doc", "pages")
+
+
+def row_fault(metric: str = "metric", entity: str = "entity", period: str = "period") -> Column:
+    """Why a landed row can't enter the raw table; NULL for a good row."""
+    return (F.when(F.col(metric).isNull(), "no metric")
+            .when(F.col(entity).isNull(), "no entity")
+            .when(F.col(period).isNull(), "unreadable period"))
+
+
 def scope_to_basket(df: DataFrame, entities: DataFrame, metrics: DataFrame,
                     start: int, end: int) -> DataFrame:
-    """Keep basket entities and metrics inside the window.  Baskets are
-    configuration lists (small), so both semi joins broadcast."""
+    """Keep basket entities and metrics inside the window.  No hint: the
+    baskets' sizes decide at run time."""
     return (df.filter(F.col("period").between(start, end))
-            .join(F.broadcast(entities.select("entity")), "entity", "left_semi")
-            .join(F.broadcast(metrics.select("metric")), "metric", "left_semi"))
+            .join(entities.select("entity"), "entity", "left_semi")
+            .join(metrics.select("metric"), "metric", "left_semi"))
 
 
 def entity_basket(spark, groups) -> DataFrame:
@@ -112,8 +127,12 @@ def envelope_documents(raw: DataFrame, pages: int = 1) -> DataFrame:
 
 def land_envelopes(text: DataFrame, source: str, batch_id: str) -> tuple[DataFrame, DataFrame]:
     """Flatten envelope text rows (column ``value``) and stamp them.
-    Returns (raw rows, rejected documents)."""
+    Returns (raw rows, rejected): rejected holds whole documents and single
+    rows, as JSON, with the reason."""
     from tidemark.sources.raw import stamp_batch
     rows, rejected = flatten_envelope(text)
-    good = rows.filter(F.col("period").isNotNull() & F.col("entity").isNotNull())
-    return stamp_batch(good.drop("pages_warn"), source, batch_id), rejected
+    judged = rows.withColumn("reject_reason", row_fault())
+    good = judged.filter(F.col("reject_reason").isNull()).drop("pages_warn", "date", "reject_reason")
+    bad = (judged.filter(F.col("reject_reason").isNotNull())
+           .select(F.to_json(F.struct("metric", "entity", "date", "value")).alias("doc"), "reject_reason"))
+    return stamp_batch(good, source, batch_id), rejected.unionByName(bad)

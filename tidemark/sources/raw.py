@@ -23,7 +23,8 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """Raw table with its fixed schema; an absent path is an empty table.
     Spark's own reader decides what is absent, on whatever file system."""
     try:
-        return spark.read.schema(P.RAW_SCHEMA).parquet(path)
+        raw = spark.read.schema(P.RAW_SCHEMA).parquet(path)
+        return raw.select(*P.RAW_SCHEMA.names)  # partition columns back in their places
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -31,8 +32,15 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dim(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Seed dimension from CSV with an explicit schema (no inference)."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Seed dimension from CSV, read by the names of its header.  Columns of
+    ``schema`` get its types, further attributes pass through as strings, and
+    those the file lacks are left out; only the key (the first) must be there."""
+    seed = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    key = schema.fields[0].name
+    if key not in seed.columns:
+        raise ValueError(f"seed {path} has no column {key}: {seed.columns}")
+    known = [F.col(f.name).cast(f.dataType) for f in schema.fields if f.name in seed.columns]
+    return seed.select(*known, *[c for c in seed.columns if c not in schema.names])
 
 
 def batch_id_expr(source: str, ts=None):
@@ -52,14 +60,15 @@ def stamp_batch(df: DataFrame, source: str, batch_id: str | None = None) -> Data
 
 
 def append_batch(df: DataFrame, path: str) -> None:
-    """Append-only landing, one partition per batch.  With dynamic
-    partition overwrite a replayed batch replaces only its own partition.
-    Rows are sorted by (metric, entity, period) inside each batch so metric
-    and benchmark filters skip row groups; the sort leads with batch_id, so
-    the partitioned writer needs no sort of its own."""
+    """Append-only landing, one partition per batch and metric.  A batch may
+    land metric by metric; with dynamic partition overwrite a replay replaces
+    only the metrics it brings again.  An empty DataFrame adds no partition.
+    Rows are sorted by (entity, period) inside each partition so entity
+    filters skip row groups; the sort leads with the partition columns, so
+    the writer needs no sort of its own."""
     (df.sortWithinPartitions("batch_id", "metric", "entity", "period")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+     .partitionBy("batch_id", "metric").parquet(path))
 
 
 def _newest(raw: DataFrame):
@@ -109,23 +118,27 @@ def publish_if_complete(batch: DataFrame, raw_path: str, staging_path: str,
     check completeness there, and only then add it to the raw table.
 
     A run that dies half way leaves at most a staging folder; the raw
-    table never receives a partial newest batch.  Completeness is either a
-    row count or the absence of missing keys against ``expected_keys``
-    (same key columns).  Returns the report: one row with ``n_rows``,
-    ``n_missing`` and ``published``.
+    table never receives a partial newest batch.  Completeness is a row count,
+    or the same keys as ``expected_keys`` (none missing, none further).  An
+    empty batch and one that repeats a key are never published.  Returns the
+    report: one row with ``n_rows``, ``n_duplicates`` (keys), ``n_missing``,
+    ``n_further`` and ``published``.
     """
-    from pyspark.sql import functions as F
     spark = batch.sparkSession
     batch.write.mode("overwrite").parquet(staging_path)
     staged = spark.read.parquet(staging_path)
     n_rows = staged.count()
-    n_missing = 0
+    n_duplicates = staged.groupBy(*key).count().filter("count > 1").count()
+    n_missing = n_further = 0
     if expected_keys is not None:
-        n_missing = (expected_keys.select(*key)
-                     .join(staged.select(*key), list(key), "left_anti").count())
-    ok = n_missing == 0 and (expected_rows is None or n_rows == expected_rows)
+        here, wanted = staged.select(*key), expected_keys.select(*key)
+        n_missing = wanted.join(here, list(key), "left_anti").count()
+        n_further = here.join(wanted, list(key), "left_anti").count()
+    ok = (n_rows > 0 and n_duplicates == n_missing == n_further == 0
+          and (expected_rows is None or n_rows == expected_rows))
     if ok:
         append_batch(staged, raw_path)
-    return spark.createDataFrame([(n_rows, n_missing, ok)],
-                                 "n_rows long, n_missing long, published boolean") \
+    return spark.createDataFrame([(n_rows, n_duplicates, n_missing, n_further, ok)],
+                                 "n_rows long, n_duplicates long, n_missing long, n_further long, "
+                                 "published boolean") \
         .withColumn("checked_at", F.current_timestamp())
