@@ -840,6 +840,25 @@ trend AS (
   GROUP BY entity, metric
 )"""
 
+ORACLE["dq_nulls_unlisted"] = nsql("SELECT * FROM panel WHERE value IS NULL")
+
+ORACLE["dq_spoilt_status"] = "WITH " + NATION_CTE.strip() + STUCK_CTE + """
+SELECT entity, metric FROM stuck
+WHERE (entity = 'NATION_0' AND bucket <> 'context')
+   OR (entity = 'NATION_1' AND (slope IS NOT NULL OR bucket = 'context'))
+"""
+
+ORACLE["dq_spoilt_time"] = "WITH " + NATION_CTE.strip() + CLOSING_CTE + """
+SELECT entity, metric FROM closing
+WHERE closure_status = 'already_closed' OR years_to_close > 0
+"""
+
+ORACLE["dq_spoilt_nulls"] = "WITH " + NATION_CTE.strip() + CLOSING_CTE + """
+-- a row without a reference gap has no figure to begin with
+SELECT entity, metric FROM closing
+WHERE closure_status <> 'already_closed' AND (status = 'catching_up') = (years_to_close IS NOT NULL)
+"""
+
 ORACLE["part_gap"] = PART_CTE + f"""
 SELECT entity, metric, period, {r('value')} AS value, {r('bench_value')} AS bench_value,
        {r('gap')} AS gap

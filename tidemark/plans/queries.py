@@ -615,6 +615,49 @@ def dq_report(spark, sf_dir):
     return run_checks([(name, table, make()) for name, table, make in _dq_checks(spark, sf_dir)])
 
 
+# The four checks that find nothing in sound marts, on marts spoilt on purpose.
+
+@query("dq_nulls_unlisted")
+def dq_nulls_unlisted(spark, sf_dir):
+    """DQ6 without its list: the missing series are violations."""
+    from tidemark.operators.quality import only_known_nulls
+    p = nation(spark, sf_dir)
+    nobody = spark.createDataFrame([], "entity string, metric string")
+    return only_known_nulls(p.df, p.params.fit_start, p.params.fit_end, nobody)
+
+
+@query("dq_spoilt_status")
+def dq_spoilt_status(spark, sf_dir):
+    """DQ7: one nation's rows all not classified, another's all without data."""
+    from tidemark.operators.quality import status_scoping
+    spoilt = marts.stuck_of(nation(spark, sf_dir)).withColumn(
+        "status", F.when(F.col("entity") == SPOILT[0], P.STUCK_LABELS["not_classified"])
+        .when(F.col("entity") == SPOILT[1], P.STUCK_LABELS["no_data"]).otherwise(F.col("status")))
+    return status_scoping(spoilt).select("entity", "metric")
+
+
+@query("dq_spoilt_time")
+def dq_spoilt_time(spark, sf_dir):
+    """DQ8: every figure negated, closed rows without one."""
+    from tidemark.operators.quality import closing_time_valid
+    spoilt = marts.closing_of(nation(spark, sf_dir)).withColumn(
+        "years_to_close", F.when(F.col("closure_status") != P.ALREADY_CLOSED, -F.col("years_to_close")))
+    return closing_time_valid(spoilt).select("entity", "metric")
+
+
+@query("dq_spoilt_nulls")
+def dq_spoilt_nulls(spark, sf_dir):
+    """DQ9: a figure where there is none, and none where there is one."""
+    from tidemark.operators.quality import closing_time_null_scoping
+    y = F.col("years_to_close")
+    spoilt = marts.closing_of(nation(spark, sf_dir)).withColumn("years_to_close", F.when(y.isNull(), y.isNull().cast(
+        "double")))
+    return closing_time_null_scoping(spoilt).select("entity", "metric")
+
+
+SPOILT = ("NATION_0", "NATION_1")
+
+
 # --- landing round trips ---------------------------------------
 
 def _scratch(spark, name):
