@@ -2,6 +2,7 @@
 and long texts, ties, repeated rows, empty tables, clashing column names."""
 import html
 import itertools
+import math
 import random
 import re
 from collections import Counter
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, lines, nearcopy, pieces, sharding, suffixes, template, tokencount, topk, wordhash
+from tidemark.llm import decontam, langid, lines, nearcopy, pieces, sharding, suffixes, template, tokencount, topk, wordhash
 from tidemark.llm.decontam import contaminated
 
 DOCS = "doc_id long, text string"
@@ -207,6 +208,40 @@ def test_contaminated_with_substitutions(spark):
     assert contaminated(spark.createDataFrame([], DOCS), tests).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.8, 0.6])
+def test_masks_cover_all_accepted_substitutions(share):
+    for n in range(1, decontam.WINDOW + 1):
+        masks = next(m for least, m in decontam.covers(share) if n >= least)
+        looks = [{o + i for i, c in enumerate(m) if c == "1"} for m in masks for o in range(n - len(m) + 1)]
+        for gone in itertools.combinations(range(n), math.floor(n - math.ceil(share * n - 1e-9))):
+            assert any(s.isdisjoint(gone) for s in looks), (n, gone)
+
+
+def test_contaminated_is_the_rule(spark):
+    """Against all alignments, whatever words are exchanged."""
+    rng = random.Random(12)
+    items = [(i, [f"i{i}w{j}" for j in range(n)]) for i, n in enumerate((1, 2, 4, 5, 7, 9, 10, 15, 16, 17, 20, 26))]
+    gone = {6: [(0,), (0, 5)], 7: [(1, 7, 8)], 10: [(2, 8, 9, 10)]}
+    rows = []
+    for i, item in items:
+        n = min(20, len(item))
+        for g in gone.get(i, []) + [rng.sample(range(n), k) for k in (0, n // 5, n // 5, n // 5, n // 5 + 1)]:
+            text = [w if j not in g else "other" for j, w in enumerate(item)]
+            rows.append((len(rows), " ".join(["pad"] * rng.randrange(4) + text)))
+    rows.append((len(rows), " ".join(items[6][1][2:])))
+    want = set()
+    for d, text in rows:
+        for i, item in items:
+            n, w = min(20, len(item)), text.split()
+            best = max((sum(0 <= j + s < len(w) and item[j] == w[j + s] for j in range(o, o + n)), -o)
+                       for s in range(-len(item), len(w)) for o in range(len(item) - n + 1))
+            if best[0] >= math.ceil(0.8 * n - 1e-9):
+                want.add((d, i, best[0], n, -best[1]))
+    got = contaminated(spark.createDataFrame(rows, DOCS),
+                       spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string"))
+    assert {tuple(r) for r in got.collect()} == want
+
+
 def greedy(word, initial, rest):
     n, at = 0, 0
     while at < len(word):

@@ -1,23 +1,31 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed looks at some of SPAN neighbouring words and ignores the others, as
+A seed looks at some of a few neighbouring words and ignores the others, as
 one of a few fixed masks says.  The hashes of all seeds of the test items
 are joined with those of the training texts; a hit puts an item at a place
 in a text, and the words of both are compared there.  A substituted word
-spoils only the seeds whose mask looks at it, so items with some words
-exchanged are found as well.
+spoils only the seeds whose mask looks at it.  The masks of every item length
+cover all sets of substitutions that SHARE accepts: whichever words are
+exchanged, a seed without one of them is left, so no hit is missed.
 
 Built from DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import read, word_hashes
 
-# The masks.  1: the word counts, 0: it may differ.
+# Fixed values: (words of an item at least, masks).  1: the word counts, 0: it
+# may differ.  The tests hold each against all substitutions of a window.
+COVERS = ((10, ("111011", "11001011", "11111")), (6, ("11011", "1111")), (5, ("111", "1101")),
+          (4, ("1111",)), (3, ("111",)), (2, ("11",)), (1, ("1",)))
+# The masks and least item that op2_sql() joins on; it misses what they miss.
 MASKS = ("1111110000", "1101011010", "1010110011", "1001101101")
 SPAN = 10
 WINDOW = 20        # words of an item that must be found side by side, or all it has
@@ -27,22 +35,34 @@ SHARE = 0.8        # share of these words that must be equal
 MAX_SEEDS = 4_000_000
 
 
-def _seeds(words: Column, at: Column) -> Column:
-    """Array of (mask number, hash) of the seeds at a position; a seed is
-    NULL where words are missing."""
-    out = []
-    for m, mask in enumerate(MASKS):
-        looks = [F.get(words, at + F.lit(i)) for i, c in enumerate(mask) if c == "1"]
-        out.append(F.xxhash64(F.lit(m), *looks))
-    return F.array(*out)
+def covers(share: float = SHARE) -> tuple[tuple[int, tuple[str, ...]], ...]:
+    """(words of an item at least, masks), longest items first.  Below SHARE a
+    mask is the run of equal words that is left in every accepted window."""
+    if share >= SHARE:
+        return COVERS
+    if share <= 0:
+        raise ValueError("share must be positive")
+    runs = []
+    for n in range(WINDOW, 0, -1):
+        equal = max(1, math.ceil(share * n - 1e-9))
+        runs.append((n, ("1" * math.ceil(equal / (n - equal + 1)),)))
+    return tuple(runs)
+
+
+def _seed(words: Column, at: Column, mask: str) -> Column:
+    """Hash of the words a mask looks at from a position; NULL where the
+    mask reaches beyond the words."""
+    looks = [F.get(words, at + F.lit(i)) for i, c in enumerate(mask) if c == "1"]
+    return F.when(at + F.lit(len(mask)) <= F.size(words), F.xxhash64(F.lit(mask), *looks))
 
 
-def _seed_rows(df: DataFrame, words: str, *keep: str) -> DataFrame:
-    """(keep..., pos, seed) for every whole span of a row's words."""
-    spans = F.sequence(F.lit(0), F.size(words) - SPAN)
-    return (df.where(F.size(words) >= SPAN)
-            .select(*keep, words, F.explode(spans).alias("pos"))
-            .select(*keep, "pos", F.explode(_seeds(F.col(words), F.col("pos"))).alias("seed")))
+def _seed_rows(df: DataFrame, words: str, masks: list[str], *keep: str) -> DataFrame:
+    """(keep..., pos, seed) for every place of a mask in a row's words."""
+    pos = F.sequence(F.lit(0), F.size(words) - 1)
+    seeds = F.array(*[_seed(F.col(words), F.col("pos"), m) for m in masks])
+    return (df.where(F.size(words) > 0)
+            .select(*keep, words, F.explode(pos).alias("pos"))
+            .select(*keep, "pos", F.explode(seeds).alias("seed")).where("seed IS NOT NULL"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
@@ -54,10 +74,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     where the window begins.  Only windows with at least ``share`` of their
     words equal count.  Words are runs of letters and digits, lower-cased.
 
-    Items of fewer than SPAN words (NULL, empty and very short ones) take no
-    part: they hold no seed and can't be told from chance.  Documents
-    shorter than that hold no item.  Rows with a NULL id or NULL item id take
-    no part.  Repeated rows give one row per (id, item id); ties between
+    Items without a word (NULL, empty) take no part; an item of few words is
+    found wherever its words stand, be it by chance.  A document may begin or
+    end inside an item: words it lacks count as exchanged.  Rows with a NULL
+    id or NULL item id take no part.  Repeated rows give one row per (id, item id); ties between
     windows go to the first.  Empty tables give no rows.
 
     A passage that a third of the documents hold gives each of them its own
@@ -66,12 +86,25 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """
     tests = (items.where(F.col(item_col).isNotNull())
              .select(F.col(item_col).alias("item"), word_hashes(F.col(item_text_col)).alias("iw"))
-             .where(F.size("iw") >= SPAN).distinct())
-    seeds = _seed_rows(tests, "iw", "item").select("seed", "item", F.col("pos").alias("ipos"))
+             .where(F.size("iw") > 0).distinct())
+    # masks of the item lengths there are
+    table, top = covers(share), None
+    size, parts, used = F.size("iw"), [], set()
+    lengths = {r[0] for r in tests.select(F.least(size, F.lit(WINDOW))).distinct().collect()}
+    for least, masks in table:
+        if any(n >= least and (top is None or n < top) for n in lengths):
+            own = tests.where((size >= least) & (size < top if top else F.lit(True)))
+            parts.append(_seed_rows(own, "iw", list(masks), "item"))
+            used.update(masks)
+        top = least
+    if not parts:
+        parts.append(_seed_rows(tests, "iw", list(table[0][1]), "item"))
+    seeds = reduce(DataFrame.unionAll, parts).select("seed", "item", F.col("pos").alias("ipos"))
     small = seeds.count() <= MAX_SEEDS
     texts = (docs.where(F.col(id_col).isNotNull())
              .select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
-    rows = _seed_rows(texts.select("id", word_hashes(F.col("text")).alias("dw")), "dw", "id")
+    rows = _seed_rows(texts.select("id", word_hashes(F.col("text")).alias("dw")), "dw",
+                      sorted(used or table[0][1]), "id")
     hits = (rows.join(F.broadcast(seeds) if small else seeds, "seed")
             .select("id", "item", (F.col("pos") - F.col("ipos")).alias("shift")).distinct())
 
