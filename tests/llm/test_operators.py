@@ -194,6 +194,24 @@ def test_main_text(spark, around):
     assert template.main_text(df.limit(0)).count() == 0
 
 
+def main_texts(spark, pages):
+    rows = [(i, f"https://{host}/{i}", page) for i, (host, page) in enumerate(pages)]
+    got = template.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(got, key=lambda r: r.page_id)]
+
+
+@pytest.mark.parametrize("around", ['<div class="content has-sidebar">', '<article class="post comments-open">',
+                                    '<div class="overflow-hidden">', '<main class="page no-footer">',
+                                    '<div class="sidebar">', '<div class="menu-left wrap">'])
+def test_main_text_modifier_classes(spark, around):
+    page = ('<html><body><div class="page">{a}<h1>Head {i}</h1><p>Text number {i} of a longer story</p>'
+            '<div class="sidebar-left"><p>see {i}</p></div>{b}<div id="comments"><p>no {i}</p></div></div></body></html>')
+    end = f"</{re.match('<([a-z]+)', around)[1]}>"
+    got = main_texts(spark, [(h, page.format(a=around, b=end, i=i)) for h in ("h.example",) for i in range(4)]
+                     + [("one.example", page.format(a=around, b=end, i=4))])
+    assert got == [f"Head {i}\n\nText number {i} of a longer story" for i in range(5)]
+
+
 # --- op2, op3, op5, op7, op8 ----------------------------------------------------
 
 def test_contaminated_with_substitutions(spark):

@@ -18,6 +18,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,13 +43,20 @@ LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr thead tbody tfoot opti
 # Elements that never hold the article's text.
 APART = frozenset("nav header footer aside form button select menu dialog head title object".split())
 CONTENT = frozenset(("article", "main"))
-# Words in class, id or role that name such parts.
+# Names in class, id or role of such parts.
 APART_WORDS = frozenset(
     "ad ads adbox advert advertisement advertising sponsor sponsored promo banner nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar side widget footer header masthead cookie cookies consent notice alert "
     "popup modal newsletter subscribe signup login share sharing social related recommended comment comments "
     "disqus respond reply replies pagination pager toolbar copyright legal disclaimer skip hidden "
     "contentinfo complementary search".split())
+# Those that also begin the name of such a part ("sidebar-left"), unless it ends as a state ("menu-open").
+STEMS = frozenset(
+    "ad ads adbox advert advertisement advertising sponsor sponsored banner nav navbar navigation menu breadcrumb "
+    "breadcrumbs sidebar widget footer masthead cookie cookies popup modal newsletter comment comments disqus "
+    "pagination pager toolbar".split())
+STATES = frozenset("open opened closed enabled disabled on off active inactive visible none fixed sticky collapsed "
+                   "expanded free".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -103,14 +111,36 @@ def labels(attributes: str) -> str:
     return ".".join(out)
 
 
-def apart(step: str) -> bool:
-    """Whether a step of a path never holds the article's text."""
+@lru_cache(1 << 14)
+def worded(step: str) -> bool:
+    """Whether a name in class, id or role says that a step of a path is set
+    apart.  Names count whole; those of articles, body and html don't."""
     name, _, names = step.partition(".")
-    if name in APART or name in RAW:
-        return True
-    if name in ("body", "html") or not names:
+    if not names or name in CONTENT or name in ("body", "html"):
         return False
-    return any(w in APART_WORDS for w in re.split(r"[^a-z0-9]+", re.sub(r"\d+", "", names)))
+    for one in names.split("."):
+        words = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"\d+", "", one)) if w]
+        if len(words) == 1 and words[0] in APART_WORDS:
+            return True
+        if len(words) > 1 and words[0] in STEMS and words[-1] not in STATES:
+            return True
+    return False
+
+
+def apart(step: str) -> bool:
+    """Whether a step of a path looks set apart, by its element or its names."""
+    name = step.partition(".")[0]
+    return name in APART or name in RAW or worded(step)
+
+
+@lru_cache(1 << 14)
+def standing(path: str) -> tuple[str, ...] | None:
+    """Elements around a block that are set apart by names, outermost first;
+    None if one is by its element, so that it never holds the article's text."""
+    steps = path.split("/")
+    if any(s.partition(".")[0] in APART or s.partition(".")[0] in RAW for s in steps):
+        return None
+    return tuple("/".join(steps[:i + 1]) for i, s in enumerate(steps) if worded(s))
 
 
 def parse(page: str) -> tuple[list[str], list[tuple[str, str]]]:
@@ -173,7 +203,7 @@ def content_slots(path: str) -> list[str]:
     holds the article, none deeper than the outermost article element, and
     none that only marks a block."""
     out, steps = [], path.split("/")
-    if any(map(apart, steps)):
+    if standing(path) is None:
         return out
     for i, step in enumerate(steps):
         name = step.partition(".")[0]
@@ -184,10 +214,26 @@ def content_slots(path: str) -> list[str]:
     return out
 
 
-def extract(blocks: list[tuple[str, str]], main: str | None) -> str:
+def named_lengths(blocks: list[tuple[str, str]]) -> dict[str, int]:
+    """Text length of each element that is set apart by its names, and of the
+    whole page as ""."""
+    out: dict[str, int] = {}
+    for p, t in blocks:
+        names = standing(p)
+        for e in ("", *names) if names is not None else ():
+            out[e] = out.get(e, 0) + len(t)
+    return out
+
+
+def extract(blocks: list[tuple[str, str]], main: str | None, around: set[str] | None = None) -> str:
     """Texts of the main slot, in page order.  Without one: of the article
-    elements, or else of all that is not set apart."""
-    kept = [(p, t) for p, t in blocks if not any(map(apart, p.split("/")))]
+    elements, or else of all that is not set apart.  ``around`` are elements
+    that are not set apart whatever their names; without it, those that have
+    MAIN_SHARE of the page's text."""
+    if around is None:
+        size = named_lengths(blocks)
+        around = {e for e, n in size.items() if e and n >= MAIN_SHARE * size[""]}
+    kept = [(p, t) for p, t in blocks if (e := standing(p)) is not None and (not e or e[-1] in around)]
     if main is not None:
         chosen = [t for p, t in kept if p == main or p.startswith(main + "/")]
     else:
@@ -219,32 +265,36 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     def read_roles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hosts, page, kinds, role, count = [], [], [], [], []
+            hosts, page, kinds, role, within, count = [], [], [], [], [], []
             for url, row, doc in zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
                                      b.column(2).to_pylist(), strict=True):
                 roles, blocks = parse(doc or "")
-                seen: dict[tuple[int, str], int] = {}
+                seen: dict[tuple[int, str, str], int] = {}
                 for r in roles:
-                    seen[0, r] = seen.get((0, r), 0) + 1
+                    seen[0, r, ""] = seen.get((0, r, ""), 0) + 1
                 for p, t in blocks:
+                    inner = (standing(p) or ("",))[-1]
                     for slot in content_slots(p):
-                        seen[1, slot] = seen.get((1, slot), 0) + len(t)
-                for (k, r), n in seen.items():
+                        seen[1, slot, inner] = seen.get((1, slot, inner), 0) + len(t)
+                for e, n in named_lengths(blocks).items():
+                    seen[3, e, ""] = n
+                for (k, r, e), n in seen.items():
                     hosts.append(url)
                     page.append(row)
                     kinds.append(k)
                     role.append(r)
+                    within.append(e)
                     count.append(n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hosts, pa.string()), pa.array(page, pa.int64()), pa.array(kinds, pa.int32()),
-                 pa.array(role, pa.string()), pa.array(count, pa.int64())],
-                names=["host", "page", "kind", "role", "count"])
+                 pa.array(role, pa.string()), pa.array(within, pa.string()), pa.array(count, pa.int64())],
+                names=["host", "page", "kind", "role", "within", "count"])
 
     # a page is known by its content and place; copies of a page have one vector entry each
     named = src.where("host <> ''").select(
         "host", F.xxhash64("row", F.monotonically_increasing_id()).alias("page"), "html")
-    counted = (named.mapInArrow(read_roles, "host string, page long, kind int, role string, count long")
-               .groupBy("host", "kind", "role")
+    counted = (named.mapInArrow(read_roles, "host string, page long, kind int, role string, within string, count long")
+               .groupBy("host", "kind", "role", "within")
                .agg(F.count(F.lit(1)).alias("pages"), F.sum("count").alias("count"),
                     F.sum((F.xxhash64("page", "count") % F.lit(1 << 40))).alias("vector")))
     counted = written(counted, "roles")
@@ -261,30 +311,38 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
               .join(own.select("host", F.col("role").alias("outer"), F.lit(1).alias("there")),
                     ["host", "outer"], "left")
               .where("there = 1 OR outer = ''"))
+    # elements around the main slot: they have MAIN_SHARE of the host's text, whatever their names
+    named = counted.where("kind = 3")
+    around = (named.where("role <> ''").join(named.where("role = ''").select("host", F.col("count").alias("of")), "host")
+              .where(F.col("count") >= MAIN_SHARE * F.col("of")).select("host", F.col("role").alias("within")))
+    open_ = around.union(of_host.select("host", F.lit("")))
     # the main slot: the deepest that has MAIN_SHARE of the host's text
-    slots = counted.where("kind = 1").join(nested.select("host", "role"), ["host", "role"])
+    slots = (counted.where("kind = 1").join(open_, ["host", "within"])
+             .groupBy("host", "role").agg(F.sum("count").alias("count"))
+             .join(nested.select("host", "role"), ["host", "role"]))
     most = slots.groupBy("host").agg(F.max("count").alias("most"))
     slots = (slots.join(most, "host").where(F.col("count") >= MAIN_SHARE * F.col("most"))
              .groupBy("host").agg(F.max(F.struct(F.size(F.split("role", "/")).alias("depth"), "count", "role"))
                                   .alias("main")))
     templates = (nested.groupBy("host").agg(F.sort_array(F.collect_set("role")).alias("template"))
-                 .join(slots.select("host", F.col("main.role").alias("main")), "host", "left"))
+                 .join(slots.select("host", F.col("main.role").alias("main")), "host", "left")
+                 .join(around.groupBy("host").agg(F.collect_set("within").alias("around")), "host", "left"))
     templates = written(templates, "templates")
 
     dealt = src.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
     copies = templates.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
     # hosts that have a template meet it; the rest needs no shuffle partner
-    met = dealt.join(copies, ["host", "salt"], "left").select("row", "html", "template", "main")
+    met = dealt.join(copies, ["host", "salt"], "left").select("row", "html", "template", "main", "around")
 
     def slots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, sizes = [], []
-            for doc, template, main in zip(b.column(1).to_pylist(), b.column(2).to_pylist(),
-                                           b.column(3).to_pylist(), strict=True):
+            for doc, template, main, around in zip(*(b.column(i).to_pylist() for i in range(1, 5)), strict=True):
                 roles, blocks = parse(doc or "")
                 known = set(template or ()).intersection(roles)
                 sizes.append(len(known))
-                texts.append(extract(blocks, main if main in known else None)
+                texts.append(extract(blocks, main if main in known else None,
+                                     None if template is None else set(around or ()))
                              .encode("utf-8", "replace").decode())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
