@@ -212,6 +212,17 @@ def test_main_text_modifier_classes(spark, around):
     assert got == [f"Head {i}\n\nText number {i} of a longer story" for i in range(5)]
 
 
+def test_main_text_keeps_all_slots(spark):
+    page = ('<html><body><nav><p>menu {i}</p></nav><div class="post"><h1>Head {i}</h1><div class="lead"><p>Lead {i}</p></div>'
+            '<div class="body"><p>{long}</p></div></div><footer>end {i}</footer></body></html>')
+    other = ('<html><body><nav><p>menu {i}</p></nav><div class="intro"><p>Intro {i}</p></div><div class="post"><h1>Head {i}</h1>'
+             '<div class="body"><p>{long}</p></div></div><footer>end {i}</footer></body></html>')
+    long = [prose(i, 60) for i in range(9)]
+    got = main_texts(spark, [("h.example", page.format(i=i, long=long[i])) for i in range(4)]
+                     + [("k.example", (other if i == 8 else page).format(i=i, long=long[i])) for i in range(4, 9)])
+    assert got == [f"Head {i}\n\nLead {i}\n\n{long[i]}" for i in range(8)] + [f"Intro 8\n\nHead 8\n\n{long[8]}"]
+
+
 # --- op2, op3, op5, op7, op8 ----------------------------------------------------
 
 def test_contaminated_with_substitutions(spark):

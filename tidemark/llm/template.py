@@ -5,8 +5,9 @@ tags and texts, each in its role (the path of elements around it).  Tokens
 that occur equally often on the same pages of a host share an occurrence
 vector and form an equivalence class; large and frequent classes of tags make
 up the template, nested by their paths.  What stands between template tokens
-are slots.  A host's main slot is the one that holds the article; its texts
-are the page's text, without what a boilerplate element inside encloses.
+are slots.  A host's main slot is the deepest that holds all other slots that
+are not set apart; its texts are the page's text, without what a boilerplate
+element inside encloses.
 
 Occurrence vectors are never built: a vector's hash is a sum over the pages,
 so it is aggregated map-side like a count, also for a host that has a third
@@ -30,7 +31,7 @@ from tidemark.llm.common import importable, read, written
 MIN_CLASS = 3      # tokens of a template class at least
 MIN_PAGES = 3      # pages that a template class spans at least
 MIN_SHARE = 0.5    # share of its host's pages that it spans at least
-MAIN_SHARE = 0.8   # share of its host's text that the main slot has at least
+MAIN_SHARE = 0.8   # share of its host's text that an element around the main slot has at least
 SALTS = 16         # parts a host's pages are dealt into when templates are joined
 
 # Element names of HTML.
@@ -316,12 +317,12 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     around = (named.where("role <> ''").join(named.where("role = ''").select("host", F.col("count").alias("of")), "host")
               .where(F.col("count") >= MAIN_SHARE * F.col("of")).select("host", F.col("role").alias("within")))
     open_ = around.union(of_host.select("host", F.lit("")))
-    # the main slot: the deepest that has MAIN_SHARE of the host's text
+    # the main slot: the deepest that holds all text that is not set apart
     slots = (counted.where("kind = 1").join(open_, ["host", "within"])
              .groupBy("host", "role").agg(F.sum("count").alias("count"))
              .join(nested.select("host", "role"), ["host", "role"]))
     most = slots.groupBy("host").agg(F.max("count").alias("most"))
-    slots = (slots.join(most, "host").where(F.col("count") >= MAIN_SHARE * F.col("most"))
+    slots = (slots.join(most, "host").where((F.col("count") == F.col("most")) & (F.col("most") > 0))
              .groupBy("host").agg(F.max(F.struct(F.size(F.split("role", "/")).alias("depth"), "count", "role"))
                                   .alias("main")))
     templates = (nested.groupBy("host").agg(F.sort_array(F.collect_set("role")).alias("template"))
