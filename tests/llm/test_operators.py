@@ -223,6 +223,16 @@ def test_main_text_keeps_all_slots(spark):
     assert got == [f"Head {i}\n\nLead {i}\n\n{long[i]}" for i in range(8)] + [f"Intro 8\n\nHead 8\n\n{long[8]}"]
 
 
+def test_main_text_without_texts_alike(spark):
+    page = ('<html><body><div class="m"><ul><li>Home</li><li>News</li></ul></div><div class="post"><h1>Head {i}</h1>'
+            '<p>Short {i}</p><p>Alike</p><div class="x1"><p>Share this</p><p>Get our letters by mail</p></div></div>'
+            '<div class="x2"><p>All rights held</p></div></body></html>')
+    pages = [("h.example", page.format(i=i)) for i in range(5)] + [("copies.example", page.format(i=9))] * 4
+    got = main_texts(spark, pages)
+    assert got[:5] == [f"Head {i}\n\nShort {i}\n\nAlike" for i in range(5)]
+    assert all("Head 9\n\nShort 9\n\nAlike" in t for t in got[5:])  # no template from copies
+
+
 # --- op2, op3, op5, op7, op8 ----------------------------------------------------
 
 def test_contaminated_with_substitutions(spark):

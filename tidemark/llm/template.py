@@ -3,11 +3,12 @@
 Pages of one host come from few templates.  A page is a sequence of tokens:
 tags and texts, each in its role (the path of elements around it).  Tokens
 that occur equally often on the same pages of a host share an occurrence
-vector and form an equivalence class; large and frequent classes of tags make
-up the template, nested by their paths.  What stands between template tokens
-are slots.  A host's main slot is the deepest that holds all other slots that
-are not set apart; its texts are the page's text, without what a boilerplate
-element inside encloses.
+vector and form an equivalence class; large and frequent classes make up the
+template, nested by their paths.  A text is in it where nearly all text of its
+role is: a paragraph alike on all pages among others that vary stays.  What
+stands between template tokens are slots.  A host's main slot is the deepest
+that holds all other slots that are not set apart; its texts are the page's
+text, without what a boilerplate element inside encloses.
 
 Occurrence vectors are never built: a vector's hash is a sum over the pages,
 so it is aggregated map-side like a count, also for a host that has a third
@@ -16,6 +17,7 @@ of all pages.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -32,6 +34,7 @@ MIN_CLASS = 3      # tokens of a template class at least
 MIN_PAGES = 3      # pages that a template class spans at least
 MIN_SHARE = 0.5    # share of its host's pages that it spans at least
 MAIN_SHARE = 0.8   # share of its host's text that an element around the main slot has at least
+ALIKE_SHARE = 0.8  # share of a role's text on its host that the template's texts have at least
 SALTS = 16         # parts a host's pages are dealt into when templates are joined
 
 # Element names of HTML.
@@ -215,6 +218,12 @@ def content_slots(path: str) -> list[str]:
     return out
 
 
+def text_key(path: str, text: str) -> int:
+    """64-bit hash of a block."""
+    return int.from_bytes(hashlib.blake2b(f"{path}\0{text}".encode("utf-8", "replace"), digest_size=8).digest(),
+                          "little", signed=True)
+
+
 def named_lengths(blocks: list[tuple[str, str]]) -> dict[str, int]:
     """Text length of each element that is set apart by its names, and of the
     whole page as ""."""
@@ -226,15 +235,19 @@ def named_lengths(blocks: list[tuple[str, str]]) -> dict[str, int]:
     return out
 
 
-def extract(blocks: list[tuple[str, str]], main: str | None, around: set[str] | None = None) -> str:
+def extract(blocks: list[tuple[str, str]], main: str | None, around: set[str] | None = None,
+            alike: frozenset[int] = frozenset()) -> str:
     """Texts of the main slot, in page order.  Without one: of the article
     elements, or else of all that is not set apart.  ``around`` are elements
     that are not set apart whatever their names; without it, those that have
-    MAIN_SHARE of the page's text."""
+    MAIN_SHARE of the page's text.  ``alike`` are keys of the template's texts,
+    which are left out unless the page has no other text."""
     if around is None:
         size = named_lengths(blocks)
         around = {e for e, n in size.items() if e and n >= MAIN_SHARE * size[""]}
     kept = [(p, t) for p, t in blocks if (e := standing(p)) is not None and (not e or e[-1] in around)]
+    if alike:
+        kept = [(p, t) for p, t in kept if text_key(p, t) not in alike] or kept
     if main is not None:
         chosen = [t for p, t in kept if p == main or p.startswith(main + "/")]
     else:
@@ -253,8 +266,12 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     decide there.  Repeated rows are pages of their own.  Whole pages are
     parsed.  An empty table gives no rows.
 
-    Of a page only its distinct tag roles and text slots are aggregated; a
-    template has no more roles than MIN_SHARE of a host's pages can share.
+    A text counts by the distinct pages that hold it, so copies of a page make
+    no template.
+
+    Of a page only its distinct tag roles, hashes of its texts and text slots
+    are aggregated; a template has no more roles than MIN_SHARE of a host's
+    pages can share.
     Pages are dealt over SALTS parts of their host when they meet it.
     """
     spark = pages.sparkSession
@@ -266,44 +283,63 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     def read_roles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hosts, page, kinds, role, within, count = [], [], [], [], [], []
-            for url, row, doc in zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
-                                     b.column(2).to_pylist(), strict=True):
+            hosts, page, kinds, role, within, text, copy, count, chars = ([] for _ in range(9))
+            for url, row, same, doc in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 roles, blocks = parse(doc or "")
-                seen: dict[tuple[int, str, str], int] = {}
+                seen: dict[tuple[int, str, str, int], int] = {}
+                sizes: dict[tuple[int, str, str, int], int] = {}
                 for r in roles:
-                    seen[0, r, ""] = seen.get((0, r, ""), 0) + 1
+                    seen[0, r, "", 0] = seen.get((0, r, "", 0), 0) + 1
                 for p, t in blocks:
-                    inner = (standing(p) or ("",))[-1]
+                    names = standing(p)
+                    if names is None:
+                        continue
+                    inner = (names or ("",))[-1]
                     for slot in content_slots(p):
-                        seen[1, slot, inner] = seen.get((1, slot, inner), 0) + len(t)
+                        seen[1, slot, inner, 0] = seen.get((1, slot, inner, 0), 0) + len(t)
+                    token = (2, p, inner, text_key(p, t))
+                    seen[token] = seen.get(token, 0) + 1
+                    sizes[token] = sizes.get(token, 0) + len(t)
                 for e, n in named_lengths(blocks).items():
-                    seen[3, e, ""] = n
-                for (k, r, e), n in seen.items():
+                    seen[3, e, "", 0] = n
+                for token, n in seen.items():
                     hosts.append(url)
                     page.append(row)
-                    kinds.append(k)
-                    role.append(r)
-                    within.append(e)
+                    kinds.append(token[0])
+                    role.append(token[1])
+                    within.append(token[2])
+                    text.append(token[3])
+                    copy.append(same if token[0] == 2 or token[:2] == (3, "") else 0)
                     count.append(n)
+                    chars.append(sizes.get(token, 0))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hosts, pa.string()), pa.array(page, pa.int64()), pa.array(kinds, pa.int32()),
-                 pa.array(role, pa.string()), pa.array(within, pa.string()), pa.array(count, pa.int64())],
-                names=["host", "page", "kind", "role", "within", "count"])
+                 pa.array(role, pa.string()), pa.array(within, pa.string()), pa.array(text, pa.int64()),
+                 pa.array(copy, pa.int64()), pa.array(count, pa.int64()), pa.array(chars, pa.int64())],
+                names=["host", "page", "kind", "role", "within", "text", "copy", "count", "chars"])
 
     # a page is known by its content and place; copies of a page have one vector entry each
     named = src.where("host <> ''").select(
-        "host", F.xxhash64("row", F.monotonically_increasing_id()).alias("page"), "html")
-    counted = (named.mapInArrow(read_roles, "host string, page long, kind int, role string, within string, count long")
-               .groupBy("host", "kind", "role", "within")
-               .agg(F.count(F.lit(1)).alias("pages"), F.sum("count").alias("count"),
+        "host", F.xxhash64("row", F.monotonically_increasing_id()).alias("page"), F.xxhash64("html").alias("copy"), "html")
+    counted = (named.mapInArrow(read_roles, "host string, page long, kind int, role string, within string, text long, "
+                               "copy long, count long, chars long")
+               .groupBy("host", "kind", "role", "within", "text", "copy")
+               .agg(F.count(F.lit(1)).alias("pages"), F.sum("count").alias("count"), F.sum("chars").alias("chars"),
                     F.sum((F.xxhash64("page", "count") % F.lit(1 << 40))).alias("vector")))
     counted = written(counted, "roles")
     tags = counted.where("kind = 0")
-    classes = (tags.groupBy("host", "pages", "vector").agg(F.count(F.lit(1)).alias("n"))
+    named = counted.where("kind = 3")
+    whole = named.where("role = ''").groupBy("host").agg(F.sum("count").alias("of"), F.count(F.lit(1)).alias("all_copies"))
+    # texts on several pages that are not copies of each other
+    texts = (counted.where("kind = 2").groupBy("host", "role", "within", "text")
+             .agg(F.sum("pages").alias("pages"), F.sum("vector").alias("vector"), F.sum("chars").alias("chars"),
+                  F.count(F.lit(1)).alias("copies"))
+             .where(F.col("copies") >= MIN_PAGES))
+    members = ["host", "pages", "vector"]
+    classes = (tags.select(members).unionAll(texts.select(members)).groupBy(members).agg(F.count(F.lit(1)).alias("n"))
                .where((F.col("n") >= MIN_CLASS) & (F.col("pages") >= MIN_PAGES)))
     of_host = tags.groupBy("host").agg(F.max("pages").alias("all_pages"))
-    valid = (tags.join(classes, ["host", "pages", "vector"]).join(of_host, "host")
+    valid = (tags.join(classes, members).join(of_host, "host")
              .where(F.col("pages") >= MIN_SHARE * F.col("all_pages")))
     # nested: a role whose enclosing role is in the template, or that has none
     own = valid.select("host", "role")
@@ -313,37 +349,52 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                     ["host", "outer"], "left")
               .where("there = 1 OR outer = ''"))
     # elements around the main slot: they have MAIN_SHARE of the host's text, whatever their names
-    named = counted.where("kind = 3")
-    around = (named.where("role <> ''").join(named.where("role = ''").select("host", F.col("count").alias("of")), "host")
+    around = (named.where("role <> ''").join(whole, "host")
               .where(F.col("count") >= MAIN_SHARE * F.col("of")).select("host", F.col("role").alias("within")))
     open_ = around.union(of_host.select("host", F.lit("")))
-    # the main slot: the deepest that holds all text that is not set apart
+    # the template's texts, where little other text stands in their role
+    alike = (texts.join(classes, members).join(of_host, "host").join(whole, "host")
+             .where((F.col("pages") >= MIN_SHARE * F.col("all_pages"))
+                    & (F.col("copies") >= MIN_SHARE * F.col("all_copies")))
+             .join(own, ["host", "role"]).select("host", "role", "within", "text", "chars"))
+    full = alike.groupBy("host", "role").agg(F.sum("chars").alias("held"))
+    full = (counted.where("kind = 2").groupBy("host", "role").agg(F.sum("chars").alias("of")).join(full, ["host", "role"])
+            .where(F.col("held") >= ALIKE_SHARE * F.col("of")).select("host", "role"))
+    alike = written(alike.join(full, ["host", "role"]), "alike")
+    steps = F.split("role", "/")
+    taken = (alike.join(open_, ["host", "within"])
+             .select("host", "chars", F.explode(F.transform(
+                 F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))).alias("role"))
+             .groupBy("host", "role").agg(F.sum("chars").alias("taken")))
+    # the main slot: the deepest that holds all text that is not set apart and not the template's
     slots = (counted.where("kind = 1").join(open_, ["host", "within"])
              .groupBy("host", "role").agg(F.sum("count").alias("count"))
-             .join(nested.select("host", "role"), ["host", "role"]))
+             .join(nested.select("host", "role"), ["host", "role"]).join(taken, ["host", "role"], "left")
+             .withColumn("count", F.col("count") - F.coalesce("taken", F.lit(0))))
     most = slots.groupBy("host").agg(F.max("count").alias("most"))
     slots = (slots.join(most, "host").where((F.col("count") == F.col("most")) & (F.col("most") > 0))
              .groupBy("host").agg(F.max(F.struct(F.size(F.split("role", "/")).alias("depth"), "count", "role"))
                                   .alias("main")))
     templates = (nested.groupBy("host").agg(F.sort_array(F.collect_set("role")).alias("template"))
                  .join(slots.select("host", F.col("main.role").alias("main")), "host", "left")
-                 .join(around.groupBy("host").agg(F.collect_set("within").alias("around")), "host", "left"))
+                 .join(around.groupBy("host").agg(F.collect_set("within").alias("around")), "host", "left")
+                 .join(alike.groupBy("host").agg(F.collect_set("text").alias("alike")), "host", "left"))
     templates = written(templates, "templates")
 
     dealt = src.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
     copies = templates.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
     # hosts that have a template meet it; the rest needs no shuffle partner
-    met = dealt.join(copies, ["host", "salt"], "left").select("row", "html", "template", "main", "around")
+    met = dealt.join(copies, ["host", "salt"], "left").select("row", "html", "template", "main", "around", "alike")
 
     def slots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, sizes = [], []
-            for doc, template, main, around in zip(*(b.column(i).to_pylist() for i in range(1, 5)), strict=True):
+            for doc, template, main, around, alike in zip(*(b.column(i).to_pylist() for i in range(1, 6)), strict=True):
                 roles, blocks = parse(doc or "")
                 known = set(template or ()).intersection(roles)
                 sizes.append(len(known))
                 texts.append(extract(blocks, main if main in known else None,
-                                     None if template is None else set(around or ()))
+                                     None if template is None else set(around or ()), frozenset(alike or ()))
                              .encode("utf-8", "replace").decode())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
