@@ -169,6 +169,25 @@ def test_language_id_held_out_and_edges(spark):
     assert {r.lang_pred for r in langid.identify(df, none).collect()} == {"und"}
 
 
+def test_language_id_learns_all_languages_and_letters(spark):
+    rng = random.Random(8)
+    sound = {f"l{g:02d}": [chr(rng.randrange(97, 123)) + chr(rng.randrange(97, 123)) for _ in range(4)] for g in range(66)}
+    # three languages of many letters of their own, beyond the 120 most frequent
+    sound |= {f"c{g}": [chr(0x4E00 + 300 * g + i) for i in range(150)] for g in range(2)}
+    sound["c2"] = [chr(0x20000 + i) for i in range(150)]
+
+    def text(g):
+        return " ".join("".join(rng.choices(sound[g], k=3)) for _ in range(25))
+
+    rows = [(i, text(g), g) for i, g in enumerate([g for g in sound for _ in range(6)])]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    held = {c for _, t, _ in rows for c in t if c != " "}
+    assert model.languages == sorted(sound) and held == set(model.letters)
+    new = spark.createDataFrame([(text(g), g) for g in sound for _ in range(2)], "text string, lang string")
+    got = langid.identify(new, model).collect()
+    assert [(r.lang, r.lang_pred) for r in got if r.lang != r.lang_pred] == []
+
+
 # --- op6 ------------------------------------------------------------------------
 
 PAGE = ('<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style></head><body><nav><ul><li>menu {i}</li></ul></nav>'

@@ -6,8 +6,9 @@ numbers.  Nyström landmarks, a few texts of each language, stand for the
 training set; one-versus-rest kernel ridge regression is fitted on a bounded
 sample of the labelled texts, whose rows are reduced to sums on the
 executors.  The kernel is linear in the presence of n-grams, so landmarks
-and dual weights fold to one weight per n-gram and language, and a batch of
-texts is scored by one product of its presence matrix with them.
+and dual weights fold to one weight per n-gram and language, and a text's
+score is the sum over its n-grams.  Every label is learned, and every letter
+of the landmarks is told apart.
 """
 
 from __future__ import annotations
@@ -22,19 +23,19 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import importable, read
 
 UNKNOWN = "und"
-MAX_LANGS = 64         # languages learned at most, the most frequent ones
 TRAIN_PER_LANG = 400   # labelled rows of each language that are fitted
-LANDMARKS = 40         # of these, landmarks of each language
-MAX_ALPHABET = 120     # letters told apart; the rest counts as one letter
+LANDMARKS = 40         # of these, landmarks of each language at most
+ALL_LANDMARKS = 2560   # landmarks of all languages together, unless one of each is more
 RIDGE = 1e-3
-BATCH_DOCS = 64        # rows of a presence matrix
+MAX_TABLE = 1 << 24    # n-gram numbers looked up in a table; more are searched for
+BATCH_DOCS = 64        # rows of a kernel matrix
 BATCH_CHARS = 4_000_000
 
 
 def classes(letters: str) -> np.ndarray:
     """Code point -> class: 0 not a letter, 1 another letter, 2... the given
     lower-case letters, in upper case too."""
-    table = np.fromiter(map(str.isalpha, map(chr, range(0x110000))), dtype=np.uint8, count=0x110000)
+    table = np.fromiter(map(str.isalpha, map(chr, range(0x110000))), dtype=np.int32, count=0x110000)
     for i, c in enumerate(letters):
         for form in {c, c.upper(), c.title()}:
             if len(form) == 1:
@@ -46,7 +47,7 @@ def _codes(text: str, table: np.ndarray) -> np.ndarray:
     """Classes of a text's characters, runs of non-letters as one 0, with a 0
     at both ends."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    c = np.concatenate([[0], table[points], [0]]).astype(np.int32)
+    c = np.concatenate([[0], table[points], [0]]).astype(np.int64)
     return c[np.concatenate([[True], (c[1:] != 0) | (c[:-1] != 0)])]
 
 
@@ -60,34 +61,64 @@ def grams(codes: np.ndarray, width: int) -> list[np.ndarray]:
 
 class Model:
     """``languages``; ``letters``; ``known``: sorted n-gram numbers of the
-    landmarks; ``weights``: one row for each and a last one for all others
-    (zeros), one column per language; ``bias`` per language."""
+    landmarks; ``weights``: one row for each, one column per language;
+    ``bias`` per language."""
 
     def __init__(self, languages: list[str], letters: str, known: np.ndarray):
         self.languages, self.letters, self.known = languages, letters, known
-        self.weights = np.zeros((len(known) + 1, len(languages)), dtype=np.float32)
+        self.weights = np.zeros((len(known), len(languages)), dtype=np.float32)
         self.bias = np.zeros(len(languages))
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray]:
+    def tables(self) -> tuple[np.ndarray, np.ndarray | None]:
         width = len(self.letters) + 3
-        index = np.full(width ** 3, len(self.known), dtype=np.int32)
-        index[self.known] = np.arange(len(self.known))
+        index = None
+        if width ** 3 <= MAX_TABLE:
+            index = np.full(width ** 3, len(self.known), dtype=np.int32)
+            index[self.known] = np.arange(len(self.known))
         return classes(self.letters), index
 
-    def presence(self, texts: list[str], tables) -> tuple[np.ndarray, np.ndarray]:
-        """(presence matrix, has a letter); the last column, all n-grams that
-        no landmark has, is cleared."""
+    def places(self, numbers: np.ndarray, index: np.ndarray | None) -> np.ndarray:
+        """Places of n-gram numbers in ``known``; its length for all others."""
+        if index is not None:
+            return index[numbers]
+        if not len(self.known):
+            return np.zeros(len(numbers), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.known, numbers), len(self.known) - 1)
+        return np.where(self.known[at] == numbers, at, len(self.known))
+
+    def presence(self, texts: list[str], tables) -> Iterator[tuple[np.ndarray, bool]]:
+        """(places of the known n-grams, has a letter) of each text."""
         table, index = tables
-        seen = np.zeros((len(texts), len(self.known) + 1), dtype=np.float32)
-        lettered = np.zeros(len(texts), dtype=bool)
-        for row, text in enumerate(texts):
+        seen = np.zeros(len(self.known) + 1, dtype=bool)
+        for text in texts:
+            lettered = False
             for lo in range(0, len(text), BATCH_CHARS):  # two characters of overlap keep all n-grams
                 codes = _codes(text[max(0, lo - 2):lo + BATCH_CHARS], table)
-                lettered[row] |= bool(codes.any())
+                lettered |= bool(codes.any())
                 for g in grams(codes, len(self.letters) + 3):
-                    seen[row, index[g]] = 1
-        seen[:, -1] = 0
-        return seen, lettered
+                    seen[self.places(g, index)] = True
+            held = np.flatnonzero(seen[:-1])
+            seen[:] = False
+            yield held, lettered
+
+
+class Basis:
+    """The landmarks by n-gram: those that hold the n-gram at place i are
+    ``marks[start[i]:start[i + 1]]``."""
+
+    def __init__(self, known: np.ndarray, sets: list[np.ndarray]):
+        self.sizes = np.array([max(1, len(s)) for s in sets], dtype=np.float64)
+        places = np.searchsorted(known, np.concatenate([*sets, np.zeros(0, dtype=np.int64)]))
+        marks = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        self.marks = marks[np.argsort(places, kind="stable")].astype(np.int32)
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(places, minlength=len(known)))])
+
+    def kernel(self, held: np.ndarray) -> np.ndarray:
+        """Kernel of a text of these n-grams with each landmark."""
+        first, count = self.start[held], self.start[held + 1] - self.start[held]
+        at = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+        shared = np.bincount(self.marks[at], minlength=len(self.sizes))
+        return shared / np.sqrt(self.sizes * max(1, len(held)))
 
 
 _ready: dict[str, tuple] = {}  # model digest -> tables, kept while the worker lives
@@ -109,35 +140,40 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
         key_col: str = "doc_id") -> Model:
     """Fit on the labelled rows of ``docs`` (not NULL, not empty).
 
-    The sample has TRAIN_PER_LANG rows of each of the MAX_LANGS most frequent
-    languages, those of the least hash of the key, so it does not depend on
-    the order of rows.  Only keys and labels are shuffled to choose it.  The
-    driver gets the landmarks' distinct n-grams and the sums of the fit.
+    The sample has TRAIN_PER_LANG rows of each language, those of the least
+    hash of the key, so it does not depend on the order of rows.  Only keys
+    and labels are shuffled to choose it.  The driver gets the landmarks'
+    distinct n-grams and the sums of the fit.  Of more languages than
+    ALL_LANDMARKS / LANDMARKS each has fewer landmarks, one at least.
     """
     spark = docs.sparkSession
     importable(spark)
     src = docs.select(F.col(key_col).cast("string").alias("key"), F.col(lang_col).cast("string").alias("lang"),
                       F.col(text_col).alias("text"))
     labels = src.where(F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN)).select("key", "lang")
-    languages = sorted(r[0] for r in labels.groupBy("lang").count()
-                       .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect())
+    languages = sorted(r[0] for r in labels.select("lang").distinct().collect())
     if not languages:
         return Model([], "", np.zeros(0, dtype=np.int64))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    chosen = (labels.where(F.col("lang").isin(languages)).select("lang", "key")
+    chosen = (labels.select("lang", "key")
               .withColumn("place", F.row_number().over(order)).where(F.col("place") <= TRAIN_PER_LANG)
               .groupBy("key", "lang").agg(F.min("place").alias("place")).collect())
-    # at most MAX_LANGS * TRAIN_PER_LANG keys: a bounded broadcast
+    # at most TRAIN_PER_LANG keys of each language: a bounded broadcast
     few = spark.createDataFrame([(r.key, r.lang, r.place) for r in chosen], "key string, lang string, place int")
     sample = (src.join(F.broadcast(few.select("key", "lang", "place")), ["key", "lang"])
               .where(F.coalesce(F.length("text"), F.lit(0)) > 0).select("lang", "place", "text"))
-    marks = sample.where(F.col("place") <= LANDMARKS)
+    marks = sample.where(F.col("place") <= max(1, min(LANDMARKS, ALL_LANDMARKS // len(languages))))
 
-    # letters by the number of landmarks that hold them
-    counts = (marks.select(F.explode(F.array_distinct(F.split(F.lower("text"), ""))).alias("c"))
-              .where(F.col("c").rlike(r"^\p{L}$")).groupBy("c").count()
-              .orderBy(F.desc("count"), "c").limit(MAX_ALPHABET).collect())
-    letters = "".join(sorted(r.c for r in counts if len(r.c) == 1))
+    def alphabet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[str] = set()
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                found.update(c.lower() for c in set(t) if c.isalpha())
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(ord(c) for c in found if len(c) == 1), pa.int32())],
+                                         names=["letter"])
+
+    letters = "".join(sorted(chr(r.letter) for r in
+                             marks.select("text").mapInArrow(alphabet, "letter int").distinct().collect()))
     width = len(letters) + 3
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,9 +187,8 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
             marks.select("text").mapInArrow(spell, "grams array<long>").distinct().orderBy("grams").collect()]
     known = np.unique(np.concatenate([*sets, np.zeros(0, dtype=np.int64)]))
     model = Model(languages, letters, known)
-    basis = np.zeros((len(known) + 1, len(sets)), dtype=np.float32)
-    for j, s in enumerate(sets):
-        basis[np.searchsorted(known, s), j] = 1 / np.sqrt(len(s))
+    basis = Basis(known, sets)
+    place = {x: i for i, x in enumerate(languages)}
     shared = spark.sparkContext.broadcast((model, basis))
     m, n = len(sets), len(languages)
 
@@ -165,7 +200,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
             for lo, texts in _batches(b, 1):
                 k = _kernel(model, basis, texts, tables)
                 y = np.full((len(texts), n), -1.0)
-                y[np.arange(len(texts)), [languages.index(x) for x in langs[lo:lo + len(texts)]]] = 1
+                y[np.arange(len(texts)), [place[x] for x in langs[lo:lo + len(texts)]]] = 1
                 total += k.T @ np.hstack([k, y])
         yield pa.RecordBatch.from_arrays([pa.array([total.reshape(-1)], pa.list_(pa.float64()))],
                                          names=["part"])
@@ -176,21 +211,24 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
         total += np.array(r.part)
     total = total.reshape(m + 1, m + 1 + n)
     gram = np.zeros((m + 1, m + 1))  # the landmarks' own kernel; the bias is barely held
-    gram[:m, :m] = basis.T @ basis
+    for j, s in enumerate(sets):
+        gram[j, :m] = basis.kernel(np.searchsorted(known, s))
     gram[m, m] = 1e-3
     rows = max(1.0, float(total[m, m]))
     alpha = np.linalg.lstsq(total[:, :m + 1] + RIDGE * rows * (gram + 1e-6 * np.eye(m + 1)),
                             total[:, m + 1:], rcond=None)[0]
-    model.weights[:] = basis @ alpha[:m]
+    for j, s in enumerate(sets):
+        model.weights[np.searchsorted(known, s)] += alpha[j] / np.sqrt(basis.sizes[j])
     model.bias[:] = alpha[m]
     return model
 
 
-def _kernel(model: Model, basis: np.ndarray, texts: list[str], tables) -> np.ndarray:
+def _kernel(model: Model, basis: Basis, texts: list[str], tables) -> np.ndarray:
     """Kernel of each text with each landmark, and a 1."""
-    seen, _ = model.presence(texts, tables)
-    size = np.sqrt(np.maximum(1, seen.sum(axis=1)))
-    return np.hstack([(seen @ basis) / size[:, None], np.ones((len(texts), 1))]).astype(np.float64)
+    k = np.ones((len(texts), len(basis.sizes) + 1))
+    for row, (held, _) in enumerate(model.presence(texts, tables)):
+        k[row, :-1] = basis.kernel(held)
+    return k
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -218,9 +256,10 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                     langs += [UNKNOWN] * len(texts)
                     scores += [0.0] * len(texts)
                     continue
-                seen, lettered = model.presence(texts, _tables(tag, model))
-                size = np.sqrt(np.maximum(1, seen.sum(axis=1)))
-                f = (seen @ model.weights) / size[:, None] + model.bias
+                f, lettered = np.empty((len(texts), len(model.languages))), np.zeros(len(texts), dtype=bool)
+                for row, (held, some) in enumerate(model.presence(texts, _tables(tag, model))):
+                    f[row] = model.weights[held].sum(axis=0) / np.sqrt(max(1, len(held))) + model.bias
+                    lettered[row] = some
                 best = f.argmax(axis=1)
                 value = np.clip((f[np.arange(len(f)), best] + 1) / 2, 0, 1)
                 langs += [model.languages[i] if ok else UNKNOWN for i, ok in zip(best, lettered, strict=True)]
