@@ -4,10 +4,11 @@ Of all suffixes of the texts' words only those are retained that begin at a
 minimiser: a word whose K-word hash is the least of some W neighbouring ones.
 The choice depends on content alone, so a passage that two documents share
 has the same minimisers in both, and the first of them lies among its first
-W words.  Retained suffixes are sorted by their first DEPTH words; those that
-agree there are neighbours.  Neighbours are then extended to the left and
-to the right, to the windows of LENGTH words that belong to them;
-windows found in several documents are put together to passages.
+W words.  No suffix is sorted: retained suffixes are grouped by a hash of
+their first DEPTH words, and those that agree there are neighbours.  Nor are
+neighbours extended pair by pair: every window of LENGTH words that belongs to
+one is hashed and grouped again; windows found in several documents are put
+together to passages.
 
 Every window of LENGTH words belongs to the least of its first W places, and
 two equal windows belong to equal suffixes, so exactly the windows that several
