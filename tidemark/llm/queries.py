@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.collocations import OP11_SQL, op11_collocations
 from tidemark.llm.decontam import op2_decontamination, op2_sql
 from tidemark.llm.langid import op9_language_id
 from tidemark.llm.lines import OP8_SQL, op8_line_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_repeated_passages": op10_repeated_passages,
+    "op11_collocations": op11_collocations,
 }
 
 ORACLE = {
@@ -32,4 +34,5 @@ ORACLE = {
     "op7_sharding": OP7_SQL,
     "op8_line_dedup": OP8_SQL,
     "op10_repeated_passages": OP10_SQL,
+    "op11_collocations": OP11_SQL,
 }
