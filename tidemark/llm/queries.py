@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.collocations import OP11_SQL, op11_collocations
 from tidemark.llm.decontam import op2_decontamination, op2_sql
+from tidemark.llm.infill import OP12_SQL, op12_infill
 from tidemark.llm.langid import op9_language_id
 from tidemark.llm.lines import OP8_SQL, op8_line_dedup
 from tidemark.llm.nearcopy import op4_near_copies
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_repeated_passages": op10_repeated_passages,
     "op11_collocations": op11_collocations,
+    "op12_infill": op12_infill,
 }
 
 ORACLE = {
@@ -35,4 +37,5 @@ ORACLE = {
     "op8_line_dedup": OP8_SQL,
     "op10_repeated_passages": OP10_SQL,
     "op11_collocations": OP11_SQL,
+    "op12_infill": OP12_SQL,
 }
