@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.collocations import OP11_SQL, op11_collocations
 from tidemark.llm.decontam import op2_decontamination, op2_sql
+from tidemark.llm.factors import OP13_SQL, op13_substring_dedup
 from tidemark.llm.infill import OP12_SQL, op12_infill
 from tidemark.llm.langid import op9_language_id
 from tidemark.llm.lines import OP8_SQL, op8_line_dedup
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_repeated_passages": op10_repeated_passages,
     "op11_collocations": op11_collocations,
     "op12_infill": op12_infill,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 ORACLE = {
@@ -38,4 +40,5 @@ ORACLE = {
     "op10_repeated_passages": OP10_SQL,
     "op11_collocations": OP11_SQL,
     "op12_infill": OP12_SQL,
+    "op13_substring_dedup": OP13_SQL,
 }
