@@ -20,9 +20,16 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _or_itself(rounded: Column, x: Column, limit: float) -> Column:
+    """A finite double too large for the decimal type has no digits behind
+    the point, so rounding leaves it as it is; what is not finite gives NULL."""
+    size = F.abs(x)
+    return F.coalesce(rounded.cast("double"), F.when((size >= limit) & (size < float("inf")), x))
+
+
 def dec_round(c, digits: int) -> Column:
     """round(x::numeric, digits) as double."""
-    return F.round(col(c).cast(NUMERIC), digits).cast("double")
+    return _or_itself(F.round(col(c).try_cast(NUMERIC), digits), col(c).cast("double"), 1e27)
 
 
 def edge_round(c, digits: int = 6) -> Column:
@@ -34,7 +41,7 @@ def edge_round(c, digits: int = 6) -> Column:
     is recovered the same way whether an engine converts through the
     shortest decimal string or through the binary value; then it is
     rounded half away from zero."""
-    return F.round(F.round(col(c).cast("decimal(38,12)"), 9), digits).cast("double")
+    return _or_itself(F.round(F.round(col(c).try_cast("decimal(38,12)"), 9), digits), col(c).cast("double"), 1e25)
 
 
 def gap_expr(value, bench) -> Column:
@@ -58,7 +65,8 @@ def status_expr(slope, bucket, labels: dict, bands: P.Bands = P.Bands(),
     1/``num_scale``, and positive denominator of the slope, see ``trend``)
     the band tests are exact: ``slope > band`` becomes
     ``num > band * num_scale * den``, so a slope lying exactly on a band is
-    ``flat`` whatever the floating-point rounding of the regression.
+    ``flat`` whatever the floating-point rounding of the regression.  A
+    series without exact terms (see ``trend``) is judged by its float slope.
     """
     from decimal import Decimal
     s, b = col(slope), col(bucket)
@@ -72,16 +80,16 @@ def status_expr(slope, bucket, labels: dict, bands: P.Bands = P.Bands(),
         # Both sides get one explicit type: Spark coerces a comparison of
         # decimal(38,2) with decimal(38,1) to scale 1 and drops a digit.
         cmp_type = "decimal(38,4)"
-        n_, d_ = col(num).cast(cmp_type), col(den).cast("decimal(38,0)")
+        n_, d_ = col(num).try_cast(cmp_type), col(den).cast("decimal(38,0)")
 
         def bound(v):
             return (F.lit(Decimal(repr(v)) * num_scale) * d_).cast(cmp_type)
 
         def gt(v):
-            return n_ > bound(v)
+            return F.coalesce(n_ > bound(v), s > v)
 
         def lt(v):
-            return n_ < bound(v)
+            return F.coalesce(n_ < bound(v), s < v)
     conv = (F.when(gt(bands.convergence), labels["up"])
             .when(lt(-bands.convergence), labels["down"])
             .otherwise(labels["flat"]))

@@ -109,11 +109,36 @@ def pivot_agg(df: DataFrame, index, column: str, values, agg) -> DataFrame:
     return df.groupBy(*index).agg(*[agg(F.col(column) == v).alias(str(v)) for v in values])
 
 
-def to_wide(df: DataFrame, index, column: str, value: str, values) -> DataFrame:
+def to_wide(df: DataFrame, index, column: str, value: str, values, unique: bool = False) -> DataFrame:
     """Long -> wide with a listed value set (no discovery job, bounded
-    width).  The grain must be unique (check with ``grain_unique``); each
-    cell is the single value of its key."""
-    return pivot_agg(df, index, column, values, lambda cond: F.max(F.when(cond, F.col(value))))
+    width).  Each cell is the single value of its key.  With ``unique`` the
+    same aggregate counts the rows of every cell and the job fails on a cell
+    with more than one; without it the grain must have been checked
+    (``grain_unique``), and of several values the largest is taken."""
+    def cell(cond):
+        one = F.max(F.when(cond, F.col(value)))
+        if not unique:
+            return one
+        fault = F.concat(F.lit(f"to_wide: more than one row for {column} in "), F.to_json(F.struct(*index)))
+        return F.when(F.count_if(cond) > 1, F.raise_error(fault).cast(df.schema[value].dataType)).otherwise(one)
+    return pivot_agg(df, index, column, values, cell)
+
+
+def complete_rows(df: DataFrame, columns) -> DataFrame:
+    """Rows with a value in every one of the columns (P7); NaN counts as a
+    value, as everywhere after landing."""
+    keep = F.lit(True)
+    for c in columns:
+        keep = keep & F.col(c).isNotNull()
+    return df.filter(keep)
+
+
+def transpose(df: DataFrame, key: str, keys, columns, name: str = "field") -> DataFrame:
+    """Wide table -> its transpose: one row per listed column (``name``), one
+    column per listed value of ``key``.  Both lists are parameters, so both
+    shapes are bounded; the columns must have one type."""
+    long = df.filter(F.col(key).isin(list(keys))).unpivot([key], list(columns), name, "_cell")
+    return to_wide(long, [name], key, "_cell", keys, unique=True)
 
 
 def status_grid(stuck: DataFrame, metrics) -> DataFrame:

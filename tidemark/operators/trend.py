@@ -57,20 +57,23 @@ def trend(df: DataFrame, start: int, end: int, ref: int | None = None,
         # numerator (in units of 10^-scale) and denominator as exact integer
         # sums, for band tests.  y in integer units and x centred on the
         # window start keep every term a small long (fast, mergeable); the
-        # slope is unchanged by the shift, and ANSI mode turns an overflow
-        # into an error, never a wrong label.
+        # slope is unchanged by the shift.  A series with a value too large
+        # for that has no exact terms; the others keep theirs.
         ok = yy.isNotNull() & xx.isNotNull()
-        yc = F.when(ok, F.round(yy * (10 ** exact_scale)).cast("long"))
+        yc = F.when(ok, F.round(yy * (10 ** exact_scale)).try_cast("long"))
         xc = F.when(ok, (xx - start).cast("long"))
-        aggs += [F.count(yc).alias("_n"), F.sum(xc).alias("_sx"), F.sum(yc).alias("_sy"),
-                 F.sum(xc * xc).alias("_sxx"), F.sum(xc * yc).alias("_sxy")]
+        xy = F.try_multiply(xc, yc)
+        aggs += [F.count(F.when(ok, F.lit(1))).alias("_n"), F.count(xy).alias("_m"), F.sum(xc).alias("_sx"),
+                 F.try_sum(yc).alias("_sy"), F.sum(xc * xc).alias("_sxx"), F.try_sum(xy).alias("_sxy")]
     out = (scoped.groupBy(*by).agg(*aggs)
            .withColumn("gap_change", F.col("gap_end") - F.col("gap_start")))
     if exact_scale is not None:
-        n, sx = F.col("_n"), F.col("_sx")
-        out = (out.withColumn("slope_num", n * F.col("_sxy") - sx * F.col("_sy"))
-               .withColumn("slope_den", n * F.col("_sxx") - sx * sx)
-               .drop("_n", "_sx", "_sy", "_sxx", "_sxy"))
+        big = "decimal(38,0)"
+        n, sx, sy, sxx, sxy = (F.col(c).cast(big) for c in ("_n", "_sx", "_sy", "_sxx", "_sxy"))
+        num = F.try_subtract(F.try_multiply(n, sxy), F.try_multiply(sx, sy))
+        out = (out.withColumn("slope_num", F.when(F.col("_n") == F.col("_m"), num))
+               .withColumn("slope_den", n * sxx - sx * sx)
+               .drop("_n", "_m", "_sx", "_sy", "_sxx", "_sxy"))
     return out
 
 

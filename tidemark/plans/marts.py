@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.dispersion import scoped_dispersion
 from tidemark.operators.gap import descriptive_panel, gap_mart, gap_to_benchmark
+from tidemark.operators.quality import Watch, grain_unique
 from tidemark.operators.trend import stuck_matrix, years_to_close
 from tidemark.session import shared_dir
 from tidemark.sources.tables import Panel
@@ -55,9 +56,10 @@ def descriptive_of(panel: Panel) -> DataFrame:
                              panel.entity_bound)
 
 
-def materialize(df: DataFrame, path: str, partition_by=None) -> DataFrame:
-    """Write a layer as Parquet (overwrite) and return the re-read table."""
-    w = df.write.mode("overwrite")
+def materialize(df: DataFrame, path: str, partition_by=None, watch: Watch | None = None) -> DataFrame:
+    """Write a layer as Parquet (overwrite) and return the re-read table.  A
+    ``watch`` observes its checks in the same job."""
+    w = (watch.on(df) if watch else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -69,26 +71,28 @@ class GrainError(ValueError):
 
 
 def build_marts(spark: SparkSession, panel: Panel, out_dir: str | None = None,
-                check_grain: bool = True) -> dict:
+                check_grain: bool = True, watches: dict[str, Watch] | None = None) -> dict:
     """Write all five marts under ``out_dir`` (default: the shared folder).
 
     The panel is written first and its grain is checked on the written
     table: every series-partitioned window downstream relies on one row per
     (entity, metric, period), and a duplicated key would also fan out the
     benchmark join.  A violation stops the build before any mart is written.
+    ``watches`` (by table, the panel too) observe their checks meanwhile.
     """
-    from tidemark.operators.quality import grain_unique
+    watches = watches or {}
     out_dir = out_dir or shared_dir(spark, "marts")
     panel = replace(panel, df=materialize(
-        panel.df.sortWithinPartitions("metric", "entity", "period"), f"{out_dir}/panel"))
+        panel.df.sortWithinPartitions("metric", "entity", "period"), f"{out_dir}/panel",
+        watch=watches.get("panel")))
     if check_grain:
         dup = grain_unique(panel.df, ["entity", "metric", "period"]).limit(1).count()
         if dup:
             raise GrainError("panel grain violated: duplicate (entity, metric, period)")
-    gap = materialize(gap_of(panel), f"{out_dir}/gap")
+    gap = materialize(gap_of(panel), f"{out_dir}/gap", watch=watches.get("gap"))
     marts = {"gap": gap}
     for name, df in (("stuck", stuck_of(panel, gap)), ("closing", closing_of(panel, gap)),
                      ("dispersion", dispersion_of(panel, gap)),
                      ("descriptive", descriptive_of(panel))):
-        marts[name] = materialize(df, f"{out_dir}/{name}")
+        marts[name] = materialize(df, f"{out_dir}/{name}", watch=watches.get(name))
     return marts

@@ -132,12 +132,17 @@ def raw_table(spark, sf_dir):
     """The batches derived from orders, landed once as an append-only
     Parquet table partitioned by batch_id in the shared folder, then read
     back with the fixed raw schema (so batch filters prune partitions)."""
+    return raw_and_ledger(spark, sf_dir)[0]
+
+
+def raw_and_ledger(spark, sf_dir):
+    """The raw table and its ledger of landed batches."""
     import uuid
     from tidemark.session import shared_dir
-    from tidemark.sources.raw import append_batch, read_raw
+    from tidemark.sources.raw import append_batch, read_ledger, read_raw
     path = shared_dir(spark, "tidemark-raw", f"raw-{uuid.uuid4().hex}")
     append_batch(tables.raw_batches(spark, sf_dir), path)
-    return read_raw(spark, path)
+    return read_raw(spark, path), read_ledger(spark, path)
 
 
 # Fixed parameters of the analyses on the nation panel.
@@ -191,7 +196,7 @@ def balanced_panel(spark, sf_dir):
 def latest_batch(spark, sf_dir):
     """Rows of the newest batch."""
     from tidemark.sources.raw import latest_batch as op
-    return op(raw_table(spark, sf_dir))
+    return op(*raw_and_ledger(spark, sf_dir))
 
 
 @query("latest_per_key")
@@ -565,7 +570,7 @@ def _dq_checks(spark, sf_dir):
     from tidemark.operators import quality as Q
     from tidemark.sources.raw import latest_batch as latest
     panel = cache(lambda: nation(spark, sf_dir))
-    raw = cache(lambda: raw_table(spark, sf_dir))
+    landed = cache(lambda: raw_and_ledger(spark, sf_dir))
     stuck = cache(lambda: marts.stuck_of(panel()))
     closing = cache(lambda: marts.closing_of(panel()))
 
@@ -579,8 +584,8 @@ def _dq_checks(spark, sf_dir):
         ("accepted_values", "closing", lambda: Q.accepted_values(
             closing(), "status", list(P.STUCK_LABELS.values()))),
         ("unique", "entity_dim", lambda: Q.unique(tables.nation_entity_dim(spark, sf_dir), "role")),
-        ("grain_unique", "raw", lambda: Q.grain_unique(raw(), ["metric", "entity", "period"])),
-        ("row_count", "latest_batch", lambda: Q.row_count_is(latest(raw()), RAW_EXPECTED_ROWS)),
+        ("grain_unique", "raw", lambda: Q.grain_unique(landed()[0], ["metric", "entity", "period"])),
+        ("row_count", "latest_batch", lambda: Q.row_count_is(latest(*landed()), RAW_EXPECTED_ROWS)),
         ("only_known_nulls", "panel", known_nulls),
         ("status_scoping", "stuck", lambda: Q.status_scoping(stuck())),
         ("closing_time_valid", "closing", lambda: Q.closing_time_valid(closing())),
@@ -610,9 +615,27 @@ def dq_null_counts(spark, sf_dir):
 
 @query("dq_report")
 def dq_report(spark, sf_dir):
-    """DQ10: one row per check."""
-    from tidemark.operators.quality import run_checks
-    return run_checks([(name, table, make()) for name, table, make in _dq_checks(spark, sf_dir)])
+    """DQ10: one row per check.  The panel and three marts are written, and
+    what their rows alone decide is observed while they are; only the checks
+    that need a shuffle read a table."""
+    from tidemark.operators import quality as Q
+    prm = tables.NATION_PARAMS
+    panel_watch = Q.Watch("panel").rows("only_known_nulls", Q.unlisted_null(
+        prm.fit_start, prm.fit_end, [(tables.NATION_NO_LOW, METRIC_B)]))
+    panel = tables.persist_panel(tables.nation_panel(spark, sf_dir), "nation", panel_watch)
+    watches = {
+        "gap": Q.Watch("gap").not_null("gap"),
+        "stuck": Q.Watch("stuck").rows("status_scoping", Q.status_fault()),
+        "closing": (Q.Watch("closing").accepted_values("status", list(P.STUCK_LABELS.values()))
+                    .rows("closing_time_valid", Q.closing_time_fault())
+                    .rows("closing_time_null_scoping", Q.closing_null_fault()))}
+    base = _scratch(spark, "marts")
+    gap = marts.materialize(marts.gap_of(panel), f"{base}/gap", watch=watches["gap"])
+    marts.materialize(marts.stuck_of(panel, gap), f"{base}/stuck", watch=watches["stuck"])
+    marts.materialize(marts.closing_of(panel, gap), f"{base}/closing", watch=watches["closing"])
+    rest = [(name, table, make()) for name, table, make in _dq_checks(spark, sf_dir)
+            if name in ("unique", "grain_unique", "row_count")]
+    return Q.observed_report(spark, [panel_watch, *watches.values()]).unionByName(Q.run_checks(rest))
 
 
 # The four checks that find nothing in sound marts, on marts spoilt on purpose.
@@ -671,7 +694,7 @@ def land_envelope(spark, sf_dir):
     """Raw series -> envelope JSON files -> flattened, stamped rows
     appended to a raw table partitioned by batch -> newest batch."""
     from tidemark.sources.landing import envelope_documents, land_envelopes
-    from tidemark.sources.raw import append_batch, latest_batch, read_raw
+    from tidemark.sources.raw import append_batch, latest_batch, read_ledger, read_raw
     base = _scratch(spark, "envelope")
     raw = tables.raw_batches(spark, sf_dir)
     envelope_documents(raw).write.partitionBy("batch_id").text(f"{base}/docs")
@@ -680,7 +703,7 @@ def land_envelope(spark, sf_dir):
         landed, _ = land_envelopes(docs.filter(F.col("batch_id") == b).select("value"),
                                    "ENV", f"env_{b}")
         append_batch(landed, f"{base}/raw")
-    return latest_batch(read_raw(spark, f"{base}/raw"))
+    return latest_batch(read_raw(spark, f"{base}/raw"), read_ledger(spark, f"{base}/raw"))
 
 
 @query("landing_rejects")
@@ -784,25 +807,26 @@ def superseded_keys_q(spark, sf_dir):
     """Keys of older batches missing from the newest batch (the newest
     batch is not a superset of the older ones)."""
     from tidemark.sources.raw import superseded_keys
-    return superseded_keys(raw_table(spark, sf_dir))
+    raw, ledger = raw_and_ledger(spark, sf_dir)
+    return superseded_keys(raw, ledger=ledger)
 
 
 @query("scope_to_basket")
 def scope_to_basket_q(spark, sf_dir):
     """Newest-batch rows restricted to an entity basket (the
-    subject and entrant nations, from the region table), a metric basket
-    and a period window."""
-    from tidemark.sources.landing import scope_to_basket
+    subject and entrant nations), a metric basket and a period window."""
+    from tidemark.sources.landing import entity_basket, metric_basket, scope_to_basket
     from tidemark.sources.raw import latest_batch
-    dim = tables.nation_entity_dim(spark, sf_dir)
-    ents = dim.filter(F.col("role").isin("subject", "entrant")).select("entity")
-    mets = spark.createDataFrame([(m,) for m in BASKET_PRIORITIES], "metric string")
-    return scope_to_basket(latest_batch(raw_table(spark, sf_dir)), ents, mets,
+    ents = entity_basket(spark, BASKET_ENTITIES)
+    mets = metric_basket(spark, BASKET_METRICS).withColumnRenamed("code", "metric")
+    return scope_to_basket(latest_batch(*raw_and_ledger(spark, sf_dir)), ents, mets,
                            BASKET_START, BASKET_END)
 
 
 # Fixed basket of the scoping query.
-BASKET_PRIORITIES = ("1-URGENT", "5-LOW")
+BASKET_ENTITIES = (("subject", [f"NATION_{i}" for i in range(3, 25, 5)]),
+                   ("entrant", [f"NATION_{i}" for i in range(2, 25, 5)]))
+BASKET_METRICS = {"priorities": [{"code": "1-URGENT", "name": "Urgent"}, {"code": "5-LOW", "name": "Low"}]}
 BASKET_START, BASKET_END = 1996, 1999
 
 
@@ -845,3 +869,7 @@ def level_shift_q(spark, sf_dir):
     from tidemark.operators.reshape import level_shift
     p = nation(spark, sf_dir)
     return level_shift(p.df, p.params.benchmark, SHIFT_AT)
+
+
+# Further queries register themselves.
+from tidemark.plans import analyses, stored  # noqa: E402, F401

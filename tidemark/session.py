@@ -73,3 +73,12 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         sc.setCheckpointDir(base)
     base = str(base)
     return os.path.join(base, *parts) if parts else base
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did,
+    if that folder is not on their path already."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))

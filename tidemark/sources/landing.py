@@ -5,13 +5,14 @@ Two document shapes:
 * records ``{economy, time: "YR2008", value}`` (JSON lines);
 * envelopes ``[meta, [rows]]`` with ``meta.pages`` and rows
   ``{indicator: {id}, countryiso3code, date, value}``, one envelope per
-  line.  A line that is not a 2-element list, or whose payload is NULL,
-  yields no rows and goes to the rejected side with a reason.
+  text row: a line, or with ``read_documents`` a whole file.  A text that is
+  not a 2-element list, or whose payload is NULL, yields no rows and goes to
+  the rejected side with a reason.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,6 +73,41 @@ def page_warnings(text: DataFrame, column: str = "value") -> DataFrame:
     return envelope_parts(text, column).filter(F.col("pages") > 1).select("doc", "pages")
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(value, file): one row per file, whatever lines its document spans; a
+    document is read by one task and may have 2 GB.  Partition columns of the
+    folder stay."""
+    return (spark.read.text(path, wholetext=True)
+            .withColumn("file", F.col("_metadata.file_path")))
+
+
+def page_report(docs: DataFrame, request: str, column: str = "value") -> DataFrame:
+    """(request, page, fault): pages a request should have and has not, and
+    pages that came more than once.
+
+    A request's envelopes say how many pages there are; the largest number
+    counts.  An envelope without a page number is page 1.  Documents that are
+    no envelope are ``flatten_envelope``'s rejects and count as absent.  Only
+    page numbers are shuffled, never documents."""
+    raw = F.col(column)
+    said = docs.select(F.col(request).alias("request"), *_page_numbers(raw))
+    pages = (said.filter(F.col("pages").isNotNull()).groupBy("request", "page")
+             .agg(F.count(F.lit(1)).alias("n"), F.max("pages").alias("pages")))
+    have = pages.groupBy("request").agg(F.max("pages").alias("pages"),
+                                        F.map_from_entries(F.collect_list(F.struct("page", "n"))).alias("have"))
+    wanted = F.sequence(F.lit(1).cast("long"), F.greatest("pages", F.lit(1).cast("long")))
+    rows = have.select("request", "have", F.explode(F.array_union(wanted, F.map_keys("have"))).alias("page"))
+    n = F.try_element_at("have", "page")
+    return (rows.withColumn("fault", F.when(n.isNull(), "missing").when(n > 1, "repeated"))
+            .filter("fault IS NOT NULL").select("request", "page", "fault"))
+
+
+def _page_numbers(raw: Column) -> list[Column]:
+    ok = F.trim(raw).startswith("[") & (F.json_array_length(raw) >= 2)
+    return [F.when(ok, F.coalesce(F.get_json_object(raw, f"$[0].{name}").try_cast("long"), F.lit(1))).alias(name)
+            for name in ("page", "pages")]
+
+
 def row_fault(metric: str = "metric", entity: str = "entity", period: str = "period") -> Column:
     """Why a landed row can't enter the raw table; NULL for a good row."""
     return (F.when(F.col(metric).isNull(), "no metric")

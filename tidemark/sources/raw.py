@@ -2,16 +2,17 @@
 A1, J5, latest-per-key).
 
 Raw lives as Parquet partitioned by ``batch_id`` (a string that sorts by
-time).  The newest batch of each source is picked with an uncorrelated
-scalar subquery, a map from source to its largest batch id; on the partition
-column the comparison becomes a partition filter, so only the newest
-partitions' files are scanned.
+time).  Beside it lies a ledger with one row per source and batch, written
+when the batch has landed, from what the writing job itself observed.  The
+newest batch of each source comes from the ledger with an uncorrelated
+scalar subquery; on the partition column the comparison becomes a partition
+filter, so only the newest partitions' files are read, and no other.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import params as P
@@ -66,14 +67,41 @@ def append_batch(df: DataFrame, path: str) -> None:
     Rows are sorted by (entity, period) inside each partition so entity
     filters skip row groups; the sort leads with the partition columns, so
     the writer needs no sort of its own."""
-    (df.sortWithinPartitions("batch_id", "metric", "entity", "period")
+    landed = Observation()
+    (df.observe(landed, F.collect_set(F.struct("source", "batch_id")).alias("batches"))  # few batches a write
+     .sortWithinPartitions("batch_id", "metric", "entity", "period")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id", "metric").parquet(path))
+    if batches := landed.get["batches"]:
+        (df.sparkSession.createDataFrame([tuple(b) for b in batches], LEDGER_SCHEMA).coalesce(1)
+         .withColumn("landed_at", F.current_timestamp())
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("source", "batch_id").parquet(ledger_path(path)))
+
+
+LEDGER_SCHEMA = "source string, batch_id string"
+
+
+def ledger_path(path: str) -> str:
+    return path.rstrip("/") + "_ledger"
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    """(source, batch_id) of all batches landed in the raw table at ``path``,
+    or None for a table landed without a ledger.  The two are partition
+    columns; only file names are listed."""
+    try:
+        return (spark.read.schema("landed_at timestamp, " + LEDGER_SCHEMA).parquet(ledger_path(path))
+                .select("source", "batch_id"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def _newest(raw: DataFrame):
     """Map from source to its largest batch id, as a scalar subquery; its size
-    is the number of sources."""
+    is the number of sources.  ``raw``: the ledger, or a raw table without one."""
     return (raw.groupBy(_source(raw).alias("s")).agg(F.max("batch_id").alias("newest"))
             .agg(F.map_from_entries(F.collect_list(F.struct("s", "newest")))).scalar())
 
@@ -83,10 +111,10 @@ def _source(raw: DataFrame):
     return F.coalesce(F.col("source"), F.lit("")) if "source" in raw.columns else F.lit("")
 
 
-def latest_batch(raw: DataFrame) -> DataFrame:
+def latest_batch(raw: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """Rows of the newest batch (max batch_id) of each source, staging columns
-    only."""
-    newest = _newest(raw)
+    only.  Without a ledger the batch ids are read from the table itself."""
+    newest = _newest(raw if ledger is None else ledger)
     return (raw.filter(F.array_contains(F.map_values(newest), F.col("batch_id"))
                        & (newest[_source(raw)] == F.col("batch_id")))
             .select("metric", "entity", "period", "value"))
@@ -101,11 +129,12 @@ def latest_per_key(raw: DataFrame, key=("metric", "entity", "period")) -> DataFr
         F.max("batch_id").alias("batch_id"))
 
 
-def superseded_keys(raw: DataFrame, key=("metric", "entity", "period")) -> DataFrame:
+def superseded_keys(raw: DataFrame, key=("metric", "entity", "period"),
+                    ledger: DataFrame | None = None) -> DataFrame:
     """Keys of older batches missing from the newest ones (a source's newest
     batch is not a superset)."""
-    newest = latest_batch(raw).select(*key)
-    older = (raw.filter(_newest(raw)[_source(raw)] != F.col("batch_id"))
+    newest = latest_batch(raw, ledger).select(*key)
+    older = (raw.filter(_newest(raw if ledger is None else ledger)[_source(raw)] != F.col("batch_id"))
              .select(*key).distinct())
     return older.join(newest, list(key), "left_anti")
 

@@ -250,7 +250,7 @@ def part_panel(spark: SparkSession, sf_dir: str) -> Panel:
                  bench_bound=len(metrics) * (PART_END - PART_START + 1))
 
 
-def persist_panel(panel: Panel, name: str = "panel") -> Panel:
+def persist_panel(panel: Panel, name: str = "panel", watch=None) -> Panel:
     """Write the long panel once to the shared folder and continue from
     the written table.
 
@@ -259,13 +259,14 @@ def persist_panel(panel: Panel, name: str = "panel") -> Panel:
     join and aggregation would run twice.  The files are sorted by
     (metric, entity, period) inside each task so a benchmark or metric
     filter skips row groups, and the written table cuts the lineage: a lost
-    executor does not send the job back to the fact tables.
+    executor does not send the job back to the fact tables.  A ``watch``
+    observes its checks in the same job.
     """
     import uuid
 
     from tidemark.session import shared_dir
     spark = panel.df.sparkSession
     path = shared_dir(spark, "tidemark-panels", f"{name}-{uuid.uuid4().hex}")
-    (panel.df.sortWithinPartitions("metric", "entity", "period")
-     .write.mode("overwrite").parquet(path))
+    df = panel.df.sortWithinPartitions("metric", "entity", "period")
+    (watch.on(df) if watch else df).write.mode("overwrite").parquet(path)
     return replace(panel, df=spark.read.schema(panel.df.schema).parquet(path))
