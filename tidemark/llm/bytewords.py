@@ -15,6 +15,7 @@ import pyarrow as pa
 from tidemark.llm.wordhash import mix
 
 BLOCK = 1 << 20  # bytes hashed at once
+STEP = 1 << 18   # words handled at once where that saves memory
 END = 10         # the byte put behind every row: a line feed, always a separator
 
 _BASE = 0x9E3779B97F4A7C15
@@ -43,7 +44,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Rows:
-    """Rows of one chunk: ``buf`` holds their texts, each followed by END;
+    """Rows of one chunk: ``buf`` holds their texts, each followed by END,
+    and 8 more of these, so that 8 bytes can be read from any place on;
     ``first`` is the place of each row's first byte, ``columns`` the other
     columns as Arrow arrays."""
 
@@ -51,7 +53,7 @@ class Rows:
         sizes = np.concatenate([p[1] for p in parts])
         last = np.cumsum(sizes + 1) - 1
         self.first = last - sizes
-        self.buf = np.full(int(last[-1]) + 1 if len(last) else 0, END, dtype=np.uint8)
+        self.buf = np.full(int(last[-1]) + 9 if len(last) else 8, END, dtype=np.uint8)
         at = 0
         for data, size, _ in parts:
             stop = at + len(data) + len(size)
@@ -116,6 +118,7 @@ def words(buf: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     inside[1:] = ~apart[buf]
     step = np.diff(inside)
     starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    del inside, step
     hashes = np.empty(len(starts), dtype=np.uint64)
     code = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
     lo = 0
@@ -135,35 +138,36 @@ def words(buf: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
     """Fingerprints of the n words from each place on, from prefix
     polynomials of the word hashes; there are len - n + 1."""
-    count = len(hashes) - n + 1
-    if count <= 0:
-        return np.zeros(0, dtype=np.uint64)
-    power, inverse = powers(len(hashes) + 1)
-    total = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    count = max(0, len(hashes) - n + 1)
+    out = np.empty(count, dtype=np.uint64)
+    power, inverse = powers(min(STEP, count) + n)
+    total = np.zeros(min(STEP, count) + n, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        np.cumsum(hashes * power[:len(hashes)], out=total[1:])
-        return mix((total[n:] - total[:count]) * inverse[:count] + np.uint64(n))
+        for lo in range(0, count, STEP):
+            hi = min(lo + STEP, count)
+            part = hashes[lo:hi + n - 1]
+            np.cumsum(part * power[:len(part)], out=total[1:len(part) + 1])
+            out[lo:hi] = mix((total[n:hi - lo + n] - total[:hi - lo]) * inverse[:hi - lo] + np.uint64(n))
+    return out
 
 
 def same_bytes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether words a and words b (numbers of words) are equal byte by byte."""
-    size = ends - starts
-    equal = size[a] == size[b]
-    todo = np.flatnonzero(equal & (a != b))
-    padded = np.concatenate([buf, np.zeros(8, dtype=np.uint8)])
-    eight = np.ndarray((len(buf) + 1,), dtype="<u8", buffer=padded, strides=(1,))  # 8 bytes from each place on
+    x, y, size = starts[a], starts[b], ends[a] - starts[a]
+    equal = size == ends[b] - y
+    todo = np.flatnonzero(equal & (x != y))
+    eight = np.ndarray((len(buf) - 7,), dtype="<u8", buffer=buf, strides=(1,))  # 8 bytes from each place on
     for at in range(0, 64, 8):
         if not len(todo):
             return equal
-        left = size[a[todo]] - at
+        left = size[todo] - at
         todo, left = todo[left > 0], left[left > 0]
         shift = (np.maximum(0, 8 - left) * 8).astype(np.uint64)
-        unlike = ((eight[starts[a[todo]] + at] ^ eight[starts[b[todo]] + at]) << shift) != 0
+        unlike = ((eight[x[todo] + at] ^ eight[y[todo] + at]) << shift) != 0
         equal[todo[unlike]] = False
         todo = todo[~unlike]
-    for i in todo[size[a[todo]] > 64]:
-        x, y, n = starts[a[i]], starts[b[i]], size[a[i]]
-        equal[i] = bool(np.array_equal(buf[x:x + n], buf[y:y + n]))
+    for i in todo[size[todo] > 64]:
+        equal[i] = bool(np.array_equal(buf[x[i]:x[i] + size[i]], buf[y[i]:y[i] + size[i]]))
     return equal
 
 
@@ -171,15 +175,20 @@ def groups(hashes: np.ndarray, same) -> np.ndarray:
     """For each element the number of one element equal to it, the same for
     all equal ones.  Elements of one hash are compared by ``same(a, b)``;
     those that differ from their group's first go round again."""
-    lead = np.arange(len(hashes))
-    rest = lead
-    while len(rest):
-        order = rest[np.argsort(hashes[rest], kind="stable")]
+    lead = np.arange(len(hashes), dtype=np.int32 if len(hashes) < 1 << 31 else np.int64)
+    rest = None
+    while rest is None or len(rest):
+        order = np.argsort(hashes if rest is None else hashes[rest], kind="stable").astype(lead.dtype)
+        order = order if rest is None else rest[order]
         h = hashes[order]
         new = np.ones(len(order), dtype=bool)
         new[1:] = h[1:] != h[:-1]
-        first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-        ok = same(order, first)
+        del h
+        at = np.flatnonzero(new).astype(lead.dtype)
+        first = order[np.repeat(at, np.diff(np.append(at, len(order))))]
+        ok = np.empty(len(order), dtype=bool)
+        for lo in range(0, len(order), STEP):
+            ok[lo:lo + STEP] = same(order[lo:lo + STEP], first[lo:lo + STEP])
         lead[order[ok]] = first[ok]
         rest = np.sort(order[~ok])
     return lead

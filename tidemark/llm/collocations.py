@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bitset
-from tidemark.llm.bytewords import Rows, byte_set, chunks, groups, ngrams, same_bytes, words
+from tidemark.llm.bytewords import STEP, Rows, byte_set, chunks, groups, ngrams, same_bytes, words
 from tidemark.llm.common import freed, importable, read, written
 from tidemark.llm.wordhash import mix
 
@@ -34,7 +34,7 @@ MAX_WORDS = 3
 COVER = 50        # percent of a phrase's occurrences inside a longer one
 TOP = 2000        # phrases returned of each language
 SCALE = 1_000_000
-CHUNK = 1 << 24   # bytes of text whose n-grams are counted together
+CHUNK = 14 << 20  # bytes of text whose n-grams are counted together
 BUCKETS = 16      # tasks that share the first ranking of one language
 
 _APART, _CUT = byte_set(BLANKS + CUTS), byte_set(CUTS)
@@ -50,27 +50,33 @@ def _tally(rows: Rows, sizes: tuple[int, ...], known: np.ndarray | None, mask: i
     starts, ends, hashes = words(buf, _APART)
     if not len(starts):
         return
-    pieces = np.cumsum(_CUT[buf], dtype=np.int32)[starts]
-    row = rows.row_of(starts)
+    pieces = np.searchsorted(np.flatnonzero(_CUT[buf]), starts).astype(np.int32)
+    row = rows.row_of(starts).astype(np.int32)
     langs = pc.dictionary_encode(lang).indices.to_numpy()[row]
-    seeds = mix(lang_hash.to_numpy().view(np.uint64))[row]
+    seeds = mix(lang_hash.to_numpy().view(np.uint64))
     word = groups(hashes & np.uint64(mask), lambda a, b: same_bytes(buf, starts, ends, a, b))
 
     def sealed(n: int) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return mix(ngrams(hashes, n) ^ seeds[:max(0, len(hashes) - n + 1)]) & np.uint64(mask)
+            out = ngrams(hashes, n)
+            for lo in range(0, len(out), STEP):  # by parts, to need no further array of this length
+                part = slice(lo, min(lo + STEP, len(out)))
+                out[part] = mix(out[part] ^ seeds[row[part]]) & np.uint64(mask)
+            return out
 
     for n in sizes:
         if n == 0:
             _, at, count = np.unique(langs, return_index=True, return_counts=True)
-            fp = seeds[at] & np.uint64(mask)
+            fp = seeds[row[at]] & np.uint64(mask)
         else:
-            places = np.flatnonzero(pieces[:len(pieces) - n + 1] == pieces[n - 1:]) if len(pieces) >= n else []
+            places = (np.flatnonzero(pieces[:len(pieces) - n + 1] == pieces[n - 1:]).astype(np.int32)
+                      if len(pieces) >= n else [])
             if not len(places):
                 continue
             if known is not None:  # both its shorter n-grams must be frequent
                 held = bitset.found(known, mix(sealed(n - 1)))
                 places = places[held[places] & held[places + 1]]
+                del held
             fp = sealed(n)[places]
 
             def same(a, b, places=places, n=n):
