@@ -1,16 +1,19 @@
 """Exact top-k search by inner product with cover trees on both sides.
 
-Queries and data are dealt into tiles by a hash of their ids, so a vector
-that a third of the rows hold still gives even tiles.  Every tile has a cover
-tree: the children of a node are a net of its points at half its scale, and
-a node knows its covering radius.  For a query node a and a data node b with
+Pivots are the top of a cover tree over a bounded sample; every vector is
+dealt to its nearest pivot, and the vectors of a pivot to tiles of bounded
+size.  Every tile has a cover tree: the children of a node are a net of its
+points at half its scale, or at the scale that MAX_KIDS centres reach, and a
+node knows its covering radius.  For a query node a and a data node b with
 centres A, B and radii r, s, no inner product exceeds
 
     A.B + r |B| + s |A| + r s.
 
-A node pair whose bound is below the worst kth score of the query node is
-dropped with all that lies below it.  The data tiles of a run stream past a
-query tile, which keeps its kth scores from one tile to the next.
+Tiles are the upper nodes.  Each query tile first meets the data tiles with
+the greatest bounds and learns its queries' kth scores; a data tile is sent to
+it after that only if the pair's bound reaches the worst of these, so pruned
+pairs are never shuffled.  Inside a task a node pair whose bound is below the
+worst kth score of the query node is dropped with all that lies below it.
 """
 
 from __future__ import annotations
@@ -22,14 +25,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import importable, read, written
+from tidemark.llm.common import freed, importable, read, written
 
 TILE = 2048        # data rows in a tile, on average
 QUERY_TILE = 2048  # queries in a tile, on average
-RUN = 16           # data tiles that pass a query tile in one task
-LEAF = 32          # points that are not split further
-CHUNK = 1024       # data points scored at once
+RUN = 16           # data tiles that pass a query tile in one task, on average
+FIRST = 2          # data tiles that a query tile meets before the others are chosen
+LEAF = 24          # points that are not split further
+MAX_KIDS = 32      # children of a node
+SAMPLE = 4096      # vectors from which the pivots are taken
+PIVOTS = 256       # pivots at most
+CHUNK = 1024       # data points scored at once, once kth scores are good
 LONG_MIN, LONG_MAX = -(1 << 63), (1 << 63) - 1
+NONE = LONG_MIN    # kth score of a query that has fewer answers yet
+
+
+def net(points: np.ndarray, first: int, scale: float, most: int) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """(centres, nearest centre of each point, distance to it): farthest
+    points become centres until all lie within ``scale`` of one, or there
+    are ``most``."""
+    gap = np.sqrt(((points - points[first]) ** 2).sum(axis=1))
+    owner, centres = np.zeros(len(points), dtype=np.int64), [first]
+    while len(centres) < most and gap[far := int(gap.argmax())] > scale:
+        new = np.sqrt(((points - points[far]) ** 2).sum(axis=1))
+        closer = new < gap
+        owner[closer], gap[closer] = len(centres), new[closer]
+        centres.append(far)
+    return centres, owner, gap
+
+
+def upper(dots, r, s, a_norm, b_norm) -> np.ndarray:
+    """What no inner product between two balls exceeds, with room for the
+    rounding of every term that goes into it."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        return dots + r * b_norm + s * a_norm + r * s + 1e-9 * (a_norm + r) * (b_norm + s) + 1e-6
 
 
 class CoverTree:
@@ -65,17 +94,8 @@ class CoverTree:
         self.centre.append(int(rows[first]))
         self.radius.append(float(gap.max()) * (1 + 1e-9))
         if len(rows) <= LEAF or not 0 < self.radius[at] < np.inf:
-            return
-        # a net at half the scale: a new centre for the farthest point, until
-        # all are covered
-        owner, scale, centres = np.zeros(len(rows), dtype=np.int64), self.radius[at] / 2, [first]
-        while gap[far := int(gap.argmax())] > scale:
-            if len(centres) >= max(8, len(rows) // 8):
-                return  # not clustered at this scale: one bucket, scored as a matrix
-            new = np.sqrt(((points - points[far]) ** 2).sum(axis=1))
-            closer = new < gap
-            owner[closer], gap[closer] = len(centres), new[closer]
-            centres.append(far)
+            return  # few points, equal ones, or beyond the doubles
+        centres, owner, _ = net(points, first, self.radius[at] / 2, MAX_KIDS)
         lead = np.ones(len(rows), dtype=np.int64)
         lead[centres] = 0
         by = np.lexsort((lead, owner))
@@ -90,23 +110,30 @@ class CoverTree:
 
 
 class Search:
-    """The k best rows seen so far of every query of a tile."""
+    """The k best rows seen so far of every query of a tile.  Rows that are
+    equal in id and vector are one, ``many`` times; ``kth`` are kth scores
+    known from elsewhere (NONE: none)."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, many: np.ndarray, x: np.ndarray, k: int, kth: np.ndarray | None = None):
         self.tree, self.k = CoverTree(x), k
-        self.ids, self.x = ids[self.tree.order], x[self.tree.order]
+        order = self.tree.order
+        self.ids, self.many, self.x, self.place = ids[order], many[order], x[order], order
         n = len(ids)
-        self.score = [np.zeros(0, dtype=object)] * n
-        self.found = [np.zeros(0, dtype=np.int64)] * n
-        self.kth = np.full(n, -np.inf)  # worst kth score, -inf while fewer are known
+        self.best: list[list[tuple[int, int, int]]] = [[] for _ in range(n)]  # (-score, id, times), sorted
+        self.kth = np.full(n, NONE, dtype=np.int64) if kth is None else kth[order]
+        self.scored = 0  # inner products taken
+
+    def worst(self, lo: int, hi: int) -> float:
+        """No greater than the kth score of any query from lo to hi."""
+        return float(np.nextafter(float(self.kth[lo:hi].min()), -np.inf))
 
     @np.errstate(over="ignore", invalid="ignore")
-    def see(self, ids: np.ndarray, x: np.ndarray) -> None:
+    def see(self, ids: np.ndarray, many: np.ndarray, x: np.ndarray) -> None:
         """Search a data tile."""
         if not len(ids) or not len(self.ids):
             return
         data, own = CoverTree(x), self.tree
-        ids, x = ids[data.order], x[data.order]
+        ids, many, x = ids[data.order], many[data.order], x[data.order]
         largest = float(np.abs(self.x).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, x.shape[1])
         kind = np.float32 if largest < 2**24 else np.float64 if largest < 2**53 else object
         if kind is object:
@@ -114,17 +141,24 @@ class Search:
                      for m in (self.x, x)]
         else:
             exact = [self.x.astype(kind), x.astype(kind)]
+        own_kids, data_kids = (np.array([len(k) for k in t.kids]) for t in (own, data))
         a, b = np.array([0]), np.array([0])
         pairs: dict[int, list[tuple[float, int]]] = {}
         while len(a):
-            bound = self._bounds(own, data, a, b)
-            worst = np.array([self.kth[own.lo[i]:own.hi[i]].min() for i in a.tolist()])
+            dots = np.einsum("ij,ij->i", own.x[own.centre[a]], data.x[data.centre[b]])
+            bound = upper(dots, own.radius[a], data.radius[b], own.norm[a], data.norm[b])
+            nodes, back = np.unique(a, return_inverse=True)
+            worst = np.array([self.worst(own.lo[i], own.hi[i]) for i in nodes.tolist()])[back]
             go = ~(bound < worst)  # a bound beyond the doubles prunes nothing
+            a, b, bound = a[go], b[go], bound[go]
+            leaf = (own_kids[a] == 0) & (data_kids[b] == 0)
+            for i, j, most in zip(a[leaf].tolist(), b[leaf].tolist(), bound[leaf].tolist(), strict=True):
+                pairs.setdefault(i, []).append((most, j))
+            a, b = a[~leaf], b[~leaf]
+            down = (data_kids[b] == 0) | ((own_kids[a] > 0) & (own.radius[a] >= data.radius[b]))
             left, right = [], []
-            for i, j, most in zip(a[go].tolist(), b[go].tolist(), bound[go].tolist(), strict=True):
-                if not own.kids[i] and not data.kids[j]:
-                    pairs.setdefault(i, []).append((most, j))
-                elif not data.kids[j] or (own.kids[i] and own.radius[i] >= data.radius[j]):
+            for i, j, split in zip(a.tolist(), b.tolist(), down.tolist(), strict=True):
+                if split:
                     left += own.kids[i]
                     right += [j] * len(own.kids[i])
                 else:
@@ -133,84 +167,105 @@ class Search:
             a, b = np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
         for i, leaves in pairs.items():
             leaves.sort(reverse=True)
-            at = 0
+            at, lo, hi, some_first = 0, own.lo[i], own.hi[i], 2 * self.k
             while at < len(leaves):
-                worst, rows = self.kth[own.lo[i]:own.hi[i]].min(), []
-                while at < len(leaves) and sum(map(len, rows)) < CHUNK:
+                worst, rows, some_first = self.worst(lo, hi), [], min(CHUNK, 2 * some_first)
+                while at < len(leaves) and sum(map(len, rows)) < some_first:
                     most, j = leaves[at]
                     if most < worst:  # nor do the rest reach it
                         at = len(leaves)
                         break
                     rows.append(np.arange(data.lo[j], data.hi[j]))
                     at += 1
-                if rows:
-                    self._score(own.lo[i], own.hi[i], ids, exact, np.concatenate(rows))
-
-    @staticmethod
-    def _bounds(own, data, a, b) -> np.ndarray:
-        centres = np.einsum("ij,ij->i", own.x[own.centre[a]], data.x[data.centre[b]])
-        r, s = own.radius[a], data.radius[b]
-        bound = centres + r * data.norm[b] + s * own.norm[a] + r * s
-        return bound + 1e-6 * np.abs(bound) + 1e-6
-
-    def _score(self, lo: int, hi: int, ids: np.ndarray, exact: list, rows: np.ndarray) -> None:
-        for part in range(0, len(rows), 4 * CHUNK):
-            some = rows[part:part + 4 * CHUNK]
-            for q in range(lo, hi, 512):
-                self._keep(q, min(q + 512, hi), ids[some], exact[0][q:min(q + 512, hi)] @ exact[1][some].T)
-
-    def _keep(self, lo: int, hi: int, ids: np.ndarray, scores: np.ndarray) -> None:
+                for part in range(0, sum(map(len, rows)), 4 * CHUNK):
+                    some = np.concatenate(rows)[part:part + 4 * CHUNK]
+                    for q in range(lo, hi, 512):
+                        z = min(q + 512, hi)
+                        self._keep(q, z, ids[some], many[some], x[some], exact[0][q:z] @ exact[1][some].T)
+
+    def _keep(self, lo: int, hi: int, ids: np.ndarray, many: np.ndarray, x: np.ndarray, scores: np.ndarray) -> None:
+        self.scored += scores.size
         if scores.dtype == object:
-            scores = np.minimum(np.maximum(scores, LONG_MIN), LONG_MAX)
-        least = self.kth[lo:hi]
-        if scores.dtype != object and scores.shape[1] > 4 * self.k:
-            # the kth best but one: the query's own row may be among them
-            top = np.partition(scores, -self.k - 1, axis=1)[:, -self.k - 1]
-            least = np.maximum(least, top)
-        q, c = np.nonzero((scores >= least[:, None]) & (ids[None, :] != self.ids[lo:hi, None]))
-        cuts = np.searchsorted(q, np.arange(hi - lo + 1))
+            scores = np.minimum(np.maximum(scores, LONG_MIN), LONG_MAX).astype(np.int64)
+        else:
+            least = np.full(hi - lo, -np.inf)
+            if scores.shape[1] > 4 * self.k:
+                # the kth best but one: the query's own row may be among them
+                least = np.partition(scores, -self.k - 1, axis=1)[:, -self.k - 1]
+            near = np.flatnonzero((scores >= least[:, None]).ravel())  # whole numbers below 2^53
+            keep = np.full(scores.shape, False).ravel()
+            keep[near] = scores.ravel()[near].astype(np.int64) >= np.repeat(self.kth[lo:hi], scores.shape[1])[near]
+            return self._add(lo, keep.reshape(scores.shape), ids, many, x, scores)
+        return self._add(lo, scores >= self.kth[lo:hi][:, None], ids, many, x, scores)
+
+    def _add(self, lo: int, keep: np.ndarray, ids: np.ndarray, many: np.ndarray, x: np.ndarray, scores: np.ndarray) -> None:
+        q, c = np.nonzero(keep)
+        cuts = np.searchsorted(q, np.arange(len(keep) + 1))
         for i in np.unique(q).tolist():
-            at = c[cuts[i]:cuts[i + 1]]
-            new = scores[i, at]
-            s = np.concatenate([self.score[lo + i], new.astype(object) if new.dtype == object
-                                else new.astype(np.int64).astype(object)])
-            f = np.concatenate([self.found[lo + i], ids[at]])
-            best = sorted(range(len(s)), key=lambda z: (-s[z], f[z]))[:self.k]
-            self.score[lo + i], self.found[lo + i] = s[best], f[best]
-            if len(best) == self.k:
-                self.kth[lo + i] = float(s[best[-1]])
+            new = []
+            for j in c[cuts[i]:cuts[i + 1]].tolist():
+                times = int(many[j])
+                if ids[j] == self.ids[lo + i] and np.array_equal(x[j], self.x[lo + i]):
+                    times -= 1  # the query's own row
+                if times > 0:
+                    new.append((-int(scores[i, j]), int(ids[j]), min(times, self.k)))
+            if not new:
+                continue
+            best = sorted(self.best[lo + i] + new)
+            have = at = 0
+            while at < len(best) and have < self.k:
+                have += best[at][2]
+                at += 1
+            self.best[lo + i] = best[:at]
+            if have >= self.k:
+                self.kth[lo + i] = max(self.kth[lo + i], -best[at - 1][0])
 
     def rows(self) -> pa.RecordBatch:
-        n = [len(x) for x in self.found]
-        score = [int(s) for x in self.score for s in x]
+        n = [len(x) for x in self.best]
+        flat = [e for x in self.best for e in x]
+        at = np.repeat(np.arange(len(n)), n)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(self.ids, n).astype(np.int64)),
-             pa.array(np.concatenate([*self.found, np.zeros(0, np.int64)]).astype(np.int64)),
-             pa.array(score, pa.int64())], names=["query_id", "vec_id", "score"])
+            [pa.array(self.ids[at].astype(np.int64)), pa.array(self.place[at].astype(np.int32)),
+             pa.array([e[1] for e in flat], pa.int64()), pa.array([-e[0] for e in flat], pa.int64()),
+             pa.array([e[2] for e in flat], pa.int32())], names=["query_id", "place", "vec_id", "score", "times"])
 
 
-def _tile(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
-    ids = batch.column("ids")[row].values.to_numpy()
+def _tile(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids, many = (batch.column(c)[row].values.to_numpy() for c in ("ids", "many"))
     flat = batch.column("flat")[row].values
-    return ids, flat.to_numpy().reshape(len(ids), batch.column("dim")[row].as_py())
+    return ids, many, flat.to_numpy().reshape(len(ids), batch.column("dim")[row].as_py())
+
+
+def pivots_of(sample: list[list[float]], most: int) -> dict[int, np.ndarray]:
+    """By length of the vectors: the top of a cover tree of the sample, at
+    most ``most`` centres."""
+    out = {}
+    for dim in {len(v) for v in sample}:
+        x = np.array([v for v in sample if len(v) == dim], dtype=np.float64).reshape(-1, dim)
+        with np.errstate(over="ignore", invalid="ignore"):
+            first = int(((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin())
+            out[dim] = x[net(x, first, 0.0, most)[0]]
+    return out
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
           vec_col: str = "embedding", scale: float = 64.0, tile: int = TILE,
-          query_tile: int = QUERY_TILE, run: int = RUN) -> DataFrame:
-    """(query_id, rank, vec_id, score): for every vector of ``queries`` the k
-    vectors of the greatest inner product, components turned to
-    floor(``scale`` * x); ties go to the smaller id.  A vector with the
-    query's id is never its own answer.  Fewer than k rows where there are
-    fewer candidates.
+          query_tile: int = QUERY_TILE, run: int = RUN, sample: int = SAMPLE, pivots: int = PIVOTS) -> DataFrame:
+    """(query_id, rank, vec_id, score): for every row of ``queries`` the k
+    rows of ``vectors`` of the greatest inner product, components turned to
+    floor(``scale`` * x); ties go to the smaller id.  A query's own row, one
+    with its id and vector, is not its answer; further rows with its id are,
+    and rows that repeat an id, or a whole row, count each.  Fewer than k
+    rows where there are fewer candidates.
 
     Vectors that are NULL or hold NULL or non-finite components, and rows
     with a NULL id, take no part.  Vectors of different lengths are not
-    compared.  Rows that repeat an id count once, with the least vector.
-    Scores are exact; one outside the range of long becomes its end.  Other
-    columns are not looked at.  Empty tables give no rows.
+    compared.  Scores are exact; one outside the range of long becomes its
+    end.  Other columns are not looked at.  Empty tables give no rows.
 
-    Every data tile goes to every query tile once; a task holds one of each.
+    Pivots come from the ``sample`` rows of least hash; every row is dealt to
+    its nearest one, whatever the sample.  A data tile goes to the query
+    tiles whose worst kth score its bound reaches; a task holds one of each.
     A query's results of different runs are merged by a window over at most
     k rows a run, cut to k before the shuffle.
     """
@@ -228,48 +283,145 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
         return (df.where(F.coalesce(fine, F.lit(False)))
                 .select(F.col(id_col).cast("long").alias("id"),
                         F.transform(v, lambda x: whole(x * F.lit(float(scale)))).alias("v"))
-                .groupBy("id").agg(F.min("v").alias("v"))
-                .select("id", F.size("v").alias("dim"), "v"))
-
-    def tiles(df: DataFrame, n: int, name: str) -> DataFrame:
-        # collected rows are bounded: a tile has its share of the ids by hash
-        packed = (df.withColumn("tile", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-                  .groupBy("dim", "tile").agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("rows"))
-                  .select("dim", "tile", F.col("rows.id").alias("ids"),
-                          F.flatten("rows.v").alias("flat")))
-        return written(packed, name)
-
-    data, asked = written(floored(vectors), "vectors"), written(floored(queries), "queries")
-    n_data = -(-max(1, data.count()) // tile)
-    n_query = -(-max(1, asked.count()) // query_tile)
-    data, asked = tiles(data, n_data, "data-tiles"), tiles(asked, n_query, "query-tiles")
-    n_runs = -(-n_data // run)
-    pass_by = (asked.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1))))
-               .select("dim", F.col("tile").alias("q"), "run", F.lit(-1).alias("part"), "ids", "flat")
-               .unionByName(data.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))))
-                            .select("dim", "q", F.pmod("tile", F.lit(n_runs)).alias("run"),
-                                    F.col("tile").alias("part"), "ids", "flat")))
+                .groupBy("id", "v").agg(F.count(F.lit(1)).alias("many")))
+
+    with freed(spark):
+        data = floored(vectors)
+        data = written(data.select("id", "many", "v", F.size("v").alias("dim")), "vectors")
+        n_data = -(-max(1, data.count()) // tile)
+        some = [r.v for r in data.orderBy(F.xxhash64("id", "v"), "id").limit(sample).select("v").collect()]
+        centres = pivots_of(some, min(pivots, 4 * n_data))
+        asked = floored(queries)
+        asked = written(asked.select("id", "many", "v", F.size("v").alias("dim")), "queries")
+        # every data tile meets every query tile in the worst case, so there
+        # are no more query tiles than their size asks for
+        few = min(pivots, -(-max(1, asked.count()) // query_tile))
+        own_centres = {d: np.array([v for v in some if len(v) == d][:few], dtype=np.float64).reshape(-1, d)
+                       for d in centres}
+        data = _tiles(_dealt(data, centres), tile, "data-tiles")
+        asked = _tiles(_dealt(asked, own_centres), query_tile, "query-tiles")
+        pairs = written(_bounded(asked, data, own_centres, centres), "tile-pairs")
+        by = Window.partitionBy("dim", "q").orderBy(F.desc("bound"), "d")
+        first = pairs.withColumn("n", F.row_number().over(by)).where(F.col("n") <= FIRST)
+        found = written(_searched(asked, data, first, k, run), "first-answers")
+        # the queries' kth scores: those with fewer answers have none
+        kth = (found.groupBy("dim", "q", "place").agg(
+            F.when(F.sum("times") >= k, F.sort_array(F.flatten(F.collect_list(F.array_repeat("score", F.col("times")))),
+                                                     asc=False)[k - 1]).alias("kth"))
+            .groupBy("dim", "q").agg(F.map_from_entries(F.collect_list(F.struct("place", "kth"))).alias("known"))
+            .select("dim", "q", "known"))
+        asked = written(asked.join(kth, ["dim", "q"], "left").withColumn("kth", F.transform(
+            "ids", lambda _, i: F.coalesce(F.try_element_at("known", i.cast("int")), F.lit(NONE)))).drop("known"), "asked")
+        worst = asked.select("dim", "q", F.array_min("kth").alias("worst"))
+        rest = (pairs.join(first.select("dim", "q", "d"), ["dim", "q", "d"], "left_anti").join(worst, ["dim", "q"])
+                .where(~(F.col("bound") < F.col("worst").cast("double") * (1 - 1e-15 * F.signum(F.col("worst").cast("double"))))))
+        found = written(found.unionByName(_searched(asked, data, rest, k, run)), "answers")
+    order = Window.partitionBy("dim", "q", "place").orderBy(F.desc("score"), "vec_id")
+    ranked = (found.withColumn("one", F.explode(F.sequence(F.lit(1), "times")))
+              .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
+    times = asked.select("dim", "q", F.posexplode("many").alias("place", "rows")).where("rows > 1")
+    return (ranked.join(times, ["dim", "q", "place"], "left")
+            .withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("rows", F.lit(1)))))
+            .select("query_id", "rank", "vec_id", "score"))
+
+
+def _dealt(rows: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
+    """Every vector's nearest pivot and its distance; a length that the
+    sample lacks has the origin as its pivot."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            dims, v = b.column("dim").to_numpy(), b.column("v")
+            flat, cuts = v.flatten().to_numpy(), np.cumsum(np.concatenate([[0], dims]))
+            pivot, gap = np.zeros(b.num_rows, dtype=np.int32), np.zeros(b.num_rows)
+            for dim in np.unique(dims):
+                at = np.flatnonzero(dims == dim)
+                c = centres.get(int(dim), np.zeros((1, dim)))
+                for lo in range(0, len(at), 1024):
+                    some = at[lo:lo + 1024]
+                    x = flat[cuts[some][:, None] + np.arange(dim)].reshape(len(some), dim)
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        near = (x @ c.T) - (c ** 2).sum(axis=1) / 2
+                        pivot[some] = np.where(np.isfinite(near).all(axis=1), near.argmax(axis=1), 0)
+                        gap[some] = np.sqrt(((x - c[pivot[some]]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pivot), pa.array(gap)],
+                                             names=["id", "many", "v", "dim", "pivot", "gap"])
+    return rows.mapInArrow(deal, "id long, many long, v array<double>, dim int, pivot int, gap double")
+
+
+def _tiles(dealt: DataFrame, size: int, name: str) -> DataFrame:
+    """(dim, pivot, part, radius, ids, many, flat, q/d): the vectors of a
+    pivot in parts of about ``size`` rows."""
+    dealt = written(dealt, name + "-dealt")
+    parts = dealt.groupBy("dim", "pivot").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("parts"))
+    row = F.struct("id", "many", "v")
+    packed = (dealt.join(parts, ["dim", "pivot"])
+              .withColumn("part", F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int"))
+              .groupBy("dim", "pivot", "part")
+              .agg(F.max("gap").alias("radius"), F.sort_array(F.collect_list(row)).alias("rows")))
+    tile = "q" if name.startswith("query") else "d"
+    return written(packed.select(
+        "dim", "pivot", "radius", F.concat_ws(".", "pivot", "part").alias(tile), F.col("rows.id").alias("ids"),
+        F.col("rows.many").alias("many"), F.flatten("rows.v").alias("flat")), name)
+
+
+def _bounded(asked: DataFrame, data: DataFrame, own_centres: dict[int, np.ndarray],
+             centres: dict[int, np.ndarray]) -> DataFrame:
+    """(dim, q, d, bound) for the tiles of either side: a few numbers a pair."""
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            dims, p, r, o, s = (b.column(i).to_numpy() for i in (0, 3, 4, 5, 6))
+            out = np.zeros(b.num_rows)
+            for dim in np.unique(dims):
+                a, c = (m.get(int(dim), np.zeros((1, dim))) for m in (own_centres, centres))
+                at = np.flatnonzero(dims == dim)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    a_size, c_size = (np.sqrt((m ** 2).sum(axis=1)) for m in (a, c))
+                    out[at] = upper((a @ c.T)[p[at], o[at]], r[at] * (1 + 1e-9), s[at] * (1 + 1e-9),
+                                    a_size[p[at]], c_size[o[at]])
+            out[np.isnan(out)] = np.inf
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(out)], names=["dim", "q", "d", "bound"])
+    own = asked.select("dim", "q", "pivot", "radius")
+    other = data.select("dim", "d", F.col("pivot").alias("pivot_d"), F.col("radius").alias("radius_d"))
+    return own.join(other, "dim").select("dim", "q", "d", "pivot", "radius", "pivot_d", "radius_d").mapInArrow(
+        bound, "dim int, q string, d string, bound double")
+
+
+def _searched(asked: DataFrame, data: DataFrame, pairs: DataFrame, k: int, run: int) -> DataFrame:
+    """(dim, q, place, query_id, vec_id, score, times): answers of query
+    tiles from the data tiles they are paired with."""
+    runs = pairs.groupBy("dim", "q").agg(F.ceil(F.count(F.lit(1)) / run).cast("int").alias("runs"))
+    pairs = pairs.join(runs, ["dim", "q"]).select(
+        "dim", "q", "d", F.pmod(F.xxhash64("d"), F.col("runs")).cast("int").alias("run"), F.col("bound").alias("b"))
+    kth = F.col("kth") if "kth" in asked.columns else F.lit(None).cast("array<long>")
+    cols = ["dim", "q", "run", "b", "ids", "many", "flat", "kth"]
+    own = (pairs.select("dim", "q", "run").distinct().join(asked, ["dim", "q"])
+           .select("dim", "q", "run", F.lit(None).cast("double").alias("b"), "ids", "many", "flat", kth.alias("kth")))
+    other = (pairs.join(data, ["dim", "d"]).withColumn("kth", F.lit(None).cast("array<long>")).select(*cols))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, now = None, None
+
+        def answers():
+            rows = now.rows()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(rows.num_rows, at[0], dtype=np.int32)), pa.array([at[1]] * rows.num_rows, pa.string()),
+                 *rows.columns], names=["dim", "q", *rows.schema.names])
         for batch in batches:
             for row in range(batch.num_rows):
                 key = tuple(batch.column(c)[row].as_py() for c in ("dim", "q", "run"))
-                if batch.column("part")[row].as_py() < 0:
+                if batch.column("b")[row].as_py() is None:  # the query tile comes first
                     if now is not None:
-                        yield now.rows()
-                    at, now = key, Search(*_tile(batch, row), k)
-                elif key == at:  # else no query has this length
+                        yield answers()
+                    known = batch.column("kth")[row]
+                    at, now = key, Search(*_tile(batch, row), k, known.values.to_numpy() if known.is_valid else None)
+                elif key == at:
                     now.see(*_tile(batch, row))
         if now is not None:
-            yield now.rows()
+            yield answers()
 
-    found = (pass_by.repartition(n_query * n_runs, "dim", "q", "run")
-             .sortWithinPartitions("dim", "q", "run", "part")
-             .mapInArrow(search, "query_id long, vec_id long, score long"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return (own.unionByName(other).repartition("dim", "q", "run")
+            .sortWithinPartitions("dim", "q", "run", F.col("b").desc_nulls_first())
+            .mapInArrow(search, "dim int, q string, query_id long, place int, vec_id long, score long, times int"))
 
 
 K = 20
@@ -283,18 +435,17 @@ def op1_topk_search(spark, sf_dir):
 
 OP1_SQL = f"""
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: floor(64 * x::DOUBLE))) AS v
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.vec_id AS query_id, q.rid, c.vec_id,
          list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+  FROM v q JOIN v c ON c.rid <> q.rid AND len(c.v) = len(q.v)
   WHERE q.vec_id % {EVERY} = 0),
 r AS (
-  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank,
+  SELECT query_id, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS rank,
          vec_id, score
   FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= {K}
