@@ -3,6 +3,7 @@ and long texts, ties, repeated rows, empty tables, clashing column names."""
 import html
 import itertools
 import math
+import operator
 import random
 import re
 from collections import Counter
@@ -49,14 +50,59 @@ def test_top_k_is_exact(spark, clustered):
              (703, [float("inf")] * 6), (None, [0.0] * 6), (704, [1.0, 2.0]), (5, rows[5][1]),
              *[(800 + i, [0.25] * 6) for i in range(30)]]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = topk.top_k(df, df.where("vec_id % 20 = 0"), 20, tile=128, query_tile=16, run=2).collect()
-    z = {i: np.floor(64 * np.array(v)) for i, v in rows
-         if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v)}
+    got = topk.top_k(df, df.where("vec_id % 20 = 0"), 20, tile=128, query_tile=16, run=2, sample=300, pivots=12).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == top_brute(rows, 20, lambda i: i % 20 == 0)
+
+
+def top_brute(rows, k, asked, scale=64):
+    """Every row but the query's own, by row."""
+    z = [(i, tuple(math.floor(c * scale) for c in v)) for i, v in rows
+         if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
     want = []
-    for q in sorted(i for i in z if i % 20 == 0):
-        best = sorted((-int(z[q] @ z[c]), c) for c in z if c != q and len(z[c]) == len(z[q]))[:20]
-        want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(best)]
-    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+    for at, (i, q) in enumerate(z):
+        if asked(i):
+            best = sorted((-min(max(sum(map(operator.mul, q, c)), topk.LONG_MIN), topk.LONG_MAX), j)
+                          for other, (j, c) in enumerate(z) if other != at and len(c) == len(q))[:k]
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    return sorted(want)
+
+
+def test_top_k_keeps_every_row(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i), [float(round(v)) for v in rng.normal(size=3) * 3]) for i in rng.integers(0, 25, 90)]
+    rows += rows[:30] + rows[:3] + [(0, [1.0, 2.0, 3.0])] * 7 + [(1, [0.5]), (1, [0.5]), (2, [0.25])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("id", F.lit("clash"))
+    got = topk.top_k(df, df.where("vec_id % 3 = 0"), 8, tile=20, query_tile=7, run=2, sample=50, pivots=5).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == top_brute(rows, 8, lambda i: i % 3 == 0)
+
+
+@pytest.mark.parametrize("base", [2.0**20, 2.0**25, 2.0**31, 1e15])
+def test_top_k_ties_and_cancelling_beyond_the_doubles(spark, base):
+    rng = random.Random(base)
+    rows = [(0, [base + 1, -base, 1.0])]
+    for i in range(1, 60):
+        a = base * rng.choice([1, -1, 2]) + rng.randrange(-2, 3)
+        rows.append((i, [a, a + rng.randrange(-1, 2), float(rng.randrange(3))]))
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(i, [c / 64 for c in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df, 5, tile=9, query_tile=5, run=1, sample=30, pivots=4).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == top_brute(rows, 5, lambda i: True, 1)
+
+
+def test_top_k_prunes_clustered_vectors():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16)) * 300
+    x = np.floor(centres[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 16)))
+    search = topk.Search(np.arange(200), np.ones(200, dtype=np.int64), x[:200], 20)
+    for lo in range(0, 4000, 1000):
+        search.see(np.arange(lo, lo + 1000), np.ones(1000, dtype=np.int64), x[lo:lo + 1000])
+    assert search.scored < 0.35 * 200 * 4000
+    z = x[:200] @ x.T
+    z[np.arange(200), np.arange(200)] = -np.inf
+    want = [sorted(zip(-z[i], range(4000), strict=True))[:20] for i in range(200)]
+    got = {q: b for q, b in zip(search.ids.tolist(), search.best, strict=True)}
+    assert all([(s, j) for s, j, _ in got[i]] == [(int(s), j) for s, j in want[i]] for i in range(200))
+    assert len(topk.CoverTree(rng.normal(size=(2000, 64))).lo) > 30   # a tree also where nothing clusters
 
 
 def test_top_k_large_components_and_empty(spark):
