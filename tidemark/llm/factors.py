@@ -38,7 +38,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WINDOW = 13      # words of a duplicate span at least
 K = 7            # words of an anchor
 CHUNK = 1 << 23  # bytes of text that are hashed together
-PART = 1 << 17   # anchors that one part of a block's documents has at most, on average
+PART = 1 << 14   # anchors that one part of a block's documents has at most, on average
 
 _APART = byte_set(BLANKS)
 
@@ -62,6 +62,11 @@ def _windows(rows: Rows, window: int, k: int):
     if len(starts) < window:
         return None
     at = np.flatnonzero(row[:len(row) - window + 1] == row[window - 1:])
+    # rows of a chunk that repeat an id with the same text say nothing new
+    same = mix(rows.columns[0].to_numpy().view(np.uint64)) ^ rows.columns[1].to_numpy().view(np.uint64)
+    once = np.zeros(len(rows), dtype=bool)
+    once[np.unique(same, return_index=True)[1]] = True
+    at = at[once[row[at]]]
     if not len(at):
         return None
     x = ngrams(hashes, k)
@@ -84,7 +89,7 @@ def _anchors(base: DataFrame, window: int, k: int) -> DataFrame:
             for lo in range(0, len(places), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(x[places[lo:lo + (1 << 16)]].view(np.int64)),
                                                   pa.array(ids[lo:lo + (1 << 16)])], names=["x", "id"])
-    return base.select("text", "id").mapInArrow(find, "x long, id long")
+    return base.select("text", "id", "row").mapInArrow(find, "x long, id long")
 
 
 def _sent(base: DataFrame, window: int, k: int, shared) -> DataFrame:
@@ -205,7 +210,7 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          .select("x", "ref", F.coalesce("parts", F.lit(1)).alias("parts")), "blocks")
         own = F.col("id") == F.col("ref")
         salts = F.when(own, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(
-            F.array(F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")))
+            F.array(F.pmod(F.xxhash64("id", "row"), F.col("parts")).cast("int")))
         sent = (_sent(base, window, k, table).join(blocks, "x")
                 .select("ref", F.explode(salts).alias("salt"), own.alias("own"), "id", "row", "x", "start", "fps"))
         factored = written(sent.repartition("ref", "salt")
