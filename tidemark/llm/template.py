@@ -44,8 +44,9 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "rt ruby s samp small span strike strong sub sup time tt u var".split())
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr thead tbody tfoot option figcaption pre "
                    "caption".split())
-# Elements that never hold the article's text.
-APART = frozenset("nav header footer aside form button select menu dialog head title object".split())
+# Elements that never hold the article's text; a header does
+# inside an article, and a form may be around the whole page.
+APART = frozenset("nav header footer aside button select menu dialog head title object".split())
 CONTENT = frozenset(("article", "main"))
 # Names in class, id or role of such parts.
 APART_WORDS = frozenset(
@@ -59,12 +60,23 @@ STEMS = frozenset(
     "ad ads adbox advert advertisement advertising sponsor sponsored banner nav navbar navigation menu breadcrumb "
     "breadcrumbs sidebar widget footer masthead cookie cookies popup modal newsletter comment comments disqus "
     "pagination pager toolbar".split())
+# Those that say so as any word of a name ("user-comments", "post-related").
+ANYWHERE = frozenset(
+    "advert advertisement advertising sponsored promo banner navbar navigation breadcrumb breadcrumbs sidebar cookie "
+    "cookies newsletter share sharing related recommended disqus replies respond pagination masthead".split())
+COMMENTS = re.compile(r"comments?(list|area|form|section|box|thread|wrap|wrapper|body|author|meta|text|count)?")
+# Teasers of other articles: these words side by side.
+TEASERS = frozenset(((a, b) for a in ("more", "other", "latest", "read", "see") for b in
+                     ("stories", "articles", "posts", "news", "next", "also", "reading")))
+# Words before which a name says the contrary or what is around it.
+DENIALS = frozenset("no not non without has with is hide overflow".split())
 STATES = frozenset("open opened closed enabled disabled on off active inactive visible none fixed sticky collapsed "
                    "expanded free".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-NAMES = re.compile(r"\b(class|id|role|aria-hidden|hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+UNSHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+NAMES = re.compile(r"(?<![\w-])(class|id|role|aria-hidden|hidden|style)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 SPACE = re.compile(r"\s+")
 
 
@@ -110,6 +122,9 @@ def labels(attributes: str) -> str:
         if key in ("hidden", "aria-hidden"):
             if key == "hidden" or value.lower() == "true":
                 out.append("hidden")
+        elif key == "style":
+            if UNSHOWN.search(value):
+                out.append("hidden")
         else:
             out += value.lower().split()
     return ".".join(out)
@@ -117,16 +132,28 @@ def labels(attributes: str) -> str:
 
 @lru_cache(1 << 14)
 def worded(step: str) -> bool:
-    """Whether a name in class, id or role says that a step of a path is set
-    apart.  Names count whole; those of articles, body and html don't."""
+    """Whether a step of a path is set apart by what it is called in class, id
+    or role, is not shown, or is a form.  Names of articles, body and html
+    don't count.  Whatever is found here gives way where the element is
+    around most of the text."""
     name, _, names = step.partition(".")
+    if name == "form":
+        return True
     if not names or name in CONTENT or name in ("body", "html"):
-        return False
+        return "hidden" in names.split(".") and name in CONTENT
     for one in names.split("."):
         words = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"\d+", "", one)) if w]
-        if len(words) == 1 and words[0] in APART_WORDS:
+        if not words or one == name:
+            continue
+        if len(words) == 1:
+            if words[0] in APART_WORDS or COMMENTS.fullmatch(words[0]):
+                return True
+            continue
+        if words[-1] in STATES or words[0] in DENIALS:
+            continue
+        if words[0] in STEMS or any(w in ANYWHERE or COMMENTS.fullmatch(w) for w in words):
             return True
-        if len(words) > 1 and words[0] in STEMS and words[-1] not in STATES:
+        if any(pair in TEASERS for pair in zip(words, words[1:], strict=False)):
             return True
     return False
 
@@ -141,9 +168,12 @@ def apart(step: str) -> bool:
 def standing(path: str) -> tuple[str, ...] | None:
     """Elements around a block that are set apart by names, outermost first;
     None if one is by its element, so that it never holds the article's text."""
-    steps = path.split("/")
-    if any(s.partition(".")[0] in APART or s.partition(".")[0] in RAW for s in steps):
-        return None
+    steps, inside = path.split("/"), False
+    for s in steps:
+        name = s.partition(".")[0]
+        if name in RAW or (name in APART and not (inside and name == "header")):
+            return None
+        inside = inside or name in CONTENT
     return tuple("/".join(steps[:i + 1]) for i, s in enumerate(steps) if worded(s))
 
 
