@@ -298,6 +298,114 @@ def test_main_text_without_texts_alike(spark):
     assert all("Head 9\n\nShort 9\n\nAlike" in t for t in got[5:])  # no template from copies
 
 
+def on_host(spark, body):
+    """Texts of six pages of one host, and of a page alone, with this body."""
+    page = "<html><body><nav><p>menu {i}</p></nav>" + body + "<footer><p>end {i}</p></footer></body></html>"
+    got = main_texts(spark, [("h.example", page.replace("{i}", str(i))) for i in range(6)]
+                     + [("one.example", page.replace("{i}", "6"))])
+    return got
+
+
+STORY = "<h1>Head {i}</h1><p>Text number {i} of a longer story about nothing</p>"
+
+
+@pytest.mark.parametrize("body", [
+    '<form id="aspnetForm"><div class="content">' + STORY + '<form><p>mail {i}</p></form></div></form>',
+    "<article>" + STORY + '<ol class="commentlist"><li>reader {i}</li></ol></article>',
+    "<article>" + STORY + '<div class="user-comments"><p>reader {i}</p></div></article>',
+    "<article>" + STORY + '<div class="article__comments"><p>reader {i}</p></div></article>',
+    "<article>" + STORY + '<div class="post-related"><p>other {i}</p></div></article>',
+    "<article>" + STORY + '<p style="color: red; display : none">secret {i}</p><p hidden>x</p></article>',
+    '<article><header class="entry-header"><h1>Head {i}</h1></header><p>Text number {i} of a longer story about nothing</p>'
+    "<footer><p>tags {i}</p></footer></article>",
+    "<article>" + STORY + '</article><section class="more-stories"><article><h2>Other {i}</h2></article></section>',
+    "<article>" + STORY + '<div class="social-share"><p>share {i}</p></div></article>',
+    '<div class="page-comments-open"><div class="has-related">' + STORY + "</div></div>",
+    '<article data-style="display:none" class="post">' + STORY + "</article>",
+])
+def test_main_text_blocks_set_apart(spark, body):
+    assert on_host(spark, body) == [f"Head {i}\n\nText number {i} of a longer story about nothing" for i in range(7)]
+
+
+def template_brute(pages):
+    """Texts by explicit occurrence vectors, classes and slots: pages are
+    (row, host, html)."""
+    out = {}
+    for host in {h for _, h, _ in pages}:
+        rows = [(r, *template.parse(t or "")) for r, h, t in pages if h == host]
+        distinct = {t: r for r, h, t in pages if h == host}
+        vector, chars, holders, text_of = {}, Counter(), {}, Counter()
+        for r, roles, blocks in rows:
+            for role, n in Counter(roles).items():
+                vector.setdefault(("tag", role), {})[r] = n
+            live = [(p, t, template.standing(p)) for p, t in blocks if template.standing(p) is not None]
+            for (p, t, names), n in Counter(live).items():
+                vector.setdefault(("text", p, t), {})[r] = n
+                chars["text", p, t] += n * len(t)
+                holders.setdefault(("text", p, t), set()).add(next(x for y, h, x in pages if y == r))
+            for p, t, names in live:
+                for e in ("", *names):
+                    text_of[e] += len(t)
+        around = {e for e, n in text_of.items() if e and n >= 0.8 * text_of[""]}
+        tokens = {k: v for k, v in vector.items() if k[0] == "tag" or len(holders[k]) >= 3}
+        classes = Counter(frozenset(v.items()) for v in tokens.values())
+        most = max((len(v) for k, v in vector.items() if k[0] == "tag"), default=0)
+        good = {k for k, v in tokens.items() if classes[frozenset(v.items())] >= 3 and len(v) >= 3}
+        valid = {k[1] for k in good if k[0] == "tag" and len(vector[k]) >= 0.5 * most}
+        nested = {r for r in valid if "/" not in r.rstrip("/") or r.rstrip("/").rsplit("/", 1)[0] in valid}
+        alike = {k for k in good if k[0] == "text" and k[1] in valid and len(vector[k]) >= 0.5 * most
+                 and len(holders[k]) >= 0.5 * len({t for t in distinct if template.named_lengths(template.parse(t or "")[1])})}
+        by_role = Counter()
+        for k, n in chars.items():
+            by_role[k[1]] += n
+        held = Counter()
+        for k in alike:
+            held[k[1]] += chars[k]
+        alike = {k for k in alike if held[k[1]] >= 0.8 * by_role[k[1]]}
+        slots = Counter()
+        for r, roles, blocks in rows:
+            for p, t in blocks:
+                names = template.standing(p)
+                if names is not None and (not names or names[-1] in around):
+                    for s in template.content_slots(p):
+                        slots[s] += len(t) if ("text", p, t) not in alike else 0
+        slots = {s: n for s, n in slots.items() if s in nested and n > 0}
+        main = max((s for s in slots if slots[s] == max(slots.values())), key=lambda s: (s.count("/"), s), default=None)
+        few = len(rows) < 3 or not nested
+        for r, roles, blocks in rows:
+            keys = frozenset(template.text_key(k[1], k[2]) for k in alike)
+            out[r] = template.extract(blocks, None if few or main not in set(roles) else main, None if few else around,
+                                      frozenset() if few else keys)
+    return out
+
+
+def test_main_text_against_explicit_vectors(spark):
+    rng, pages = random.Random(8), []
+    for h in range(7):
+        boxes = [f'<div class="{rng.choice(["b", "wrap", "sidebar", "x-related", "m"])}{n}"><p>box {n}</p></div>' for n in range(3)]
+        shell = rng.choice(["<div class='post'>{}</div>", "<article>{}</article>", "<form><div class='c'>{}</div></form>",
+                            "<div class='comments'>{}</div>"])
+        for _ in range(rng.randrange(1, 8)):
+            body = "".join(f"<p>{prose(rng.randrange(999), rng.randrange(1, 9))}</p>" for _ in range(rng.randrange(0, 4)))
+            parts = [shell.format("<h1>" + prose(rng.randrange(999), 2) + "</h1>" + body + rng.choice(["", "<p>Alike</p>"]))]
+            parts += [b for b in boxes if rng.random() < 0.8]
+            rng.shuffle(parts)
+            text = "<html><body><ul><li>Home</li><li>News</li></ul>" + "".join(parts) + "</body></html>"
+            pages += [(len(pages) + n, f"h{h}.example", text) for n in range(rng.choice([1, 1, 1, 2]))]
+    got = main_texts(spark, [(h, t) for _, h, t in pages])
+    want = template_brute(pages)
+    assert got == [want[i] for i in range(len(pages))]
+
+
+def test_main_text_clashing_columns_long_and_broken(spark):
+    long = "".join(f"<p>line {i} of a very long page</p>" for i in range(30_000))
+    rows = [(1, "http://h/1", f"<article>{long}</article>", "mine", 7), (2, "http://h/2", '<p class="a>x</p><div id=\'b>y', "t", 8),
+            (3, "http://h/3", '<a href="x>y</a><p>z', None, None), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, host int")
+    got = {r.page_id: r for r in template.main_text(df).collect()}
+    assert len(got) == 4 and got[1].text.count("\n\n") == 29_999 and got[1].host == 7 and got[None].text == ""
+
+
 # --- op2, op3, op5, op7, op8 ----------------------------------------------------
 
 def test_contaminated_with_substitutions(spark):
