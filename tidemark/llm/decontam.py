@@ -25,9 +25,6 @@ from tidemark.llm.common import read, word_hashes
 # may differ.  The tests hold each against all substitutions of a window.
 COVERS = ((10, ("111011", "11001011", "11111")), (6, ("11011", "1111")), (5, ("111", "1101")),
           (4, ("1111",)), (3, ("111",)), (2, ("11",)), (1, ("1",)))
-# The masks and least item that op2_sql() joins on; it misses what they miss.
-MASKS = ("1111110000", "1101011010", "1010110011", "1001101101")
-SPAN = 10
 WINDOW = 20        # words of an item that must be found side by side, or all it has
 SHARE = 0.8        # share of these words that must be equal
 # Seeds of the test set that are broadcast at most: 4 M rows of 24 bytes.
@@ -135,33 +132,27 @@ def op2_decontamination(spark, sf_dir):
                         read(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
-# All alignments of an item with a text that share a seed are those with all
-# looked-at words equal in some span; the rest follows the definition.
+# The rule itself: every alignment of an item with a text, by all the places
+# where their words are equal.
 def op2_sql() -> str:
     words = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
     return f"""
-WITH d AS (SELECT DISTINCT doc_id, {words} AS w FROM documents WHERE doc_id IS NOT NULL),
-b AS (SELECT DISTINCT item_id, {words} AS w FROM benchmark WHERE item_id IS NOT NULL),
-dp AS (SELECT doc_id, w, unnest(range(len(w) - {SPAN - 1})) AS p FROM d WHERE len(w) >= {SPAN}),
-bp AS (SELECT item_id, w, unnest(range(len(w) - {SPAN - 1})) AS q FROM b WHERE len(w) >= {SPAN}),
-hits AS (
-  SELECT DISTINCT doc_id, item_id, s FROM (
-    {" UNION ALL ".join(
-        f"SELECT doc_id, item_id, p - q AS s FROM (SELECT doc_id, p, {a} AS k FROM dp) x "
-        f"JOIN (SELECT item_id, q, {c} AS k FROM bp) y USING (k)"
-        for a, c in ((
-            "[" + ", ".join(f"w[p + {i + 1}]" for i, x in enumerate(mask) if x == "1") + "]",
-            "[" + ", ".join(f"w[q + {i + 1}]" for i, x in enumerate(mask) if x == "1") + "]")
-            for mask in MASKS))})),
+WITH d AS (SELECT *, row_number() OVER () AS d FROM (
+  SELECT DISTINCT doc_id, {words} AS w FROM documents WHERE doc_id IS NOT NULL)),
+b AS (SELECT *, row_number() OVER () AS b, least({WINDOW}, len(w)) AS n_window FROM (
+  SELECT DISTINCT item_id, {words} AS w FROM benchmark WHERE item_id IS NOT NULL)),
 al AS (
-  SELECT h.doc_id, h.item_id, least({WINDOW}, len(b.w)) AS n_window,
-         list_transform(range(len(b.w)), lambda i: CASE WHEN i + h.s >= 0 AND i + h.s < len(d.w)
-                        AND b.w[i + 1] = d.w[i + h.s + 1] THEN 1 ELSE 0 END) AS e
-  FROM hits h JOIN d USING (doc_id) JOIN b USING (item_id)),
+  SELECT x.d, y.b, x.p - y.q AS s, list(y.q) AS equal
+  FROM (SELECT d, unnest(w) AS word, unnest(range(len(w))) AS p FROM d) x
+  JOIN (SELECT b, unnest(w) AS word, unnest(range(len(w))) AS q FROM b) y USING (word)
+  GROUP BY x.d, y.b, s),
 win AS (
-  SELECT doc_id, item_id, n_window, u.o AS o, list_sum(e[u.o + 1 : u.o + n_window]) AS n
-  FROM al, LATERAL (SELECT unnest(range(len(e) - n_window + 1)) AS o) u)
-SELECT doc_id, item_id, max(n)::BIGINT AS n_match, any_value(n_window)::BIGINT AS n_window,
+  SELECT doc_id, item_id, n_window, u.o AS o,
+         len(list_filter(equal, lambda q: q >= u.o AND q < u.o + n_window)) AS n
+  FROM (SELECT * FROM al JOIN b USING (b) JOIN (SELECT d, doc_id FROM d) USING (d)
+        WHERE len(equal) >= ceil({SHARE} * n_window - 1e-9)) h,
+       LATERAL (SELECT unnest(range(len(h.w) - h.n_window + 1)) AS o) u)
+SELECT doc_id, item_id, max(n)::BIGINT AS n_match, arg_max(n_window, n)::BIGINT AS n_window,
        arg_min(o, o - n * 1000000)::BIGINT AS item_word
 FROM win WHERE n >= ceil({SHARE} * n_window - 1e-9)
 GROUP BY doc_id, item_id
