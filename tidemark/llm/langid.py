@@ -28,7 +28,9 @@ LANDMARKS = 40         # of these, landmarks of each language at most
 ALL_LANDMARKS = 2560   # landmarks of all languages together, unless one of each is more
 RIDGE = 1e-3
 MAX_TABLE = 1 << 24    # n-gram numbers looked up in a table; more are searched for
+PARTS = 64             # parts of a language's rows among which the sample is chosen first
 BATCH_DOCS = 64        # rows of a kernel matrix
+BATCH_CELLS = 1 << 23  # cells of a presence matrix at most, one row at least
 BATCH_CHARS = 4_000_000
 
 
@@ -86,6 +88,20 @@ class Model:
         at = np.minimum(np.searchsorted(self.known, numbers), len(self.known) - 1)
         return np.where(self.known[at] == numbers, at, len(self.known))
 
+    def scores(self, texts: list[str], tables) -> tuple[np.ndarray, np.ndarray]:
+        """(regression values, has a letter): the presence matrix of a batch
+        of texts times the folded weights."""
+        f, lettered = np.empty((len(texts), len(self.languages))), np.zeros(len(texts), dtype=bool)
+        step = max(1, min(BATCH_DOCS, BATCH_CELLS // (len(self.known) + 1)))
+        for lo in range(0, len(texts), step):
+            some = texts[lo:lo + step]
+            x = np.zeros((len(some), len(self.known)), dtype=np.float32)
+            for row, (held, letter) in enumerate(self.presence(some, tables)):
+                x[row, held] = 1
+                lettered[lo + row] = letter
+            f[lo:lo + step] = (x @ self.weights) / np.sqrt(np.maximum(1, x.sum(axis=1)))[:, None] + self.bias
+        return f, lettered
+
     def presence(self, texts: list[str], tables) -> Iterator[tuple[np.ndarray, bool]]:
         """(places of the known n-grams, has a letter) of each text."""
         table, index = tables
@@ -154,9 +170,14 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
     languages = sorted(r[0] for r in labels.select("lang").distinct().collect())
     if not languages:
         return Model([], "", np.zeros(0, dtype=np.int64))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    chosen = (labels.select("lang", "key")
-              .withColumn("place", F.row_number().over(order)).where(F.col("place") <= TRAIN_PER_LANG)
+    # a language's keys are dealt over PARTS, each cut to what all may have
+    order = [F.xxhash64("key"), "key"]
+    part = F.pmod(F.xxhash64(F.lit("part"), F.col("key")), F.lit(PARTS))
+    chosen = (labels.select("lang", "key", part.alias("part"))
+              .withColumn("place", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+              .where(F.col("place") <= TRAIN_PER_LANG)
+              .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+              .where(F.col("place") <= TRAIN_PER_LANG)
               .groupBy("key", "lang").agg(F.min("place").alias("place")).collect())
     # at most TRAIN_PER_LANG keys of each language: a bounded broadcast
     few = spark.createDataFrame([(r.key, r.lang, r.place) for r in chosen], "key string, lang string, place int")
@@ -256,12 +277,10 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                     langs += [UNKNOWN] * len(texts)
                     scores += [0.0] * len(texts)
                     continue
-                f, lettered = np.empty((len(texts), len(model.languages))), np.zeros(len(texts), dtype=bool)
-                for row, (held, some) in enumerate(model.presence(texts, _tables(tag, model))):
-                    f[row] = model.weights[held].sum(axis=0) / np.sqrt(max(1, len(held))) + model.bias
-                    lettered[row] = some
+                f, lettered = model.scores(texts, _tables(tag, model))
                 best = f.argmax(axis=1)
-                value = np.clip((f[np.arange(len(f)), best] + 1) / 2, 0, 1)
+                # six digits: a row's last bits depend on the rows beside it
+                value = np.round(np.clip((f[np.arange(len(f)), best] + 1) / 2, 0, 1), 6)
                 langs += [model.languages[i] if ok else UNKNOWN for i, ok in zip(best, lettered, strict=True)]
                 scores += np.where(lettered, value, 0.0).tolist()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()),
