@@ -215,6 +215,49 @@ def test_language_id_held_out_and_edges(spark):
     assert {r.lang_pred for r in langid.identify(df, none).collect()} == {"und"}
 
 
+def spectrum(text):
+    t = re.sub(r"[^a-zà-ÿ]+", " ", f" {text.lower()} ")
+    return {t[i:i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+
+
+def test_language_id_against_explicit_kernel_ridge(spark):
+    """All rows are landmarks here, so the fit is kernel ridge regression on
+    the whole kernel matrix."""
+    rng = random.Random(9)
+    sound = {"aa": "ka lo mi ne pu", "bb": "ke lo mu ne ap", "cc": "ok al im en up"}
+    rows = [(i, " ".join("".join(rng.choices(sound[g].split(), k=2)) for _ in range(rng.randrange(1, 9))), g)
+            for i, g in enumerate(rng.choices(list(sound), k=36))]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    marks = list({frozenset(spectrum(t)) for _, t, _ in rows})
+    known, langs = set().union(*marks), sorted(sound)
+
+    def kernel(x):
+        x = x & known
+        return [len(x & m) / math.sqrt(len(x) * len(m)) for m in marks] + [1.0]
+    k = np.array([kernel(spectrum(t)) for _, t, _ in rows])
+    y = np.array([[1.0 if g == x else -1.0 for x in langs] for _, _, g in rows])
+    gram = np.zeros((len(marks) + 1,) * 2)
+    gram[:-1, :-1] = [kernel(set(m))[:-1] for m in marks]
+    gram[-1, -1] = 1e-3
+    alpha = np.linalg.lstsq(k.T @ k + langid.RIDGE * len(rows) * (gram + 1e-6 * np.eye(len(gram))), k.T @ y, rcond=None)[0]
+    new = [" ".join("".join(rng.choices(sound[g].split(), k=2)) for _ in range(rng.randrange(1, 9))) for g in sound for _ in range(9)]
+    got = langid.identify(spark.createDataFrame(list(enumerate(new)), "doc_id long, text string"), model).collect()
+    for r in got:
+        f = np.array(kernel(spectrum(r.text))) @ alpha
+        assert r.lang_score == pytest.approx(min(1, max(0, (f.max() + 1) / 2)), abs=2e-3)
+        if np.diff(np.sort(f))[-1] > 1e-2:
+            assert r.lang_pred == langs[int(f.argmax())]
+
+
+def test_language_id_chooses_the_least_hashes(spark, monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_PER_LANG", 7)
+    rows = [(i, f"text {'ab' if i % 3 else 'ba'}", "aa" if i % 3 else "bb") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(langid.Basis, "__init__", lambda self, known, sets, f=langid.Basis.__init__: (seen.append(len(sets)), f(self, known, sets))[1])
+    assert langid.fit(df).languages == ["aa", "bb"] and seen == [2]
+
+
 def test_language_id_learns_all_languages_and_letters(spark):
     rng = random.Random(8)
     sound = {f"l{g:02d}": [chr(rng.randrange(97, 123)) + chr(rng.randrange(97, 123)) for _ in range(4)] for g in range(66)}
