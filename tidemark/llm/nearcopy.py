@@ -116,6 +116,14 @@ def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) ->
     return float((x / total).sum())
 
 
+def _digests(part: np.ndarray, n: np.ndarray, texts: list[str | None]) -> list[bytes]:
+    """Digest of every document's words; of its text where it has none."""
+    cut = np.cumsum(n)
+    return [blake2b(part[e - m:e].tobytes(), digest_size=16).digest() if m else
+            blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16, person=b"wordless").digest()
+            for e, m, t in zip(cut.tolist(), n.tolist(), texts, strict=True)]
+
+
 def _steps(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(from row, to row, word hashes end to end, number of words of each row)
     for runs of at most 4,000 rows."""
@@ -127,7 +135,7 @@ def _steps(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nda
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(id, digest of the words, bands) of docs (id, text)."""
+    """(id, digest, bands) of docs (id, text); no bands without words."""
     registers = BANDS * ROWS
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,21 +147,19 @@ def sketches(docs: DataFrame) -> DataFrame:
                 with np.errstate(over="ignore"):
                     for j in range(ROWS):
                         bands = mix(bands * np.uint64(31) + kept[:, j::ROWS])
-                cut = np.cumsum(n)
-                digests = [blake2b(part[e - m:e].tobytes(), digest_size=16).digest()
-                           for e, m in zip(cut.tolist(), n.tolist(), strict=True)]
+                digests = _digests(part, n, batch.column(1).slice(lo, hi - lo).to_pylist())
+                ends = np.concatenate([[0], np.cumsum(n > 0)]).astype(np.int32) * BANDS
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(digests, pa.binary()),
-                     pa.ListArray.from_arrays(
-                         pa.array(np.arange(hi - lo + 1, dtype=np.int32) * BANDS),
-                         pa.array(bands.reshape(-1).view(np.int64)))],
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[n > 0].reshape(-1).view(np.int64)))],
                     names=["id", "digest", "bands"])
 
     return docs.mapInArrow(sketch, "id long, digest binary, bands array<long>")
 
 
 def weighted_shingles(docs: DataFrame) -> DataFrame:
-    """(id, sorted distinct shingles, their counts) of docs (id, text)."""
+    """(id, sorted distinct shingles, their counts) of docs (id, text): one
+    row per id, of the text whose digest is least."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,11 +168,14 @@ def weighted_shingles(docs: DataFrame) -> DataFrame:
                 cut = pa.array(np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo),
+                     pa.array(_digests(part, n, batch.column(1).slice(lo, hi - lo).to_pylist()), pa.binary()),
                      pa.ListArray.from_arrays(cut, pa.array(item.astype(np.int64))),
                      pa.ListArray.from_arrays(cut, pa.array(count.astype(np.int32)))],
-                    names=["id", "items", "counts"])
+                    names=["id", "digest", "items", "counts"])
 
-    return docs.mapInArrow(spell, "id long, items array<long>, counts array<int>")
+    return (docs.mapInArrow(spell, "id long, digest binary, items array<long>, counts array<int>")
+            .groupBy("id").agg(F.min_by(F.struct("items", "counts"), "digest").alias("s"))
+            .select("id", "s.items", "s.counts"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -233,18 +242,17 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A class is a connected component of documents that share a bucket and
     have probability Jaccard similarity >= ``least`` on counted five-word
     shingles (plain Jaccard where no shingle repeats).  Documents of fewer
-    than five words have one shingle.  Documents without words (NULL, empty,
-    only punctuation) are classes of their own.  Rows with a NULL id are
-    left out.  Rows that repeat an id: the class of the row whose digest is
+    than five words have one shingle.  Documents without words (empty, only
+    punctuation) are a class if their texts are the same; NULL counts as
+    empty.  Rows with a NULL id are left out.  Rows that repeat an id: the class of the row whose digest is
     least counts for all.  An empty table gives no rows.
     """
     importable(docs.sparkSession)
     texts = (docs.where(F.col(id_col).isNotNull())
              .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
     sketch = written(sketches(texts), "sketches")
-    full = sketch.where(F.col("digest") != F.lit(blake2b(b"", digest_size=16).digest()))
-    one = full.groupBy("id").agg(F.min("digest").alias("digest"))
-    reps = full.groupBy("digest").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands"))
+    one = sketch.groupBy("id").agg(F.min("digest").alias("digest"))
+    reps = sketch.groupBy("digest").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands"))
 
     # buckets with several representatives
     rows = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
@@ -253,7 +261,6 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     buckets = written(rows.join(shared, ["band", "bucket"]), "buckets")
     sets = written(weighted_shingles(
         texts.join(buckets.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")), "shingles")
-    sets = sets.dropDuplicates(["id"])
 
     # 2. the least member of each bucket
     pairs = buckets.where("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
@@ -336,9 +343,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     classes = (reps.select("digest", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
                .select("digest", F.col("rep").alias("copy_of"), F.coalesce("root", "rep").alias("class_id")))
-    return (sketch.select("id").distinct().join(one.join(classes, "digest"), "id", "left")
-            .select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"),
-                    F.coalesce("copy_of", "id").alias("copy_of")))
+    return one.join(classes, "digest").select(F.col("id").alias(id_col), "class_id", "copy_of")
 
 
 def op4_near_copies(spark, sf_dir):
