@@ -116,17 +116,21 @@ def test_top_k_large_components_and_empty(spark):
 # --- op4 ------------------------------------------------------------------------
 
 def near_brute(rows):
-    sets = {}
+    sets, wordless = {}, {}
     for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
         w = words(t)
         if w:
             sets.setdefault(i, Counter(tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))))
+        else:
+            wordless.setdefault(t or "", []).append(i)
     root = {i: i for i, _ in rows if i is not None}
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
+    for ids in wordless.values():
+        root.update(dict.fromkeys(ids, min(ids)))
     for a, b in itertools.combinations(sets, 2):
         x, y = sets[a], sets[b]
         if x.keys() & y.keys():
@@ -140,7 +144,8 @@ def near_brute(rows):
 def test_near_copies_of_a_large_group(spark):
     rng = random.Random(3)
     base = words(prose(1, 80, 5000))
-    rows = [(None, "a b c d e f"), (9000, None), (9001, ""), (9002, "..."), (9003, "one two"), (9004, "one two")]
+    rows = [(None, "a b c d e f"), (9000, None), (9001, ""), (9002, "..."), (9003, "one two"), (9004, "one two"),
+            (9005, "..."), (9006, " ... "), (9007, "\U0001F600!"), (9008, "\U0001F600!"), (9009, None)]
     for i in range(45):
         w = list(base)
         for _ in range(rng.randrange(0, 4)):
