@@ -20,6 +20,9 @@ from tidemark.llm.pieces import encode
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+# A hit on fewer words of an item than this may be chance; it drops nothing.
+LEAST_WINDOW = 8
+
 
 def _own(docs: DataFrame) -> DataFrame:
     """The columns of ``documents``, with the length of the text as it is."""
@@ -35,7 +38,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines that an earlier document holds.  A document that nothing is
-    left of stays, empty."""
+    left of stays, empty; the next stage keeps one of these."""
     return _own(line_dedup(docs))
 
 
@@ -47,8 +50,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
-    found = contaminated(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    """Drop documents that hold a benchmark item of LEAST_WINDOW words or more."""
+    found = (contaminated(docs, read(spark, sf_dir, "benchmark")).where(F.col("n_window") >= LEAST_WINDOW)
+             .select("doc_id").distinct())
     return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
 
 
