@@ -18,7 +18,8 @@ BLOCK = 1 << 20  # bytes hashed at once
 STEP = 1 << 18   # words handled at once where that saves memory
 END = 10         # the byte put behind every row: a line feed, always a separator
 
-_BASE = 0x9E3779B97F4A7C15
+# Two bases, for two fingerprints that know nothing of each other.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def byte_set(chars: bytes) -> np.ndarray:
@@ -28,19 +29,19 @@ def byte_set(chars: bytes) -> np.ndarray:
     return out
 
 
-@lru_cache(maxsize=4)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=8)
+def _powers(size: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
-    for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+    for b in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
         x = np.full(size, b, dtype=np.uint64)
         x[0] = 1
         out.append(np.multiply.accumulate(x))
     return out[0], out[1]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least n powers of the base and of its inverse modulo 2^64."""
-    return _powers(1 << max(12, int(n).bit_length()))
+def powers(n: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of a base and of its inverse modulo 2^64."""
+    return _powers(1 << max(12, int(n).bit_length()), which)
 
 
 class Rows:
@@ -112,35 +113,40 @@ def chunks(batches: Iterator[pa.RecordBatch], limit: int, text: int = 0) -> Iter
 
 def words(buf: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, hashes) of the maximal runs of bytes outside ``apart``;
-    the last byte of ``buf`` must be in it.  A hash is a polynomial in the
-    scrambled bytes modulo 2^64, from differences of one running sum."""
+    the last byte of ``buf`` must be in it."""
     inside = np.zeros(len(buf) + 1, dtype=np.int8)
     inside[1:] = ~apart[buf]
     step = np.diff(inside)
     starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
     del inside, step
+    return starts, ends, hashed(buf, starts, ends)
+
+
+def hashed(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """The words' hashes: polynomials in the scrambled bytes modulo 2^64,
+    from differences of one running sum; ``which`` of two fingerprints."""
     hashes = np.empty(len(starts), dtype=np.uint64)
-    code = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
+    code = mix(np.arange(1 + 256 * which, 257 + 256 * which, dtype=np.uint64)) | np.uint64(1)
     lo = 0
     with np.errstate(over="ignore"):
         while lo < len(starts):
             hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + BLOCK, side="right")))
             a, z = int(starts[lo]), int(ends[hi - 1])
-            power, inverse = powers(z - a + 1)
+            power, inverse = powers(z - a + 1, which)
             total = np.zeros(z - a + 1, dtype=np.uint64)
             np.cumsum(code[buf[a:z]] * power[:z - a], out=total[1:])
             s, e = starts[lo:hi] - a, ends[lo:hi] - a
             hashes[lo:hi] = mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
             lo = hi
-    return starts, ends, hashes
+    return hashes
 
 
-def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
+def ngrams(hashes: np.ndarray, n: int, which: int = 0) -> np.ndarray:
     """Fingerprints of the n words from each place on, from prefix
     polynomials of the word hashes; there are len - n + 1."""
     count = max(0, len(hashes) - n + 1)
     out = np.empty(count, dtype=np.uint64)
-    power, inverse = powers(min(STEP, count) + n)
+    power, inverse = powers(min(STEP, count) + n, which)
     total = np.zeros(min(STEP, count) + n, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for lo in range(0, count, STEP):
@@ -192,3 +198,14 @@ def groups(hashes: np.ndarray, same) -> np.ndarray:
         lead[order[ok]] = first[ok]
         rest = np.sort(order[~ok])
     return lead
+
+
+def least_places(x: np.ndarray, w: int) -> np.ndarray:
+    """For each place the leftmost least of the w values from there on."""
+    at, have = np.arange(len(x)), 1
+    while have < w:
+        step = min(have, w - have)
+        one, two = at[:-step], at[step:]
+        at = np.where(x[one] <= x[two], one, two)
+        have += step
+    return at

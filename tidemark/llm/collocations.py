@@ -1,11 +1,17 @@
 """Phrase collocation mining with Rabin-Karp fingerprints.
 
 Every task hashes all n-grams of its texts with prefix polynomials in numpy
-and counts them a chunk of text at a time.  What is shuffled is one row per
-n-gram of a chunk: its fingerprint, its count there and a pointer to one
-occurrence.  Fingerprints that are too rare in total go; only the pointers of
-the others are looked up in the texts, and counts are added up again by the
-phrases found there, so fingerprints that two phrases share do no harm.
+and counts them a chunk of text at a time, comparing occurrences that share a
+fingerprint word by word.  What is shuffled is one row per n-gram of a chunk:
+its fingerprint, its count there and a pointer to one occurrence.  N-grams
+that are too rare in total go; the pointers of the others are looked up in
+the texts, where each phrase must have its fingerprint again, and only these
+phrases are ever built.
+
+Across chunks, phrases that share the 64-bit fingerprint are told apart by 32
+bits of a second one that knows nothing of the first; each is then looked up
+in the text on its own.  Two phrases could only pass for one if both agree,
+which for a million million different n-grams has a probability of 10^-5.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bitset
-from tidemark.llm.bytewords import STEP, Rows, byte_set, chunks, groups, ngrams, same_bytes, words
+from tidemark.llm.bytewords import STEP, Rows, byte_set, chunks, groups, hashed, ngrams, same_bytes, words
 from tidemark.llm.common import freed, importable, read, written
 from tidemark.llm.wordhash import mix
 
@@ -42,83 +48,105 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
 
+class _Hashed:
+    """Words of a chunk and the fingerprints of their n-grams, by language."""
+
+    def __init__(self, rows: Rows, lang_hash: pa.Array):
+        self.buf = _LOWER[rows.buf]
+        self.starts, self.ends, first = words(self.buf, _APART)
+        self.hashes = first, hashed(self.buf, self.starts, self.ends, 1)
+        self.row = rows.row_of(self.starts).astype(np.int32)
+        self.seeds = mix(lang_hash.to_numpy().view(np.uint64))
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def ngrams(self, n: int, which: int = 0) -> np.ndarray:
+        """Fingerprints of the n words from each place on; of 0 words, of the
+        language alone."""
+        out = ngrams(self.hashes[which], n, which) if n else np.zeros(len(self), dtype=np.uint64)
+        for lo in range(0, len(out), STEP):  # by parts, to need no further array of this length
+            part = slice(lo, min(lo + STEP, len(out)))
+            out[part] = mix(out[part] ^ self.seeds[self.row[part]])
+        return out
+
+
 def _tally(rows: Rows, sizes: tuple[int, ...], known: np.ndarray | None, mask: int) -> Iterator[pa.RecordBatch]:
-    """One row per distinct n-gram of the chunk: (fp, words, n, key, spot).
-    Size 0 stands for all words of a language."""
-    lang, lang_hash, key, mark = (rows.columns[i] for i in range(4))
-    buf = _LOWER[rows.buf]
-    starts, ends, hashes = words(buf, _APART)
-    if not len(starts):
+    """One row per distinct n-gram of the chunk: fingerprint ``fp``; ``spot``,
+    32 bits of the second fingerprint and the place in the text of ``key``;
+    ``times``, its count and words.  Size 0 stands for all words of a
+    language."""
+    lang, lang_hash, key = rows.columns
+    h, mask = _Hashed(rows, lang_hash), np.uint64(mask)
+    if not len(h):
         return
-    pieces = np.searchsorted(np.flatnonzero(_CUT[buf]), starts).astype(np.int32)
-    row = rows.row_of(starts).astype(np.int32)
-    langs = pc.dictionary_encode(lang).indices.to_numpy()[row]
-    seeds = mix(lang_hash.to_numpy().view(np.uint64))
-    word = groups(hashes & np.uint64(mask), lambda a, b: same_bytes(buf, starts, ends, a, b))
-
-    def sealed(n: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            out = ngrams(hashes, n)
-            for lo in range(0, len(out), STEP):  # by parts, to need no further array of this length
-                part = slice(lo, min(lo + STEP, len(out)))
-                out[part] = mix(out[part] ^ seeds[row[part]]) & np.uint64(mask)
-            return out
-
+    pieces = np.searchsorted(np.flatnonzero(_CUT[h.buf]), h.starts).astype(np.int32)
+    langs = pc.dictionary_encode(lang).indices.to_numpy().astype(np.int32)[h.row]
+    word = groups(h.hashes[0] & mask, lambda a, b: same_bytes(h.buf, h.starts, h.ends, a, b))
     for n in sizes:
         if n == 0:
             _, at, count = np.unique(langs, return_index=True, return_counts=True)
-            fp = seeds[row[at]] & np.uint64(mask)
+            fp = h.ngrams(0)[at] & mask
         else:
             places = (np.flatnonzero(pieces[:len(pieces) - n + 1] == pieces[n - 1:]).astype(np.int32)
                       if len(pieces) >= n else [])
             if not len(places):
                 continue
             if known is not None:  # both its shorter n-grams must be frequent
-                held = bitset.found(known, mix(sealed(n - 1)))
+                held = bitset.found(known, mix(h.ngrams(n - 1) & mask))
                 places = places[held[places] & held[places + 1]]
                 del held
-            fp = sealed(n)[places]
+            fp = h.ngrams(n)[places] & mask
 
-            def same(a, b, places=places, n=n):
-                x, y = places[a], places[b]
+            def same(a, b):
+                x, y = places[a], places[b]  # noqa: B023 - used in this round only
                 equal = langs[x] == langs[y]
-                for i in range(n):
+                for i in range(n):  # noqa: B023
                     equal &= word[x + i] == word[y + i]
                 return equal
             lead = groups(fp, same)
             count = np.bincount(lead, minlength=len(lead))
+            del lead
             first = np.flatnonzero(count)
             at, fp, count = places[first], fp[first], count[first]
-        r = row[at]
-        spot = mark.to_numpy()[r].astype(np.int64) << 32 | (starts[at] - rows.first[r])
-        out = [pa.array(fp.view(np.int64)), pa.array(np.full(len(at), n, dtype=np.int8)),
-               pa.array(count.astype(np.int64)), pa.array(key.to_numpy()[r]), pa.array(spot)]
+            del places, first
+        r = h.row[at]
+        spot = h.ngrams(n, 1)[at] >> np.uint64(32) << np.uint64(32) | (h.starts[at] - rows.first[r]).astype(np.uint64)
+        out = [pa.array(fp.view(np.int64)), pa.array(spot.view(np.int64)), pa.array(count.astype(np.int64) << 8 | n),
+               pa.array(key.to_numpy()[r])]
         for lo in range(0, len(at), 1 << 16):
-            yield pa.RecordBatch.from_arrays([c.slice(lo, 1 << 16) for c in out],
-                                             names=["fp", "words", "n", "key", "spot"])
-
-
-def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text, spots) rows -> (lang, words, phrase, n)"""
-    for rows in chunks(batches, CHUNK, text=1):
-        lang, spots = rows.columns
-        buf = _LOWER[rows.buf]
-        starts, ends, _ = words(buf, _APART)
-        row = np.repeat(np.arange(len(rows)), np.diff(spots.offsets.to_numpy()))
-        flat = spots.flatten()
-        at, size, n = (flat.field(i).to_numpy() for i in range(3))
-        first = np.searchsorted(starts, rows.first[row] + at)
-        stop = np.where(size > 0, ends[np.minimum(first + np.maximum(size, 1) - 1, len(ends) - 1)], 0)
-        raw = buf.tobytes()
-        text = [raw[s:e] if k else b"" for s, e, k in zip(starts[first], stop, size, strict=True)]
-        gaps = np.concatenate([[0], np.cumsum((starts[1:] - ends[:-1] != 1) | (buf[ends[:-1]] != 32))])
-        for i in np.flatnonzero((size > 1) & (gaps[np.minimum(first + size - 1, len(gaps) - 1)] != gaps[first])):
-            text[i] = b" ".join(text[i].split())  # more than one blank between words
-        for lo in range(0, len(text), 1 << 16):
-            part = slice(lo, lo + (1 << 16))
-            yield pa.RecordBatch.from_arrays(
-                [lang.take(pa.array(row[part])), pa.array(size[part]), pa.array(text[part], pa.binary()),
-                 pa.array(n[part])], names=["lang", "words", "phrase", "n"])
+            yield pa.RecordBatch.from_arrays([c.slice(lo, 1 << 16) for c in out], names=["fp", "spot", "times", "key"])
+
+
+def _phrases(mask: int):
+    """(lang, text, lang_hash, spots) rows -> (lang, words, phrase, f) of the
+    spots whose fingerprints the text has there."""
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in chunks(batches, CHUNK, text=1):
+            lang, lang_hash, spots = rows.columns
+            h = _Hashed(rows, lang_hash)
+            row = np.repeat(np.arange(len(rows)), np.diff(spots.offsets.to_numpy()))
+            fp, check, size, n, at = (spots.flatten().field(i).to_numpy() for i in range(5))
+            place = rows.first[row] + at
+            first = np.minimum(np.searchsorted(h.starts, place), len(h) - 1)
+            good = (h.starts[first] == place) & (first + size <= len(h))
+            for k in np.unique(size):
+                of = np.flatnonzero(good & (size == k))
+                good[of] = ((h.ngrams(k)[first[of]] & np.uint64(mask)) == fp[of].view(np.uint64)) & (
+                    (h.ngrams(k, 1)[first[of]] >> np.uint64(32)).astype(np.uint32) == check[of].view(np.uint32))
+            row, size, n, first = row[good], size[good], n[good], first[good]
+            last = first + np.maximum(size, 1) - 1
+            raw = h.buf.tobytes()
+            text = [raw[s:e] if k else b"" for s, e, k in zip(h.starts[first], h.ends[last], size, strict=True)]
+            gaps = np.concatenate([[0], np.cumsum((h.starts[1:] - h.ends[:-1] != 1) | (h.buf[h.ends[:-1]] != 32))])
+            for i in np.flatnonzero((size > 1) & (gaps[last] != gaps[first])):
+                text[i] = b" ".join(text[i].split())  # more than one blank between words
+            for lo in range(0, len(text), 1 << 16):
+                part = slice(lo, lo + (1 << 16))
+                yield pa.RecordBatch.from_arrays(
+                    [lang.take(pa.array(row[part])), pa.array(size[part].astype(np.int32)),
+                     pa.array(text[part], pa.binary()), pa.array(n[part])], names=["lang", "words", "phrase", "f"])
+    return look
 
 
 def phrase_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -133,7 +161,7 @@ def phrase_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty texts have no words; rows that repeat an id or a whole row count
     like any others.
 
-    ``mask`` shortens the fingerprints (for tests).  An n-gram of three or
+    ``mask`` shortens the first fingerprint (for tests).  An n-gram of three or
     more words is only shuffled if a Bloom filter of ``2 ** bits`` bits says
     that both n-grams inside it are frequent; where the filter is too full for
     the corpus, more is shuffled and the result is the same.  No key gets more
@@ -141,22 +169,25 @@ def phrase_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     spark = docs.sparkSession
     importable(spark)
-    text = F.col(text_col)
-    base = (docs.where(F.length(text) > 0)
-            .select(text.alias("text"), F.coalesce(F.col(lang_col), F.lit(NO_LANG)).alias("lang"),
-                    F.xxhash64(id_col, lang_col, text_col).alias("key"), F.hash(text_col, lang_col).alias("mark"))
-            .select("text", "lang", F.xxhash64("lang").alias("lang_hash"), "key", "mark"))
+    base = (docs.where(F.length(text_col) > 0)
+            .select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col), F.lit(NO_LANG)).alias("lang"),
+                    F.xxhash64(id_col, lang_col, text_col).alias("key"))
+            .select("text", "lang", F.xxhash64("lang").alias("lang_hash"), "key"))
 
     def level(sizes: tuple[int, ...], known=None) -> DataFrame:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in chunks(batches, CHUNK):
                 yield from _tally(rows, sizes, known.value if known is not None else None, mask)
-        kind = "fp long, words byte, n long, key long, spot long"
-        total = F.sum("n").over(Window.partitionBy("fp"))
-        # one shuffle: the sum below needs none, its keys include the window's
-        return written(base.mapInArrow(count, kind).withColumn("total", total)
-                       .where((F.col("total") >= least) | (F.col("words") == 0))
-                       .groupBy("fp", "words", "key", "spot").agg(F.sum("n").alias("n")), "phrase-spots")
+        # One shuffle of packed rows; they hardly repeat within a task, so
+        # nothing is combined before it beyond the chunks.
+        rows = (base.mapInArrow(count, "fp long, spot long, times long, key long").repartition("fp")
+                .select("fp", F.shiftright("spot", 32).cast("int").alias("check"), "key",
+                        F.col("spot").bitwiseAND(0xFFFFFFFF).alias("at"),
+                        F.col("times").bitwiseAND(0xFF).cast("int").alias("words"),
+                        F.shiftright("times", 8).alias("n")))
+        total = rows.groupBy("fp", "check", "words").agg(
+            F.sum("n").alias("n"), F.max("key").alias("key"), F.max_by("at", "key").alias("at"))
+        return written(total.where((F.col("n") >= least) | (F.col("words") == 0)), "phrase-spots")
 
     def filter_of(spots: DataFrame, n: int):
         fps = spots.where(F.col("words") == n).select("fp").distinct()
@@ -170,7 +201,7 @@ def phrase_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         found = spots[0]
         for s in spots[1:]:
             found = found.unionByName(s)
-        return written(_counted(base, found, least), "phrase-counts")
+        return written(_looked_up(base, found, mask), "phrase-counts")
 
 
 def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,17 +210,16 @@ def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(mix(b.column(0).to_numpy().view(np.uint64)).view(np.int64))], names=["h"])
 
 
-def _counted(base: DataFrame, spots: DataFrame, least: int) -> DataFrame:
-    """Look the pointers up in the texts and add the counts up by phrase."""
-    wanted = (spots.select("key", F.shiftright("spot", 32).cast("int").alias("mark"),
-                           F.struct((F.col("spot").bitwiseAND(0xFFFFFFFF)).alias("at"),
-                                    F.col("words").cast("int").alias("words"), "n").alias("s"))
-              .groupBy("key", "mark").agg(F.collect_list("s").alias("spots")))
-    texts = base.groupBy("key", "mark").agg(F.first(F.struct("lang", "text")).alias("d"))  # equal rows once
-    looked = (texts.join(wanted, ["key", "mark"]).select("d.lang", "d.text", "spots")
-              .mapInArrow(_phrases, "lang string, words int, phrase binary, n long"))
-    return (looked.groupBy("lang", "words", F.col("phrase").cast("string").alias("phrase"))
-            .agg(F.sum("n").alias("f")).where((F.col("f") >= least) | (F.col("words") == 0)))
+def _looked_up(base: DataFrame, spots: DataFrame, mask: int) -> DataFrame:
+    """The phrases that spots point to.  Rows that repeat a whole row are one
+    here; should two rows share a key, a spot is looked up in both."""
+    wanted = (spots.select("key", F.struct("fp", "check", "words", "n", "at").alias("s"))
+              .groupBy("key").agg(F.collect_list("s").alias("spots")))
+    texts = base.groupBy("key").agg(F.collect_set(F.struct("lang", "text", "lang_hash")).alias("d"))
+    return (texts.join(wanted, "key").select(F.explode("d").alias("d"), "spots")
+            .select("d.lang", "d.text", "d.lang_hash", "spots")
+            .mapInArrow(_phrases(mask), "lang string, words int, phrase binary, f long")
+            .select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "f"))
 
 
 def _inside(parts: Column, size: Column, least: int) -> Column:
