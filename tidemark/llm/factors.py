@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bitset
-from tidemark.llm.bytewords import Rows, byte_set, chunks, ngrams, words
+from tidemark.llm.bytewords import Rows, byte_set, chunks, least_places, ngrams, words
 from tidemark.llm.common import freed, fresh, importable, read, written
 from tidemark.llm.wordhash import mix
 
@@ -43,17 +43,6 @@ PART = 1 << 14   # anchors that one part of a block's documents has at most, on
 _APART = byte_set(BLANKS)
 
 
-def _least(x: np.ndarray, w: int) -> np.ndarray:
-    """For each place the leftmost least of the w values from there on."""
-    at, have = np.arange(len(x)), 1
-    while have < w:
-        step = min(have, w - have)
-        one, two = at[:-step], at[step:]
-        at = np.where(x[one] <= x[two], one, two)
-        have += step
-    return at
-
-
 def _windows(rows: Rows, window: int, k: int):
     """(row of each word, hash of the anchors by place, places of windows,
     their anchors' places, fingerprints of windows by place)"""
@@ -70,7 +59,7 @@ def _windows(rows: Rows, window: int, k: int):
     if not len(at):
         return None
     x = ngrams(hashes, k)
-    return row, x, at, _least(x, window - k + 1)[at], ngrams(hashes, window)
+    return row, x, at, least_places(x, window - k + 1)[at], ngrams(hashes, window)
 
 
 def _lists(values: np.ndarray, cuts: np.ndarray) -> pa.Array:

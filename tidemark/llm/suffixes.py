@@ -1,18 +1,19 @@
 """Repeated passages by sparse suffix arrays.
 
 Of all suffixes of the texts' words only those are retained that begin at a
-minimiser: a word whose K-word hash is the least of some W neighbouring ones.
-The choice depends on content alone, so a passage that two documents share
-has the same minimisers in both, and the first of them lies among its first
-W words.  No suffix is sorted: retained suffixes are grouped by a hash of
-their first DEPTH words, and those that agree there are neighbours.  Nor are
-neighbours extended pair by pair: every window of LENGTH words that belongs to
-one is hashed and grouped again; windows found in several documents are put
-together to passages.
-
-Every window of LENGTH words belongs to the least of its first W places, and
-two equal windows belong to equal suffixes, so exactly the windows that several
-documents hold are found, without listing pairs.
+minimiser: a place whose K-word hash is the least of some W neighbouring ones.
+The choice depends on content alone, so every window of LENGTH words belongs
+to one retained suffix, and two equal windows to suffixes that agree in their
+first K words.
+
+Retained suffixes whose first K words some other document has are sorted by
+range over all tasks, by their first words, then by more and more of what
+follows.  Neighbours that agree are extended to the left and to the right: of
+the windows around both suffixes those are equal that lie in the extension.
+Runs of neighbours that share a window are a chain; the window is repeated if
+the chain has two documents.  What neighbours leave open, chains cut by a
+border between tasks or by suffixes that sorted between, is settled by the
+chains' heads, one row a chain: heads of one window meet by its fingerprint.
 """
 
 from __future__ import annotations
@@ -24,149 +25,175 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import importable, read, written
-from tidemark.llm.wordhash import mix, word_hashes
+from tidemark.llm import bitset
+from tidemark.llm.bytewords import least_places, ngrams
+from tidemark.llm.common import freed, importable, read, written
+from tidemark.llm.wordhash import word_hashes
 
 LENGTH = 50  # words of a passage at least
-W = 36       # a retained suffix begins in any W neighbouring places
-K = 3        # words whose hash is compared
-
-
-def _runs(h: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n words from each place on (by doubling); as long as h."""
-    with np.errstate(over="ignore"):
-        out, power, length, have = None, h, 1, 0
-        left = n
-        while left:
-            if left & 1:
-                if out is None:
-                    out, have = power, length
-                else:  # what we have, then the next ``length`` words
-                    out, have = mix(out * np.uint64(0x9E3779B97F4A7C15) + np.roll(power, -have)), have + length
-            left >>= 1
-            if left:
-                power = mix(power * np.uint64(0xBF58476D1CE4E5B9) + np.roll(power, -length))
-                length *= 2
-        return out
-
-
-def least_places(h: np.ndarray, w: int, k: int) -> np.ndarray:
-    """For each place the least k-word hash among the w places from there on:
-    where it is, the leftmost of those that tie."""
-    n = len(h) - k + 1
-    if n < w:
-        return np.zeros(0, dtype=np.int64)
-    x = _runs(h, k)[:n]
-    at, have = np.arange(n), 1
-    while have < w:
-        step = min(have, w - have)
-        one, two = at[:-step], at[step:]
-        at = np.where(x[one] <= x[two], one, two)
-        have += step
-    return at
-
-
-def minimisers(h: np.ndarray, w: int, k: int) -> np.ndarray:
-    """Places that are the least of some w neighbouring ones."""
-    at = least_places(h, w, k)  # does not decrease
-    return at[np.flatnonzero(np.diff(at, prepend=-1))]
-
-
-def _docs(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, hashes of its words)"""
-    for lo, hi, flat, sizes in word_hashes(batch.column(column).to_pylist()):
-        cuts = np.concatenate([[0], np.cumsum(sizes)])
-        for row in range(lo, hi):
-            yield row, flat[cuts[row - lo]:cuts[row - lo + 1]]
-
-
-def _emit(ids: list, columns: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
-    sizes = [len(x) for x in columns[0]]
-    flat = [np.concatenate([*c, np.zeros(0, t)]).astype(t)
-            for c, t in zip(columns, (np.int64, np.int32), strict=True)]  # key, place
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.repeat(np.array(ids, dtype=np.int64), sizes)), *map(pa.array, flat)], names=names)
+K = 15       # words of a suffix that choose it and that neighbours share
+ORDER = (25, 50)  # words by which suffixes are sorted beyond that
+
+_SUFFIX = "x long, id long, row long, place int, back int, more1 long, more2 long, fps array<long>"
+_FOUND = "kind byte, id long, row long, start int, n int, x long, fp long, lo long, hi long"
+HEAD, RUN, OPEN = 0, 1, 2
+
+
+def _chosen(batch: pa.RecordBatch, length: int, k: int):
+    """For runs of a batch's rows: (first row, word hashes end to end, row of
+    each word, hashes of k words, places of windows, their suffixes' places)."""
+    for lo, _, flat, sizes in word_hashes(batch.column(0).to_pylist()):
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        if len(row) < length:
+            continue
+        at = np.flatnonzero(row[:len(row) - length + 1] == row[length - 1:])
+        if len(at):
+            x = ngrams(flat, k)
+            yield lo, flat, row, x, at, least_places(x, length - k + 1)[at]
+
+
+def _retained(texts: DataFrame, length: int, k: int) -> DataFrame:
+    """(x, id): first words of all retained suffixes."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, _, row, x, _, suffix in _chosen(b, length, k):
+                places = np.unique(suffix)
+                yield pa.RecordBatch.from_arrays([pa.array(x[places].view(np.int64)),
+                                                  b.column(1).take(pa.array(lo + row[places]))], names=["x", "id"])
+    return texts.select("text", "id").mapInArrow(find, "x long, id long")
+
+
+def _suffixes(texts: DataFrame, length: int, k: int, shared) -> DataFrame:
+    """Suffixes that the filter ``shared`` holds: place, the words before it
+    that its first window has (``back``), hashes to sort by, and the
+    fingerprints of its windows."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, flat, row, x, at, suffix in _chosen(b, length, k):
+                keep = bitset.found(shared.value, x[suffix])
+                at, suffix = at[keep], suffix[keep]
+                if not len(at):
+                    continue
+                fps = ngrams(flat, length)[at].view(np.int64)
+                first = np.flatnonzero(np.diff(suffix, prepend=-1))
+                cuts = np.append(first, len(at)).astype(np.int32)
+                place = suffix[first]
+                r = row[place]
+                more = []
+                for n in ORDER:  # 0 where the text ends before
+                    inside = place + n <= len(row)
+                    inside[inside] = row[place[inside] + n - 1] == r[inside]
+                    more.append(np.zeros(len(place), dtype=np.int64))
+                    more[-1][inside] = ngrams(flat, n)[place[inside]].view(np.int64)
+                begin = np.searchsorted(row, r)
+                where = pa.array(lo + r)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[place].view(np.int64)), b.column(1).take(where), b.column(2).take(where),
+                     pa.array((place - begin).astype(np.int32)), pa.array((place - at[first]).astype(np.int32)),
+                     *map(pa.array, more), pa.ListArray.from_arrays(pa.array(cuts), pa.array(fps))],
+                    names=[c.split()[0] for c in _SUFFIX.split(", ")])
+    return texts.select("text", "id", "row").mapInArrow(find, _SUFFIX)
+
+
+def _compare(w: int):
+    """Compare sorted suffixes with their neighbours.  Gives heads of chains
+    (window, least and greatest id), runs of windows that are repeated, and
+    windows that are still open."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, ids, row, place, back = (b.column(i).to_numpy() for i in range(5))
+            if not len(x):
+                continue
+            cuts = b.column(7).offsets.to_numpy()
+            fps = b.column(7).values.to_numpy()[cuts[0]:cuts[-1]]
+            line = np.repeat(np.arange(len(x)), np.diff(cuts))
+            # windows by their distance to the suffix: column w - 1 begins with it
+            col = np.arange(len(fps)) - np.repeat(cuts[:-1] - cuts[0], np.diff(cuts)) - back[line] + w - 1
+            table, valid = np.zeros((len(x), w), dtype=np.int64), np.zeros((len(x), w), dtype=bool)
+            table[line, col], valid[line, col] = fps, True
+            # how far neighbours agree to both sides of the suffix
+            equal = np.zeros((len(x), w), dtype=bool)
+            equal[1:] = (valid[1:] & valid[:-1] & (table[1:] == table[:-1])) & (x[1:] == x[:-1])[:, None]
+            lo, hi = np.zeros((len(x), w), dtype=np.int64), np.zeros((len(x), w), dtype=np.int64)
+            for c in range(w):
+                head = np.flatnonzero(~equal[:, c])
+                size = np.diff(np.append(head, len(x)))
+                lo[:, c] = np.repeat(np.minimum.reduceat(ids, head), size)
+                hi[:, c] = np.repeat(np.maximum.reduceat(ids, head), size)
+            i, c = np.nonzero(valid & ~equal)
+            yield _rows(HEAD, len(i), x=x[i], fp=table[i, c], lo=lo[i, c], hi=hi[i, c])
+            known = valid & (lo < hi)
+            i, c = np.nonzero(valid & ~known)
+            yield _rows(OPEN, len(i), id=ids[i], row=row[i], start=place[i] + c - w + 1, n=np.ones(len(i)), x=x[i],
+                        fp=table[i, c])
+            step = np.diff(np.pad(known, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+            i, c = np.nonzero(step == 1)
+            end = np.nonzero(step == -1)[1]
+            yield _rows(RUN, len(i), id=ids[i], row=row[i], start=place[i] + c - w + 1, n=end - c, x=x[i], fp=table[i, c])
+    return compare
+
+
+def _rows(kind: int, count: int, **columns) -> pa.RecordBatch:
+    out = []
+    for name, type_ in (c.split() for c in _FOUND.split(", ")):
+        t = {"byte": pa.int8(), "int": pa.int32(), "long": pa.int64()}[type_]
+        out.append(pa.array(np.full(count, kind), t) if name == "kind" else
+                   pa.array(np.asarray(columns[name]).astype(t.to_pandas_dtype())) if name in columns else pa.nulls(count, t))
+    return pa.RecordBatch.from_arrays(out, names=[c.split()[0] for c in _FOUND.split(", ")])
 
 
 def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             length: int = LENGTH, w: int = W, k: int = K) -> DataFrame:
-    """(id, ``start``, ``n_words``, ``first_id``): the passages of a document
-    of which every ``length`` words side by side stand in another document
-    too, as word positions (from 0); ``first_id`` is the least id of all
-    documents that hold one of its windows.  Words are runs of letters and
-    digits, lower-cased.
-
-    Overlapping windows become one passage.  Repeats within one document
-    only do not count.  NULL, empty and shorter texts have no passage.  Rows
-    with a NULL id take no part.  Rows that repeat an id are one document,
-    with the text that sorts first.  Other columns are not
-    looked at.  An empty table gives no rows.
-
-    A passage that a third of the corpus holds is reduced to its least and
-    greatest id before the shuffle; its places are joined by key, where AQE
-    splits large partitions.
+             length: int = LENGTH, k: int = K, bits: int = bitset.BITS) -> DataFrame:
+    """(id, ``start``, ``n_words``, ``first_id``): the longest passages of a
+    document of which every ``length`` words side by side stand in another
+    document too, as word positions (from 0); ``first_id`` is the least id of
+    all documents that hold the passage's first ``length`` words.  Words are
+    runs of letters and digits, lower-cased.
+
+    Passages that overlap, but of which no window over both is repeated, stay
+    apart, and so do those that only touch.  Repeats within one document only
+    do not count.  NULL, empty and shorter texts have no passage.  Rows with a
+    NULL id take no part.  Rows that repeat an id are one document; each of
+    its different texts has its passages.  Other columns are not looked at.
+    An empty table gives no rows.
+
+    Suffixes are dealt by range of all they are sorted by, so one that a third
+    of the corpus holds lies in many tasks.  Nothing is listed pair by pair.
     """
-    if length < w + k - 1:
-        raise ValueError("length must hold w places of k words")
-    depth = length - w + 1
-    importable(docs.sparkSession)
+    if not 0 < k <= length:
+        raise ValueError("a suffix is chosen by some of the words of a passage")
+    spark = docs.sparkSession
+    importable(spark)
     # shorter texts have too few characters for the words
     texts = (docs.where(F.col(id_col).isNotNull() & (F.length(text_col) >= 2 * length - 1))
-             .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
-
-    def retain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, keys, places = b.column(0).to_pylist(), [], []
-            for _, h in _docs(b, 1):
-                at = minimisers(h, w, k) if len(h) >= length else np.zeros(0, dtype=np.int64)
-                at = at[at + depth <= len(h)]
-                places.append(at)
-                keys.append(_runs(h, depth)[at].view(np.int64))
-            yield _emit(ids, [keys, places], ["id", "key", "place"])
-
-    def common(rows: DataFrame, key: str, name: str) -> DataFrame:
-        """Keys that several ids hold, with the least id."""
-        return written(rows.groupBy(key).agg(F.min("id").alias("first"), F.max("id").alias("last"))
-                       .where("first < last").select(key, "first"), name)
-
-    suffixes = written(texts.mapInArrow(retain, "id long, key long, place int"), "suffixes")
-    neighbours = common(suffixes.select("key", "id"), "key", "neighbours")
-    # a plain join of two written tables: AQE splits what a hot key fills
-    kept = (suffixes.join(neighbours, "key").groupBy("id")
-            .agg(F.sort_array(F.collect_set("place")).alias("places")))  # one text's places
-
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, keys, starts = b.column(0).to_pylist(), [], []
-            for row, h in _docs(b, 1):
-                mine = b.column(2)[row].values.to_numpy()
-                anchor = least_places(h, w, k)[:max(0, len(h) - length + 1)]
-                known = np.zeros(len(h), dtype=bool)
-                known[mine] = True
-                at = np.flatnonzero(known[anchor])
-                starts.append(at)
-                keys.append(_runs(h, length)[at].view(np.int64))
-            yield _emit(ids, [keys, starts], ["id", "key", "start"])
-
-    one = texts if _unique_ids(docs, id_col) else (
-        texts.groupBy("id").agg(F.min("text").alias("text")))
-    windows = written(one.join(kept, "id").select("id", "text", "places")
-                      .mapInArrow(extend, "id long, key long, start int"), "windows")
-    repeated = common(windows.select("key", "id"), "key", "repeated")
-    found = windows.join(repeated, "key").groupBy("id", "start").agg(F.min("first").alias("first"))
-    by = Window.partitionBy("id").orderBy("start")
-    joined = (found.withColumn("new", F.coalesce((F.col("start") > F.lag("start").over(by) + length)
-                                                 .cast("int"), F.lit(1)))
-              .withColumn("passage", F.sum("new").over(by)))
-    return (joined.groupBy("id", "passage")
-            .agg(F.min("start").alias("start"), F.max("start").alias("last"), F.min("first").alias("first"))
+             .select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"),
+                     F.xxhash64(text_col).alias("row")))
+    with freed(spark):
+        shared = written(_retained(texts, length, k).groupBy("x").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+                         .where("lo < hi").select("x"), "shared")
+        table = spark.sparkContext.broadcast(bitset.bloom(shared, "x", bits))
+        suffixes = written(_suffixes(texts, length, k, table), "suffixes")
+        order = ["x", "more1", "more2", "id", "row", "place"]
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        found = written(suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                        .mapInArrow(_compare(length - k + 1), _FOUND), "compared")
+        repeated = written(found.where(F.col("kind") == HEAD).groupBy("x", "fp")
+                           .agg(F.min("lo").alias("first_id"), F.max("hi").alias("last"))
+                           .where("first_id < last").select("x", "fp", "first_id"), "repeated")
+        cols = ["id", "row", "start", "n", "x", "fp"]
+        late = found.where(F.col("kind") == OPEN).select(cols).join(repeated, ["x", "fp"], "left_semi").select(cols)
+        runs = found.where(F.col("kind") == RUN).select(cols).unionByName(late)
+        by = Window.partitionBy("id", "row").orderBy("start", "n")
+        end = F.max(F.col("start") + F.col("n")).over(by.rowsBetween(Window.unboundedPreceding, -1))
+        joined = written(
+            runs.withColumn("new", F.coalesce((F.col("start") > end).cast("int"), F.lit(1)))
+            .withColumn("passage", F.sum("new").over(by))
+            .groupBy("id", "row", "passage")
+            .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("n")).alias("end"),
+                 F.min_by(F.struct("x", "fp"), "start").alias("w")), "passages")
+    return (joined.select("id", "start", "end", "w.x", "w.fp").join(repeated, ["x", "fp"])
             .select(F.col("id").alias(id_col), F.col("start").cast("long").alias("start"),
-                    (F.col("last") - F.col("start") + length).cast("long").alias("n_words"),
-                    F.col("first").alias("first_id")))
-
-
-def _unique_ids(docs: DataFrame, id_col: str) -> bool:
-    return docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty()
+                    (F.col("end") - F.col("start") - 1 + length).cast("long").alias("n_words"), "first_id"))
 
 
 def op10_repeated_passages(spark, sf_dir):
@@ -175,19 +202,19 @@ def op10_repeated_passages(spark, sf_dir):
 
 # By the definition: all windows, no choice of suffixes.
 OP10_SQL = f"""
-WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'),
-                             lambda x: x <> '') AS w
-  FROM documents WHERE doc_id IS NOT NULL),
+WITH d AS (SELECT *, row_number() OVER () AS rid FROM (
+  SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'),
+                                      lambda x: x <> '') AS w, text
+  FROM documents WHERE doc_id IS NOT NULL)),
 x AS (
-  SELECT doc_id, s AS start, md5(array_to_string(w[s + 1 : s + {LENGTH}], ' ')) AS key
-  FROM (SELECT doc_id, w, unnest(range(len(w) - {LENGTH - 1})) AS s FROM d WHERE len(w) >= {LENGTH})),
+  SELECT rid, doc_id, s AS start, md5(array_to_string(w[s + 1 : s + {LENGTH}], ' ')) AS key
+  FROM (SELECT rid, doc_id, w, unnest(range(len(w) - {LENGTH - 1})) AS s FROM d WHERE len(w) >= {LENGTH})),
 r AS (SELECT key, min(doc_id) AS first FROM x GROUP BY key HAVING count(DISTINCT doc_id) > 1),
-f AS (SELECT doc_id, start, first FROM x JOIN r USING (key)),
-g AS (SELECT *, CASE WHEN start <= lag(start) OVER q + {LENGTH} THEN 0 ELSE 1 END AS new FROM f
-      WINDOW q AS (PARTITION BY doc_id ORDER BY start)),
-p AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY start) AS passage FROM g)
+f AS (SELECT rid, doc_id, start, first FROM x JOIN r USING (key)),
+g AS (SELECT *, CASE WHEN start = lag(start) OVER q + 1 THEN 0 ELSE 1 END AS new FROM f
+      WINDOW q AS (PARTITION BY rid ORDER BY start)),
+p AS (SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY start) AS passage FROM g)
 SELECT doc_id, min(start)::BIGINT AS start, (max(start) - min(start) + {LENGTH})::BIGINT AS n_words,
-       min(first) AS first_id
-FROM p GROUP BY doc_id, passage
+       arg_min(first, start) AS first_id
+FROM p GROUP BY rid, doc_id, passage
 """
