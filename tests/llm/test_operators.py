@@ -161,28 +161,22 @@ def test_near_copies_of_a_large_group(spark):
 # --- op10 -----------------------------------------------------------------------
 
 def passages_brute(rows, n):
-    where = {}
-    docs = {i: words(t) for i, t in rows if i is not None}
-    for i, w in docs.items():
+    where, docs = {}, [(i, words(t)) for i, t in dict.fromkeys(rows) if i is not None]
+    for i, w in docs:
         for s in range(len(w) - n + 1):
             where.setdefault(tuple(w[s:s + n]), set()).add(i)
     out = []
-    for i, w in docs.items():
-        at = [(s, min(where[tuple(w[s:s + n])])) for s in range(len(w) - n + 1)
-              if len(where[tuple(w[s:s + n])]) > 1]
-        run = []
-        for s, first in at:
-            if run and s > run[-1][0] + n:
-                out.append((i, run[0][0], run[-1][0] - run[0][0] + n, min(f for _, f in run)))
-                run = []
-            run.append((s, first))
-        if run:
-            out.append((i, run[0][0], run[-1][0] - run[0][0] + n, min(f for _, f in run)))
+    for i, w in docs:
+        at = [s for s in range(len(w) - n + 1) if len(where[tuple(w[s:s + n])]) > 1]
+        for s in at:
+            if s - 1 not in at:
+                end = next(e for e in itertools.count(s) if e + 1 not in at)
+                out.append((i, s, end - s + n, min(where[tuple(w[s:s + n])])))
     return sorted(out)
 
 
-def test_repeated_passages_are_exact(spark):
-    rng = random.Random(5)
+def passage_rows(seed, n=50):
+    rng = random.Random(seed)
     shared = [prose(900 + i, 70, 5000) for i in range(3)]
     rows = [(None, shared[0]), (900, None), (901, ""), (902, "x " * 3000), (903, "x " * 60), (904, shared[0])]
     for i in range(40):
@@ -191,11 +185,30 @@ def test_repeated_passages_are_exact(spark):
         lo = rng.randrange(0, 25)
         parts.insert(1, " ".join(p[lo:lo + rng.randrange(44, 70)]))
         rows.append((i, ".\n".join(parts)))
-    df = spark.createDataFrame(rows, DOCS)
-    got = sorted((r.doc_id, r.start, r.n_words, r.first_id) for r in suffixes.passages(df).collect())
-    assert got == passages_brute(rows, 50)
+    a, b = (" ".join(shared[i].split()[:50]) for i in (0, 1))
+    rows += [(950, a + " and " + prose(1, 9) + " " + b), (951, a + " " + b), (951, b + " " + a)]   # touching
+    rows += [(960 + i, shared[2] + " " + shared[0]) for i in range(12)] + rows[10:12]
+    return rows
+
+
+@pytest.mark.parametrize("n,k", [(50, 15), (20, 3), (9, 9), (5, 1)])
+def test_repeated_passages_are_exact(spark, n, k):
+    rows = passage_rows(n)
+    df = spark.createDataFrame(rows, DOCS).repartition(6).withColumn("fp", F.lit("clash"))
+    for batch in ("10000", "7"):    # chains cut at every batch
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            got = sorted((r.doc_id, r.start, r.n_words, r.first_id) for r in suffixes.passages(df, length=n, k=k).collect())
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert got == passages_brute(rows, n)
+    assert any(r[0] == 951 and r[2] == n for r in got) or n < 50
+
+
+def test_repeated_passages_repeated_and_empty_tables(spark):
+    df = spark.createDataFrame(passage_rows(1), DOCS)
     assert suffixes.passages(df.limit(0)).count() == 0
-    assert suffixes.passages(df.union(df)).count() == len(got)
+    assert suffixes.passages(df.union(df)).count() == suffixes.passages(df).count()
 
 
 # --- op9 ------------------------------------------------------------------------
