@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-A batch's distinct chunks (a run of word marks and what follows it) are
-laid end to end and indexed by a suffix array.  Every piece of the
+A batch's distinct chunks (a run of word marks and what follows it, cut
+further where no piece has the two characters side by side, so that no merge
+can cross) are laid end to end and indexed by a suffix array.  Every piece of the
 vocabulary is binary-searched in it, which gives the range of its
 occurrences; the occurrences are edges from their start to their end.  The
 edges are sorted by position and relaxed from left to right: an edge is
@@ -16,6 +17,7 @@ the encoding of a text is the only path all of whose neighbours may.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +35,55 @@ CACHE_CHUNKS = 150_000   # chunks whose encoding a worker remembers
 PAIR_SLOTS = 1 << 21     # slots of the cache of judged neighbours
 
 
+def _fields(data: bytes) -> dict[int, object]:
+    """Fields of a protocol buffer message by number, the last of each:
+    numbers, and bytes of nested messages and strings."""
+    out, at = {}, 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+    while at < len(data):
+        key = number()
+        if key & 7 == 0:
+            out[key >> 3] = number()
+            continue
+        size = number() if key & 7 == 2 else 8 if key & 7 == 1 else 4
+        out[key >> 3] = data[at:at + size]
+        at += size
+    return out
+
+
+# Field numbers of a model file, and the number of BPE.
+TRAINER, NORMALISER, MODEL_TYPE, CHARS_MAP, MARK_FIRST, SHRINK, MARKS = 2, 3, 3, 2, 3, 4, 5
+BPE = 2
+
+
+def _check(model: bytes) -> None:
+    """A model whose texts are encoded as here: merges, characters as they
+    are, a mark before the text and for every space, no space left out."""
+    parts = _fields(model)
+    trainer, normaliser = (_fields(parts.get(n, b"")) for n in (TRAINER, NORMALISER))
+    if trainer.get(MODEL_TYPE, 1) != BPE:
+        raise ValueError("not a BPE model")
+    if normaliser.get(CHARS_MAP, b"") or normaliser.get(SHRINK, 1) or not (
+            normaliser.get(MARK_FIRST, 1) and normaliser.get(MARKS, 1)):
+        raise ValueError("the model changes characters or spaces of a text before it encodes it")
+
+
 def vocabulary(path: str) -> list[tuple[str, float, str]]:
-    """(piece, score, kind) by id; kind: piece, byte, unknown or other."""
+    """(piece, score, kind) by id; kind: piece, byte, unknown or other.  A
+    model that is not a BPE one, or that normalises texts, is refused."""
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    _check(sp.serialized_model_proto())
     out = []
     for i in range(sp.get_piece_size()):
         kind = ("unknown" if sp.is_unknown(i) else "byte" if sp.is_byte(i)
@@ -87,7 +134,10 @@ class Codec:
         self.longest = max(self.by_len)
         self.slot_keys = np.full(PAIR_SLOTS, -1, dtype=np.int64)
         self.slot_ok = np.zeros(PAIR_SLOTS, dtype=bool)
-        self.chunks: dict[str, bytes] = {}  # ids as int32
+        self.pairs = np.unique(np.array([ord(a) << 21 | ord(b) for p in self.id_of for a, b in zip(p, p[1:], strict=False)],
+                                        dtype=np.int64))
+        self.chunks: dict[str, bytes] = {}  # by chunk without its first mark: ids as int32
+        self.broken: set[str] = set()       # of these, those that do not decode to themselves
 
     def _histories(self) -> None:
         """For each piece the merges that build it from its characters, in
@@ -278,27 +328,51 @@ class Codec:
 
     def encode_texts(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; NULL and empty texts have none."""
-        split, new, seen = [], [], self.chunks
-        pending: set[str] = set()
-        for text in texts:
-            own = chunks_of(text) if text else []
-            split.append(own)
-            for c in own:
-                if c not in seen and c not in pending:
-                    pending.add(c)
-                    new.append(c)
-        if len(seen) + len(new) > CACHE_CHUNKS:
-            seen = self.chunks = {c: seen[c] for own in split for c in own if c in seen}
-        own_ids = dict(seen) if len(new) > CACHE_CHUNKS else seen  # a very long text is not remembered
-        lo = 0
-        while lo < len(new):
+        split = [chunks_of(text) if text else [] for text in texts]
+        wanted = set().union(*split)
+        new = sorted(wanted.difference(self.chunks))
+        if len(self.chunks) + len(new) > CACHE_CHUNKS:
+            self.chunks = {c: self.chunks[c] for c in wanted if c in self.chunks}
+            self.broken &= wanted
+        # a very long text is not remembered
+        seen = dict(self.chunks) if len(new) > CACHE_CHUNKS else self.chunks
+        parts = [self._cut(MARK + c) for c in new]
+        small = sorted(set().union(*parts))
+        ids, lo = {}, 0
+        while lo < len(small):
             hi, chars = lo, 0
-            while hi < len(new) and (hi == lo or chars + len(new[hi]) <= BATCH_CHARS):
-                chars += len(new[hi])
+            while hi < len(small) and (hi == lo or chars + len(small[hi]) <= BATCH_CHARS):
+                chars += len(small[hi])
                 hi += 1
-            own_ids.update(zip(new[lo:hi], (x.tobytes() for x in self._encode(new[lo:hi])), strict=True))
+            ids.update(zip(small[lo:hi], (x.tobytes() for x in self._encode(small[lo:hi])), strict=True))
             lo = hi
-        return [np.frombuffer(b"".join(map(own_ids.__getitem__, own)), dtype=np.int32) for own in split]
+        for c, own in zip(new, parts, strict=True):
+            seen[c] = b"".join(map(ids.__getitem__, own))
+            if b"".join(map(self.raw.__getitem__, np.frombuffer(seen[c], dtype=np.int32).tolist())) != (
+                    MARK + c).encode("utf-8", "surrogatepass"):
+                self.broken.add(c)
+        self.texts = split
+        return [np.frombuffer(b"".join(map(seen.__getitem__, own)), dtype=np.int32) for own in split]
+
+    def round_trips(self, texts: list[str | None]) -> list[bool | None]:
+        """For the texts that were encoded last, whether decoding their ids
+        gives them back: a text's bytes are those of its chunks, one after
+        another, each of which was decoded when it was new."""
+        return [None if t is None else MARK not in t and self.broken.isdisjoint(own)
+                for t, own in zip(texts, self.texts, strict=True)]
+
+    def _cut(self, chunk: str) -> list[str]:
+        """A chunk in parts between which no merge is possible."""
+        if len(chunk) < 3:
+            return [chunk]
+        code = np.frombuffer(chunk.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        pair = code[:-1] << 21 | code[1:]
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        cuts = np.flatnonzero(self.pairs[at] != pair) + 1
+        if not len(cuts):
+            return [chunk]
+        cuts = [0, *cuts.tolist(), len(chunk)]
+        return [chunk[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
@@ -308,21 +382,27 @@ class Codec:
 
 def chunks_of(text: str) -> list[str]:
     """The text with a word mark before it and for each space, cut before
-    every run of marks.  No piece has a mark behind another character, so no
-    merge crosses a cut."""
+    every run of marks; chunks are given without their first mark.  No piece
+    has a mark behind another character, so no merge crosses a cut."""
+    if MARK not in text and "  " not in text and text[0] != " " != text[-1]:
+        return text.split(" ")
     parts = (MARK + text.replace(" ", MARK)).split(MARK)
     out, marks = [], 0
     for p in parts[1:]:
         marks += 1
         if p:
-            out.append(MARK * marks + p)
+            out.append(MARK * (marks - 1) + p)
             marks = 0
     if marks:
-        out.append(MARK * marks)
+        out.append(MARK * (marks - 1))
     return out
 
 
-_codecs: dict[int, Codec] = {}  # kept while the worker lives
+def _digest(vocab: list[tuple[str, float, str]]) -> str:
+    return blake2b(repr(vocab).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+_codecs: dict[str, Codec] = {}  # kept while the worker lives
 
 
 def encode(df: DataFrame, model: str = DEFAULT_MODEL, id_col: str = "doc_id",
@@ -345,7 +425,7 @@ def encode(df: DataFrame, model: str = DEFAULT_MODEL, id_col: str = "doc_id",
 def _coded(df: DataFrame, vocab: list[tuple[str, float, str]], text_col: str) -> DataFrame:
     importable(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(vocab)
-    tag = hash(tuple(vocab[-50:])) ^ len(vocab)
+    tag = _digest(vocab)
     names = fresh(df, "token_ids", "n_tokens", "round_trip")
     schema = T.StructType([*df.schema.fields,
                            T.StructField(names[0], T.ArrayType(T.IntegerType())),
@@ -362,8 +442,7 @@ def _coded(df: DataFrame, vocab: list[tuple[str, float, str]], text_col: str) ->
                 b = batch.slice(lo, BATCH_ROWS)
                 texts = b.column(text_at).to_pylist()
                 ids = codec.encode_texts(texts)
-                ok = [None if t is None else codec.decode(x.tolist()) == t
-                      for t, x in zip(texts, ids, strict=True)]
+                ok = codec.round_trips(texts)
                 sizes = np.array([len(x) for x in ids], dtype=np.int64)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
@@ -382,7 +461,7 @@ def decode(df: DataFrame, model: str = DEFAULT_MODEL, ids_col: str = "token_ids"
     importable(df.sparkSession)
     vocab = vocabulary(model)
     shared = df.sparkSession.sparkContext.broadcast(vocab)
-    tag = hash(tuple(vocab[-50:])) ^ len(vocab)
+    tag = _digest(vocab)
     name = fresh(df, "decoded")[0]
     at = df.columns.index(ids_col)
 
