@@ -552,6 +552,44 @@ def test_encoding_equals_the_library(spark):
     assert all(back[i] == (t or "") for i, t in enumerate(texts))
 
 
+def test_encoding_without_blanks_and_with_odd_blanks():
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.DEFAULT_MODEL)
+    codec, rng = pieces.Codec(pieces.vocabulary(pieces.DEFAULT_MODEL)), random.Random(6)
+    cjk = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(20_000))
+    odd = "".join(rng.choice(["a", "the", "ing", "é", "中", "\U0001F600", " ", "  ", "\n", "▁", "ﬁ", "Å", "1", "．"])
+                  for _ in range(4000))
+    texts = [cjk, odd, prose(3, 500).replace(" ", ""), " ", "  a", "a  ", "▁", "a▁b", "", None, "x" * 300, odd.replace(" ", "")]
+    ids = codec.encode_texts(texts)
+    assert [x.tolist() for x in ids] == [sp.encode(t or "") for t in texts]
+    assert codec.round_trips(texts) == [None if t is None else codec.decode(x.tolist()) == t for t, x in zip(texts, ids, strict=True)]
+    assert max(map(len, codec._cut(pieces.MARK + cjk))) < 20    # nothing is matched over the whole text
+    again = codec.encode_texts(texts[::-1])
+    assert [x.tolist() for x in again][::-1] == [x.tolist() for x in ids]
+
+
+def test_encoding_refuses_other_models():
+    import sentencepiece
+    model = bytearray(sentencepiece.SentencePieceProcessor(model_file=pieces.DEFAULT_MODEL).serialized_model_proto())
+    pieces._check(bytes(model))
+
+    def field(number, value):
+        return bytes([number << 3]) + bytes([value]) if isinstance(value, int) else bytes([number << 3 | 2, len(value)]) + value
+    identity = field(3, 1) + field(4, 0) + field(5, 1)
+    good = field(2, field(3, 2)) + field(3, identity)
+    pieces._check(good)
+    for bad in (field(2, field(3, 1)) + field(3, identity), field(3, identity), field(2, field(3, 2)),
+                field(2, field(3, 2)) + field(3, field(2, b"map") + identity), field(2, field(3, 2)) + field(3, field(4, 1))):
+        with pytest.raises(ValueError):
+            pieces._check(bad)
+
+
+def test_encoding_repeated_rows_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a b")], DOCS)
+    assert len({tuple(r.token_ids) for r in pieces.encode(df).collect()}) == 1
+    assert pieces.encode(df.limit(0)).count() == 0
+
+
 def test_sharding_is_even_and_stable(spark):
     names = [f"s{i}" for i in range(7)]
     table = sharding.lookup_table(names, 1009)
