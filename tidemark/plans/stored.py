@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import moments
 from tidemark.plans import marts
-from tidemark.plans.queries import RAW_PRIORITIES, _scratch, nation, part, query, raw_and_ledger
+from tidemark.plans.queries import _scratch, nation, part, query, raw_and_ledger
 from tidemark.sources import bucketed, tables
 
 # The window of the raw batches' trend and the decimals their values keep.
