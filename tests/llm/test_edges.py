@@ -2,7 +2,6 @@
 texts, clashing columns, empty tables."""
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, langid, lines, nearcopy, sharding, tokencount
