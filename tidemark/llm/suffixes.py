@@ -8,7 +8,7 @@ first K words.
 
 Retained suffixes whose first K words some other document has are sorted by
 range over all tasks, by their first words, then by more and more of what
-follows.  Neighbours that agree are extended to the left and to the right: of
+follows and of what stands before.  Neighbours that agree are extended to the left and to the right: of
 the windows around both suffixes those are equal that lie in the extension.
 Runs of neighbours that share a window are a chain; the window is repeated if
 the chain has two documents.  What neighbours leave open, chains cut by a
@@ -32,9 +32,11 @@ from tidemark.llm.wordhash import word_hashes
 
 LENGTH = 50  # words of a passage at least
 K = 15       # words of a suffix that choose it and that neighbours share
-ORDER = (25, 50)  # words by which suffixes are sorted beyond that
+AFTER = (25, 50)   # words from a suffix's place on by which suffixes are sorted beyond that
+BEFORE = (12, 35)  # then words before it
 
-_SUFFIX = "x long, id long, row long, place int, back int, more1 long, more2 long, fps array<long>"
+_SORT = ("after1", "after2", "before1", "before2")
+_SUFFIX = f"x long, id long, row long, place int, back int, {', '.join(f'{c} long' for c in _SORT)}, fps array<long>"
 _FOUND = "kind byte, id long, row long, start int, n int, x long, fp long, lo long, hi long"
 HEAD, RUN, OPEN = 0, 1, 2
 
@@ -79,13 +81,12 @@ def _suffixes(texts: DataFrame, length: int, k: int, shared) -> DataFrame:
                 cuts = np.append(first, len(at)).astype(np.int32)
                 place = suffix[first]
                 r = row[place]
+                begin, end = np.searchsorted(row, r), np.searchsorted(row, r, side="right")
                 more = []
-                for n in ORDER:  # 0 where the text ends before
-                    inside = place + n <= len(row)
-                    inside[inside] = row[place[inside] + n - 1] == r[inside]
+                for n, first_ in [*((n, place) for n in AFTER), *((n, place - n) for n in BEFORE)]:
+                    inside = (first_ >= begin) & (first_ + n <= end)  # 0 where the text ends before
                     more.append(np.zeros(len(place), dtype=np.int64))
-                    more[-1][inside] = ngrams(flat, n)[place[inside]].view(np.int64)
-                begin = np.searchsorted(row, r)
+                    more[-1][inside] = ngrams(flat, n)[first_[inside]].view(np.int64)
                 where = pa.array(lo + r)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x[place].view(np.int64)), b.column(1).take(where), b.column(2).take(where),
@@ -104,8 +105,9 @@ def _compare(w: int):
             x, ids, row, place, back = (b.column(i).to_numpy() for i in range(5))
             if not len(x):
                 continue
-            cuts = b.column(7).offsets.to_numpy()
-            fps = b.column(7).values.to_numpy()[cuts[0]:cuts[-1]]
+            windows = b.column(b.num_columns - 1)
+            cuts = windows.offsets.to_numpy()
+            fps = windows.values.to_numpy()[cuts[0]:cuts[-1]]
             line = np.repeat(np.arange(len(x)), np.diff(cuts))
             # windows by their distance to the suffix: column w - 1 begins with it
             col = np.arange(len(fps)) - np.repeat(cuts[:-1] - cuts[0], np.diff(cuts)) - back[line] + w - 1
@@ -173,7 +175,7 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          .where("lo < hi").select("x"), "shared")
         table = spark.sparkContext.broadcast(bitset.bloom(shared, "x", bits))
         suffixes = written(_suffixes(texts, length, k, table), "suffixes")
-        order = ["x", "more1", "more2", "id", "row", "place"]
+        order = ["x", *_SORT, "id", "row", "place"]
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         found = written(suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                         .mapInArrow(_compare(length - k + 1), _FOUND), "compared")
