@@ -3,8 +3,9 @@
 Pivots are the top of a cover tree over a bounded sample; every vector is
 dealt to its nearest pivot, and the vectors of a pivot to tiles of bounded
 size.  Every tile has a cover tree: the children of a node are a net of its
-points at half its scale, or at the scale that MAX_KIDS centres reach, and a
-node knows its covering radius.  For a query node a and a data node b with
+points at half its scale; where MAX_KIDS centres do not cover it at that
+scale, they are some of its points, each with those next to it.  A node knows
+its covering radius.  For a query node a and a data node b with
 centres A, B and radii r, s, no inner product exceeds
 
     A.B + r |B| + s |A| + r s.
@@ -31,7 +32,8 @@ TILE = 2048        # data rows in a tile, on average
 QUERY_TILE = 2048  # queries in a tile, on average
 RUN = 16           # data tiles that pass a query tile in one task, on average
 FIRST = 2          # data tiles that a query tile meets before the others are chosen
-LEAF = 24          # points that are not split further
+LEAF = 64          # points that are only split further where they cluster
+MIN_LEAF = 8       # points that are not split further
 MAX_KIDS = 32      # children of a node
 SAMPLE = 4096      # vectors from which the pivots are taken
 PIVOTS = 256       # pivots at most
@@ -93,9 +95,20 @@ class CoverTree:
         gap = np.sqrt(((points - points[first]) ** 2).sum(axis=1))
         self.centre.append(int(rows[first]))
         self.radius.append(float(gap.max()) * (1 + 1e-9))
-        if len(rows) <= LEAF or not 0 < self.radius[at] < np.inf:
+        if len(rows) <= MIN_LEAF or not 0 < self.radius[at] < np.inf:
             return  # few points, equal ones, or beyond the doubles
-        centres, owner, _ = net(points, first, self.radius[at] / 2, MAX_KIDS)
+        small = len(rows) <= LEAF
+        centres, owner, gap = net(points, first, self.radius[at] / 2, len(rows) // 4 if small else MAX_KIDS)
+        if gap.max() > self.radius[at] / 2:  # not clustered at this scale
+            if small:
+                return
+            few = min(MAX_KIDS, len(rows) // LEAF + 1)
+            centres = sorted({first, *np.linspace(0, len(rows) - 1, few).astype(int).tolist()})
+            c = points[centres]
+            owner = (points @ c.T - (c ** 2).sum(axis=1) / 2).argmax(axis=1)
+            owner[centres] = np.arange(len(centres))  # equal points share a part
+            if np.bincount(owner).max() == len(rows):
+                return
         lead = np.ones(len(rows), dtype=np.int64)
         lead[centres] = 0
         by = np.lexsort((lead, owner))
@@ -290,7 +303,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
         data = written(data.select("id", "many", "v", F.size("v").alias("dim")), "vectors")
         n_data = -(-max(1, data.count()) // tile)
         some = [r.v for r in data.orderBy(F.xxhash64("id", "v"), "id").limit(sample).select("v").collect()]
-        centres = pivots_of(some, min(pivots, 4 * n_data))
+        centres = pivots_of(some, min(pivots, 2 * n_data))
         asked = floored(queries)
         asked = written(asked.select("id", "many", "v", F.size("v").alias("dim")), "queries")
         # every data tile meets every query tile in the worst case, so there
