@@ -31,7 +31,8 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 BATCH_ROWS = 100         # texts encoded at once
 BATCH_CHARS = 100_000    # characters indexed at once
-CACHE_CHUNKS = 150_000   # chunks whose encoding a worker remembers
+LONG_CHUNK = 32          # characters from which a chunk is cut further
+CACHE_CHUNKS = 500_000   # chunks whose encoding a worker remembers
 PAIR_SLOTS = 1 << 21     # slots of the cache of judged neighbours
 
 
@@ -256,8 +257,8 @@ class Codec:
         none = np.zeros(0, dtype=np.int64)
         return tuple(np.concatenate(x) if x else none for x in (starts, ids, lengths))
 
-    def _encode(self, chunks: list[str]) -> list[np.ndarray]:
-        """Ids of each (not empty) chunk."""
+    def _encode(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each (not empty) chunk, as int32."""
         sizes = np.array([len(c) for c in chunks], dtype=np.int64)
         code = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"),
                              dtype=np.uint32).astype(np.int64)
@@ -307,7 +308,9 @@ class Codec:
         back = np.lexsort((frm, who))
         who, ids, frm = who[back], ids[back], frm[back]
         ids, who = self._spell(ids, who, text[frm])
-        return np.split(ids.astype(np.int32), np.searchsorted(who, np.arange(1, len(chunks))))
+        cuts = (4 * np.searchsorted(who, np.arange(len(chunks) + 1))).tolist()
+        flat = ids.astype(np.int32).tobytes()
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _spell(self, ids, who, char):
         """Characters without a piece become the bytes of their UTF-8 form."""
@@ -336,24 +339,29 @@ class Codec:
             self.broken &= wanted
         # a very long text is not remembered
         seen = dict(self.chunks) if len(new) > CACHE_CHUNKS else self.chunks
-        parts = [self._cut(MARK + c) for c in new]
-        small = sorted(set().union(*parts))
+        whole = [MARK + c for c in new]
+        parts = {c: self._cut(c) for c in whole if len(c) >= LONG_CHUNK}
+        small = sorted({*(c for c in whole if len(c) < LONG_CHUNK), *(x for own in parts.values() for x in own)})
         ids, lo = {}, 0
         while lo < len(small):
             hi, chars = lo, 0
             while hi < len(small) and (hi == lo or chars + len(small[hi]) <= BATCH_CHARS):
                 chars += len(small[hi])
                 hi += 1
-            ids.update(zip(small[lo:hi], (x.tobytes() for x in self._encode(small[lo:hi])), strict=True))
+            ids.update(zip(small[lo:hi], self._encode(small[lo:hi]), strict=True))
             lo = hi
-        for c, own in zip(new, parts, strict=True):
-            seen[c] = b"".join(map(ids.__getitem__, own))
-            if b"".join(map(self.raw.__getitem__, np.frombuffer(seen[c], dtype=np.int32).tolist())) != (
-                    MARK + c).encode("utf-8", "surrogatepass"):
-                self.broken.add(c)
+        ids.update((c, b"".join(map(ids.__getitem__, own))) for c, own in parts.items())
+        seen.update((c, ids[w]) for c, w in zip(new, whole, strict=True))
+        if not self._same(whole, ids):
+            self.broken.update(c for c, w in zip(new, whole, strict=True) if not self._same([w], ids))
         self.texts = split
         return [np.frombuffer(b"".join(map(seen.__getitem__, own)), dtype=np.int32) for own in split]
 
+    def _same(self, chunks: list[str], ids: dict[str, bytes]) -> bool:
+        """Whether the ids of these chunks, end to end, decode to them."""
+        flat = np.frombuffer(b"".join(map(ids.__getitem__, chunks)), dtype=np.int32).tolist()
+        return b"".join(map(self.raw.__getitem__, flat)) == "".join(chunks).encode("utf-8", "surrogatepass")
+
     def round_trips(self, texts: list[str | None]) -> list[bool | None]:
         """For the texts that were encoded last, whether decoding their ids
         gives them back: a text's bytes are those of its chunks, one after
@@ -363,8 +371,6 @@ class Codec:
 
     def _cut(self, chunk: str) -> list[str]:
         """A chunk in parts between which no merge is possible."""
-        if len(chunk) < 3:
-            return [chunk]
         code = np.frombuffer(chunk.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
         pair = code[:-1] << 21 | code[1:]
         at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
